@@ -2,98 +2,72 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from functools import reduce
-from types import SimpleNamespace
 from typing import NamedTuple
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from meterhawk import schema as S
-from meterhawk.functions.trips import fixed, nan_to_null, safe_int
 
 
 class Rule(NamedTuple):
-    """``test`` maps the operands to a boolean; ``text`` lists words and (number, decimals) pairs."""
+    """``test`` is SQL over the operands below; ``text`` lists words and (number, decimals) pairs."""
 
     code: str
-    test: Callable[[SimpleNamespace], Column]
-    text: Callable[[SimpleNamespace], list]
+    test: str
+    text: list
 
 
 # --- Fixed values: rule thresholds and the wording of reasons, in order of precedence. ------------
 
 STREAM_RULES = [
-    Rule("speed", lambda t: t.speed > 140, lambda t: ["Unrealistic Speed (>", (t.speed, 0), " km/h)"]),
-    Rule("rate", lambda t: t.rate > 15, lambda t: ["Extremely High Fare per Mile ($", (t.rate, 1), "/mi)"]),
+    Rule("speed", "{speed} > 140", ["Unrealistic Speed (>", ("{speed}", 0), " km/h)"]),
+    Rule("rate", "{rate} > 15", ["Extremely High Fare per Mile ($", ("{rate}", 1), "/mi)"]),
     Rule(
         "short_high_fare",
-        lambda t: (t.duration < 120) & (t.fare > 50),
-        lambda t: ["Short Trip, High Fare ($", (t.fare, 0), " in ", (t.duration / 60, 0), "min)"],
+        "{duration} < 120 AND {fare} > 50",
+        ["Short Trip, High Fare ($", ("{fare}", 0), " in ", ("{duration} / 60", 0), "min)"],
     ),
     Rule(
         "low_fare",
-        lambda t: (t.fare < 2.5) & (t.distance > 0.5),
-        lambda t: ["Suspiciously Low Fare ($", (t.fare, 2), " for ", (t.distance, 1), "mi)"],
+        "{fare} < 2.5D AND {distance} > 0.5D",
+        ["Suspiciously Low Fare ($", ("{fare}", 2), " for ", ("{distance}", 1), "mi)"],
     ),
     Rule(
         "long_short_distance",
-        lambda t: (t.duration > 7200) & (t.distance < 5),
-        lambda t: ["Long Duration, Short Distance (", (t.duration / 3600, 1), "h / ", (t.distance, 1), "mi)"],
-    ),
-    Rule("zero_passengers", lambda t: t.passengers == 0, lambda t: ["Zero Passengers Reported"]),
-    Rule(
-        "night_speed",
-        lambda t: t.night & (t.speed > 100),
-        lambda t: ["Night-time Speeding (", (t.speed, 0), " km/h)"],
-    ),
-    Rule("extreme_fare", lambda t: t.fare > 150, lambda t: ["Extreme Fare Amount ($", (t.fare, 0), ")"]),
-    Rule(
-        "long_low_rate",
-        lambda t: (t.distance > 50) & (t.rate < 1.0),
-        lambda t: ["Very Long Trip, Suspiciously Low Rate"],
+        "{duration} > 7200 AND {distance} < 5",
+        ["Long Duration, Short Distance (", ("{duration} / 3600", 1), "h / ", ("{distance}", 1), "mi)"],
     ),
+    Rule("zero_passengers", "{seats} = 0", ["Zero Passengers Reported"]),
+    Rule("night_speed", "{night} AND {speed} > 100", ["Night-time Speeding (", ("{speed}", 0), " km/h)"]),
+    Rule("extreme_fare", "{fare} > 150", ["Extreme Fare Amount ($", ("{fare}", 0), ")"]),
+    Rule("long_low_rate", "{distance} > 50 AND {rate} < 1", ["Very Long Trip, Suspiciously Low Rate"]),
 ]
-STREAM_FALLBACK = Rule(
-    "statistical", lambda t: F.lit(True), lambda t: ["Statistical Outlier (IsolationForest)"]
-)
+STREAM_FALLBACK = Rule("statistical", "true", ["Statistical Outlier (IsolationForest)"])
 
 BATCH_RULES = [
-    Rule("bad_time", lambda t: t.duration.isNull() | (t.duration < 0), lambda t: ["Negative or missing time"]),
-    Rule("speed", lambda t: t.speed > 150, lambda t: ["Unrealistic Speed (", (t.speed, 0), " km/h)"]),
-    Rule(
-        "rate",
-        lambda t: (t.rate > 20) & (t.distance > 0.5),
-        lambda t: ["Extremely High Rate ($", (t.rate, 1), "/mi)"],
-    ),
+    Rule("bad_time", "{duration} IS NULL OR {duration} < 0", ["Negative or missing time"]),
+    Rule("speed", "{speed} > 150", ["Unrealistic Speed (", ("{speed}", 0), " km/h)"]),
+    Rule("rate", "{rate} > 20 AND {distance} > 0.5D", ["Extremely High Rate ($", ("{rate}", 1), "/mi)"]),
     Rule(
         "short_high_fare",
-        lambda t: (t.duration < 60) & (t.fare > 30),
-        lambda t: ["Short Trip, High Fare ($", (t.fare, 0), " in ", (t.duration, 0), "s)"],
+        "{duration} < 60 AND {fare} > 30",
+        ["Short Trip, High Fare ($", ("{fare}", 0), " in ", ("{duration}", 0), "s)"],
     ),
     Rule(
         "low_fare",
-        lambda t: (t.fare < 2.5) & (t.distance > 1.0),
-        lambda t: ["Suspiciously Low Fare ($", (t.fare, 2), " for ", (t.distance, 1), "mi)"],
+        "{fare} < 2.5D AND {distance} > 1",
+        ["Suspiciously Low Fare ($", ("{fare}", 2), " for ", ("{distance}", 1), "mi)"],
     ),
     Rule(
         "long_short_distance",
-        lambda t: (t.duration > 7200) & (t.distance < 2),
-        lambda t: ["Long Duration, Short Distance (", (t.duration / 3600, 1), "h / ", (t.distance, 1), "mi)"],
-    ),
-    Rule("zero_passengers", lambda t: t.passengers == 0, lambda t: ["Zero Passengers"]),
-    Rule(
-        "night_speed",
-        lambda t: t.night & (t.speed > 120),
-        lambda t: ["Night-time Speeding (", (t.speed, 0), " km/h)"],
-    ),
-    Rule("extreme_fare", lambda t: t.fare > 250, lambda t: ["Extreme Fare Amount ($", (t.fare, 0), ")"]),
-    Rule(
-        "long_low_rate",
-        lambda t: (t.distance > 60) & (t.rate < 1.0),
-        lambda t: ["Very Long Trip, Suspiciously Low Rate"],
+        "{duration} > 7200 AND {distance} < 2",
+        ["Long Duration, Short Distance (", ("{duration} / 3600", 1), "h / ", ("{distance}", 1), "mi)"],
     ),
+    Rule("zero_passengers", "{passengers} = 0", ["Zero Passengers"]),
+    Rule("night_speed", "{night} AND {speed} > 120", ["Night-time Speeding (", ("{speed}", 0), " km/h)"]),
+    Rule("extreme_fare", "{fare} > 250", ["Extreme Fare Amount ($", ("{fare}", 0), ")"]),
+    Rule("long_low_rate", "{distance} > 60 AND {rate} < 1", ["Very Long Trip, Suspiciously Low Rate"]),
 ]
 
 SEVERITY_HIGH = "[HIGH]"
@@ -104,40 +78,40 @@ LABEL_MODEL_TEXT = "[AI_OUTLIER] Complex Statistical Anomaly"
 # --------------------------------------------------------------------------------------------------
 
 
-def _operands(passengers: Column) -> SimpleNamespace:
-    """Trip columns under short names. NaN becomes null, so it fails every test."""
-
-    def number(name: str) -> Column:
-        return nan_to_null(F.col(name).cast("double"))
+def _number(column: str) -> str:
+    """NaN sorts above every number in Spark; as null it fails every test."""
+    return f"nanvl(CAST({column} AS DOUBLE), NULL)"
 
-    return SimpleNamespace(
-        speed=number("avg_speed_kmh"),
-        rate=number("fare_per_mile"),
-        duration=number("trip_duration_sec"),
-        fare=number("fare_amount"),
-        distance=number("trip_distance"),
-        night=F.col("is_night") == 1,
-        passengers=passengers,
-    )
 
+OPERANDS = {
+    "speed": _number("avg_speed_kmh"),
+    "rate": _number("fare_per_mile"),
+    "duration": _number("trip_duration_sec"),
+    "fare": _number("fare_amount"),
+    "distance": _number("trip_distance"),
+    "passengers": _number("passenger_count"),
+    "seats": f"coalesce(TRY_CAST({_number('passenger_count')} AS INT), 0)",
+    "night": "is_night = 1",
+}
 
-def _stream_operands() -> SimpleNamespace:
-    return _operands(safe_int("passenger_count"))
 
+def _text(rule: Rule) -> str:
+    def part(p) -> str:
+        if isinstance(p, str):
+            return f"'{p}'"
+        number, places = p
+        return f"format_number({number.format(**OPERANDS)}, '{'0.' + '0' * places if places else '0'}')"
 
-def _batch_operands() -> SimpleNamespace:
-    return _operands(nan_to_null(F.col("passenger_count").cast("double")))
+    return f"concat({', '.join(map(part, rule.text))})"
 
 
-def _first_match(rules: list[Rule], t: SimpleNamespace, value: Callable[[Rule], Column]) -> Column:
-    chain = F
-    for rule in rules:
-        chain = chain.when(rule.test(t), value(rule))
-    return chain
+def _first_match(rules: list[Rule], value) -> Column:
+    cases = [f"WHEN {rule.test.format(**OPERANDS)} THEN {value(rule)}" for rule in rules]
+    return F.expr(f"CASE {' '.join(cases)} END")
 
 
-def _text(rule: Rule, t: SimpleNamespace) -> Column:
-    return F.concat(*[F.lit(p) if isinstance(p, str) else fixed(*p) for p in rule.text(t)])
+def _code(rule: Rule) -> str:
+    return f"'{rule.code}'"
 
 
 def severity(score: Column | str) -> Column:
@@ -147,20 +121,18 @@ def severity(score: Column | str) -> Column:
 
 def reason_code() -> Column:
     """Code of the first streaming rule a trip breaks, or the statistical fallback."""
-    return _first_match([*STREAM_RULES, STREAM_FALLBACK], _stream_operands(), lambda r: F.lit(r.code))
+    return _first_match([*STREAM_RULES, STREAM_FALLBACK], _code)
 
 
 def reason(score: Column | str = "anomaly_score") -> Column:
     """Severity tag and wording of the first streaming rule a trip breaks."""
-    t = _stream_operands()
-    text = _first_match([*STREAM_RULES, STREAM_FALLBACK], t, lambda r: _text(r, t))
-    return F.concat(severity(score), F.lit(" "), text)
+    return F.concat(severity(score), F.lit(" "), _first_match([*STREAM_RULES, STREAM_FALLBACK], _text))
 
 
 def violates() -> Column:
     """True when any streaming rule holds."""
-    t = _stream_operands()
-    return F.coalesce(reduce(lambda a, b: a | b, [rule.test(t) for rule in STREAM_RULES]), F.lit(False))
+    tests = " OR ".join(f"({rule.test.format(**OPERANDS)})" for rule in STREAM_RULES)
+    return F.expr(f"coalesce({tests}, false)")
 
 
 def training_weight() -> Column:
@@ -169,22 +141,19 @@ def training_weight() -> Column:
 
 def batch_reason_code() -> Column:
     """Code of the first labelling rule a trip breaks, or null."""
-    return _first_match(BATCH_RULES, _batch_operands(), lambda r: F.lit(r.code))
+    return _first_match(BATCH_RULES, _code)
 
 
 def batch_reason() -> Column:
     """Wording of the first labelling rule a trip breaks, or null."""
-    t = _batch_operands()
-    return _first_match(BATCH_RULES, t, lambda r: _text(r, t))
+    return _first_match(BATCH_RULES, _text)
 
 
 def label_vote(outlier: Column | str) -> tuple[Column, Column]:
     """(is_anomaly, ai_reason): a broken rule decides first, the model's flag second."""
     outlier = F.col(outlier) if isinstance(outlier, str) else outlier
-    broken = batch_reason()
     flag = F.when(batch_reason_code().isNotNull() | outlier, F.lit(1)).otherwise(F.lit(0))
     text = F.coalesce(
-        F.concat(F.lit(LABEL_RULE_PREFIX), broken),
-        F.when(outlier, F.lit(LABEL_MODEL_TEXT)),
+        F.concat(F.lit(LABEL_RULE_PREFIX), batch_reason()), F.when(outlier, F.lit(LABEL_MODEL_TEXT))
     )
     return flag, text

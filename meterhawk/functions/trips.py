@@ -18,8 +18,7 @@ def _col(value: ColumnLike) -> Column:
 
 def nan_to_null(value: ColumnLike) -> Column:
     """NaN sorts above every number in Spark; as null it fails every comparison instead."""
-    value = _col(value)
-    return F.when(~F.isnan(value), value)
+    return F.nanvl(_col(value), F.lit(None).cast("double"))
 
 
 def parse_time(value: ColumnLike) -> Column:

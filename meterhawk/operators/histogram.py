@@ -14,22 +14,18 @@ def histogram(df: DataFrame, column: str, bins: int = 10, by: list[str] | None =
     """Counts per bin between the column's extremes, the last bin closed.
 
     The bins are common to all groups of ``by``. Bins without rows are absent. A column with one
-    value gives one row with ``bin`` 0 and both edges at that value.
+    value gives one row with ``bin`` 0 and both edges at that value. The frame is read twice (extremes,
+    counts), so stage one that is costly to compute.
     """
-    df = df.filter(F.col(column).isNotNull())
-    stats = extremes(df, column)
-    low, high = stats[f"{column}_min"], stats[f"{column}_max"]
-    width = (high - low) / F.lit(float(bins))
-    place = F.floor(F.try_divide(F.col(column) - low, width))
+    df = df.filter(F.col(column).isNotNull()).select(*(by or []), F.col(column).alias("_x"))
+    spanned = df.withColumn("_span", extremes(df, "_x"))
+    low = F.col("_span._x_min")
+    width = (F.col("_span._x_max") - low) / F.lit(float(bins))
+    place = F.floor(F.try_divide(F.col("_x") - low, width))
     slot = F.coalesce(F.least(place, F.lit(bins - 1)), F.lit(0)).cast("int")
-    counted = df.groupBy(*(by or []), slot.alias("bin")).agg(F.count("*").alias("rows"))
-    return counted.select(
-        *(by or []),
-        "bin",
-        (low + width * F.col("bin")).alias("low"),
-        (low + width * (F.col("bin") + 1)).alias("high"),
-        "rows",
-    )
+    binned = spanned.select(*(by or []), slot.alias("bin"), low.alias("_low"), width.alias("_width"))
+    edges = {"low": F.col("_low") + F.col("_width") * F.col("bin"), "high": F.col("_low") + F.col("_width") * (F.col("bin") + 1)}
+    return binned.withColumns(edges).groupBy(*(by or []), "bin", "low", "high").agg(F.count("*").alias("rows"))
 
 
 def histogram_by(df: DataFrame, column: str, by: str, bins: int = FINE_BINS) -> DataFrame:

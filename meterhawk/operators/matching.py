@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterhawk.functions.trips import cents
@@ -46,12 +46,13 @@ def dedupe_labels(labels: DataFrame, order: list[str]) -> DataFrame:
     return kept.select(*FLEET_KEY, "label.*")
 
 
-def _same_key(left: DataFrame, right: DataFrame, extra: list[str] = []) -> Column:
-    """Equality in which nulls match each other."""
-    test = left["taxi_type"] == right["taxi_type"]
-    for name in [*KEY, *extra]:
-        test = test & left[name].eqNullSafe(right[name])
-    return test
+def _join(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Join on equal keys in which nulls match each other; the key columns are the left ones."""
+    right = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    test = F.lit(True)
+    for k in keys:
+        test = test & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+    return left.join(right, test, how).drop(*[f"_r_{k}" for k in keys])
 
 
 def match_counts(pred: DataFrame, labels: DataFrame) -> DataFrame:
@@ -61,9 +62,8 @@ def match_counts(pred: DataFrame, labels: DataFrame) -> DataFrame:
     once.
     """
     counted = match_key(pred).groupBy(*FLEET_KEY, "y_pred").agg(F.count("*").alias("n"))
-    right = labels.select(*FLEET_KEY, "is_anomaly")
-    joined = counted.join(right, _same_key(counted, right), "left")
-    return joined.groupBy(counted["taxi_type"], "y_pred", "is_anomaly").agg(F.sum("n").alias("n"))
+    joined = _join(counted, labels.select(*FLEET_KEY, "is_anomaly"), FLEET_KEY, "left")
+    return joined.groupBy("taxi_type", "y_pred", "is_anomaly").agg(F.sum("n").alias("n"))
 
 
 def match_labels(pred: DataFrame, labels: DataFrame, row_key: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -78,17 +78,15 @@ def match_labels(pred: DataFrame, labels: DataFrame, row_key: list[str], hot_row
     share = F.greatest(
         counts.agg((F.sum("n") / F.lit(HOT_KEYS)).alias("share")).scalar(), F.lit(float(hot_rows))
     )
-    hot = counts.filter(F.col("n") > share).select(*FLEET_KEY, F.ceil(F.col("n") / share).cast("int").alias("parts"))
-
-    def spread(df: DataFrame, slot) -> DataFrame:
-        listed = F.broadcast(hot)
-        joined = df.join(listed, _same_key(df, listed), "left")
-        return joined.select(*[df[c] for c in df.columns], slot(F.coalesce(listed["parts"], F.lit(1))).alias("_slot"))
-
-    left = spread(keyed, lambda parts: F.pmod(F.xxhash64(*[keyed[c] for c in row_key]), parts).cast("int"))
-    right = spread(labels, lambda parts: F.explode(F.sequence(F.lit(0), parts - 1)))
-    joined = left.join(right, _same_key(left, right, ["_slot"]), "inner")
-    return joined.select(*[left[c] for c in pred.columns], *[right[c] for c in LABEL_COLUMNS])
+    parts = F.ceil(F.col("n") / share).cast("int")
+    hot = F.broadcast(counts.filter(F.col("n") > share).select(*FLEET_KEY, parts.alias("_parts")))
+    parts = F.coalesce("_parts", F.lit(1))
+
+    left = _join(keyed, hot, FLEET_KEY, "left")
+    left = left.withColumn("_slot", F.pmod(F.xxhash64(*row_key), parts).cast("int")).drop("_parts")
+    right = _join(labels.select(*FLEET_KEY, *LABEL_COLUMNS), hot, FLEET_KEY, "left")
+    right = right.withColumn("_slot", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts")
+    return _join(left, right, [*FLEET_KEY, "_slot"], "inner").select(*pred.columns, *LABEL_COLUMNS)
 
 
 def fleet_lookup(df: DataFrame, fleets: DataFrame, defaults: dict[str, float]) -> DataFrame:

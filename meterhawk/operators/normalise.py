@@ -26,8 +26,9 @@ def unit_range(value: Column, low: Column, high: Column) -> Column:
 
 def min_max(df: DataFrame, column: str, output: str) -> DataFrame:
     """Scale a column to [0, 1] over the whole frame, guarded against a zero range."""
-    stats = extremes(df, column)
-    return df.withColumn(output, unit_range(F.col(column), stats[f"{column}_min"], stats[f"{column}_max"]))
+    spanned = df.withColumn("_span", extremes(df, column))
+    low, high = F.col(f"_span.{column}_min"), F.col(f"_span.{column}_max")
+    return spanned.withColumn(output, unit_range(F.col(column), low, high)).drop("_span")
 
 
 def normalise_global(df: DataFrame, column: str = "if_score", output: str = "ai_anomaly_score") -> DataFrame:
@@ -35,7 +36,9 @@ def normalise_global(df: DataFrame, column: str = "if_score", output: str = "ai_
     return min_max(df, column, output)
 
 
-def combined_score(bounds: dict[str, float] | Column, forest: str = "if_score", distance: str = "mah_distance") -> Column:
+def combined_score(
+    bounds: dict[str, float] | Column, forest: str = "if_score", distance: str = "mah_distance"
+) -> Column:
     """Weighted sum of both normalised detector scores, for given extremes."""
 
     def scaled(column: str) -> Column:
@@ -47,4 +50,5 @@ def combined_score(bounds: dict[str, float] | Column, forest: str = "if_score",
 
 def combine_scores(df: DataFrame, forest: str = "if_score", distance: str = "mah_distance") -> DataFrame:
     """Add ``anomaly_score``, normalised within the frame."""
-    return df.withColumn("anomaly_score", combined_score(extremes(df, forest, distance), forest, distance))
+    spanned = df.withColumn("_span", extremes(df, forest, distance))
+    return spanned.withColumn("anomaly_score", combined_score(F.col("_span"), forest, distance)).drop("_span")

@@ -16,6 +16,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from meterhawk.functions.trips import nan_to_null
+
 EXACT_ROWS = 262_144
 INNER_ROWS = 65_536
 SKETCH_K = 4_096
@@ -140,7 +142,7 @@ def exact_quantiles(
 
     ``rows`` is the row count when the caller knows it.
     """
-    df = df.select(*[F.when(~F.isnan(c), F.col(c).cast("double")).alias(c) for c in columns])
+    df = df.select(*[nan_to_null(F.col(c).cast("double")).alias(c) for c in columns])
     if (df.count() if rows is None else rows) <= exact_rows:
         row = df.agg(*[F.percentile(c, F.array(*map(F.lit, probs))).alias(c) for c in columns]).first()
         return {c: list(row[c]) if row[c] is not None else [None] * len(probs) for c in columns}

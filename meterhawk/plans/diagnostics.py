@@ -148,7 +148,7 @@ def rank_features(importances: DataFrame) -> DataFrame:
 
 def top_feature(importances: DataFrame) -> DataFrame:
     """The most influential feature; the first by name on ties."""
-    return importances.agg(F.max_by("feature", F.struct("importance", F.lit(0))).alias("feature"))
+    return importances.agg(F.min_by("feature", F.struct(-F.col("importance"), "feature")).alias("feature"))
 
 
 def permutation_sensitivity(
@@ -181,7 +181,7 @@ def permutation_sensitivity(
     ).persist()
     try:
         if numbered.count() < min_rows:
-            return df_empty(normals)
+            return _no_importances(normals)
         trials = numbered.select(
             "pos", "x", F.explode(F.sequence(F.lit(0), F.lit(len(features)))).alias("trial"), "_id"
         )
@@ -207,5 +207,5 @@ def permutation_sensitivity(
     return rank_features(normals.sparkSession.createDataFrame(result, "feature string, importance double"))
 
 
-def df_empty(df: DataFrame) -> DataFrame:
+def _no_importances(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame([], "feature string, importance double, relative double")

@@ -5,50 +5,44 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-FLEET_COLUMNS = ["VendorID", "passenger_count", "trip_distance", "fare_amount"]
 
+EVENTS = "event_id long, ts timestamp_ntz, user_id long, value double"
 
-def trips_from_events(events: DataFrame) -> DataFrame:
-    """One trip per event, with the odd values a trip feed shows spread over fixed residues of the id."""
-    i = F.col("event_id")
-    far = F.when(i % 211 == 7, F.lit(60.0)).otherwise(F.lit(0.0))
-    distance = far + F.floor(F.col("value") * F.lit(100.0) / F.lit(15.0)).cast("double") / F.lit(100.0)
-    df = events.select("event_id", "ts", "user_id", distance.alias("d"))
-    usual = F.floor(F.lit(120.0) + F.floor(F.col("d") * F.lit(150.0))) + (i * 7919) % 600
-    duration = (
-        F.when(i % 199 == 3, F.lit(-30))
-        .when(i % 97 == 5, 61 + i % 40)
-        .when(i % 83 == 2, 7300 + i % 900)
-        .otherwise(usual)
-        .cast("long")
-    )
+DISTANCE = "CASE WHEN event_id % 211 = 7 THEN 60D ELSE 0D END + CAST(floor(value * 100D / 15D) AS DOUBLE) / 100D"
+
+DURATION = """CASE WHEN event_id % 199 = 3 THEN -30L
+    WHEN event_id % 97 = 5 THEN 61 + event_id % 40
+    WHEN event_id % 83 = 2 THEN 7300 + event_id % 900
+    ELSE CAST(120D + floor(distance * 150D) AS BIGINT) + (event_id * 7919) % 600 END"""
 
-    def hundredths(value):
-        return F.floor(value).cast("double") / F.lit(100.0)
+FARE = """CASE WHEN event_id % 73 = 1 THEN 1D
+    WHEN event_id % 211 = 7 THEN 20D
+    WHEN event_id % 61 = 4 THEN CAST(floor(2400D + 2000D * distance) AS DOUBLE) / 100D
+    WHEN event_id % 67 = 9 THEN CAST(floor(100D + 1200D * distance) AS DOUBLE) / 100D
+    ELSE CAST(floor(300D + 250D * distance) AS DOUBLE) / 100D END"""
 
-    fare = (
-        F.when(i % 73 == 1, F.lit(1.0))
-        .when(i % 211 == 7, F.lit(20.0))
-        .when(i % 61 == 4, hundredths(F.lit(2400.0) + F.lit(2000.0) * F.col("d")))
-        .when(i % 67 == 9, hundredths(F.lit(100.0) + F.lit(1200.0) * F.col("d")))
-        .otherwise(hundredths(F.lit(300.0) + F.lit(250.0) * F.col("d")))
+PASSENGERS = "CASE WHEN event_id % 53 = 0 THEN 0D WHEN event_id % 59 = 0 THEN NULL ELSE CAST(1 + event_id % 6 AS DOUBLE) END"
+
+
+def trips_from_events(events: DataFrame) -> DataFrame:
+    """One trip per event, with the odd values a trip feed shows spread over fixed residues of the id."""
+    placed = events.selectExpr(
+        "event_id", "user_id", "date_trunc('SECOND', CAST(ts AS TIMESTAMP)) AS pickup", f"{DISTANCE} AS distance"
     )
-    passengers = F.when(i % 53 == 0, F.lit(0)).when(i % 59 == 0, F.lit(None)).otherwise(1 + i % 6).cast("double")
-    pickup = F.date_trunc("SECOND", F.col("ts").cast("timestamp"))
-    return df.select(
-        i.alias("trip_id"),
-        F.when(i % 10 < 8, F.lit("yellow")).otherwise(F.lit("green")).alias("taxi_type"),
-        (F.col("user_id") % 2 + 1).alias("VendorID"),
-        pickup.alias("pickup_datetime"),
-        F.timestamp_add("SECOND", duration, pickup).alias("dropoff_datetime"),
-        passengers.alias("passenger_count"),
-        F.col("d").alias("trip_distance"),
-        fare.alias("fare_amount"),
+    return placed.selectExpr(
+        "event_id AS trip_id",
+        "CASE WHEN event_id % 10 < 8 THEN 'yellow' ELSE 'green' END AS taxi_type",
+        "user_id % 2 + 1 AS VendorID",
+        "pickup AS pickup_datetime",
+        f"timestampadd(SECOND, {DURATION}, pickup) AS dropoff_datetime",
+        f"{PASSENGERS} AS passenger_count",
+        "distance AS trip_distance",
+        f"{FARE} AS fare_amount",
     )
 
 
 def read_event_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trips_from_events(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    return trips_from_events(spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet"))
 
 
 def fleet_file(trips: DataFrame, fleet: str) -> DataFrame:
