@@ -11,7 +11,6 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -78,15 +77,14 @@ def chi_square_quantile(p: float, freedom: int) -> float:
 
 def mahalanobis(columns: list[str], location, precision) -> Column:
     """Squared Mahalanobis distance as plain arithmetic over the columns."""
-    centred = [F.col(c) - F.lit(float(m)) for c, m in zip(columns, location)]
+    centred = [f"({c} - {float(m)!r}D)" for c, m in zip(columns, location)]
     terms = []
     for i, a in enumerate(centred):
         for j in range(i, len(columns)):
             factor = float(precision[i][j]) * (1.0 if i == j else 2.0)
             if factor:
-                terms.append(F.lit(factor) * a * centred[j])
-    total = reduce(lambda x, y: x + y, terms) if terms else F.lit(0.0)
-    return F.greatest(total, F.lit(0.0))
+                terms.append(f"{factor!r}D * {a} * {centred[j]}")
+    return F.expr(f"greatest({' + '.join(terms) or '0D'}, 0D)")
 
 
 def _distances(points: np.ndarray, mean: np.ndarray, precision: np.ndarray) -> np.ndarray:

@@ -39,7 +39,7 @@ def scale(df: DataFrame, scaler: Scaler, prefix: str = "") -> DataFrame:
     """Centred and scaled columns; in place, or beside the originals under ``prefix``."""
     return df.withColumns(
         {
-            f"{prefix}{c}": (F.col(c).cast("double") - F.lit(center)) / F.lit(span)
+            f"{prefix}{c}": F.expr(f"(CAST({c} AS DOUBLE) - {float(center)!r}D) / {float(span)!r}D")
             for c, center, span in zip(scaler.features, scaler.center, scaler.scale)
         }
     )

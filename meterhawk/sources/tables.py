@@ -84,8 +84,15 @@ def to_stored(df: DataFrame) -> DataFrame:
     return df.withColumns({**stored_trip_columns(), "inserted_at": F.current_timestamp()})
 
 
+def read_batch(spark: SparkSession, root: str, table: str, batch_id: int) -> DataFrame:
+    """One batch of a table, without listing the others."""
+    path = f"{table_path(root, table)}/batch_id={batch_id}"
+    return spark.read.schema(S.RESULT_TABLES[table]).parquet(path)
+
+
 def write_anomalies(df: DataFrame, root: str, batch_id: int, rows: int | None = None) -> None:
-    write_batch(to_stored(df), root, "anomalous_trips", batch_id, rows)
+    """Append the anomalies among stored trips."""
+    write_batch(df, root, "anomalous_trips", batch_id, rows)
 
 
 def normal_sample(df: DataFrame, order: list[str | Column], n: int = S.NORMAL_SAMPLE_ROWS) -> DataFrame:
@@ -96,14 +103,21 @@ def normal_sample(df: DataFrame, order: list[str | Column], n: int = S.NORMAL_SA
 def write_normal_sample(
     df: DataFrame, root: str, batch_id: int, order: list[str], n: int = S.NORMAL_SAMPLE_ROWS
 ) -> None:
-    write_batch(to_stored(normal_sample(df, order, n)), root, "normal_trips", batch_id, n)
+    """Append the first normal trips among stored trips."""
+    write_batch(normal_sample(df, order, n), root, "normal_trips", batch_id, n)
+
+
+def one_row(spark: SparkSession, values: dict, schema: T.StructType | str) -> DataFrame:
+    """A row of literals, planned without leaving the JVM."""
+    schema = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    columns = [F.lit(values[f.name]).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return spark.range(0, 1, 1, 1).select(*columns)
 
 
 def write_metrics(spark: SparkSession, root: str, batch_id: int, row: dict) -> None:
-    names = [f.name for f in S.BATCH_METRICS.fields if f.name != "inserted_at"]
-    schema = T.StructType([f for f in S.BATCH_METRICS.fields if f.name in names])
-    df = spark.createDataFrame([tuple(row[n] for n in names)], schema)
-    write_batch(df.withColumn("inserted_at", F.current_timestamp()), root, "pipeline_metrics", batch_id, 1)
+    schema = T.StructType([f for f in S.BATCH_METRICS.fields if f.name != "inserted_at"])
+    df = one_row(spark, row, schema).withColumn("inserted_at", F.current_timestamp())
+    write_batch(df, root, "pipeline_metrics", batch_id)
 
 
 def jdbc_options(url: str, table: str, user: str, password: str, **extra) -> dict[str, str]:

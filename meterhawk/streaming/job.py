@@ -7,9 +7,10 @@ callback works on one cached frame; only counts and score extremes reach the dri
 from __future__ import annotations
 
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
@@ -58,6 +59,13 @@ def explain_scores(scored: DataFrame, bounds: dict[str, float]) -> DataFrame:
     )
 
 
+def at_once(*actions) -> None:
+    """Run independent Spark actions side by side; the first failure is raised."""
+    with ThreadPoolExecutor(len(actions)) as pool:
+        for done in [pool.submit(inheritable_thread_target(action)) for action in actions]:
+            done.result()
+
+
 @dataclass
 class ScoringJob:
     """``foreachBatch`` callback. ``warm_root`` names another run whose newest model starts this one."""
@@ -71,6 +79,7 @@ class ScoringJob:
     min_training_rows: int = S.MIN_TRAINING_ROWS
     warm_root: str | None = None
     _held: tuple[int, Model] | None = field(default=None, repr=False)
+    _left: tuple[int, ST.State] | None = field(default=None, repr=False)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
@@ -86,18 +95,24 @@ class ScoringJob:
         if not batch_guard(records, clean_rows):
             return
         clean = batch.filter("is_clean")
-        ST.append_buffer(clean, self.root, batch_id, clean_rows, self.buffer_rows)
-
-        state = ST.read_state(spark, self.root, batch_id)
+        state = ST.read_state(spark, self.root, batch_id, self._left)
         held = self._current_model(spark, state, batch_id)
+
+        def buffer() -> None:
+            ST.append_buffer(clean, self.root, batch_id, clean_rows, self.buffer_rows)
+
+        beside = []
         retrained = False
         if ST.should_retrain(state, held is not None, self.retrain_every):
+            buffer()
             fresh = self._retrain(spark, batch_id, held[1] if held else None)
             retrained = fresh is not None
             held = fresh or held
+        else:
+            beside.append(buffer)
         after = ST.State(state.processed_batches + 1, held[0] if held else None)
         if held is None:
-            ST.write_state(spark, self.root, batch_id, after)
+            self._leave(spark, batch_id, after)
             return
 
         self._held = held
@@ -111,17 +126,28 @@ class ScoringJob:
                     for n, f in (("min", F.min), ("max", F.max))
                 ],
             ).first()
-            explained = explain_scores(scored, bounds.asDict())
-            anomalies, normals = split(explained)
             found = bounds["anomalies"]
-            tables.write_batch(tables.to_stored(explained), self.root, "scored_trips", batch_id, clean_rows)
-            tables.write_anomalies(anomalies, self.root, batch_id, found)
-            tables.write_normal_sample(normals, self.root, batch_id, ["arrival_pos", "arrival_source"])
+            explained = tables.to_stored(explain_scores(scored, bounds.asDict()))
+            at_once(
+                lambda: tables.write_batch(explained, self.root, "scored_trips", batch_id, clean_rows), *beside
+            )
         finally:
             scored.unpersist()
+        anomalies, normals = split(tables.read_batch(spark, self.root, "scored_trips", batch_id))
+        order = ["arrival_pos", "arrival_source"]
+        at_once(
+            lambda: tables.write_anomalies(anomalies, self.root, batch_id, found),
+            lambda: tables.write_normal_sample(normals, self.root, batch_id, order),
+        )
         metrics = batch_metrics(records, clean_rows, found, time.time() - started, retrained)
-        tables.write_metrics(spark, self.root, batch_id, metrics)
-        ST.write_state(spark, self.root, batch_id, after)
+        at_once(
+            lambda: tables.write_metrics(spark, self.root, batch_id, metrics),
+            lambda: self._leave(spark, batch_id, after),
+        )
+
+    def _leave(self, spark: SparkSession, batch_id: int, state: ST.State) -> None:
+        ST.write_state(spark, self.root, batch_id, state)
+        self._left = (batch_id, state)
 
     def _current_model(self, spark: SparkSession, state: ST.State, batch_id: int) -> tuple[int, Model] | None:
         version = state.model_version

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from meterhawk import schema as S
 from meterhawk.sources.files import delete, partition_numbers
+from meterhawk.sources.tables import one_row
 
 ARRIVAL = ["arrival_source", "arrival_pos"]
 STATE_SCHEMA = "processed_batches long, model_version long"
@@ -26,18 +27,22 @@ class State(NamedTuple):
     model_version: int | None = None
 
 
-def read_state(spark: SparkSession, root: str, before: int) -> State:
-    """State left by the last batch ahead of ``before``."""
+def read_state(
+    spark: SparkSession, root: str, before: int, known: tuple[int, State] | None = None
+) -> State:
+    """State left by the last batch ahead of ``before``; ``known`` spares reading it back."""
     earlier = [n for n in partition_numbers(spark, f"{root}/state", "batch_id") if n < before]
     if not earlier:
         return State()
+    if known and known[0] == earlier[-1]:
+        return known[1]
     row = spark.read.schema(STATE_SCHEMA).parquet(f"{root}/state/batch_id={earlier[-1]}").first()
     return State(row["processed_batches"], row["model_version"])
 
 
 def write_state(spark: SparkSession, root: str, batch_id: int, state: State) -> None:
-    df = spark.createDataFrame([tuple(state)], STATE_SCHEMA)
-    df.coalesce(1).write.mode("overwrite").parquet(f"{root}/state/batch_id={batch_id}")
+    df = one_row(spark, state._asdict(), STATE_SCHEMA)
+    df.write.mode("overwrite").parquet(f"{root}/state/batch_id={batch_id}")
     for old in partition_numbers(spark, f"{root}/state", "batch_id")[:-STATES_KEPT]:
         delete(spark, f"{root}/state/batch_id={old}")
 
