@@ -22,7 +22,7 @@ def histogram(df: DataFrame, column: str, bins: int = 10, by: list[str] | None =
     low = F.col("_span._x_min")
     width = (F.col("_span._x_max") - low) / F.lit(float(bins))
     place = F.floor(F.try_divide(F.col("_x") - low, width))
-    slot = F.coalesce(F.least(place, F.lit(bins - 1)), F.lit(0)).cast("int")
+    slot = F.when(width > 0, F.least(place, F.lit(bins - 1))).otherwise(F.lit(0)).cast("int")
     binned = spanned.select(*(by or []), slot.alias("bin"), low.alias("_low"), width.alias("_width"))
     edges = {"low": F.col("_low") + F.col("_width") * F.col("bin"), "high": F.col("_low") + F.col("_width") * (F.col("bin") + 1)}
     return binned.withColumns(edges).groupBy(*(by or []), "bin", "low", "high").agg(F.count("*").alias("rows"))

@@ -59,10 +59,11 @@ def explain_scores(scored: DataFrame, bounds: dict[str, float]) -> DataFrame:
     )
 
 
-def at_once(*actions) -> None:
+def at_once(spark: SparkSession, *actions) -> None:
     """Run independent Spark actions side by side; the first failure is raised."""
+    inherit = inheritable_thread_target(spark)
     with ThreadPoolExecutor(len(actions)) as pool:
-        for done in [pool.submit(inheritable_thread_target(action)) for action in actions]:
+        for done in [pool.submit(inherit(action)) for action in actions]:
             done.result()
 
 
@@ -129,18 +130,22 @@ class ScoringJob:
             found = bounds["anomalies"]
             explained = tables.to_stored(explain_scores(scored, bounds.asDict()))
             at_once(
-                lambda: tables.write_batch(explained, self.root, "scored_trips", batch_id, clean_rows), *beside
+                spark,
+                lambda: tables.write_batch(explained, self.root, "scored_trips", batch_id, clean_rows),
+                *beside,
             )
         finally:
             scored.unpersist()
         anomalies, normals = split(tables.read_batch(spark, self.root, "scored_trips", batch_id))
         order = ["arrival_pos", "arrival_source"]
         at_once(
+            spark,
             lambda: tables.write_anomalies(anomalies, self.root, batch_id, found),
             lambda: tables.write_normal_sample(normals, self.root, batch_id, order),
         )
         metrics = batch_metrics(records, clean_rows, found, time.time() - started, retrained)
         at_once(
+            spark,
             lambda: tables.write_metrics(spark, self.root, batch_id, metrics),
             lambda: self._leave(spark, batch_id, after),
         )
