@@ -351,8 +351,8 @@ def prediction_tags(spark, d):
 
 @query(O.SCORED + "SELECT trip_id, reason, reason_code FROM anomalies")
 def reason_texts(spark, d):
-    _, anomalies = P.results(spark, d)
-    return anomalies.select("trip_id", "reason", "reason_code")
+    df = P.scored(spark, d).drop("reason", "reason_code").filter("is_anomaly = 1")
+    return df.select("trip_id", rules.reason().alias("reason"), rules.reason_code().alias("reason_code"))
 
 
 @query(O.SCORED + "SELECT CASE WHEN anomaly_score > 15e-2 THEN '[HIGH]' ELSE '[MEDIUM]' END AS severity, count(*) AS trips FROM scored GROUP BY 1")

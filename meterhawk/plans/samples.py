@@ -1,25 +1,49 @@
-"""Result-like frames derived from the ``events`` table, for the registered queries.
+"""Trip and result tables derived from the ``events`` table, for the registered queries.
 
-Scores and flags here are plain arithmetic on the trip, so a report over them has an exact answer
-whatever model is trained.
+Each derived table is written once per session to the shared folder and read from there, as a trip
+feed or a result table would be. Scores and flags are plain arithmetic on the trip, so a report over
+them has an exact answer whatever model is trained.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterhawk.functions import rules
 from meterhawk.operators.features import flagged_stream_features, split, stream_features
 from meterhawk.plans.labeling import _features
+from meterhawk.session import stage
 from meterhawk.sources.events import fleet_file, read_event_trips
+from meterhawk.sources.files import exists
 from meterhawk.sources.trips import merge_fleets, project_labels
 
 ROWS_PER_BATCH = 250
+SMALL_INPUT_ROWS = 5_000_000
+
+_staged: dict[tuple[str, str, str], tuple] = {}
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _staged or not exists(spark, _staged[key][1]):
+        df, path = stage(build(), name)
+        _staged[key] = (df.schema, path)
+    schema, path = _staged[key]
+    return spark.read.schema(schema).parquet(path)
+
+
+def _derive_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A small input often is one file; spread it so that all cores work on it."""
+    df = read_event_trips(spark, sf_dir)
+    small = df.count() <= SMALL_INPUT_ROWS
+    return df.repartition(spark.sparkContext.defaultParallelism, "trip_id") if small else df
 
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_event_trips(spark, sf_dir)
+    return _table(spark, sf_dir, "trips", lambda: _derive_trips(spark, sf_dir))
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,17 +71,30 @@ def _scores(df: DataFrame) -> DataFrame:
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _scores(features(spark, sf_dir))
+    """Every valid trip with its features, scores, flags and (for anomalies) reason."""
+
+    def build() -> DataFrame:
+        df = _scores(features(spark, sf_dir))
+        odd = F.col("is_anomaly") == 1
+        return df.withColumns(
+            {"reason": F.when(odd, rules.reason()), "reason_code": F.when(odd, rules.reason_code())}
+        )
+
+    return _table(spark, sf_dir, "scored_trips", build)
 
 
 def results(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(normal trips, anomalous trips with reasons)."""
     anomalies, normals = split(scored(spark, sf_dir))
-    return normals, anomalies.withColumns({"reason": rules.reason(), "reason_code": rules.reason_code()})
+    return normals.drop("reason", "reason_code"), anomalies
 
 
 def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per batch of consecutive trips, with arithmetic stand-ins for the timings."""
+    return _table(spark, sf_dir, "batch_metrics", lambda: _derive_metrics(spark, sf_dir))
+
+
+def _derive_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     flagged = _scores(flagged_stream_features(trips(spark, sf_dir)))
     clean = F.count_if(F.col("is_clean"))
     found = F.count_if(F.col("is_clean") & (F.col("is_anomaly") == 1))
@@ -90,4 +127,7 @@ def labelled_file(spark: SparkSession, sf_dir: str, fleet: str) -> DataFrame:
 
 
 def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return merge_fleets(*[project_labels(labelled_file(spark, sf_dir, f), f) for f in ("yellow", "green")])
+    def build() -> DataFrame:
+        return merge_fleets(*[project_labels(labelled_file(spark, sf_dir, f), f) for f in ("yellow", "green")])
+
+    return _table(spark, sf_dir, "labels", build)
