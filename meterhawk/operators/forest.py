@@ -150,6 +150,8 @@ def fit_forest(
     counts = {r["_weight"]: float(r["n"]) for r in classes}
     rows = sum(counts.values())
     sample = int(min(sample, rows))
+    if trees * 2 * sample * NODE_BYTES > MAX_FOREST_BYTES:
+        raise ValueError(f"{trees} trees of {sample} rows may exceed {MAX_FOREST_BYTES} bytes")
     margin = sample + 8 * math.sqrt(sample) + 16
 
     # Beyond a few times the rows that all trees can use, thin the input once for all trees.
@@ -222,22 +224,21 @@ class Forest:
         return self._sent[application]
 
 
-def load_forest(nodes: DataFrame, columns: list[str], cut: float | None = None) -> Forest:
-    """Bring a forest to the driver after checking its size, which no input size can exceed."""
-    size = nodes.agg(F.sum("nodes")).first()[0] or 0
-    if size * NODE_BYTES > MAX_FOREST_BYTES:
-        raise ValueError(f"forest of {size} nodes exceeds {MAX_FOREST_BYTES} bytes; lower trees or sample")
-    trees = [
-        (
-            r["sample_rows"],
-            r["depth"],
-            np.frombuffer(r["feature"], dtype=np.int8),
-            np.frombuffer(r["value"], dtype=np.float32),
-            np.frombuffer(r["child"], dtype=np.int32),
-        )
-        for r in nodes.orderBy("tree").toLocalIterator()
-    ]
-    return Forest(list(columns), trees, cut)
+def load_forest(nodes: DataFrame, columns: list[str], cut: float | None = None, staged: bool = False) -> Forest:
+    """Bring a forest to the driver, within ``MAX_FOREST_BYTES``.
+
+    ``staged`` forests are read partition by partition, which keeps large ones clear of the driver's
+    result limit; frames still to be computed are better collected, as that grows all trees at once.
+    """
+    trees, size = [], 0
+    for r in nodes.toLocalIterator() if staged else nodes.collect():
+        size += r["nodes"] * NODE_BYTES
+        if size > MAX_FOREST_BYTES:
+            raise ValueError(f"forest exceeds {MAX_FOREST_BYTES} bytes; lower trees or sample")
+        arrays = (np.frombuffer(r[c], dtype=t) for c, t in (("feature", "i1"), ("value", "f4"), ("child", "i4")))
+        trees.append((r["tree"], r["sample_rows"], r["depth"], *arrays))
+    trees.sort(key=lambda t: t[0])
+    return Forest(list(columns), [t[1:] for t in trees], cut)
 
 
 def _walk(points: np.ndarray, trees: list[tuple]) -> np.ndarray:

@@ -23,6 +23,7 @@ INNER_ROWS = 65_536
 SKETCH_K = 4_096
 SKETCH_GRID = 1_024
 SKETCH_SALTS = 256
+COLUMNS_PER_PASS = 5
 
 
 @dataclass
@@ -73,31 +74,33 @@ def _propose(df: DataFrame, targets: list[_Target]) -> None:
 
 def _count(df: DataFrame, targets: list[_Target]) -> None:
     """Narrow each target's interval by counting the rows between its edges."""
-    sums, layout = [], []
-    for t in targets:
-        x = F.col(t.column)
-        cuts = [t.low, *t.edges, t.high]
+    spans = sorted({(t.column, t.low, t.high, t.edges) for t in targets})
+    layout = {}
+    tests = []
+    for span in spans:
+        column, low, high, edges = span
+        cuts = [low, *edges, high]
         parts = []
         for lo, hi in zip(cuts, cuts[1:]):
-            parts.append((_between(x, lo, hi), lo, hi, None))
-            if hi != t.high:
-                parts.append((x == F.lit(hi), None, None, hi))
-        layout.append(parts)
-        sums += [F.count_if(test) for test, *_ in parts]
-    counts = iter(df.agg(*[s.alias(f"n{i}") for i, s in enumerate(sums)]).first())
-    for t, parts in zip(targets, layout):
+            parts.append((lo, hi, None))
+            tests.append(_between(F.col(column), lo, hi))
+            if hi != high:
+                parts.append((None, None, hi))
+                tests.append(F.col(column) == F.lit(hi))
+        layout[span] = parts
+    row = iter(df.agg(*[F.count_if(test).alias(f"n{i}") for i, test in enumerate(tests)]).first())
+    sizes = {span: [next(row) for _ in parts] for span, parts in layout.items()}
+    for t in targets:
+        span = (t.column, t.low, t.high, t.edges)
         below = t.below
-        found = None
-        for _, lo, hi, exact in parts:
-            n = next(counts)
-            if found is None and t.rank < below + n:
-                found = (lo, hi, exact, below, n)
+        for (lo, hi, exact), n in zip(layout[span], sizes[span]):
+            if t.rank < below + n:
+                if exact is not None:
+                    t.value = exact
+                else:
+                    t.low, t.high, t.below, t.inside = lo, hi, below, n
+                break
             below += n
-        lo, hi, exact, before, n = found
-        if exact is not None:
-            t.value = exact
-        else:
-            t.low, t.high, t.below, t.inside = lo, hi, before, n
 
 
 def _finish(df: DataFrame, targets: list[_Target]) -> None:
@@ -154,7 +157,10 @@ def exact_quantiles(
         if n
     }
     ranks = {c: [r for lo, hi, _ in spots for r in (lo, hi)] for c, spots in places.items()}
-    at = order_statistics(df, ranks, counts, inner_rows)
+    at = {}
+    for first in range(0, len(columns), COLUMNS_PER_PASS):
+        group = [c for c in columns[first : first + COLUMNS_PER_PASS] if c in ranks]
+        at.update(order_statistics(df.select(*group), {c: ranks[c] for c in group}, counts, inner_rows) if group else {})
     result: dict[str, list[float | None]] = {c: [None] * len(probs) for c in columns}
     for c, spots in places.items():
         result[c] = [

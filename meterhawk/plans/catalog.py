@@ -263,14 +263,14 @@ def pickup_hours(spark, d):
     return P.trips(spark, d).select("trip_id", X.pickup_hour("pickup_datetime").alias("pickup_hour"))
 
 
-@query(O.FEATS + f"SELECT trip_id, {O.rounded('avg_speed_kmh', digits=9)} FROM feats")
+@query(O.FEATS + "SELECT trip_id, avg_speed_kmh FROM feats")
 def average_speed(spark, d):
-    return rounded(P.features(spark, d).select("trip_id", "avg_speed_kmh"), "avg_speed_kmh", digits=9)
+    return P.features(spark, d).select("trip_id", "avg_speed_kmh")
 
 
-@query(O.FEATS + f"SELECT trip_id, {O.rounded('fare_per_mile', digits=9)} FROM feats")
+@query(O.FEATS + "SELECT trip_id, fare_per_mile FROM feats")
 def fare_rate(spark, d):
-    return rounded(P.features(spark, d).select("trip_id", "fare_per_mile"), "fare_per_mile", digits=9)
+    return P.features(spark, d).select("trip_id", "fare_per_mile")
 
 
 def _batch_features(spark, d):
@@ -783,7 +783,7 @@ def scaler_parameters(spark, d):
     + f", params AS ({' UNION ALL '.join(_scaler_sql(c).replace('round(', '(').replace(', 6)', ')') for c in SCALER_COLUMNS)})"
     + "SELECT trip_id, "
     + ", ".join(
-        f"round(({c} - (SELECT center FROM params WHERE feature = '{c}')) / (SELECT scale FROM params WHERE feature = '{c}'), 6) AS {c}"
+        f"round(({c} - (SELECT center FROM params WHERE feature = '{c}')) / (SELECT scale FROM params WHERE feature = '{c}'), 6) + 0e0 AS {c}"
         for c in SCALER_COLUMNS
     )
     + " FROM feats"

@@ -91,7 +91,7 @@ def rate_series(metrics: DataFrame) -> DataFrame:
 def reason_shares(anomalies: DataFrame, by: str = "reason_code") -> DataFrame:
     """Anomalies per reason with their share of all anomalies, most frequent first."""
     counted = anomalies.groupBy(by).agg(F.count("*").alias("cnt"))
-    total = anomalies.agg(F.count("*").alias("total")).scalar()
+    total = counted.agg(F.sum("cnt").alias("total")).scalar()
     return counted.withColumn("share", F.col("cnt") / total).orderBy(F.desc("cnt"), by)
 
 

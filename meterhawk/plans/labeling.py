@@ -9,7 +9,14 @@ from meterhawk import schema as S
 from meterhawk.functions import trips as X
 from meterhawk.functions.rules import label_vote
 from meterhawk.operators.features import batch_features
-from meterhawk.operators.forest import decision_cut, fit_forest, forest_score, load_forest, with_cut
+from meterhawk.operators.forest import (
+    SMALL_INPUT_ROWS,
+    decision_cut,
+    fit_forest,
+    forest_score,
+    load_forest,
+    with_cut,
+)
 from meterhawk.operators.normalise import unit_range
 from meterhawk.operators.scaler import fit_scaler, impute_median, scale
 from meterhawk.session import stage
@@ -64,7 +71,9 @@ def label_frame(
     rows = df.count()
     inputs, names = model_inputs(features, rows)
     nodes, nodes_path = stage(fit_forest(inputs, names, key, trees, sample, seed=seed), "forest")
-    forest = load_forest(nodes, names)
+    forest = load_forest(nodes, names, staged=True)
+    if rows <= SMALL_INPUT_ROWS:
+        inputs = inputs.repartition(spark.sparkContext.defaultParallelism, *key)
     scored = inputs.select(*columns, *added, forest_score(spark, forest).alias("_score"))
     scored, scored_path = stage(scored, "scored")
     forest = with_cut(forest, decision_cut(scored, "_score", contamination, rows=rows))

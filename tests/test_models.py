@@ -88,9 +88,12 @@ def test_too_many_weights_are_refused(spark):
 
 
 def test_oversized_forest_is_refused(spark, monkeypatch, planted):
+    nodes = FO.fit_forest(planted, COLUMNS, ["id"], 4, 32)
     monkeypatch.setattr(FO, "MAX_FOREST_BYTES", 100)
     with pytest.raises(ValueError):
-        FO.load_forest(FO.fit_forest(planted, COLUMNS, ["id"], 4, 32), COLUMNS)
+        FO.fit_forest(planted, COLUMNS, ["id"], 4, 32)
+    with pytest.raises(ValueError):
+        FO.load_forest(nodes, COLUMNS)
 
 
 def test_walk_agrees_with_a_plain_descent(spark, planted):
