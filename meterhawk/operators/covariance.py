@@ -2,7 +2,8 @@
 
 Each concentration step is two distributed passes: an exact quantile of the distances picks the
 closest rows, and their counts, sums and cross-products give the next centre and covariance. Only
-those moments reach the driver. Several starts advance in the same jobs. Features may be collinear,
+those moments reach the driver. As in the paper, good starts come from a sample of fixed size and a few of
+them meet the full data. Several starts advance in the same jobs. Features may be collinear,
 so inverses and determinants use the eigenvalues above a relative tolerance.
 """
 
@@ -19,11 +20,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterhawk import schema as S
-from meterhawk.operators.forest import uniforms
 from meterhawk.operators.quantiles import exact_quantiles
 
 RANK_TOLERANCE = 1e-10
-STARTS = 4
+STARTS = 3
+SAMPLE_ROWS = 1_500
+SAMPLE_STARTS = 100
+SAMPLE_KEPT = 10
+SAMPLE_SEED = 42
 MAX_STEPS = 30
 REWEIGHT_QUANTILE = 0.975
 
@@ -172,6 +176,43 @@ def fit_covariance(
         df.unpersist()
 
 
+def _settle(points: np.ndarray, mean: np.ndarray, cov: np.ndarray, support: float, steps: int):
+    """Concentration steps on a small sample."""
+    volume = log_volume(cov)
+    for _ in range(steps):
+        distance = _distances(points, mean, pseudo_inverse(cov))
+        chosen = points[distance <= np.quantile(distance, support)]
+        mean, cov = chosen.mean(axis=0), np.cov(chosen.T, bias=True)
+        previous, volume = volume, log_volume(cov)
+        if volume == previous:
+            break
+    return mean, cov
+
+
+def _starts(df: DataFrame, columns: list[str], keyed: bool, support: float) -> dict[int, tuple]:
+    """Starts for the full data: the coordinate-wise centre, and the best fits to a fixed-size sample.
+
+    Scaled data is centred on 0 with unit spread, which is itself a robust start. The sample is the
+    rows with the smallest hashed keys, so it is the same on every run.
+    """
+    width = len(columns)
+    first = (np.zeros(width), np.eye(width))
+    if not keyed:
+        return {0: first}
+    rows = df.orderBy("_draw", *columns).limit(SAMPLE_ROWS).select(*columns).collect()
+    points = np.array(rows, dtype=np.float64)
+    rng = np.random.default_rng(SAMPLE_SEED)
+    tries = [_settle(points, *first, support, 2)]
+    for _ in range(SAMPLE_STARTS):
+        chosen = points[rng.choice(len(points), width + 1, replace=False)]
+        tries.append(_settle(points, chosen.mean(axis=0), np.cov(chosen.T, bias=True), support, 2))
+    tries.sort(key=lambda t: log_volume(t[1]))
+    settled = [_settle(points, *t, support, MAX_STEPS) for t in tries[:SAMPLE_KEPT]]
+    distinct = {log_volume(cov): (mean, cov) for mean, cov in settled}
+    best = [distinct[v] for v in sorted(distinct)]
+    return dict(enumerate([first, *best[: STARTS - 1]]))
+
+
 def _fit(df: DataFrame, columns: list[str], keyed: bool, support: float, quantile: float, limits: dict) -> Covariance:
     width = len(columns)
     rows = df.count()
@@ -179,19 +220,8 @@ def _fit(df: DataFrame, columns: list[str], keyed: bool, support: float, quantil
         raise ValueError(f"{rows} rows are too few for {width} features")
     limits = {"rows": rows, **limits}
 
-    # Scaled data is centred on 0 with unit spread, which is itself a robust start.
-    states = {0: (np.zeros(width), np.eye(width))}
-    if keyed:
-        share = min(1.0, 5.0 * (width + 1) / rows)
-
-
-        def seeds(pdf: pd.DataFrame, points: np.ndarray) -> dict[int, np.ndarray]:
-            keys = pdf["_draw"].to_numpy().view(np.uint64)
-            return {s: uniforms(keys, s) < share for s in range(1, STARTS)}
-
-        states.update({s: (m, c) for s, (_, m, c) in _moments(df, columns, seeds).items()})
-    for _ in range(2):
-        states = _advance(df, columns, states, support, limits)
+    states = _starts(df, columns, keyed, support)
+    states = _advance(df, columns, states, support, limits)
     best = min(states, key=lambda s: log_volume(states[s][1]))
     mean, cov = states[best]
     volume = log_volume(cov)

@@ -70,6 +70,13 @@ def _draw_bound(counts: dict[float, float], wanted: float) -> float:
     return high
 
 
+def _weight_counts(base: DataFrame) -> dict[float, float]:
+    classes = base.groupBy("_weight").agg(F.count("*").alias("n")).limit(MAX_WEIGHTS + 1).collect()
+    if len(classes) > MAX_WEIGHTS:
+        raise ValueError(f"weight takes more than {MAX_WEIGHTS} distinct values")
+    return {r["_weight"]: float(r["n"]) for r in classes}
+
+
 def _grow(points: np.ndarray, limit: int, rng: np.random.Generator):
     """Grow one tree level by level; all nodes of a level are split at once."""
     rows, width = points.shape
@@ -132,22 +139,22 @@ def fit_forest(
     sample: int = S.STREAM_SAMPLE,
     weight: Column | None = None,
     seed: int = S.SEED,
+    rows: int | None = None,
 ) -> DataFrame:
     """Train a forest; ``key`` identifies a row uniquely and repeatably. Returns ``FOREST_SCHEMA``.
 
-    ``weight`` is the propensity of a row to be drawn. It must take few distinct values.
+    ``weight`` is the propensity of a row to be drawn. It must take few distinct values. Without
+    weights a known row count (``rows``) saves a pass over the input.
     """
     spark = df.sparkSession
+    known = {1.0: float(rows)} if weight is None and rows is not None else None
     weight = F.lit(1.0) if weight is None else weight
     base = df.select(
         *[F.col(c).cast("float").alias(c) for c in columns],
         weight.cast("double").alias("_weight"),
         F.xxhash64(*key, F.lit(seed)).alias("_key"),
     )
-    classes = base.groupBy("_weight").agg(F.count("*").alias("n")).limit(MAX_WEIGHTS + 1).collect()
-    if len(classes) > MAX_WEIGHTS:
-        raise ValueError(f"weight takes more than {MAX_WEIGHTS} distinct values")
-    counts = {r["_weight"]: float(r["n"]) for r in classes}
+    counts = known or _weight_counts(base)
     rows = sum(counts.values())
     sample = int(min(sample, rows))
     if trees * 2 * sample * NODE_BYTES > MAX_FOREST_BYTES:

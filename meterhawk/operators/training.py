@@ -35,19 +35,21 @@ def train_ensemble(
     trees: int = S.STREAM_TREES,
     sample: int = S.STREAM_SAMPLE,
     seed: int = S.SEED,
+    rows: int | None = None,
 ) -> tuple[DataFrame, Model]:
     """Fit scaler, forest (rule breakers drawn more often) and covariance on feature rows.
 
-    Returns the forest table to store and the model to score with.
+    Returns the forest table to store and the model to score with. A known row count saves passes.
     """
     spark = df.sparkSession
-    scaler = fit_scaler(df, S.MODEL_FEATURES)
+    rows = df.count() if rows is None else rows
+    scaler = fit_scaler(df, S.MODEL_FEATURES, rows=rows)
     weighted = df.select("*", training_weight().alias("_w"))
     scaled = scale(weighted, scaler).select(*S.MODEL_FEATURES, "_w", *key)
     nodes = fit_forest(scaled, S.MODEL_FEATURES, key, trees, sample, F.col("_w"), seed)
     nodes, _ = stage(nodes, "forest")
     forest = load_forest(nodes, S.MODEL_FEATURES)
-    cut = decision_cut(scaled.select(forest_score(spark, forest).alias("s")), "s", contamination)
+    cut = decision_cut(scaled.select(forest_score(spark, forest).alias("s")), "s", contamination, rows=rows)
     try:
         covariance = fit_covariance(scaled, S.COVARIANCE_FEATURES, key, seed=seed)
     except ValueError:

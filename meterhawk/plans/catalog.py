@@ -173,13 +173,12 @@ def stored_anomalies(spark, d):
 @query(
     O.SCORED
     + """SELECT batch_id, trip_id FROM normals
-    QUALIFY row_number() OVER (PARTITION BY batch_id ORDER BY trip_id) <= 50 AND batch_id = (SELECT max(batch_id) FROM normals)"""
+    QUALIFY row_number() OVER (PARTITION BY batch_id ORDER BY trip_id) <= 50"""
 )
-def normal_sample_of_last_batch(spark, d):
-    """The first 50 normal trips of the newest batch, as the sink caps them."""
+def normal_samples(spark, d):
+    """The first 50 normal trips of every batch, as the sink caps them."""
     normals, _ = P.results(spark, d)
-    last = normals.agg(F.max("batch_id").alias("last")).scalar()
-    return TA.normal_sample(normals.filter(F.col("batch_id") == last), ["trip_id"]).select("batch_id", "trip_id")
+    return TA.normal_sample(normals, ["trip_id"], by="batch_id").select("batch_id", "trip_id")
 
 
 @query(

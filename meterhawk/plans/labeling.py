@@ -35,18 +35,23 @@ def _features(df: DataFrame, fleet: str) -> DataFrame:
     return batch_features(df.withColumns(parsed))
 
 
-def model_inputs(df: DataFrame, rows: int) -> tuple[DataFrame, list[str]]:
-    """Imputed and robustly scaled copies of the features; the originals stay for the rules."""
+def model_inputs(df: DataFrame) -> tuple[DataFrame, list[str], int]:
+    """Imputed and robustly scaled copies of the features beside the originals, their names, the row count.
+
+    One pass counts rows and gaps, so that medians are only sought for columns that need them.
+    """
     gaps = df.agg(
-        *[F.count_if(F.col(c).isNull() | F.isnan(F.col(c).cast("double"))).alias(c) for c in S.MODEL_FEATURES]
+        F.count("*").alias("rows"),
+        *[F.count_if(F.col(c).isNull() | F.isnan(F.col(c).cast("double"))).alias(c) for c in S.MODEL_FEATURES],
     ).first()
+    rows = gaps["rows"]
     holed = [c for c in S.MODEL_FEATURES if gaps[c]]
     whole = [c for c in S.MODEL_FEATURES if not gaps[c]]
     if holed:
         df = impute_median(df, holed, MODEL_PREFIX, rows=rows)
     df = df.withColumns({f"{MODEL_PREFIX}{c}": F.col(c).cast("double") for c in whole})
     names = [f"{MODEL_PREFIX}{c}" for c in S.MODEL_FEATURES]
-    return scale(df, fit_scaler(df, names, rows=rows)), names
+    return scale(df, fit_scaler(df, names, rows=rows)), names, rows
 
 
 def label_frame(
@@ -68,9 +73,8 @@ def label_frame(
     columns = df.columns
     features = _features(df, fleet)
     added = [c for c in features.columns if c not in columns and c not in ("pickup_datetime", "dropoff_datetime")]
-    rows = df.count()
-    inputs, names = model_inputs(features, rows)
-    nodes, nodes_path = stage(fit_forest(inputs, names, key, trees, sample, seed=seed), "forest")
+    inputs, names, rows = model_inputs(features)
+    nodes, nodes_path = stage(fit_forest(inputs, names, key, trees, sample, seed=seed, rows=rows), "forest")
     forest = load_forest(nodes, names, staged=True)
     if rows <= SMALL_INPUT_ROWS:
         inputs = inputs.repartition(spark.sparkContext.defaultParallelism, *key)

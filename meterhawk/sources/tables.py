@@ -5,7 +5,7 @@ A batch owns its partition and overwrites it, so a retried batch leaves the tabl
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -95,9 +95,14 @@ def write_anomalies(df: DataFrame, root: str, batch_id: int, rows: int | None =
     write_batch(df, root, "anomalous_trips", batch_id, rows)
 
 
-def normal_sample(df: DataFrame, order: list[str | Column], n: int = S.NORMAL_SAMPLE_ROWS) -> DataFrame:
-    """The first ``n`` rows in arrival order."""
-    return df.orderBy(*order).limit(n)
+def normal_sample(
+    df: DataFrame, order: list[str | Column], n: int = S.NORMAL_SAMPLE_ROWS, by: str | None = None
+) -> DataFrame:
+    """The first ``n`` rows in arrival order, of the frame or of each group of ``by``."""
+    if by is None:
+        return df.orderBy(*order).limit(n)
+    place = F.row_number().over(Window.partitionBy(by).orderBy(*order))
+    return df.withColumn("_place", place).filter(F.col("_place") <= n).drop("_place")
 
 
 def write_normal_sample(

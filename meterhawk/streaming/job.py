@@ -177,7 +177,9 @@ class ScoringJob:
                 return None
             contamination = retrain_contamination(rows, previous)
             key = ["batch_id", *ST.ARRIVAL]
-            nodes, model = train_ensemble(rows, key, contamination, self.trees, self.sample)
+            nodes, model = train_ensemble(
+                rows, key, contamination, self.trees, self.sample, rows=span["n"]
+            )
             save_model(spark, self.root, batch_id, nodes, model)
         finally:
             rows.unpersist()
