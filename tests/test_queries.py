@@ -18,6 +18,12 @@ def test_query(spark, con, sf_dir, name):
     assert rows > 0
 
 
+@pytest.mark.parametrize("name", list(entry.oracle_sql()))
+def test_no_cross_join(spark, sf_dir, name):
+    plan = entry.queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+
+
 def test_entry(spark):
     assert entry.entry(spark).columns == ["taxi_type", "reason_code", "trips"]
 
