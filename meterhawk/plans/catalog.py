@@ -506,6 +506,17 @@ def fleet_kpis(spark, d):
     return DA.kpi_format(DA.fleet_summary(*P.results(spark, d)))
 
 
+@query(
+    O.METRICS
+    + """, recent AS (SELECT * FROM metrics ORDER BY inserted_at DESC, batch_id DESC LIMIT 50)
+    SELECT format('{:,}', CAST(round_even(max_by(throughput_eps, batch_id), 0) AS BIGINT)) AS throughput,
+    format('{:,}', CAST(round_even(max_by(processing_time_ms, batch_id), 0) AS BIGINT)) || ' ms' AS latency,
+    format('{:,}', CAST(sum(records_processed) AS BIGINT)) AS records, format('${:.4f}', sum(estimated_cost_usd)) AS cost FROM recent"""
+)
+def system_kpis(spark, d):
+    return DA.system_kpis(P.metrics(spark, d))
+
+
 def _matched(spark, d):
     pred = P.scored(spark, d).withColumn("y_pred", F.col("is_anomaly"))
     pred = pred.select("trip_id", "taxi_type", "pickup_datetime", "trip_distance", "fare_amount", "anomaly_score", "y_pred")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterhawk import schema as S
+from meterhawk.functions.trips import fixed
 from meterhawk.operators.matching import fleet_lookup
 
 FEEDS = {
@@ -62,6 +63,23 @@ def kpi_format(summary: DataFrame) -> DataFrame:
     )
 
 
+def system_kpis(metrics: DataFrame, n: int = S.RECENT_BATCHES) -> DataFrame:
+    """The newest throughput and latency and the recent totals, as shown."""
+    newest = F.struct("inserted_at", "batch_id")
+    row = recent_metrics(metrics, n).agg(
+        F.max_by("throughput_eps", newest).alias("throughput"),
+        F.max_by("processing_time_ms", newest).alias("latency"),
+        F.sum("records_processed").alias("records"),
+        F.sum("estimated_cost_usd").alias("cost"),
+    )
+    return row.select(
+        F.format_number("throughput", 0).alias("throughput"),
+        F.concat(F.format_number("latency", 0), F.lit(" ms")).alias("latency"),
+        F.format_number("records", 0).alias("records"),
+        F.concat(F.lit("$"), fixed("cost", 4)).alias("cost"),
+    )
+
+
 def latest(df: DataFrame, order: list[str | Column], n: int = S.LATEST_TRIPS) -> DataFrame:
     """The newest rows; ``order`` is the arrival order, oldest first, without ties."""
     return df.orderBy(*[F.desc(c) if isinstance(c, str) else c for c in order]).limit(n)
