@@ -21,7 +21,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterhawk import schema as S
-from meterhawk.operators.quantiles import threshold
+from meterhawk.operators.quantiles import EXACT_ROWS, threshold
+from meterhawk.session import stage
+from meterhawk.sources.files import delete
 
 FOREST_SCHEMA = (
     "tree int, sample_rows int, depth int, nodes int, feature binary, value binary, child binary"
@@ -280,9 +282,22 @@ def forest_score(spark: SparkSession, forest: Forest, columns: list[str | Column
     return score(*[F.col(c).cast("float") if isinstance(c, str) else c for c in columns or forest.columns])
 
 
-def decision_cut(df: DataFrame, score: str, contamination: float, **limits) -> float:
-    """The score that ``contamination`` of the training rows exceed."""
-    return threshold(df, score, 1.0 - contamination, **limits)
+def decision_cut(
+    df: DataFrame, score: str, contamination: float, rows: int | None = None, staged: bool = False, **limits
+) -> float:
+    """The score that ``contamination`` of the training rows exceed.
+
+    A quantile over many rows takes several passes, so scores still to be computed are written once
+    first; ``staged`` says that the frame already reads them from storage.
+    """
+    rows = df.count() if rows is None else rows
+    path = None
+    if not staged and rows > limits.get("exact_rows", EXACT_ROWS):
+        df, path = stage(df.select(score), "scores")
+    cut = threshold(df, score, 1.0 - contamination, rows=rows, **limits)
+    if path:
+        delete(df.sparkSession, path)
+    return cut
 
 
 def with_cut(forest: Forest, cut: float) -> Forest:

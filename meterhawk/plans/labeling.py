@@ -80,7 +80,7 @@ def label_frame(
         inputs = inputs.repartition(spark.sparkContext.defaultParallelism, *key)
     scored = inputs.select(*columns, *added, forest_score(spark, forest).alias("_score"))
     scored, scored_path = stage(scored, "scored")
-    forest = with_cut(forest, decision_cut(scored, "_score", contamination, rows=rows))
+    forest = with_cut(forest, decision_cut(scored, "_score", contamination, rows=rows, staged=True))
     span = scored.agg(F.min("_score").alias("low"), F.max("_score").alias("high")).first()
     flag, reason = label_vote(F.col("_score") > F.lit(forest.cut))
     labelled = scored.select(

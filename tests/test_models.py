@@ -52,6 +52,7 @@ def test_planted_outliers_rank_highest_and_share_matches(spark, planted):
     top = {r.id for r in scored.orderBy(F.desc("s")).limit(20).collect()}
     assert top == set(range(1000, 1020))
     cut = FO.decision_cut(scored, "s", 0.03)
+    assert FO.decision_cut(scored, "s", 0.03, exact_rows=100, inner_rows=50) == pytest.approx(cut, rel=1e-12)
     flagged = FO.score_forest(planted, FO.with_cut(forest, cut)).agg(F.avg("if_flag")).first()[0]
     assert abs(flagged - 0.03) < 0.002
 
