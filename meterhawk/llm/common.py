@@ -31,14 +31,21 @@ class Scratch:
         self.spark = spark
         self.owner = owner
         self._paths: dict[int, str] = {}
+        self._held: list[DataFrame] = []  # keeps the ids above from being used again
 
     def put(self, df: DataFrame, name: str) -> DataFrame:
         with bounded_batches(self.spark):
             table, path = stage(df, f"{self.owner}-{name}")
         self._paths[id(table)] = path
-        table._scratch_path = path
+        self._held.append(table)
         return table
 
+    def same(self, table: DataFrame, view: DataFrame) -> DataFrame:
+        """Let ``view`` stand for the staged ``table`` it was derived from."""
+        self._paths[id(view)] = self._paths.pop(id(table))
+        self._held.append(view)
+        return view
+
     def drop(self, *tables: DataFrame) -> None:
         for table in tables:
             delete(self.spark, self._paths.pop(id(table)))
@@ -82,3 +89,20 @@ def held_out(doc_id: str = "doc_id") -> Column:
     """Rows that no fit may learn from. A null id counts as the text of no characters."""
     name = F.coalesce(F.col(doc_id).cast("string"), F.lit(""))
     return F.crc32(name) % FOLDS == HELD_OUT_REMAINDER
+
+
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, label: str, per_class: int
+) -> tuple[DataFrame, dict[int, int]]:
+    """(doc_id, text, label) of at most ``per_class`` labelled documents of each class outside the held-out fold,
+    taken in the order of a hash of the id; and the labelled rows there are of each class outside that fold."""
+    known = labels.where(~held_out() & F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).select(
+        "doc_id", F.col(label).cast("int").alias("label")
+    )
+    totals = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    parts = [known.where(F.col("label") == k).distinct().orderBy(*order).limit(per_class) for k in (0, 1)]
+    # At most 2 * per_class rows.
+    chosen = F.broadcast(parts[0].unionByName(parts[1]))
+    texts = docs.select("doc_id", text_of("text").alias("text")).join(chosen, "doc_id")
+    return texts.dropDuplicates(["doc_id", "label"]), totals

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterhawk.llm import bpe, chat, exact_dedup, mixing, sharding
+from meterhawk.llm import bpe, chat, exact_dedup, mixing, near_dedup, quality, sharding, toxicity
 from meterhawk.llm.common import read_table
 
 # Fixed value: the extra conversation of the chat query.
@@ -19,6 +19,20 @@ MIXTURE = mixing.Mixture(
 )
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return quality.score_documents(docs, quality.fit(docs, read_table(spark, sf_dir, "labels")))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return toxicity.score_documents(docs, toxicity.fit(docs, read_table(spark, sf_dir, "labels")))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard_rows(read_table(spark, sf_dir, "documents"))
     return placed.drop("row_number")
@@ -49,12 +63,22 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents"), MIXTURE)
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_near_dedup": op1_near_dedup,
+    "op4_quality": op4_quality,
     "op5_sharding": op5_sharding,
+    "op6_toxicity": op6_toxicity,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_mixing": op10_mixing,
+    "pipeline": pipeline,
 }
 
 ORACLES: dict[str, str] = {
