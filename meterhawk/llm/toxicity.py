@@ -47,6 +47,8 @@ LANDMARKS = 256
 TRAIN_DOCS = 2_000
 TRAIN_WINDOWS = 2_000
 ROUNDS = 4
+# Weight of the gapped windows against all clean or all other toxic ones.
+GAPPED_SHARE = 0.3
 RIDGE = 1e-3
 # Toxic documents that must hold an opening of a word before it is taken as telling.
 SUPPORT = 4
@@ -329,6 +331,7 @@ def fit_windows(windows: np.ndarray, sentence: np.ndarray, of_doc: np.ndarray, l
         y = np.where(np.isin(chosen, picked), 1.0, -1.0)
         y = np.concatenate([y, np.ones(len(gapped))])
         weight = np.where(y > 0, 1 / max((y > 0).sum(), 1), 1 / max((y < 0).sum(), 1))
+        weight[len(chosen) :] = GAPPED_SHARE / max(len(gapped), 1)
         seen = np.concatenate([windows[chosen], gapped])
         w, bias = _fit_hinge(marks.kernel_to(seen) @ root, y, weight)
         folded = marks.folded(root @ w)
