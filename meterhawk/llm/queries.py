@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterhawk.llm import bpe, chat, exact_dedup, mixing, near_dedup, quality, sharding, toxicity
+from meterhawk.llm import bpe, chat, exact_dedup, mixing, near_dedup, quality, search, sharding, token_counts, toxicity
 from meterhawk.llm.common import read_table
 
 # Fixed value: the extra conversation of the chat query.
@@ -23,6 +23,20 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = bpe.read_ranks(public_tokenizers.path(VOCABULARY))
+    return token_counts.document_tokens(read_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+def op3_top_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    # The stated query set: every row whose id is divisible by 100, against all rows.
+    queries = docs.where(F.col("doc_id") % 100 == 0).select(F.col("doc_id").alias("query_id"), "text")
+    return search.top_documents(docs, queries)
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return quality.score_documents(docs, quality.fit(docs, read_table(spark, sf_dir, "labels")))
@@ -71,6 +85,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
+    "op2_token_counts": op2_token_counts,
+    "op3_top_search": op3_top_search,
     "op4_quality": op4_quality,
     "op5_sharding": op5_sharding,
     "op6_toxicity": op6_toxicity,
