@@ -25,22 +25,23 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("u", F.col("least").alias("v"))).distinct()
 
 
-def _print_of(edges: DataFrame) -> tuple:
-    hashed = F.xxhash64("u", "v")
-    return tuple(edges.agg(F.count("*"), F.bit_xor(hashed), F.sum(F.shiftright(hashed, 20))).first())
+def _is_settled(edges: DataFrame) -> bool:
+    """Whether every node either is a centre or hangs on exactly one centre."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("hangs"), F.lit(0).alias("holds")).unionByName(
+        edges.select(F.col("v").alias("node"), F.lit(0).alias("hangs"), F.lit(1).alias("holds"))
+    )
+    counted = ends.groupBy("node").agg(F.sum("hangs").alias("hangs"), F.max("holds").alias("holds"))
+    return counted.where("hangs > 1 or (hangs > 0 and holds > 0)").isEmpty()
 
 
 def star_labels(links: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, label) for every node of ``links`` (a, b) but the least of each component, which is the label."""
     edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v")
-    before, kept = None, None
+    kept = None
     while True:
         stepped = scratch.put(_small_star(_large_star(edges)), "stars")
         if kept is not None:
             scratch.drop(kept)
         edges = kept = stepped
-        now = _print_of(edges)
-        if now == before:
-            renamed = edges.select(F.col("u").alias("node"), F.col("v").alias("label"))
-            return scratch.same(edges, renamed)
-        before = now
+        if _is_settled(edges):
+            return scratch.same(edges, edges.select(F.col("u").alias("node"), F.col("v").alias("label")))

@@ -5,13 +5,13 @@ needs half the hash evaluations of one that keeps the least only. Bands of ``BAN
 from the minima and one from the maxima, deal documents into buckets. At the threshold of 0.85 two documents
 share none of the 32 bands with a chance of 3 in 10 million.
 
-Documents with the same shingle set are one node from the start. Buckets are then worked off in rounds
-without writing out all pairs of a bucket: a few leaders of each bucket are compared with its other
-members (first the smallest id, later more), links are confirmed on the full shingle sets, and members are contracted by
-connected component; leaders are done, a bucket whose members have met in one component is done, and the rest
-goes to the next round. So every pair of a bucket is either confirmed, refuted or already connected. Where a
-bucket still holds more than ``CROWD`` members after the first round, as around a passage that many documents
-share, its pairs must agree in a second band too, which costs less than 1 link in 100,000 at the threshold.
+Documents with the same shingle set are one node from the start. No step writes out all pairs of a bucket. First
+the least id of each bucket is compared with its other members, links are confirmed on the full shingle sets, and
+members are contracted by connected component. A bucket whose members have met in one component is done. Members
+of the others, as around a passage that many documents share, are dealt again by the rarest shingles of
+their full sets, in which any two linked ones must meet, so nothing is lost. There a bucket is
+worked off in blocks, each pair of blocks in a task of its own that compares what is not yet connected and returns
+links only. So every pair of a bucket is either confirmed, refuted or already connected.
 
 Words are runs of characters other than space and the controls 9 to 13, after A-Z is lower-cased. A text of
 fewer than five words has its whole sequence as its one shingle. Defined cases: a text without words or a null
@@ -27,6 +27,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -40,8 +41,8 @@ PERMUTATIONS = 96
 BAND_ROWS = 6
 SIMILAR = (85, 100)
 SEED = 1_315_423_911
-CROWD = 64
-FIRST_LEADERS = 8
+# Members of a bucket that one task compares with as many others.
+BLOCK = 256
 REMEMBERED_WORDS = 300_000
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -136,14 +137,18 @@ def _linked(a: Column, b: Column, similar: tuple[int, int]) -> Column:
     return similar[1] * both >= similar[0] * (F.size(a) + F.size(b) - both)
 
 
+def _sizes_fit(a: Column, b: Column, similar: tuple[int, int]) -> Column:
+    """Whether sets of these sizes can be linked at all."""
+    return similar[1] * F.least(a, b) >= similar[0] * F.greatest(a, b)
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, similar: tuple[int, int]) -> DataFrame:
     """The linked ones of the pairs (a, b)."""
-    least, most = F.least("size_a", "size_b"), F.greatest("size_a", "size_b")
     sizes = sets.select("node", F.size("hashes").alias("size"))
     sized = (
         pairs.join(sizes.toDF("a", "size_a"), "a")
         .join(sizes.toDF("b", "size_b"), "b")
-        .where(similar[1] * least >= similar[0] * most)
+        .where(_sizes_fit(F.col("size_a"), F.col("size_b"), similar))
         .select("a", "b")
     )
     held = sized.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
@@ -153,23 +158,81 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, similar: tuple[int, int]) -> D
 def _in_components(members: DataFrame, labels: DataFrame) -> DataFrame:
     """Members with their component, of the buckets that still hold more than one."""
     labelled = members.join(labels, "node", "left").withColumn("component", F.coalesce("label", "node")).drop("label")
-    open_ = labelled.groupBy("key").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("crowd")
+    held = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return labelled.join(held.where("low < high").select("key"), "key")
+
+
+def _distinct_buckets(members: DataFrame) -> DataFrame:
+    """Of buckets with the same members one is kept; two linked sets often share many of their rarest shingles."""
+    prints = [F.bit_xor(F.xxhash64("node", F.lit(turn))).alias(f"print_{turn}") for turn in (1, 2)]
+    held = members.groupBy("key").agg(F.count("*").alias("size"), *prints)
+    first = held.groupBy("size", "print_1", "print_2").agg(F.min("key").alias("key")).select("key")
+    return members.join(first, "key")
+
+
+def _by_rare_shingles(nodes: DataFrame, sets: DataFrame, similar: tuple[int, int]) -> DataFrame:
+    """Buckets (key, node, n) in which any two linked ones of ``nodes`` meet.
+
+    In one order of all shingles, rarest first, two linked sets share one of their first ``n - need + 1``
+    shingles each, where ``need`` is the least number of an n-set's shingles that a linked set shares. Shingles
+    that only one node holds come first and need no bucket.
+    """
+    held = sets.join(nodes, "node", "left_semi")
+    spread = held.select("node", F.size("hashes").alias("n"), F.explode("hashes").alias("key"))
+    shared = spread.groupBy("key").agg(F.count("*").alias("holders")).where("holders > 1")
+    ordered = (
+        spread.join(shared, "key")
+        .groupBy("node", "n")
+        .agg(F.sort_array(F.collect_list(F.struct("holders", "key"))).alias("common"))
     )
-    return labelled.join(open_.where("low < high").select("key", "crowd"), "key")
-
-
-def _split_crowds(members: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Crowded buckets dealt again by every further band their members agree in."""
-    calm = members.where(F.col("crowd") <= CROWD).select("key", "node", "component")
-    crowded = members.where(F.col("crowd") > CROWD).join(nodes.select("node", "bands"), "node")
+    need = F.call_function("div", F.col("n") * similar[0] + similar[1] - 1, F.lit(similar[1]))
+    first = F.size("common") - need + 1
+    return ordered.where(first > 0).select(F.explode(F.slice("common", F.lit(1), first)).alias("s"), "node", "n").select("s.key", "node", "n")
+
+
+def _compare(similar: tuple[int, int]):
+    """The links between the two blocks of one bucket that are not yet connected."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("node")
+        node, block = rows["node"].to_numpy(), rows["block"].to_numpy()
+        key, crossed = rows["key"].iat[0], rows["low"].iat[0] != rows["high"].iat[0]
+        component = np.unique(rows["component"].to_numpy(), return_inverse=True)[1]
+        sets, keys = list(rows["hashes"]), list(rows["keys"])
+        sizes = np.array([len(x) for x in sets])
+        found = []
+        for at in range(len(rows) - 1):
+            after = np.arange(at + 1, len(rows))
+            least, most = np.minimum(sizes[at], sizes[after]), np.maximum(sizes[at], sizes[after])
+            apart = (component[after] != component[at]) & (similar[1] * least >= similar[0] * most)
+            if crossed:
+                apart &= block[after] != block[at]
+            for other in after[apart]:
+                if component[other] == component[at] or np.intersect1d(keys[at], keys[other], True)[0] != key:
+                    continue  # connected meanwhile, or compared in the first bucket that both are in
+                both = len(np.intersect1d(sets[at], sets[other], True))
+                if similar[1] * both >= similar[0] * (sizes[at] + sizes[other] - both):
+                    found.append((node[at], node[other]))
+                    component[component == component[other]] = component[at]
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    return run
+
+
+def _linked_in_blocks(rest: DataFrame, sets: DataFrame, similar: tuple[int, int]) -> DataFrame:
+    """Links (a, b) that connect the components of the open buckets, found without writing out pairs.
+
+    A bucket is cut into blocks; each block meets each other one in a task of its own.
+    """
+    counts = rest.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    held = rest.groupBy("node").agg(F.sort_array(F.collect_list("key")).alias("keys")).join(sets, "node")
     dealt = (
-        crowded.select("key", "node", "component", F.explode("bands").alias("band"))
-        .where(F.col("band") != F.col("key"))
-        .select(F.xxhash64("key", "band").alias("key"), "node", "component")
+        rest.join(counts, "key")
+        .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        .select("key", "node", "component", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
     )
-    kept = dealt.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    return calm.unionByName(dealt.join(kept.select("key"), "key"))
+    return dealt.join(held, "node").groupBy("key", "low", "high").applyInPandas(_compare(similar), "a long, b long")
 
 
 def _links(rows: DataFrame, signed: DataFrame, classes: DataFrame, scratch: Scratch, similar: tuple[int, int]) -> DataFrame:
@@ -185,31 +248,14 @@ def _links(rows: DataFrame, signed: DataFrame, classes: DataFrame, scratch: Scra
     pairs = members.where("node != lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
     edges = scratch.put(_confirmed(pairs, sets, similar), "links")
     labels = star_labels(edges, scratch)
-    rest = _in_components(members.where("node != lead").select("key", "node"), labels)
-    rest = scratch.put(_split_crowds(rest, nodes), "open")
-    scratch.drop(members)
-    leaders, turn = FIRST_LEADERS, 0
-    while not rest.isEmpty():
-        turn += 1
-        chosen = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(leaders))
-        leads = scratch.put(rest.groupBy("key", chosen.alias("slot")).agg(F.min("node").alias("a")).select("key", "a"), "leads")
-        led = leads.join(rest.select("key", F.col("node").alias("a"), F.col("component").alias("a_component")).distinct(), ["key", "a"])
-        pairs = (
-            rest.join(led, "key")
-            .where("component != a_component")
-            .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
-            .distinct()
-        )
-        more = scratch.put(_confirmed(pairs, sets, similar).unionByName(edges), "links")
-        scratch.drop(edges)
-        edges, before = more, labels
-        labels = star_labels(edges, scratch)
-        left = rest.join(leads.withColumnRenamed("a", "node"), ["key", "node"], "left_anti").select("key", "node")
-        opened = scratch.put(_in_components(left, labels).select("key", "node", "component"), "open")
-        scratch.drop(rest, leads, before)
-        rest = opened
-        leaders *= 2
-    return labels
+    unmet = _in_components(members.where("node != lead").select("key", "node"), labels)
+    unmet = scratch.put(unmet.select("node").distinct(), "unmet")
+    rest = scratch.put(_in_components(_distinct_buckets(_by_rare_shingles(unmet, sets, similar)), labels), "open")
+    scratch.drop(members, unmet)
+    more = scratch.put(_linked_in_blocks(rest, sets, similar).unionByName(edges), "links")
+    joined = star_labels(more, scratch)
+    scratch.drop(rest, edges, more, labels, sets)
+    return joined
 
 
 def near_duplicates(
