@@ -34,10 +34,10 @@ from pyspark.sql import types as T
 # Bounds what is sent to the executors.
 MOST_RANK_BYTES = 32 << 20
 # Encoded pieces and tested borders a worker remembers; both are forgotten when full.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 LONG_PIECE = 64
 # Texts are split and encoded in groups of about this many characters.
-GROUP_CHARS = 4_000_000
+GROUP_CHARS = 1_500_000
 
 _NEVER = 1 << 62
 
@@ -284,11 +284,12 @@ class TextEncoder:
         kept = spans[-1][1] if spans else 0
         return text + more, ids + self.encode(text[kept:] + more)
 
-    def decode(self, ids: bytes) -> bytes:
-        numbers = array("I", ids)
-        if sys.byteorder == "big":
-            numbers.byteswap()
-        return b"".join(map(self.vocabulary.tokens.__getitem__, numbers))
+
+def decode(ids: bytes, tokens: dict[int, bytes]) -> bytes:
+    numbers = array("I", ids)
+    if sys.byteorder == "big":
+        numbers.byteswap()
+    return b"".join(map(tokens.__getitem__, numbers))
 
 
 def read_ranks(path: str) -> bytes:
@@ -312,6 +313,11 @@ def text_encoder(ranks: bytes, pattern: str) -> TextEncoder:
     return encoder
 
 
+@lru_cache(maxsize=2)
+def token_table(ranks: bytes) -> dict[int, bytes]:
+    return {rank: token for token, rank in parse_ranks(ranks).items()}
+
+
 def _changed(column: str, to: str, change):
     """A task that puts ``change(values)`` in the place of a column."""
 
@@ -331,15 +337,15 @@ def encode_documents(docs: DataFrame, ranks: bytes, pattern: str, text_col: str
     return filled.mapInArrow(_changed(text_col, "ids", lambda texts: text_encoder(ranks, pattern).encode_many(texts)), T.StructType(fields))
 
 
-def decode_documents(encoded: DataFrame, ranks: bytes, pattern: str, to: str = "decoded") -> DataFrame:
+def decode_documents(encoded: DataFrame, ranks: bytes, to: str = "decoded") -> DataFrame:
     """``encoded`` with the bytes its ids stand for in the place of the ids."""
     fields = [T.StructField(to, T.BinaryType()) if f.name == "ids" else f for f in encoded.schema.fields]
-    return encoded.mapInArrow(_changed("ids", to, lambda rows: [text_encoder(ranks, pattern).decode(ids) for ids in rows]), T.StructType(fields))
+    return encoded.mapInArrow(_changed("ids", to, lambda rows: [decode(ids, token_table(ranks)) for ids in rows]), T.StructType(fields))
 
 
 def encode_and_decode(docs: DataFrame, ranks: bytes, pattern: str) -> DataFrame:
     """Per document: doc_id, n_tokens and the digests of its ids and of the bytes they decode to."""
     encoded = encode_documents(docs.select("doc_id", "text"), ranks, pattern)
     doubled = encoded.select("doc_id", "ids", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"))
-    decoded = decode_documents(doubled, ranks, pattern)
+    decoded = decode_documents(doubled, ranks)
     return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))

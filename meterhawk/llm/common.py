@@ -15,7 +15,7 @@ SPACE_CODES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 
 # Rows and bytes of one Arrow batch, so that long documents do not pile up in a Python worker.
 BATCH_ROWS = 2_000
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 
 HELD_OUT_REMAINDER = 2
 FOLDS = 4

@@ -24,7 +24,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterhawk.llm.common import text_of
+from meterhawk.llm.common import Scratch, text_of
 
 SEED = 7
 SHARE = 0.8
@@ -110,10 +110,11 @@ def order_key(seed: int, epoch: Column, doc_id: Column) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), doc_id))
 
 
-def _select(docs: DataFrame, mixture: Mixture, share: float, epochs: int, seed: int, domain) -> DataFrame:
+def _select(docs: DataFrame, mixture: Mixture, share: float, epochs: int, seed: int, domain, carried: list[str]) -> tuple[DataFrame, Scratch]:
     """Each taken row as ``row``, with its leaf, tokens, epoch and order key."""
+    scratch = Scratch(docs.sparkSession, "mix")
     named = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.struct(*[F.col(f"`{c}`") for c in carried]).alias("row"),
         count_words(text_of("text")).alias("tokens"),
         F.crc32(text_of("text").cast("binary")).alias("crc"),
         F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("id"),
@@ -121,7 +122,8 @@ def _select(docs: DataFrame, mixture: Mixture, share: float, epochs: int, seed:
         F.coalesce(F.col("source").cast("string"), F.lit("null")).alias("source"),
     )
     leaves = ["domain", "lang", "source"]
-    sized = named.withColumn("domain", domain(F.col("source"))).where(F.col("tokens") > 0)
+    # Counted once; the passes below read what they need of it.
+    sized = scratch.put(named.withColumn("domain", domain(F.col("source"))), "sized").where(F.col("tokens") > 0)
     sums = sized.groupBy(*leaves).agg(F.sum("tokens").alias("tokens")).limit(MOST_LEAVES + 1).collect()
     if len(sums) > MOST_LEAVES:
         raise ValueError("the mixture tree has too many leaves")
@@ -154,7 +156,7 @@ def _select(docs: DataFrame, mixture: Mixture, share: float, epochs: int, seed:
     edge = bounded.where(F.col("is_last") & (F.col("slice") == F.col("edge")))
     cut = edge.withColumn("reached", F.col("before") + F.sum("tokens").over(upto)).where(F.col("reached") <= F.col("rest"))
     columns = ["row", *leaves, "tokens", "epoch", "key"]
-    return taken.select(*columns).unionByName(cut.select(*columns))
+    return taken.select(*columns).unionByName(cut.select(*columns)), scratch
 
 
 def mix(
@@ -166,9 +168,8 @@ def mix(
     domain=source_domain,
 ) -> DataFrame:
     """One row for each time a document is taken: doc_id, domain, lang, source, n_tokens, epoch, order_key."""
-    narrow = docs.select("doc_id", "text", "lang", "source")
-    taken = _select(narrow, mixture or Mixture(), share, epochs, seed, domain)
-    return taken.select(
+    taken, scratch = _select(docs, mixture or Mixture(), share, epochs, seed, domain, ["doc_id"])
+    rows = taken.select(
         F.col("row.doc_id").alias("doc_id"),
         "domain",
         "lang",
@@ -177,6 +178,7 @@ def mix(
         F.col("epoch").cast("int").alias("epoch"),
         F.col("key").alias("order_key"),
     )
+    return scratch.result(rows)
 
 
 def select_rows(
@@ -188,5 +190,5 @@ def select_rows(
     domain=source_domain,
 ) -> DataFrame:
     """The taken rows of ``docs``, once for each epoch, with their columns as they were."""
-    taken = _select(docs, mixture or Mixture(), share, epochs, seed, domain)
-    return taken.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    taken, scratch = _select(docs, mixture or Mixture(), share, epochs, seed, domain, docs.columns)
+    return scratch.result(taken.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns]))
