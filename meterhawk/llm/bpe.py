@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import base64
 import gc
+import hashlib
 import sys
 from array import array
 from collections.abc import Iterator
@@ -34,10 +35,10 @@ from pyspark.sql import types as T
 # Bounds what is sent to the executors.
 MOST_RANK_BYTES = 32 << 20
 # Encoded pieces and tested borders a worker remembers; both are forgotten when full.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 LONG_PIECE = 64
 # Texts are split and encoded in groups of about this many characters.
-GROUP_CHARS = 1_500_000
+GROUP_CHARS = 1_000_000
 
 _NEVER = 1 << 62
 
@@ -243,6 +244,10 @@ class TextEncoder:
         self.split = regex.compile(pattern)
         self._pieces: dict[str, bytes] = {}
 
+    def forget(self) -> None:
+        self._pieces.clear()
+        self.vocabulary.borders.clear()
+
     def _learn(self, pieces: list[str]) -> None:
         """Encode new pieces in order of their bytes, so that each starts from the prefix it shares with the last."""
         known, whole = self._pieces, self.vocabulary.ids
@@ -343,9 +348,31 @@ def decode_documents(encoded: DataFrame, ranks: bytes, to: str = "decoded") -> D
     return encoded.mapInArrow(_changed("ids", to, lambda rows: [decode(ids, token_table(ranks)) for ids in rows]), T.StructType(fields))
 
 
+def _both_ways(ranks: bytes, pattern: str):
+    """One worker does both, so that an executor holds half the processes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = text_encoder(ranks, pattern)
+        for batch in batches:
+            texts = batch.column("text")
+            for start in range(0, batch.num_rows, 200):
+                encoded = encoder.encode_many(texts.slice(start, 200).to_pylist())
+                decoded = [decode(ids, encoder.vocabulary.tokens) for ids in encoded]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("doc_id").slice(start, 200),
+                        pa.array([len(ids) // 4 for ids in encoded], pa.int64()),
+                        pa.array([hashlib.sha256(ids).hexdigest() for ids in encoded]),
+                        pa.array([hashlib.sha256(data).hexdigest() for data in decoded]),
+                    ],
+                    names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+                )
+        encoder.forget()
+
+    return run
+
+
 def encode_and_decode(docs: DataFrame, ranks: bytes, pattern: str) -> DataFrame:
     """Per document: doc_id, n_tokens and the digests of its ids and of the bytes they decode to."""
-    encoded = encode_documents(docs.select("doc_id", "text"), ranks, pattern)
-    doubled = encoded.select("doc_id", "ids", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"))
-    decoded = decode_documents(doubled, ranks)
-    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    return rows.mapInArrow(_both_ways(ranks, pattern), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
