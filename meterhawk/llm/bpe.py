@@ -35,10 +35,10 @@ from pyspark.sql import types as T
 # Bounds what is sent to the executors.
 MOST_RANK_BYTES = 32 << 20
 # Encoded pieces and tested borders a worker remembers; both are forgotten when full.
-REMEMBERED = 100_000
+REMEMBERED = 250_000
 LONG_PIECE = 64
 # Texts are split and encoded in groups of about this many characters.
-GROUP_CHARS = 1_000_000
+GROUP_CHARS = 1_500_000
 
 _NEVER = 1 << 62
 
