@@ -354,15 +354,15 @@ def reason_texts(spark, d):
     return df.select("trip_id", rules.reason().alias("reason"), rules.reason_code().alias("reason_code"))
 
 
-@query(O.SCORED + "SELECT CASE WHEN anomaly_score > 15e-2 THEN '[HIGH]' ELSE '[MEDIUM]' END AS severity, count(*) AS trips FROM scored GROUP BY 1")
+@query(O.SCORED + "SELECT CASE WHEN anomaly_score > 0.15e0 THEN '[HIGH]' ELSE '[MEDIUM]' END AS severity, count(*) AS trips FROM scored GROUP BY 1")
 def severity_tags(spark, d):
     return P.scored(spark, d).groupBy(rules.severity("anomaly_score").alias("severity")).agg(F.count("*").alias("trips"))
 
 
 @query(
     O.SCORED
-    + """SELECT trip_id, CASE WHEN anomaly_score >= 8e-1 THEN 'Strong' WHEN anomaly_score >= 6e-1 THEN 'Moderate' ELSE 'Weak' END AS f1_grade,
-    CASE WHEN anomaly_score >= 8e-1 THEN 'EXCELLENT' WHEN anomaly_score >= 6e-1 THEN 'GOOD' WHEN anomaly_score >= 4e-1 THEN 'FAIR' ELSE 'POOR' END AS grade
+    + """SELECT trip_id, CASE WHEN anomaly_score >= 0.8e0 THEN 'Strong' WHEN anomaly_score >= 0.6e0 THEN 'Moderate' ELSE 'Weak' END AS f1_grade,
+    CASE WHEN anomaly_score >= 0.8e0 THEN 'EXCELLENT' WHEN anomaly_score >= 0.6e0 THEN 'GOOD' WHEN anomaly_score >= 0.4e0 THEN 'FAIR' ELSE 'POOR' END AS grade
     FROM scored"""
 )
 def grade_bands(spark, d):
@@ -575,7 +575,7 @@ def column_medians(spark, d):
     return rounded(rounded(df, "passenger_count", "trip_distance"), "avg_speed_kmh", digits=9)
 
 
-MINMAX_SQL = "({0} - min({0}) OVER ()) / (max({0}) OVER () - min({0}) OVER () + 1e-9)"
+MINMAX_SQL = "({0} - min({0}) OVER ()) / (max({0}) OVER () - min({0}) OVER () + 0.000000001e0)"
 
 
 @query(O.SCORED + f"SELECT trip_id, round({MINMAX_SQL.format('mah_distance')}, 6) AS unit FROM scored")
@@ -601,7 +601,7 @@ def score_histogram_by_class(spark, d):
     return rounded(HI.histogram_by(matched, "anomaly_score", "is_anomaly"), "low", "high", digits=9)
 
 
-@query(O.SCORED + "SELECT round(quantile_cont(mah_distance, 975e-3), 6) AS threshold FROM scored")
+@query(O.SCORED + "SELECT round(quantile_cont(mah_distance, 0.975e0), 6) AS threshold FROM scored")
 def distance_threshold(spark, d):
     cut = QU.threshold(P.scored(spark, d), "mah_distance", S.DISTANCE_QUANTILE)
     return rounded(spark.createDataFrame([(cut,)], "threshold double"), "threshold")
@@ -690,7 +690,7 @@ def matched_detail_flags(spark, d):
 @query(
     O.SCORED
     + """, imp AS (SELECT reason_code AS feature, CAST(count(*) AS DOUBLE) AS importance FROM anomalies GROUP BY 1)
-    SELECT feature, importance, round(importance / ((SELECT max(importance) FROM imp) + 1e-9), 6) AS relative FROM imp"""
+    SELECT feature, importance, round(importance / ((SELECT max(importance) FROM imp) + 0.000000001e0), 6) AS relative FROM imp"""
 )
 def ranked_importances(spark, d):
     """Ranking by importance, here over counts per reason."""
@@ -778,8 +778,8 @@ SCALER_COLUMNS = ["trip_distance", "fare_amount", "avg_speed_kmh", "is_night"]
 
 
 def _scaler_sql(column: str) -> str:
-    spread = f"quantile_cont({column}, 75e-2) - quantile_cont({column}, 25e-2)"
-    return f"""SELECT '{column}' AS feature, round(quantile_cont(CAST({column} AS DOUBLE), 5e-1), 6) AS center,
+    spread = f"quantile_cont({column}, 0.75e0) - quantile_cont({column}, 0.25e0)"
+    return f"""SELECT '{column}' AS feature, round(quantile_cont(CAST({column} AS DOUBLE), 0.5e0), 6) AS center,
     round(CASE WHEN {spread} = 0 THEN 1e0 ELSE {spread} END, 6) AS scale FROM feats"""
 
 
@@ -848,8 +848,8 @@ GIVEN_PRECISION = [[0.5, -0.125], [-0.125, 0.25]]
 
 @query(
     O.FEATS
-    + """, dist AS (SELECT trip_id, 5e-1 * (trip_distance - 25e-1) * (trip_distance - 25e-1)
-      - 25e-2 * (trip_distance - 25e-1) * (fare_amount - 9e0) + 25e-2 * (fare_amount - 9e0) * (fare_amount - 9e0) AS mah_distance FROM feats)
+    + """, dist AS (SELECT trip_id, 0.5e0 * (trip_distance - 2.5e0) * (trip_distance - 2.5e0)
+      - 0.25e0 * (trip_distance - 2.5e0) * (fare_amount - 9e0) + 0.25e0 * (fare_amount - 9e0) * (fare_amount - 9e0) AS mah_distance FROM feats)
     SELECT trip_id, round(mah_distance, 9) AS mah_distance, CAST(mah_distance > 50 AS INT) AS mcd_flag FROM dist"""
 )
 def mahalanobis_distance(spark, d):
@@ -871,7 +871,7 @@ def ensemble_votes(spark, d):
 
 @query(
     O.SCORED
-    + f"SELECT trip_id, round(6e-1 * {MINMAX_SQL.format('if_score')} + 4e-1 * {MINMAX_SQL.format('mah_distance')}, 6) AS anomaly_score FROM scored"
+    + f"SELECT trip_id, round(0.6e0 * {MINMAX_SQL.format('if_score')} + 0.4e0 * {MINMAX_SQL.format('mah_distance')}, 6) AS anomaly_score FROM scored"
 )
 def combined_scores(spark, d):
     return rounded(NO.combine_scores(P.scored(spark, d)).select("trip_id", "anomaly_score"), "anomaly_score")
@@ -879,7 +879,7 @@ def combined_scores(spark, d):
 
 @query(
     O.SCORED
-    + """SELECT round(avg(if_flag), 9) AS rate, round(greatest(1e-2, least(4e-2, 8e-1 * 3e-2 + 2e-1 * avg(if_flag))), 9) AS contamination
+    + """SELECT round(avg(if_flag), 9) AS rate, round(greatest(0.01e0, least(0.04e0, 0.8e0 * 0.03e0 + 0.2e0 * avg(if_flag))), 9) AS contamination
     FROM scored"""
 )
 def next_contamination(spark, d):
@@ -928,9 +928,9 @@ CLASS_SQL = """cls AS (SELECT count(*) FILTER (WHERE is_anomaly = 0) AS normal_n
 
 @query(
     O.SCORED
-    + f""", {CLASS_SQL}, d AS (SELECT *, abs(anomaly_mean - normal_mean) / (sqrt((normal_std ** 2 + anomaly_std ** 2) / 2) + 1e-9) AS cohens_d FROM cls)
+    + f""", {CLASS_SQL}, d AS (SELECT *, abs(anomaly_mean - normal_mean) / (sqrt((normal_std ** 2 + anomaly_std ** 2) / 2) + 0.000000001e0) AS cohens_d FROM cls)
     SELECT normal_n, anomaly_n, {O.rounded("normal_mean", "anomaly_mean", "normal_std", "anomaly_std", "cohens_d")},
-    CASE WHEN cohens_d >= 15e-1 THEN 'EXCELLENT' WHEN cohens_d >= 8e-1 THEN 'GOOD' WHEN cohens_d >= 5e-1 THEN 'FAIR' ELSE 'POOR' END AS verdict FROM d"""
+    CASE WHEN cohens_d >= 1.5e0 THEN 'EXCELLENT' WHEN cohens_d >= 0.8e0 THEN 'GOOD' WHEN cohens_d >= 0.5e0 THEN 'FAIR' ELSE 'POOR' END AS verdict FROM d"""
 )
 def score_separation(spark, d):
     df = DI.score_separation(*P.results(spark, d))
@@ -940,9 +940,9 @@ def score_separation(spark, d):
 @query(
     O.METRICS
     + f""", s AS (SELECT count(*) AS batches, avg(anomaly_rate) AS mean_rate, stddev_samp(anomaly_rate) AS std_rate FROM metrics),
-    v AS (SELECT *, std_rate / (mean_rate + 1e-9) AS cv FROM s)
+    v AS (SELECT *, std_rate / (mean_rate + 0.000000001e0) AS cv FROM s)
     SELECT batches, {O.rounded("mean_rate", "std_rate", "cv")},
-    CASE WHEN cv < 3e-1 THEN 'STABLE' WHEN cv < 6e-1 THEN 'MODERATE' ELSE 'UNSTABLE' END AS verdict FROM v WHERE batches >= 2"""
+    CASE WHEN cv < 0.3e0 THEN 'STABLE' WHEN cv < 0.6e0 THEN 'MODERATE' ELSE 'UNSTABLE' END AS verdict FROM v WHERE batches >= 2"""
 )
 def rate_stability(spark, d):
     return rounded(DI.rate_stability(P.metrics(spark, d)), "mean_rate", "std_rate", "cv")
@@ -958,7 +958,7 @@ def rate_series(spark, d):
     + """, r AS (SELECT count(*) AS anomalies, count(DISTINCT reason_code) AS reasons,
       count(*) FILTER (WHERE reason_code = 'statistical') / CAST(count(*) AS DOUBLE) AS fallback_share FROM anomalies)
     SELECT anomalies, reasons, round(fallback_share, 6) AS fallback_share,
-    CASE WHEN reasons >= 4 AND fallback_share < 85e-2 THEN 'DIVERSE' WHEN reasons >= 2 THEN 'LIMITED' ELSE 'NARROW' END AS verdict FROM r"""
+    CASE WHEN reasons >= 4 AND fallback_share < 0.85e0 THEN 'DIVERSE' WHEN reasons >= 2 THEN 'LIMITED' ELSE 'NARROW' END AS verdict FROM r"""
 )
 def reason_coverage(spark, d):
     return rounded(DI.reason_coverage(P.results(spark, d)[1]), "fallback_share")
@@ -980,7 +980,7 @@ def permutation_sensitivity(spark, d):
     O.SCORED
     + """, r AS (SELECT count(*) AS anomalies, count(*) FILTER (WHERE reason_code <> 'statistical') AS rule_breakers FROM anomalies)
     SELECT anomalies, rule_breakers, round(rule_breakers / CAST(anomalies AS DOUBLE), 6) AS overlap,
-    CASE WHEN rule_breakers / CAST(anomalies AS DOUBLE) >= 4e-1 THEN 'HIGH OVERLAP' WHEN rule_breakers / CAST(anomalies AS DOUBLE) >= 2e-1 THEN 'PARTIAL' ELSE 'LOW OVERLAP' END AS verdict FROM r"""
+    CASE WHEN rule_breakers / CAST(anomalies AS DOUBLE) >= 0.4e0 THEN 'HIGH OVERLAP' WHEN rule_breakers / CAST(anomalies AS DOUBLE) >= 0.2e0 THEN 'PARTIAL' ELSE 'LOW OVERLAP' END AS verdict FROM r"""
 )
 def rule_overlap(spark, d):
     return rounded(DI.rule_overlap(P.results(spark, d)[1]), "overlap")
@@ -989,7 +989,7 @@ def rule_overlap(spark, d):
 @query(
     O.SCORED
     + f""", {CLASS_SQL} SELECT {O.rounded("normal_range", "anomaly_range")}, round(anomaly_mean - normal_mean, 6) AS gap,
-    CASE WHEN anomaly_mean - normal_mean > 5e-2 THEN 'BIMODAL' WHEN anomaly_mean - normal_mean > 1e-2 THEN 'SLIGHT GAP' ELSE 'NO GAP' END AS verdict FROM cls"""
+    CASE WHEN anomaly_mean - normal_mean > 0.05e0 THEN 'BIMODAL' WHEN anomaly_mean - normal_mean > 0.01e0 THEN 'SLIGHT GAP' ELSE 'NO GAP' END AS verdict FROM cls"""
 )
 def score_distribution(spark, d):
     return rounded(DI.score_distribution(*P.results(spark, d)), "normal_range", "anomaly_range", "gap")
@@ -1014,7 +1014,7 @@ def evaluation_report(spark, d):
 @query(
     O.REPORT
     + f""", m AS (SELECT {MACRO_SQL} FROM report WHERE matched >= 5)
-    SELECT *, CASE WHEN f1 >= 8e-1 THEN 'Strong' WHEN f1 >= 6e-1 THEN 'Moderate' ELSE 'Weak' END AS grade FROM m"""
+    SELECT *, CASE WHEN f1 >= 0.8e0 THEN 'Strong' WHEN f1 >= 0.6e0 THEN 'Moderate' ELSE 'Weak' END AS grade FROM m"""
 )
 def overall_accuracy(spark, d):
     return rounded(EV.overall(_report(spark, d)), "f1", "precision", "recall", "accuracy")

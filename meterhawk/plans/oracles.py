@@ -36,7 +36,7 @@ trips AS (
 _CLEAN = """
 valid AS (
   SELECT * FROM trips
-  WHERE trip_duration_sec > 60 AND trip_distance > 1e-1 AND fare_amount > 0
+  WHERE trip_duration_sec > 60 AND trip_distance > 0.1e0 AND fare_amount > 0
     AND passenger_count >= 1 AND passenger_count <= 9),
 rated AS (
   SELECT *, trip_distance * 1.60934e0 / (trip_duration_sec / 3600e0) AS avg_speed_kmh,
@@ -48,7 +48,7 @@ feats AS (
          ln(1e0 + trip_distance) AS log_distance, ln(1e0 + fare_amount) AS log_fare,
          CAST(pickup_hour IN (7, 8, 9, 17, 18, 19) AS INT) AS is_rush_hour,
          CAST(pickup_hour IN (0, 1, 2, 3, 4, 5) AS INT) AS is_night,
-         fare_amount / (trip_distance + 1e-3) AS fare_distance_ratio
+         fare_amount / (trip_distance + 0.001e0) AS fare_distance_ratio
   FROM rated)"""
 
 # First streaming rule a trip breaks.
@@ -56,7 +56,7 @@ STREAM_CODE = """CASE
   WHEN avg_speed_kmh > 140 THEN 'speed'
   WHEN fare_per_mile > 15 THEN 'rate'
   WHEN trip_duration_sec < 120 AND fare_amount > 50 THEN 'short_high_fare'
-  WHEN fare_amount < 25e-1 AND trip_distance > 5e-1 THEN 'low_fare'
+  WHEN fare_amount < 2.5e0 AND trip_distance > 0.5e0 THEN 'low_fare'
   WHEN trip_duration_sec > 7200 AND trip_distance < 5 THEN 'long_short_distance'
   WHEN passenger_count = 0 THEN 'zero_passengers'
   WHEN is_night = 1 AND avg_speed_kmh > 100 THEN 'night_speed'
@@ -64,7 +64,7 @@ STREAM_CODE = """CASE
   WHEN trip_distance > 50 AND fare_per_mile < 1 THEN 'long_low_rate'
   ELSE 'statistical' END"""
 
-STREAM_REASON = f"""CASE WHEN anomaly_score > 15e-2 THEN '[HIGH] ' ELSE '[MEDIUM] ' END || CASE {STREAM_CODE}
+STREAM_REASON = f"""CASE WHEN anomaly_score > 0.15e0 THEN '[HIGH] ' ELSE '[MEDIUM] ' END || CASE {STREAM_CODE}
   WHEN 'speed' THEN format('Unrealistic Speed (>{{:.0f}} km/h)', avg_speed_kmh)
   WHEN 'rate' THEN format('Extremely High Fare per Mile (${{:.1f}}/mi)', fare_per_mile)
   WHEN 'short_high_fare' THEN format('Short Trip, High Fare (${{:.0f}} in {{:.0f}}min)', fare_amount, trip_duration_sec / 60e0)
@@ -80,7 +80,7 @@ _SCORED = f"""
 coded AS (SELECT *, {STREAM_CODE} AS reason_code FROM feats),
 scored AS (
   SELECT *, CAST(floor(least(fare_per_mile, 100e0) * 100e0) AS DOUBLE) / 10000e0 AS anomaly_score,
-         CAST(floor(least(fare_per_mile, 100e0) * 100e0) AS DOUBLE) / 10000e0 - 625e-4 AS if_score,
+         CAST(floor(least(fare_per_mile, 100e0) * 100e0) AS DOUBLE) / 10000e0 - 0.0625e0 AS if_score,
          CAST(floor(avg_speed_kmh * 8e0) AS DOUBLE) / 8e0 AS mah_distance,
          CAST(trip_id % 7 = 0 AS INT) AS if_flag, CAST(trip_id % 5 = 0 AS INT) AS mcd_flag,
          CAST(reason_code <> 'statistical' OR trip_id % 29 = 0 AS INT) AS is_anomaly,
@@ -103,28 +103,28 @@ metrics AS (
          records_processed, anomalies_detected,
          CAST(anomalies_detected AS DOUBLE) / greatest(clean, 1) AS anomaly_rate,
          processing_time_ms, records_processed / (processing_time_ms / 1000e0) AS throughput_eps,
-         processing_time_ms * 16e-6 AS estimated_cost_usd
+         processing_time_ms * 0.000016e0 AS estimated_cost_usd
   FROM timed)"""
 
 _BATCH = """
 brated AS (
-  SELECT *, trip_distance * 1.60934e0 / ((trip_duration_sec + 1e-5) / 3600e0) AS avg_speed_kmh,
-         fare_amount / (trip_distance + 1e-5) AS fare_per_mile,
+  SELECT *, trip_distance * 1.60934e0 / ((trip_duration_sec + 0.00001e0) / 3600e0) AS avg_speed_kmh,
+         fare_amount / (trip_distance + 0.00001e0) AS fare_per_mile,
          CAST(pickup_hour IN (0, 1, 2, 3, 4, 5) AS INT) AS is_night,
          CAST(pickup_hour IN (7, 8, 9, 17, 18, 19) AS INT) AS is_rush_hour
   FROM trips),
 bfeats AS (
   SELECT *, avg_speed_kmh * trip_duration_sec / 3600e0 AS speed_x_duration,
          ln(1e0 + greatest(0e0, trip_distance)) AS log_distance, ln(1e0 + greatest(0e0, fare_amount)) AS log_fare,
-         fare_amount / (trip_distance + 1e-3) AS fare_distance_ratio
+         fare_amount / (trip_distance + 0.001e0) AS fare_distance_ratio
   FROM brated),
 bcoded AS (
   SELECT *, CASE
     WHEN trip_duration_sec IS NULL OR trip_duration_sec < 0 THEN 'bad_time'
     WHEN avg_speed_kmh > 150 THEN 'speed'
-    WHEN fare_per_mile > 20 AND trip_distance > 5e-1 THEN 'rate'
+    WHEN fare_per_mile > 20 AND trip_distance > 0.5e0 THEN 'rate'
     WHEN trip_duration_sec < 60 AND fare_amount > 30 THEN 'short_high_fare'
-    WHEN fare_amount < 25e-1 AND trip_distance > 1 THEN 'low_fare'
+    WHEN fare_amount < 2.5e0 AND trip_distance > 1 THEN 'low_fare'
     WHEN trip_duration_sec > 7200 AND trip_distance < 2 THEN 'long_short_distance'
     WHEN passenger_count = 0 THEN 'zero_passengers'
     WHEN is_night = 1 AND avg_speed_kmh > 120 THEN 'night_speed'
