@@ -32,6 +32,10 @@ MAX_STEPS = 30
 REWEIGHT_QUANTILE = 0.975
 
 
+class NoSpread(ValueError):
+    """The rows span no volume, so there is no covariance to fit."""
+
+
 @dataclass(frozen=True)
 class Covariance:
     columns: list[str]
@@ -166,7 +170,7 @@ def fit_covariance(
     quantile: float = S.DISTANCE_QUANTILE,
     **limits,
 ) -> Covariance:
-    """Fit on robustly scaled columns; raises ``ValueError`` when the supported rows have no spread."""
+    """Fit on robustly scaled columns; raises ``NoSpread`` when the supported rows have no spread."""
     draws = [F.xxhash64(*key, F.lit(seed)).alias("_draw")] if key else []
     df = df.select(*[F.col(c).cast("double").alias(c) for c in columns], *draws)
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
@@ -217,7 +221,7 @@ def _fit(df: DataFrame, columns: list[str], keyed: bool, support: float, quantil
     width = len(columns)
     rows = df.count()
     if rows <= width:
-        raise ValueError(f"{rows} rows are too few for {width} features")
+        raise NoSpread(f"{rows} rows are too few for {width} features")
     limits = {"rows": rows, **limits}
 
     states = _starts(df, columns, keyed, support)
@@ -233,7 +237,7 @@ def _fit(df: DataFrame, columns: list[str], keyed: bool, support: float, quantil
         if settled:
             break
     if np.allclose(cov, 0.0):
-        raise ValueError("the supported rows have no spread")
+        raise NoSpread("the supported rows have no spread")
 
     # Consistency at the normal model, then one reweighting over the rows that look regular.
     raw = {0: (mean, cov)}

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from meterhawk import schema as S
 from meterhawk.functions.rules import training_weight
-from meterhawk.operators.covariance import fit_covariance, score_covariance
+from meterhawk.operators.covariance import NoSpread, fit_covariance, score_covariance
 from meterhawk.operators.ensemble import adaptive_contamination, vote
 from meterhawk.operators.forest import (
     decision_cut,
@@ -52,7 +52,7 @@ def train_ensemble(
     cut = decision_cut(scaled.select(forest_score(spark, forest).alias("s")), "s", contamination, rows=rows)
     try:
         covariance = fit_covariance(scaled, S.COVARIANCE_FEATURES, key, seed=seed)
-    except ValueError:
+    except NoSpread:
         covariance = None
     return nodes, Model(scaler, with_cut(forest, cut), covariance, contamination)
 

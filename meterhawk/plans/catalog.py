@@ -584,10 +584,14 @@ def min_max_scaled(spark, d):
 
 
 def _histogram_sql(column: str, bins: int, by: str | None = None) -> str:
+    """Every bin of every group, empty ones with 0 rows."""
     key = f"{by}, " if by else ""
-    return f"""SELECT {key}CAST(bin AS INT) AS bin, round(any_value(mn + w * bin), 9) AS low, round(any_value(mn + w * (bin + 1)), 9) AS high, count(*) AS rows
-    FROM (SELECT {key}mn, (mx - mn) / {bins}e0 AS w, least(floor(({column} - mn) / ((mx - mn) / {bins}e0)), {bins - 1}) AS bin
-          FROM rows_in, (SELECT min({column}) AS mn, max({column}) AS mx FROM rows_in)) GROUP BY {key}bin"""
+    groups = f"(SELECT DISTINCT {by} FROM rows_in) g, " if by else ""
+    using = f"({key}bin)"
+    return f"""SELECT {key}CAST(bin AS INT) AS bin, round(mn + w * bin, 9) AS low, round(mn + w * (bin + 1), 9) AS high, coalesce(c.rows, 0) AS rows
+    FROM {groups}range({bins}) b(bin), (SELECT min({column}) AS mn, (max({column}) - min({column})) / {bins}e0 AS w FROM rows_in) s
+    LEFT JOIN (SELECT {key}least(floor(({column} - lo) / ((hi - lo) / {bins}e0)), {bins - 1})::BIGINT AS bin, count(*) AS rows
+          FROM rows_in, (SELECT min({column}) AS lo, max({column}) AS hi FROM rows_in) GROUP BY ALL) c USING {using}"""
 
 
 @query(O.SCORED + ", rows_in AS (SELECT * FROM normals) " + _histogram_sql("anomaly_score", 10))
@@ -966,7 +970,7 @@ def reason_coverage(spark, d):
 
 @query()
 def permutation_sensitivity(spark, d):
-    """Change of the flag rate per shuffled feature on the sampled anomalies and normals."""
+    """Change of the flag rate per shuffled feature over all anomalies and normals."""
     normals, anomalies = P.results(spark, d)
     df = _scaled(spark, d)
     scaler = SC.fit_scaler(P.features(spark, d), S.MODEL_FEATURES)
@@ -999,8 +1003,10 @@ def score_distribution(spark, d):
     O.SCORED
     + """, span AS (SELECT is_anomaly, min(anomaly_score) AS mn, (max(anomaly_score) - min(anomaly_score)) / 10e0 AS w FROM scored GROUP BY 1)
     SELECT CASE is_anomaly WHEN 1 THEN 'anomaly' ELSE 'normal' END AS class, CAST(bin AS INT) AS bin,
-    round(any_value(mn + w * bin), 9) AS low, round(any_value(mn + w * (bin + 1)), 9) AS high, count(*) AS rows
-    FROM (SELECT is_anomaly, mn, w, least(floor((anomaly_score - mn) / w), 9) AS bin FROM scored JOIN span USING (is_anomaly)) GROUP BY 1, 2"""
+    round(mn + w * bin, 9) AS low, round(mn + w * (bin + 1), 9) AS high, coalesce(c.rows, 0) AS rows
+    FROM span, range(10) b(bin)
+    LEFT JOIN (SELECT is_anomaly, least(floor((anomaly_score - mn) / w), 9)::BIGINT AS bin, count(*) AS rows
+          FROM scored JOIN span USING (is_anomaly) GROUP BY ALL) c USING (is_anomaly, bin)"""
 )
 def class_histograms(spark, d):
     return rounded(DI.class_histograms(*P.results(spark, d)), "low", "high", digits=9)

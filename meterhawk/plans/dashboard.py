@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterhawk import schema as S
 from meterhawk.functions.trips import fixed
-from meterhawk.operators.matching import fleet_lookup
 
 FEEDS = {
     "live": ["taxi_type", "VendorID", "pickup_datetime", "trip_distance", "fare_amount", "avg_speed_kmh", "anomaly_score"],
@@ -42,9 +43,15 @@ def fleets(df: DataFrame) -> DataFrame:
 
 
 def fleet_summary(normals: DataFrame, anomalies: DataFrame) -> DataFrame:
-    """Counts, mean fare and anomaly share for every known fleet, 0 where a fleet has no rows."""
-    base = fleet_lookup(normal_by_fleet(normals), fleets(normals), {"total_normal": 0, "avg_fare": 0.0})
-    full = fleet_lookup(anomalies_by_fleet(anomalies), base, {"total_anomalies": 0})
+    """Counts, mean fare and anomaly share, 0 where a fleet has no rows.
+
+    Every known fleet has a row, and so has every other name in the data, the null name included.
+    """
+    parts = [normal_by_fleet(normals), anomalies_by_fleet(anomalies), fleets(normals)]
+    every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    full = every.groupBy("taxi_type").agg(
+        *[F.coalesce(F.max(c), F.lit(0)).alias(c) for c in ("total_normal", "avg_fare", "total_anomalies")]
+    )
     total = F.col("total_normal") + F.col("total_anomalies")
     return full.withColumn("anomaly_share", F.col("total_anomalies") / F.nullif(total, F.lit(0)))
 

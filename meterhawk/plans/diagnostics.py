@@ -19,8 +19,10 @@ from meterhawk.operators.scaler import scale
 from meterhawk.sources.models import Model
 
 CLASSES = ["normal", "anomaly"]
-SENSITIVITY_ROWS = 500
+# Fewer rows than this say nothing about a rate.
 SENSITIVITY_MIN_ROWS = 50
+# Rows of one bucket in which values are exchanged.
+PAIRING_ROWS = 20_000
 
 
 def sample_cap(df: DataFrame, n: int | None, order: list[str | Column]) -> DataFrame:
@@ -157,52 +159,44 @@ def permutation_sensitivity(
     model: Model,
     order: list[str],
     seed: int = S.SEED,
-    n: int = SENSITIVITY_ROWS,
     min_rows: int = SENSITIVITY_MIN_ROWS,
+    bucket_rows: int = PAIRING_ROWS,
 ) -> DataFrame:
-    """Absolute change of the flag rate when one feature at a time is shuffled.
+    """Absolute change of the flag rate when one feature at a time is shuffled, over all rows of both classes.
 
-    A sampling report: it takes the first ``n`` rows of each class, so its ranking windows hold at
-    most ``2 * n`` rows per feature. Returns no row for fewer than ``min_rows`` rows.
+    Rows are dealt by a hash of their key ``order`` into buckets of about ``bucket_rows``. For each feature the
+    rows of a bucket form a ring in a seeded order, and each takes the value of the next one. So one shuffle serves all
+    features, and no window sees more than a bucket. Returns no row for fewer than ``min_rows`` rows.
     """
     base = ["trip_distance", "fare_amount", "trip_duration_sec", "avg_speed_kmh", "fare_per_mile", "passenger_count"]
 
-    def sample(df: DataFrame) -> DataFrame:
-        rows = df.orderBy(*order).limit(n)
-        return rows.select(*base, pickup_hour("pickup_datetime").alias("pickup_hour"), F.xxhash64(*order).alias("_id"))
+    def narrow(df: DataFrame) -> DataFrame:
+        return df.select(*base, pickup_hour("pickup_datetime").alias("pickup_hour"), F.xxhash64(*order).alias("_id"))
 
-    rows = drop_any_null(sample(anomalies).unionByName(sample(normals)))
-    rows = scale(derived_features(rows), model.scaler)
+    rows = drop_any_null(narrow(anomalies).unionByName(narrow(normals)))
+    total = rows.count()
+    if total < max(min_rows, 1):
+        return _no_importances(normals)
     features = model.forest.columns
-    numbered = rows.select(
-        "_id",
-        F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("_id")).alias("pos"),
-        F.array(*[F.col(c).cast("double") for c in features]).alias("x"),
-    ).persist()
-    try:
-        if numbered.count() < min_rows:
-            return _no_importances(normals)
-        trials = numbered.select(
-            "pos", "x", F.explode(F.sequence(F.lit(0), F.lit(len(features)))).alias("trial"), "_id"
-        )
-        shuffled = Window.partitionBy("trial").orderBy(F.xxhash64("_id", "trial", F.lit(seed)))
-        donors = trials.filter("trial > 0").select(
-            "trial", F.row_number().over(shuffled).alias("pos"), F.element_at("x", F.col("trial")).alias("donor")
-        )
-        joined = trials.join(donors, ["trial", "pos"], "left")
-        swapped = joined.select(
-            "trial",
-            *[
-                F.when(F.col("trial") == i + 1, F.col("donor")).otherwise(F.col("x")[i]).alias(c)
-                for i, c in enumerate(features)
-            ],
-        )
-        rates = score_forest(swapped, model.forest).groupBy("trial").agg(
-            F.avg(F.col("if_flag").cast("double")).alias("rate")
-        )
-        found = {r["trial"]: r["rate"] for r in rates.collect()}
-    finally:
-        numbered.unpersist()
+    buckets = -(-total // bucket_rows)
+    dealt = scale(derived_features(rows), model.scaler).select(
+        "_id", F.pmod(F.xxhash64("_id", F.lit(seed)), F.lit(buckets)).alias("_bucket"), *[F.col(c).cast("double") for c in features]
+    )
+
+    def donor(i: int, c: str) -> Column:
+        ring = Window.partitionBy("_bucket").orderBy(F.xxhash64("_id", F.lit(i + 1), F.lit(seed)), "_id")
+        first = F.first(c).over(ring.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        return F.coalesce(F.lead(c).over(ring), first).alias(f"_donor_{i}")
+
+    paired = dealt.select(*features, *[donor(i, c) for i, c in enumerate(features)])
+    trials = paired.withColumn("trial", F.explode(F.sequence(F.lit(0), F.lit(len(features)))))
+    swapped = trials.select(
+        "trial",
+        *[F.when(F.col("trial") == i + 1, F.col(f"_donor_{i}")).otherwise(F.col(c)).alias(c) for i, c in enumerate(features)],
+    )
+    rates = score_forest(swapped, model.forest).groupBy("trial").agg(F.avg(F.col("if_flag").cast("double")).alias("rate"))
+    # One row per feature.
+    found = {r["trial"]: r["rate"] for r in rates.collect()}
     result = [(c, abs(found[i + 1] - found[0])) for i, c in enumerate(features)]
     return rank_features(normals.sparkSession.createDataFrame(result, "feature string, importance double"))
 

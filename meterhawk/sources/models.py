@@ -1,13 +1,15 @@
 """Versioned model store: one folder per version holding four Parquet tables.
 
 The meta table is written last and marks a version complete. A version whose feature list differs
-from the current one, or that cannot be read, is discarded.
+from the current one is removed from the run's own store. One that cannot be read is passed over, so that the
+caller fits anew, and stays: the failure may be a passing one.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,15 +57,18 @@ def model_is_current(features: list[str], expected: list[str] = S.MODEL_FEATURES
     return list(features) == list(expected)
 
 
-def load_model(spark: SparkSession, root: str, version: int, expected: list[str] = S.MODEL_FEATURES) -> Model | None:
-    """The stored version, or null (and the version removed) when it is stale or broken."""
+def load_model(
+    spark: SparkSession, root: str, version: int, expected: list[str] = S.MODEL_FEATURES, own: bool = True
+) -> Model | None:
+    """The stored version, or null when it is stale (then removed from an ``own`` store) or cannot be read."""
     base = version_path(root, version)
     if not exists(spark, f"{base}/meta"):
         return None
     try:
         meta = spark.read.schema(META_SCHEMA).parquet(f"{base}/meta").first()
         if not model_is_current(meta["features"], expected):
-            delete(spark, base)
+            if own:
+                delete(spark, base)
             return None
         params = {r["feature"]: r for r in spark.read.schema(SCALER_SCHEMA).parquet(f"{base}/scaler").collect()}
         scaler = Scaler(
@@ -75,10 +80,10 @@ def load_model(spark: SparkSession, root: str, version: int, expected: list[str]
         forest = load_forest(nodes, meta["features"], meta["cut"])
         if not forest.trees:
             raise KeyError("forest")
-    except (PySparkException, KeyError, TypeError):
-        delete(spark, base)
+        covariance = _load_covariance(spark, base, meta["has_covariance"])
+    except (PySparkException, Py4JJavaError, KeyError, TypeError):
         return None
-    return Model(scaler, forest, _load_covariance(spark, base, meta["has_covariance"]), meta["contamination"])
+    return Model(scaler, forest, covariance, meta["contamination"])
 
 
 def _load_covariance(spark: SparkSession, base: str, stored: bool) -> Covariance | None:
@@ -89,11 +94,13 @@ def _load_covariance(spark: SparkSession, base: str, stored: bool) -> Covariance
     return Covariance(row["columns"], row["location"], row["precision"], row["threshold"])
 
 
-def latest_model(spark: SparkSession, root: str, upto: int | None = None) -> tuple[int, Model] | None:
+def latest_model(
+    spark: SparkSession, root: str, upto: int | None = None, own: bool = True
+) -> tuple[int, Model] | None:
     """Newest usable version (not after ``upto``)."""
     versions = partition_numbers(spark, f"{root.rstrip('/')}/models", "version")
     for version in reversed([v for v in versions if upto is None or v <= upto]):
-        model = load_model(spark, root, version)
+        model = load_model(spark, root, version, own=own)
         if model:
             return version, model
     return None

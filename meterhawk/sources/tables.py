@@ -61,12 +61,23 @@ def read_results(spark: SparkSession, root: str, table: str) -> DataFrame:
     return spark.read.schema(table_schema(table)).parquet(path)
 
 
+def show_batch(spark: SparkSession, root: str, table: str, batch_id: int) -> None:
+    """Make a written batch visible under the table's name, where that name stands for this root."""
+    if not spark.catalog.tableExists(table):
+        return
+    place = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'").first()
+    path = table_path(root, table)
+    if place and place["data_type"].split(":", 1)[-1].rstrip("/") == path.split(":", 1)[-1]:
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION (batch_id = {batch_id}) LOCATION '{path}/batch_id={batch_id}'")
+
+
 def write_batch(df: DataFrame, root: str, table: str, batch_id: int, rows: int | None = None) -> None:
     """Overwrite one batch of a table. ``rows`` (when known) keeps small batches in few files."""
     if rows is not None:
         df = df.coalesce(max(1, -(-rows // ROWS_PER_FILE)))
     path = f"{table_path(root, table)}/batch_id={batch_id}"
     evolve(df, S.RESULT_TABLES[table]).write.mode("overwrite").parquet(path)
+    show_batch(df.sparkSession, root, table, batch_id)
 
 
 def stored_trip_columns() -> dict[str, Column]:
@@ -130,7 +141,13 @@ def jdbc_options(url: str, table: str, user: str, password: str, **extra) -> dic
     return {"url": url, "dbtable": table, "user": user, "password": password, **extra}
 
 
+JDBC_SPLIT = ("partitionColumn", "lowerBound", "upperBound", "numPartitions")
+
+
 def read_jdbc(spark: SparkSession, options: dict[str, str]) -> DataFrame:
+    """Read a table in parallel slices of a column; without them one task would read it all."""
+    if missing := [name for name in JDBC_SPLIT if name not in options]:
+        raise ValueError(f"a parallel read needs {', '.join(missing)}")
     reader: DataFrameReader = spark.read.format("jdbc")
     return reader.options(**options).load()
 

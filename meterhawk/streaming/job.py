@@ -1,4 +1,9 @@
-"""Micro-batch scoring: guard, buffer, retrain, score, vote, explain, store, measure.
+"""Micro-batch scoring: buffer, retrain, score, vote, explain, store, measure.
+
+Every clean row of every batch is stored. A small batch is scored like any other; it only does not set off or count
+towards a retraining. While no model exists, rows are stored without a score, with the reason of the rule they
+break, and kept whole aside; the first model scores them and puts them in their batch's place. These are fewer
+rows than a first training needs.
 
 Row-wise work (decoding, features, the validity flag) runs ahead of ``foreachBatch`` as one plan. The
 callback works on one cached frame; only counts and score extremes reach the driver.
@@ -33,7 +38,7 @@ def batch_counts(df: DataFrame, flag: str = "is_clean") -> tuple[int, int]:
 
 
 def batch_guard(raw: int, clean: int, n: int = S.MIN_BATCH_ROWS) -> bool:
-    """Whether a batch has enough rows to be worth scoring."""
+    """Whether a batch has enough rows to count towards a retraining."""
     return raw >= n and clean >= n
 
 
@@ -59,6 +64,13 @@ def explain_scores(scored: DataFrame, bounds: dict[str, float]) -> DataFrame:
     )
 
 
+def unscored(clean: DataFrame) -> DataFrame:
+    """Rows to store before any model exists: no score or flag, but the reason of a broken rule."""
+    df = clean.withColumn("anomaly_score", F.lit(None).cast("double"))
+    broken = rules.violates()
+    return df.withColumns({"reason": F.when(broken, rules.reason()), "reason_code": F.when(broken, rules.reason_code())})
+
+
 def at_once(spark: SparkSession, *actions) -> None:
     """Run independent Spark actions side by side; the first failure is raised."""
     inherit = inheritable_thread_target(spark)
@@ -93,8 +105,9 @@ class ScoringJob:
         started = time.time()
         spark = batch.sparkSession
         records, clean_rows = batch_counts(batch)
-        if not batch_guard(records, clean_rows):
+        if not clean_rows:
             return
+        counts = batch_guard(records, clean_rows)
         clean = batch.filter("is_clean")
         state = ST.read_state(spark, self.root, batch_id, self._left)
         held = self._current_model(spark, state, batch_id)
@@ -104,20 +117,38 @@ class ScoringJob:
 
         beside = []
         retrained = False
-        if ST.should_retrain(state, held is not None, self.retrain_every):
+        if ST.should_retrain(state, held is not None, self.retrain_every) and (counts or held is None):
             buffer()
             fresh = self._retrain(spark, batch_id, held[1] if held else None)
             retrained = fresh is not None
+            if held is None and fresh:
+                self._score_waiting(spark, fresh[1], batch_id)
             held = fresh or held
         else:
             beside.append(buffer)
-        after = ST.State(state.processed_batches + 1, held[0] if held else None)
+        after = ST.State(state.processed_batches + counts, held[0] if held else None)
         if held is None:
+            at_once(
+                spark,
+                lambda: ST.put_waiting(clean, self.root, batch_id, records),
+                lambda: tables.write_batch(tables.to_stored(unscored(clean)), self.root, "scored_trips", batch_id, clean_rows),
+            )
             self._leave(spark, batch_id, after)
             return
 
         self._held = held
-        scored = score_ensemble(clean, held[1], self.mode).persist(StorageLevel.MEMORY_AND_DISK)
+        found = self._store(clean, held[1], batch_id, clean_rows, beside)
+        metrics = batch_metrics(records, clean_rows, found, time.time() - started, retrained)
+        at_once(
+            spark,
+            lambda: tables.write_metrics(spark, self.root, batch_id, metrics),
+            lambda: self._leave(spark, batch_id, after),
+        )
+
+    def _store(self, clean: DataFrame, model: Model, batch_id: int, rows: int, beside=()) -> int:
+        """Score, explain and store the rows of one batch, with other actions beside; returns its anomalies."""
+        spark = clean.sparkSession
+        scored = score_ensemble(clean, model, self.mode).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             bounds = scored.agg(
                 F.sum("is_anomaly").alias("anomalies"),
@@ -131,7 +162,7 @@ class ScoringJob:
             explained = tables.to_stored(explain_scores(scored, bounds.asDict()))
             at_once(
                 spark,
-                lambda: tables.write_batch(explained, self.root, "scored_trips", batch_id, clean_rows),
+                lambda: tables.write_batch(explained, self.root, "scored_trips", batch_id, rows),
                 *beside,
             )
         finally:
@@ -143,12 +174,18 @@ class ScoringJob:
             lambda: tables.write_anomalies(anomalies, self.root, batch_id, found),
             lambda: tables.write_normal_sample(normals, self.root, batch_id, order),
         )
-        metrics = batch_metrics(records, clean_rows, found, time.time() - started, retrained)
-        at_once(
-            spark,
-            lambda: tables.write_metrics(spark, self.root, batch_id, metrics),
-            lambda: self._leave(spark, batch_id, after),
-        )
+        return found
+
+    def _score_waiting(self, spark: SparkSession, model: Model, batch_id: int) -> None:
+        """Score the batches stored before the first model."""
+        for waiting in ST.waiting_batches(spark, self.root, batch_id):
+            started = time.time()
+            rows, records = ST.read_waiting(spark, self.root, waiting)
+            n = rows.count()
+            found = self._store(rows, model, waiting, n)
+            metrics = batch_metrics(records, n, found, time.time() - started, False)
+            tables.write_metrics(spark, self.root, waiting, metrics)
+            ST.drop_waiting(spark, self.root, waiting)
 
     def _leave(self, spark: SparkSession, batch_id: int, state: ST.State) -> None:
         ST.write_state(spark, self.root, batch_id, state)
@@ -164,7 +201,7 @@ class ScoringJob:
                 return version, model
         found = latest_model(spark, self.root, batch_id - 1)
         if found is None and self.warm_root:
-            warm = latest_model(spark, self.warm_root)
+            warm = latest_model(spark, self.warm_root, own=False)
             found = (-1, warm[1]) if warm else None
         return found
 

@@ -73,6 +73,25 @@ def trim_buffer(spark: SparkSession, root: str, oldest: int) -> None:
             delete(spark, f"{root}/buffer/batch_id={number}")
 
 
+def put_waiting(df: DataFrame, root: str, batch_id: int, records: int) -> None:
+    """Keep a batch that came before the first model, with its number of raw records."""
+    kept = df.withColumn("_records", F.lit(records).cast("long"))
+    kept.write.mode("overwrite").parquet(f"{root}/waiting/batch_id={batch_id}")
+
+
+def waiting_batches(spark: SparkSession, root: str, before: int) -> list[int]:
+    return [n for n in partition_numbers(spark, f"{root}/waiting", "batch_id") if n < before]
+
+
+def read_waiting(spark: SparkSession, root: str, batch_id: int) -> tuple[DataFrame, int]:
+    df = spark.read.parquet(f"{root}/waiting/batch_id={batch_id}")
+    return df.drop("_records"), df.first()["_records"]
+
+
+def drop_waiting(spark: SparkSession, root: str, batch_id: int) -> None:
+    delete(spark, f"{root}/waiting/batch_id={batch_id}")
+
+
 def should_retrain(state: State, has_model: bool, every: int = S.RETRAIN_EVERY) -> bool:
     """Without a model always; else at every ``every``-th processed batch, not at the first."""
     if not has_model:

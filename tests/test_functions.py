@@ -137,7 +137,14 @@ def test_histogram_matches_numpy(spark):
     x = np.random.default_rng(2).gamma(2, 3, 2000)
     df = spark.createDataFrame([(float(v),) for v in x], "x double")
     got = {r.bin: r.rows for r in histogram(df, "x", 10).collect()}
-    assert [got.get(i, 0) for i in range(10)] == np.histogram(x, 10)[0].tolist()
+    assert [got[i] for i in range(10)] == np.histogram(x, 10)[0].tolist()
+
+
+def test_histogram_has_every_bin_of_every_group(spark):
+    df = spark.createDataFrame([("a", 0.0), ("a", 1.0), (None, 0.5), ("b", None)], "g string, x double")
+    rows = {(r.g, r.bin): r.rows for r in histogram(df, "x", 4, ["g"]).collect()}
+    assert rows == {**{("a", i): n for i, n in enumerate((1, 0, 0, 1))}, **{(None, i): n for i, n in enumerate((0, 0, 1, 0))}}
+    assert histogram(df.filter("g = 'b'"), "x", 4).isEmpty()
 
 
 def test_votes_are_nested(spark):

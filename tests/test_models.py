@@ -215,7 +215,14 @@ def test_stale_and_broken_models_are_discarded(spark, trained, tmp_path):
     MO.save_model(spark, root, 2, nodes, model)
     delete(spark, f"{root}/models/version=2/scaler")
     assert MO.latest_model(spark, root) is None
+    MO.save_model(spark, root, 4, nodes, model)
+    for part in (tmp_path / "models/version=4/forest").glob("*.parquet"):
+        (part.parent / f".{part.name}.crc").unlink(missing_ok=True)
+        part.write_bytes(part.read_bytes()[: part.stat().st_size // 2])
+    assert MO.load_model(spark, root, 4) is None and (tmp_path / "models/version=4/meta").exists()
     MO.save_model(spark, root, 3, nodes, model)
+    assert MO.load_model(spark, root, 3, S.MODEL_FEATURES[:-1], own=False) is None
+    assert MO.latest_model(spark, root)[0] == 3
     delete(spark, f"{root}/models/version=3/covariance")
     assert MO.load_model(spark, root, 3).covariance is None
 

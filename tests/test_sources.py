@@ -119,7 +119,8 @@ def test_result_tables_are_created_kept_and_dropped(spark, tmp_path):
         "throughput_eps": 2.0, "estimated_cost_usd": 0.1, "model_retrained": True,
     })
     TA.create_result_tables(spark, root)
-    spark.sql("MSCK REPAIR TABLE pipeline_metrics")
+    TA.create_result_tables(spark, f"{root}/other")
+    assert spark.table("pipeline_metrics").count() == 1
     row = spark.table("pipeline_metrics").first()
     assert (row.batch_id, row.records_processed, row.model_retrained) == (4, 10, True)
     TA.drop_result_tables(spark, root)
@@ -127,6 +128,11 @@ def test_result_tables_are_created_kept_and_dropped(spark, tmp_path):
     assert TA.read_results(spark, root, "pipeline_metrics").isEmpty()
 
 
+def test_database_reads_must_be_split(spark):
+    with pytest.raises(ValueError, match="numPartitions"):
+        TA.read_jdbc(spark, TA.jdbc_options("jdbc:postgresql://h/db", "t", "u", "p", partitionColumn="batch_id"))
+
+
 def test_old_files_gain_new_columns(spark, tmp_path):
     path = f"{tmp_path}/normal_trips/batch_id=0"
     spark.range(3).select(F.lit("green").alias("taxi_type"), F.lit(9.0).alias("fare_amount")).write.parquet(path)

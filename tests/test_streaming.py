@@ -27,7 +27,7 @@ def write_messages(spark, sf_dir, path, files, small=None):
 
 @pytest.fixture(scope="module")
 def run(spark, sf_dir, tmp_path_factory):
-    """Eight files, one of them too small to score; retraining every third processed batch."""
+    """Eight files, one of them too small to count; retraining every third counted batch."""
     base = tmp_path_factory.mktemp("stream")
     write_messages(spark, sf_dir, f"{base}/drop", 8, small=2)
     job = ScoringJob(f"{base}/out", trees=10, sample=32, retrain_every=3, buffer_rows=150)
@@ -46,23 +46,26 @@ def batches(spark, run):
     return sorted(r.batch_id for r in table(spark, run, "pipeline_metrics").collect())
 
 
-def test_small_batch_is_skipped(spark, run):
-    done = batches(spark, run)
-    assert len(done) == 7 and len(set(range(8)) - set(done)) == 1
+def test_small_batch_is_scored(spark, run):
+    assert batches(spark, run) == list(range(8))
+    small = table(spark, run, "pipeline_metrics").orderBy("records_processed").first()
+    rows = table(spark, run, "scored_trips").filter(F.col("batch_id") == small.batch_id)
+    assert small.records_processed <= 5 and rows.count() > 0
+    assert rows.filter("anomaly_score IS NULL OR is_anomaly IS NULL").isEmpty()
 
 
-def test_retrains_at_processed_batches(spark, run):
+def test_retrains_at_counted_batches(spark, run):
     rows = table(spark, run, "pipeline_metrics").orderBy("batch_id").collect()
-    assert [i for i, r in enumerate(rows) if r.model_retrained] == [0, 3, 6]
+    counted = [r for r in rows if batch_guard(r.records_processed, r.records_processed)]
+    assert len(counted) == 7
+    assert [i for i, r in enumerate(counted) if r.model_retrained] == [0, 3, 6]
 
 
 def test_stream_result_equals_batch_result(spark, run):
-    skipped = (set(range(8)) - set(batches(spark, run))).pop()
     decoded = ME.decode_trips(spark.read.parquet(f"{run[0]}/drop"))
     whole = stream_features(decoded).select("trip_distance", "fare_amount", F.round("avg_speed_kmh", 6))
     stored = table(spark, run, "scored_trips").select("trip_distance", "fare_amount", F.round("avg_speed_kmh", 6))
-    assert stored.exceptAll(whole).isEmpty()
-    assert 0 <= whole.count() - stored.count() <= 5 and skipped >= 0
+    assert stored.exceptAll(whole).isEmpty() and whole.exceptAll(stored).isEmpty()
 
 
 def test_tables_agree_with_each_other(spark, run):
@@ -110,7 +113,7 @@ def test_replayed_batch_changes_nothing(spark, run):
     )
     again(flagged_stream_features(ME.decode_trips(raw)), last)
     assert content() == before
-    assert table(spark, run, "pipeline_metrics").count() == 7
+    assert table(spark, run, "pipeline_metrics").count() == 8
 
 
 def test_listener_saw_the_batches(run):
@@ -132,16 +135,33 @@ def test_warm_start_scores_without_training(spark, run, sf_dir, tmp_path):
     assert not row.model_retrained and row.records_processed > 900
 
 
-def test_unscored_batch_is_counted(spark, sf_dir, tmp_path):
-    write_messages(spark, sf_dir, f"{tmp_path}/drop", 40)
+def test_rows_before_the_first_model_are_stored_then_scored(spark, sf_dir, tmp_path):
+    write_messages(spark, sf_dir, f"{tmp_path}/drop", 8)
+    every = [r.value for r in spark.read.parquet(f"{tmp_path}/drop").orderBy("value").limit(124).collect()]
     job = ScoringJob(f"{tmp_path}/out", trees=5, sample=16)
-    few = ME.read_drop_folder(spark, f"{tmp_path}/drop", max_files=1)
-    raw = spark.read.parquet(f"{tmp_path}/drop").limit(24).select("value", F.lit("f").alias("arrival_source"), F.monotonically_increasing_id().alias("arrival_pos"))
-    job(flagged_stream_features(ME.decode_trips(raw)), 0)
-    assert few.isStreaming
-    assert ST.read_state(spark, job.root, 1) == ST.State(1, None)
+
+    def feed(batch_id, values):
+        raw = spark.createDataFrame([(v, "f", batch_id * 1000 + i) for i, v in enumerate(values)], "value string, arrival_source string, arrival_pos long")
+        features = flagged_stream_features(ME.decode_trips(raw))
+        job(features, batch_id)
+        return features.filter("is_clean").count()
+
+    clean = [feed(0, every[:24]), feed(1, every[24:29])]
+    assert ST.read_state(spark, job.root, 2) == ST.State(1, None)
+    stored = TA.read_results(spark, job.root, "scored_trips")
+    assert stored.count() == sum(clean) and stored.filter("is_anomaly IS NOT NULL OR if_score IS NOT NULL").isEmpty()
+    assert stored.filter("(reason IS NULL) <> (reason_code IS NULL) OR reason_code = 'statistical'").isEmpty()
     assert TA.read_results(spark, job.root, "pipeline_metrics").isEmpty()
 
+    clean.append(feed(2, every[29:123]))
+    clean.append(feed(3, every[123:]))
+    scored = TA.read_results(spark, job.root, "scored_trips")
+    assert scored.count() == sum(clean)
+    assert scored.filter("is_anomaly IS NULL OR anomaly_score IS NULL OR isnan(anomaly_score)").isEmpty()
+    metrics = {r.batch_id: r for r in TA.read_results(spark, job.root, "pipeline_metrics").collect()}
+    assert metrics[0].records_processed == 24 and metrics[1].records_processed == 5 and metrics[2].model_retrained
+    assert ST.waiting_batches(spark, job.root, 10) == []
+
 
 def test_raw_lake_keeps_every_trip(spark, run, tmp_path):
     stream = ME.decode_trips(ME.read_drop_folder(spark, f"{run[0]}/drop"))
