@@ -586,10 +586,10 @@ def min_max_scaled(spark, d):
 def _histogram_sql(column: str, bins: int, by: str | None = None) -> str:
     """Every bin of every group, empty ones with 0 rows."""
     key = f"{by}, " if by else ""
-    groups = f"(SELECT DISTINCT {by} FROM rows_in) g, " if by else ""
+    groups = f"(SELECT DISTINCT {by} FROM rows_in) g CROSS JOIN " if by else ""
     using = f"({key}bin)"
     return f"""SELECT {key}CAST(bin AS INT) AS bin, round(mn + w * bin, 9) AS low, round(mn + w * (bin + 1), 9) AS high, coalesce(c.rows, 0) AS rows
-    FROM {groups}range({bins}) b(bin), (SELECT min({column}) AS mn, (max({column}) - min({column})) / {bins}e0 AS w FROM rows_in) s
+    FROM {groups}range({bins}) b(bin) CROSS JOIN (SELECT min({column}) AS mn, (max({column}) - min({column})) / {bins}e0 AS w FROM rows_in) s
     LEFT JOIN (SELECT {key}least(floor(({column} - lo) / ((hi - lo) / {bins}e0)), {bins - 1})::BIGINT AS bin, count(*) AS rows
           FROM rows_in, (SELECT min({column}) AS lo, max({column}) AS hi FROM rows_in) GROUP BY ALL) c USING {using}"""
 
@@ -1004,7 +1004,7 @@ def score_distribution(spark, d):
     + """, span AS (SELECT is_anomaly, min(anomaly_score) AS mn, (max(anomaly_score) - min(anomaly_score)) / 10e0 AS w FROM scored GROUP BY 1)
     SELECT CASE is_anomaly WHEN 1 THEN 'anomaly' ELSE 'normal' END AS class, CAST(bin AS INT) AS bin,
     round(mn + w * bin, 9) AS low, round(mn + w * (bin + 1), 9) AS high, coalesce(c.rows, 0) AS rows
-    FROM span, range(10) b(bin)
+    FROM span CROSS JOIN range(10) b(bin)
     LEFT JOIN (SELECT is_anomaly, least(floor((anomaly_score - mn) / w), 9)::BIGINT AS bin, count(*) AS rows
           FROM scored JOIN span USING (is_anomaly) GROUP BY ALL) c USING (is_anomaly, bin)"""
 )
