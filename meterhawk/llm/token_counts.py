@@ -23,9 +23,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterhawk.llm import bpe
-from meterhawk.llm.common import Scratch
+from meterhawk.llm.common import Scratch, text_of
 
 BLOCK_TOKENS = 1 << 18
+# Documents encoded at a time.
+ENCODED_ROWS = 200
 RUN_BLOCKS = 1024
 
 
@@ -57,11 +59,35 @@ def _flat_task(end: int, block_tokens: int):
     return run
 
 
-def write_flat(encoded: DataFrame, end: int, scratch: Scratch, block_tokens: int = BLOCK_TOKENS) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(staged table, its blocks (file, number, tokens), its manifest (file, place, doc_id)) of (doc_id, ids)."""
-    table = scratch.put(
-        encoded.mapInArrow(_flat_task(end, block_tokens), "file long, number long, tokens binary, doc_id long"), "flat"
-    )
+def _encode_task(ranks: bytes, pattern: str):
+    """(doc_id, ids) of (doc_id, text), a few documents at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = bpe.text_encoder(ranks, pattern)
+        for batch in batches:
+            for start in range(0, batch.num_rows, ENCODED_ROWS):
+                part = batch.slice(start, ENCODED_ROWS)
+                ids = encoder.encode_many(part.column("text").to_pylist())
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
+        encoder.forget()
+
+    return run
+
+
+def write_flat(
+    docs: DataFrame, end: int, scratch: Scratch, block_tokens: int = BLOCK_TOKENS, encode=None
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(staged table, its blocks (file, number, tokens), its manifest (file, place, doc_id)) of (doc_id, ids).
+
+    ``encode`` makes batches of (doc_id, ids) out of those of ``docs`` in the same worker, so that an executor holds half
+    the processes.
+    """
+    flat = _flat_task(end, block_tokens)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return flat(encode(batches) if encode else batches)
+
+    table = scratch.put(docs.mapInArrow(run, "file long, number long, tokens binary, doc_id long"), "flat")
     blocks = table.where("tokens IS NOT NULL").select("file", "number", "tokens")
     manifest = table.where("tokens IS NULL").select("file", F.col("number").alias("place"), "doc_id")
     return table, blocks, manifest
@@ -134,7 +160,7 @@ def document_tokens(docs: DataFrame, ranks: bytes, pattern: str) -> DataFrame:
     end = len(bpe.parse_ranks(ranks))
     if end >= 1 << 16:
         raise ValueError("16-bit files need a vocabulary below 65,536")
-    encoded = bpe.encode_documents(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), ranks, pattern)
-    _, blocks, manifest = write_flat(encoded, end, scratch)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of("text").alias("text"))
+    _, blocks, manifest = write_flat(texts, end, scratch, encode=_encode_task(ranks, pattern))
     counted = count_tokens(blocks, end, scratch)
     return scratch.result(counted.join(manifest, ["file", "place"]).select("doc_id", "n_tokens"))
