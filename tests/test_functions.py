@@ -158,3 +158,12 @@ def test_votes_are_nested(spark):
 def test_contamination_bounds(spark, rate):
     got = spark.range(1).select(blend_contamination(rate)).first()[0]
     assert 0.024 - 1e-12 <= got <= 0.04 + 1e-12
+
+
+def test_fleet_summary_keeps_every_fleet(spark):
+    from meterhawk.plans.dashboard import fleet_summary
+
+    normals = spark.createDataFrame([("yellow", 4.0), ("yellow", 6.0), (None, 3.0)], "taxi_type string, fare_amount double")
+    anomalies = spark.createDataFrame([("yellow", 9.0), ("blue", 1.0)], "taxi_type string, fare_amount double")
+    rows = {r.taxi_type: (r.total_normal, r.avg_fare, r.total_anomalies) for r in fleet_summary(normals, anomalies).collect()}
+    assert rows == {"yellow": (2, 5.0, 1), "green": (0, 0.0, 0), "blue": (0, 0.0, 1), None: (1, 3.0, 0)}
