@@ -2,9 +2,12 @@
 
 The kernel compares two windows of text by the ordered letter triples they share, letters not necessarily side by
 side: each letter skipped between two of a triple costs a factor ``LAMBDA``, up to ``GAP`` skipped at a
-time. So ``idiot`` is close to ``i-d-i-o-t``, ``i d i o t`` and ``idxiot``. White space counts as a letter, so that
-openings of words are told from their insides. A window starts before a word and takes the triples that start in
-its first ``REACH`` characters; its feature vector is divided by its length.
+time. So ``idiot`` is close to ``i-d-i-o-t``, ``i d i o t`` and ``idxiot``. Symbols stand for code points, not
+bytes. White space counts as a letter, so that openings of words are told from their insides. What stands between two
+letters and is none is one symbol: white space if it holds any, else a gap; characters without width are left out.
+A window starts before each letter that follows white space or a gap, and inside runs of more than ``REACH`` letters
+also at each ``STRIDE``-th one. It takes the triples that start in its first ``REACH`` symbols; its feature vector is
+divided by its length.
 
 Windows are mapped through ``K(landmarks, landmarks) ** -1/2`` of the kernel to the landmarks, and a squared-hinge
 support vector machine is fitted there. Documents are labelled, sentences are not: sentences of clean documents
@@ -12,6 +15,9 @@ are labelled clean, and in toxic documents the windows that look toxic are label
 their first letters open a word in toxic documents, then by the machine itself, for ``ROUNDS`` rounds. A sentence
 scores as its worst window; a document's two worst sentences and its length give its probability.
 
+Windows that start inside a word or after a gap have a machine of their own, as the same letters say less there than at
+the opening of a word. It is taught the toxic windows written into clean text, at each offset from a window's start.
+
 The machine is a weighted sum over landmarks and a landmark is a vector over triples, so the sum is folded into one
 table of triple weights. Scoring looks up each triple of the whole text once, whatever the number of landmarks.
 
@@ -24,6 +30,7 @@ empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -37,6 +44,8 @@ from meterhawk.llm.common import held_out, labelled_sample, text_of
 LAMBDA = 0.5
 GAP = 2
 REACH = 7
+# Letters from one window to the next inside a long run. Any REACH - STRIDE + 1 starts in a row are in one window.
+STRIDE = 4
 # Characters that a window's triples can touch.
 SPAN = REACH + 2 * (GAP + 1)
 SYMBOL_BITS = 6
@@ -49,6 +58,8 @@ TRAIN_WINDOWS = 2_000
 ROUNDS = 4
 # Weight of the gapped windows against all clean or all other toxic ones.
 GAPPED_SHARE = 0.3
+# Clean texts that each toxic word is written into at each offset.
+WRITTEN = 4
 RIDGE = 1e-3
 # Toxic documents that must hold an opening of a word before it is taken as telling.
 SUPPORT = 4
@@ -57,39 +68,62 @@ OPENING = 5
 
 _STEPS = [(a, b) for a in range(1, GAP + 2) for b in range(1, GAP + 2)]
 _COSTS = np.array([LAMBDA ** (a + b - 2) for a, b in _STEPS], np.float32)
-# Fixed value: the bytes that end a sentence.
-SENTENCE_ENDS = b".!?\n"
+# Fixed value: the characters that end a sentence.
+SENTENCE_ENDS = ".!?\n"
 TEXTS_AT_ONCE = 32
+DROPPED = -1
 
 
-def _symbol_table() -> np.ndarray:
-    """a-z are 1 to 26, white space is the boundary, letters of other bytes share the rest; 0 is only skipped."""
-    table = np.zeros(256, np.int32)
-    for at in range(26):
-        table[ord("a") + at] = table[ord("A") + at] = at + 1
-    table[[9, 10, 11, 12, 13, 32]] = BOUNDARY
-    table[0x80:] = BOUNDARY + 1 + np.arange(128) % (SYMBOLS - BOUNDARY - 1)
-    return table
+def _symbol(code: int) -> int:
+    """a-z are 1 to 26, white space is the boundary, other letters share the rest; 0 is a gap."""
+    if code < 0x80:
+        letter = chr(code).lower()
+        return ord(letter) - ord("a") + 1 if "a" <= letter <= "z" else BOUNDARY if code in (9, 10, 11, 12, 13, 32) else 0
+    kind = unicodedata.category(chr(code))
+    # Joiners, zero-width spaces, soft hyphens, variation selectors, and marks that are laid over a letter.
+    if kind in ("Cf", "Me") or unicodedata.combining(chr(code)) >= 200 or 0xFE00 <= code <= 0xFE0F or code in (0x34F, 0x336, 0x338):
+        return DROPPED
+    if kind[0] == "Z" or code == 0x85:
+        return BOUNDARY
+    return BOUNDARY + 1 + code % (SYMBOLS - BOUNDARY - 1) if kind[0] in "LM" else 0
 
 
-_SYMBOL_OF = _symbol_table()
-_SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
-_ENDS = np.zeros(256, bool)
-_ENDS[list(SENTENCE_ENDS)] = True
+_BASIC = 1 << 16
+_SYMBOL_OF = np.array([_symbol(code) for code in range(_BASIC)], np.int32)
 
 
-def _layout(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(symbols after a leading boundary, boundary before each word, sentence number of each word).
+def _symbols(codes: np.ndarray) -> np.ndarray:
+    out = _SYMBOL_OF[np.minimum(codes, _BASIC - 1)]
+    far = np.flatnonzero(codes >= _BASIC)
+    if len(far):
+        names, number = np.unique(codes[far], return_inverse=True)
+        out[far] = np.array([_symbol(int(code)) for code in names], np.int32)[number]
+    return out
 
-    Lead bytes of accented letters are left out, so that such a letter is one symbol and no gap.
-    """
-    codes = np.frombuffer(text, np.uint8)
-    codes = codes[(codes != 0xC2) & (codes != 0xC3)]
-    symbols = np.concatenate([[np.int32(BOUNDARY)], _SYMBOL_OF[codes]])
-    inside = ~_SPACE[codes]
-    starts = np.flatnonzero(inside & np.concatenate(([True], ~inside[:-1]))) if len(codes) else np.empty(0, np.int64)
-    return symbols, starts, np.cumsum(_ENDS[codes])[starts]
+
+def _layout(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(symbols after a leading boundary, where each window starts, sentence number of each window)."""
+    codes = np.frombuffer(text.decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
+    symbols = np.concatenate([[np.int32(BOUNDARY)], _symbols(codes)])
+    ends = np.isin(codes, np.array([ord(x) for x in SENTENCE_ENDS], np.uint32))
+    sentence = np.concatenate([[0], np.cumsum(ends)])
+    seen = symbols != DROPPED
+    symbols, sentence = symbols[seen], sentence[seen]
+
+    apart = (symbols == 0) | (symbols == BOUNDARY)
+    opens = apart & ~np.concatenate(([False], apart[:-1]))
+    run = np.cumsum(opens)[apart] - 1
+    symbols[opens] = np.where(np.bincount(run, symbols[apart] == BOUNDARY) > 0, BOUNDARY, 0)
+    kept = ~apart | opens
+    symbols, sentence, apart = symbols[kept], sentence[kept], apart[kept]
+
+    before = np.flatnonzero(apart)
+    letters = np.diff(np.append(before, len(symbols))) - 1
+    before, letters = before[letters > 0], letters[letters > 0]
+    windows = np.where(letters > REACH, 1 + (letters - 2) // STRIDE, 1)
+    turn = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
+    starts = np.repeat(before, windows) + STRIDE * turn
+    return symbols, starts, sentence[starts + 1]
 
 
 def _triple_codes(symbols: np.ndarray, step: tuple[int, int], count: int) -> np.ndarray:
@@ -102,6 +136,7 @@ def _triple_codes(symbols: np.ndarray, step: tuple[int, int], count: int) -> np.
 
 def window_triples(windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Codes and costs of all triples of windows (n, SPAN), as (n, triples)."""
+    windows = windows.astype(np.int32)
     codes = [
         _triple_codes(windows[:, at : at + SPAN].T, step, 1)[0]
         for at in range(REACH)
@@ -120,6 +155,7 @@ class Landmarks:
 
     row_of: np.ndarray
     table: np.ndarray
+    windows: np.ndarray
 
     @classmethod
     def of(cls, windows: np.ndarray) -> Landmarks:
@@ -131,7 +167,7 @@ class Landmarks:
         for number, (row, norm) in enumerate(zip(codes, _norms(codes, costs), strict=True)):
             np.add.at(table[:, number], row_of[row], costs / norm)
         table[0] = 0.0
-        return cls(row_of, table)
+        return cls(row_of, table, windows)
 
     def kernel_to(self, windows: np.ndarray) -> np.ndarray:
         """Kernel of each window to each landmark."""
@@ -196,25 +232,26 @@ def _two_worst(values: np.ndarray, sentence: np.ndarray) -> tuple[float, float]:
 
 @dataclass
 class KernelModel:
-    """Triple weights, bias, and the calibration of a document's two worst sentences and length."""
+    """Triple weights and bias of windows at the opening of a word and of those inside one, and the calibration of a
+    document's two worst sentences and length."""
 
     weights: np.ndarray
-    bias: float
+    bias: np.ndarray
     calibration: np.ndarray
     share: float | None = None
 
     @classmethod
     def constant(cls, share: float) -> KernelModel:
-        return cls(np.zeros(0, np.float32), 0.0, np.zeros(4), share)
+        return cls(np.zeros((0, 2), np.float32), np.zeros(2), np.zeros(4), share)
 
     def _gains(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Running sums, over the triples that start at each symbol, of weights and of squared costs."""
         count = len(symbols)
         padded = np.concatenate([symbols, np.zeros(SPAN, symbols.dtype)]).astype(np.intp)
         first, second = padded[:count] << 2 * SYMBOL_BITS, padded << SYMBOL_BITS
-        gain = np.zeros(count, np.float32)
+        gain = np.zeros((count, 2), np.float32)
         for skipped in range(2 * GAP + 1):
-            same = np.zeros(count, np.float32)
+            same = np.zeros((count, 2), np.float32)
             for a, b in _STEPS:
                 if a + b - 2 == skipped:
                     same += self.weights[first | second[a : a + count] | padded[a + b : a + b + count]]
@@ -224,7 +261,7 @@ class KernelModel:
         shares = [LAMBDA ** (2 * at) for at in range(GAP + 1)]
         last = sum(share * tail[at + 1 : at + 1 + len(padded)] for at, share in enumerate(shares)) * letter
         size = letter[:count] * sum(share * last[at + 1 : at + 1 + count] for at, share in enumerate(shares))
-        return tuple(np.concatenate([[0.0], np.cumsum(x, dtype=np.float64)]) for x in (gain, size))
+        return tuple(np.concatenate([np.zeros_like(x[:1], np.float64), np.cumsum(x, axis=0, dtype=np.float64)]) for x in (gain, size))
 
     def window_values(self, texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
         """Per whole text the machine's value for each window, and the windows' sentences."""
@@ -237,7 +274,9 @@ class KernelModel:
             for symbols, starts, sentence in layouts:
                 low, high = base + starts, base + np.minimum(starts + REACH, len(symbols))
                 norm = np.sqrt(np.maximum(size[high] - size[low], 1e-6))
-                out.append((((gain[high] - gain[low]) / norm + self.bias).astype(np.float32), sentence))
+                inner = (symbols[starts] != BOUNDARY).astype(np.intp)
+                values = (gain[high, inner] - gain[low, inner]) / norm + self.bias[inner]
+                out.append((values.astype(np.float32), sentence))
                 base += len(symbols) + SPAN
         return out
 
@@ -293,15 +332,79 @@ def _spaced(windows: np.ndarray) -> np.ndarray:
 
 def _best_of_docs(values: np.ndarray, of_doc: np.ndarray, docs: np.ndarray) -> np.ndarray:
     """Index of the highest window of each of ``docs``."""
+    if not len(values):
+        return np.empty(0, np.int64)
     order = np.lexsort((-values, of_doc))
     first = order[np.concatenate(([True], of_doc[order][1:] != of_doc[order][:-1]))]
     return first[np.isin(of_doc[first], docs)]
 
 
+def _values(windows: np.ndarray, folded: np.ndarray) -> np.ndarray:
+    """Weights of the windows' triples over the windows' lengths."""
+    out = np.empty(len(windows), np.float32)
+    for at in range(0, len(windows), 4096):
+        codes, costs = window_triples(windows[at : at + 4096])
+        out[at : at + 4096] = (folded[codes] * costs).sum(axis=1) / _norms(codes, costs)
+    return out
+
+
+def _fit_machine(
+    windows: np.ndarray, of_doc: np.ndarray, toxic: np.ndarray, first: np.ndarray, taught: np.ndarray, share: float,
+    marks: Landmarks, rng: np.random.Generator,
+) -> tuple[np.ndarray, float]:
+    """(weight of every triple, bias), from the windows at ``first`` and ``taught`` ones as toxic at first."""
+    root = _inverse_root(marks.kernel_to(marks.windows))
+    background = rng.permutation(np.flatnonzero(~toxic[of_doc]))[:12_000]
+    picked, hard = first, np.empty(0, np.int64)
+    folded, bias = np.zeros(TRIPLES, np.float32), 0.0
+    for _ in range(ROUNDS):
+        chosen = np.unique(np.concatenate([picked, background, hard]))
+        y = np.where(np.isin(chosen, picked), 1.0, -1.0)
+        y = np.concatenate([y, np.ones(len(taught))])
+        weight = np.where(y > 0, 1 / max((y > 0).sum(), 1), 1 / max((y < 0).sum(), 1))
+        weight[len(chosen) :] = share / max(len(taught), 1)
+        seen = np.concatenate([windows[chosen], taught])
+        w, bias = _fit_hinge(marks.kernel_to(seen) @ root, y, weight)
+        folded = marks.folded(root @ w)
+        values = _values(windows, folded) + bias
+        hard = np.unique(np.concatenate([hard, _best_of_docs(values, of_doc, np.flatnonzero(~toxic))]))
+        picked = np.union1d(first, np.flatnonzero(toxic[of_doc] & (values > 0.5)))
+    return folded, bias
+
+
+def _written_into(carriers: np.ndarray, words: np.ndarray, offset: int) -> np.ndarray:
+    """The first words of ``words`` written into ``carriers``, ``offset`` letters after their start."""
+    out = carriers.copy()
+    if offset == 0:
+        out[:, 0] = 0
+    inside = np.ones(len(words), bool)
+    for at in range(1, SPAN - offset):
+        inside &= (words[:, at] > 0) & (words[:, at] != BOUNDARY)
+        out[:, at + offset] = np.where(inside, words[:, at], out[:, at + offset])
+    return out
+
+
+def _fit_inner(windows: np.ndarray, of_doc: np.ndarray, toxic: np.ndarray, words: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, float]:
+    """The machine of the windows inside words. ``words`` are toxic windows, the commonest first."""
+    clean = np.flatnonzero(~toxic[of_doc])
+    if not len(clean) or not len(words):
+        return np.zeros(TRIPLES, np.float32), -1.0
+    words = words[:LANDMARKS]
+    taught = [
+        _written_into(windows[rng.choice(clean, len(words))], words, offset) for offset in range(STRIDE) for _ in range(WRITTEN)
+    ]
+    marks = np.concatenate([*[x[: LANDMARKS // 8] for x in taught[::WRITTEN]], windows[rng.permutation(clean)[: LANDMARKS // 4]]])
+    return _fit_machine(windows, of_doc, toxic, np.empty(0, np.int64), np.concatenate(taught), 1.0, Landmarks.of(marks), rng)
+
+
 def fit_windows(windows: np.ndarray, sentence: np.ndarray, of_doc: np.ndarray, labels: np.ndarray, weights: np.ndarray, seed: int = 5) -> KernelModel:
     """Learn from windows (n, SPAN) in document order; labels and weights are per document."""
     rng = np.random.default_rng(seed)
     toxic = labels == 1
+    front = windows[:, 0] == BOUNDARY
+    everything, all_docs = windows, of_doc
+    inner, inner_docs = windows[~front], of_doc[~front]
+    windows, of_doc = windows[front], of_doc[front]
     looks = _first_picks(windows, of_doc, toxic)
     bad_docs = np.flatnonzero(toxic)
     clean_at = np.flatnonzero(~toxic[of_doc])
@@ -322,32 +425,20 @@ def fit_windows(windows: np.ndarray, sentence: np.ndarray, of_doc: np.ndarray, l
     common_gapped = np.unique(_spaced(windows[picked[by_opening][: LANDMARKS // 4]]), axis=0)
     landmarks = np.concatenate([windows[np.concatenate([toxic_marks, clean_marks])], common_gapped])
     marks = Landmarks.of(landmarks)
-    root = _inverse_root(marks.kernel_to(landmarks))
-    background = rng.permutation(clean_at)[:12_000]
-    hard = np.empty(0, np.int64)
-    folded, bias = np.zeros(TRIPLES, np.float32), 0.0
-    for _ in range(ROUNDS):
-        chosen = np.unique(np.concatenate([picked, background, hard]))
-        y = np.where(np.isin(chosen, picked), 1.0, -1.0)
-        y = np.concatenate([y, np.ones(len(gapped))])
-        weight = np.where(y > 0, 1 / max((y > 0).sum(), 1), 1 / max((y < 0).sum(), 1))
-        weight[len(chosen) :] = GAPPED_SHARE / max(len(gapped), 1)
-        seen = np.concatenate([windows[chosen], gapped])
-        w, bias = _fit_hinge(marks.kernel_to(seen) @ root, y, weight)
-        folded = marks.folded(root @ w)
-        codes_of = [window_triples(windows[at : at + 20_000]) for at in range(0, len(windows), 20_000)]
-        values = np.concatenate([(folded[c] * k).sum(axis=1) / _norms(c, k) for c, k in codes_of] or [np.empty(0)]) + bias
-        del codes_of
-        hard = np.unique(np.concatenate([hard, _best_of_docs(values, of_doc, np.flatnonzero(~toxic))]))
-        picked = np.union1d(first, np.flatnonzero(toxic[of_doc] & (values > 0.5)))
-    cuts = np.searchsorted(of_doc, np.arange(len(labels) + 1))
+    table, bias = _fit_machine(windows, of_doc, toxic, first, gapped, GAPPED_SHARE, marks, rng)
+    inner_table, inner_bias = _fit_inner(inner, inner_docs, toxic, windows[picked[by_opening]], rng)
+    values = np.empty(len(everything), np.float32)
+    values[front] = _values(windows, table) + bias
+    values[~front] = _values(inner, inner_table) + inner_bias
+    cuts = np.searchsorted(all_docs, np.arange(len(labels) + 1))
     features = np.array(
         [
             (*_two_worst(values[a:b], sentence[a:b]), np.log1p(b - a))
             for a, b in zip(cuts[:-1], cuts[1:], strict=True)
         ]
     )
-    return KernelModel(folded, bias, _fit_logistic(features, labels.astype(float), weights))
+    calibration = _fit_logistic(features, labels.astype(float), weights)
+    return KernelModel(np.stack([table, inner_table], axis=1), np.array([bias, inner_bias]), calibration)
 
 
 def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -386,7 +477,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = TRAIN_DOCS) -> Kern
     sentence = np.concatenate([np.frombuffer(r["sentences"], np.int32) for r in taken])
     of_doc = np.repeat(np.arange(len(taken)), sizes)
     weights = np.array([totals[0] / held[0], totals[1] / held[1]])[given]
-    return fit_windows(np.concatenate(windows).astype(np.int32), sentence, of_doc, given, weights)
+    return fit_windows(np.concatenate(windows), sentence, of_doc, given, weights)
 
 
 def _score_task(model: KernelModel):
