@@ -16,6 +16,8 @@ from meterhawk.llm.queries import MIXTURE, VOCABULARY
 
 # Share of the tokens that the mixture takes. One epoch, so that no copy comes back.
 MIXTURE_SHARE = 0.9
+# Share of word shingles from which two documents are near copies. op1_near_dedup has a contract of its own, 0.85.
+SIMILAR = (80, 100)
 
 
 def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,7 +31,7 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near_dedup.keep_one(docs)
+    return near_dedup.keep_one(docs, similar=SIMILAR)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,9 +1,9 @@
 """Near-duplicate groups by min-max hashing of word shingles, every link confirmed on full sets.
 
 Under each permutation of the shingle hashes both the least and the greatest value are kept, so a signature
-needs half the hash evaluations of one that keeps the least only. Bands of ``BAND_ROWS`` values, one half
-from the minima and one from the maxima, deal documents into buckets. At the threshold of 0.85 two documents
-share none of the 32 bands with a chance of 3 in 10 million.
+needs half the hash evaluations of one that keeps the least only. Bands of values, one half from the minima and one
+from the maxima, deal documents into buckets. ``band_rows`` derives their size from the threshold, so that two documents
+at it share no band with a chance of ``MISSED`` at most: 6 rows at 0.85 (3 in 10 million), 4 rows at 0.80 (1 in 100 billion).
 
 Documents with the same shingle set are one node from the start. No step writes out all pairs of a bucket. First
 the least id of each bucket is compared with its other members, links are confirmed on the full shingle sets, and
@@ -38,7 +38,8 @@ from meterhawk.llm.components import star_labels
 
 SHINGLE_WORDS = 5
 PERMUTATIONS = 96
-BAND_ROWS = 6
+# Chance that two documents just at the threshold meet in no band.
+MISSED = 5e-7
 SIMILAR = (85, 100)
 SEED = 1_315_423_911
 # Members of a bucket that one task compares with as many others.
@@ -100,7 +101,14 @@ def minmax(hashes: np.ndarray, factors: np.ndarray, addends: np.ndarray) -> tupl
     return low, high
 
 
-def band_keys(low: np.ndarray, high: np.ndarray, rows: int = BAND_ROWS) -> np.ndarray:
+def band_rows(similar: tuple[int, int], count: int = PERMUTATIONS) -> int:
+    """The most rows of a band with which pairs at the threshold are missed no more often than ``MISSED``."""
+    share = similar[0] / similar[1]
+    fitting = [rows for rows in range(1, count + 1) if count % rows == 0 and (1 - share**rows) ** (2 * count // rows) <= MISSED]
+    return max(fitting, default=1)
+
+
+def band_keys(low: np.ndarray, high: np.ndarray, rows: int) -> np.ndarray:
     """One 64-bit key for each band of minima and of maxima; bands never share a key by position."""
     values = np.concatenate([low, high]).reshape(-1, rows)
     keys = np.arange(1, len(values) + 1, dtype=np.uint64)
@@ -109,19 +117,22 @@ def band_keys(low: np.ndarray, high: np.ndarray, rows: int = BAND_ROWS) -> np.nd
     return keys.view(np.int64)
 
 
-def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    factors, addends = permutations()
-    for batch in batches:
-        sizes, digests, bands = [], [], []
-        for text in batch.column("text").to_pylist():
-            found = shingles(text)
-            sizes.append(len(found))
-            digests.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None)
-            bands.append(band_keys(*minmax(found, factors, addends)) if len(found) else None)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
-            names=["id", "n_shingles", "digest", "bands"],
-        )
+def _signatures(rows: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        factors, addends = permutations()
+        for batch in batches:
+            sizes, digests, bands = [], [], []
+            for text in batch.column("text").to_pylist():
+                found = shingles(text)
+                sizes.append(len(found))
+                digests.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None)
+                bands.append(band_keys(*minmax(found, factors, addends), rows) if len(found) else None)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
+                names=["id", "n_shingles", "digest", "bands"],
+            )
+
+    return run
 
 
 def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,7 +277,7 @@ def near_duplicates(
     content = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), content.alias("text"))
     signed = scratch.put(
-        rows.mapInArrow(_signatures, "id long, n_shingles long, digest binary, bands array<long>"), "signatures"
+        rows.mapInArrow(_signatures(band_rows(similar)), "id long, n_shingles long, digest binary, bands array<long>"), "signatures"
     )
     can_link = F.col("digest").isNotNull() & F.col("id").isNotNull()
     full = signed.where(can_link)
