@@ -128,8 +128,8 @@ def _signatures(rows: int):
                 digests.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None)
                 bands.append(band_keys(*minmax(found, factors, addends), rows) if len(found) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
-                names=["id", "n_shingles", "digest", "bands"],
+                [batch.column("id"), batch.column("text_hash"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
+                names=["id", "text_hash", "n_shingles", "digest", "bands"],
             )
 
     return run
@@ -269,30 +269,36 @@ def _links(rows: DataFrame, signed: DataFrame, classes: DataFrame, scratch: Scra
     return joined
 
 
-def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: tuple[int, int] = SIMILAR
-) -> DataFrame:
-    """One row per input row: id, n_shingles, component_id (least id reachable over links), kept."""
+def _content(text_col: str) -> Column:
+    return F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).cast("binary")
+
+
+def _grouped(docs: DataFrame, id_col: str, text_col: str, similar: tuple[int, int]) -> DataFrame:
+    """One row per input row: id, text_hash, n_shingles, component_id, kept."""
     scratch = Scratch(docs.sparkSession, "near")
-    content = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), content.alias("text"))
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), _content(text_col).alias("text"))
+    hashed = rows.withColumn("text_hash", F.xxhash64("text"))
     signed = scratch.put(
-        rows.mapInArrow(_signatures(band_rows(similar)), "id long, n_shingles long, digest binary, bands array<long>"), "signatures"
+        hashed.mapInArrow(
+            _signatures(band_rows(similar)), "id long, text_hash long, n_shingles long, digest binary, bands array<long>"
+        ),
+        "signatures",
     )
     can_link = F.col("digest").isNotNull() & F.col("id").isNotNull()
     full = signed.where(can_link)
     classes = scratch.put(full.groupBy("digest").agg(F.min("id").alias("node")), "classes")
     labels = _links(rows, full, classes, scratch, similar)
     found = (
-        full.select("id", "n_shingles", "digest")
+        full.select("id", "text_hash", "n_shingles", "digest")
         .join(classes, "digest")
         .join(labels, "node", "left")
-        .select("id", "n_shingles", F.coalesce("label", "node").alias("component_id"))
+        .select("id", "text_hash", "n_shingles", F.coalesce("label", "node").alias("component_id"))
     )
-    alone = signed.where(~can_link).select("id", "n_shingles", F.col("id").alias("component_id"))
+    alone = signed.where(~can_link).select("id", "text_hash", "n_shingles", F.col("id").alias("component_id"))
     return scratch.result(
         found.unionByName(alone).select(
-            F.col("id").alias(id_col),
+            "id",
+            "text_hash",
             "n_shingles",
             "component_id",
             F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"),
@@ -300,8 +306,31 @@ def near_duplicates(
     )
 
 
+def near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: tuple[int, int] = SIMILAR
+) -> DataFrame:
+    """One row per input row: id, n_shingles, component_id (least id reachable over links), kept."""
+    groups = _grouped(docs, id_col, text_col, similar)
+    return groups.select(F.col("id").alias(id_col), "n_shingles", "component_id", "kept")
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: tuple[int, int] = SIMILAR) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns as they were."""
-    groups = near_duplicates(docs, id_col, text_col, similar)
-    gone = groups.where(~F.col("kept")).select(F.col(id_col).alias("gone_id")).distinct()
-    return docs.join(gone, F.col(f"`{id_col}`") == F.col("gone_id"), "left_anti")
+    """The rows of ``docs`` that stay, with all their columns as they were.
+
+    Rows are told apart by id and text. A group keeps exactly one row; where several rows have its least id, one with
+    the least text hash.
+    """
+    groups = _grouped(docs, id_col, text_col, similar).where("component_id IS NOT NULL AND n_shingles > 0")
+    leads = groups.where("kept").groupBy("id").agg(F.count("*").alias("rows"), F.min("text_hash").alias("text_hash"))
+    repeated = leads.where("rows > 1").select("id", F.col("text_hash").alias("kept_hash"))
+    gone = groups.where(~F.col("kept")).select(F.col("id").alias("gone_id"), F.col("text_hash").alias("gone_hash"))
+    is_gone = (F.col(f"`{id_col}`").cast("long") == F.col("gone_id")) & (F.xxhash64(_content(text_col)) == F.col("gone_hash"))
+    if repeated.isEmpty():
+        return docs.join(gone.distinct(), is_gone, "left_anti")
+    # Of rows with one id some may lead a group of their own and others may have no words: only the former are thinned.
+    more = groups.where("kept").join(repeated, "id").where("text_hash != kept_hash").select(F.col("id").alias("gone_id"), F.col("text_hash").alias("gone_hash"))
+    stay = docs.join(gone.unionByName(more).distinct(), is_gone, "left_anti")
+    again = (F.col(f"`{id_col}`").cast("long") == F.col("id")) & (F.xxhash64(_content(text_col)) == F.col("kept_hash"))
+    pick = [F.col(f"`{id_col}`").cast("long").alias("_id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")]
+    one = stay.join(repeated, again, "left_semi").select(*pick).groupBy("_id").agg(F.first("_row").alias("_row"))
+    return stay.join(repeated, again, "left_anti").unionByName(one.select(*[F.col(f"_row.`{c}`").alias(c) for c in docs.columns]))

@@ -30,3 +30,16 @@ def test_copies_from_four_fifths_are_dropped(spark):
 
 def test_bands_follow_the_threshold():
     assert near_dedup.band_rows((85, 100)) == 6 and near_dedup.band_rows((80, 100)) == 4
+
+
+def test_rows_that_repeat_an_id_are_told_apart_by_their_text(spark):
+    copy, alone, other = _pair("a", 5)[0], *_pair("b", 60)
+    rows = [
+        (1, copy, "en", "s"), (2, copy.upper(), "en", "s"), (2, alone, "en", "s"),  # the second id leads a group of its own
+        (3, other, "en", "x"), (3, other, "en", "y"), (3, other.upper(), "en", "s"), (3, "", "en", "s"), (None, copy, "en", "s"),
+    ]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    kept = near_dedup.keep_one(docs)
+    found = sorted((r.doc_id or 0, r.text.lower()) for r in kept.collect())
+    assert kept.columns == docs.columns
+    assert found == sorted([(1, copy), (2, alone), (3, other.lower()), (3, ""), (0, copy)])
