@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -897,9 +898,10 @@ def global_score(spark, d):
 
 @query()
 def offline_labelling(spark, d):
-    """The labelling job over one fleet's file, with its full-size forest."""
-    labelled, _ = LA.label_frame(fleet_file(P.trips(spark, d), "green"), "green", key=["trip_id"])
-    return labelled.select("trip_id", "is_anomaly", "ai_anomaly_score", "ai_reason")
+    """The labelling job over each fleet's file, with its full-size forest."""
+    labelled = [LA.label_frame(fleet_file(P.trips(spark, d), f), f, key=["trip_id"])[0] for f in S.FLEETS]
+    columns = "trip_id", "is_anomaly", "ai_anomaly_score", "ai_reason"
+    return reduce(DataFrame.unionByName, [frame.select(*columns) for frame in labelled])
 
 
 @query()
