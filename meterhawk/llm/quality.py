@@ -4,8 +4,8 @@ A document is a bag of passages. Every passage is encoded from its bytes and wor
 (a tanh branch times a sigmoid branch) weighs the embeddings, and the weighted sum is scored. The
 embedding, the attention and the scorer are learned together from document labels alone.
 
-The fit sees a bounded sample: ``TRAIN_DOCS`` labelled documents of each class, and of each at most
-``TRAIN_PASSAGES`` passages, evenly spaced; classes are weighted back to their shares among all labels. Scoring
+The fit sees a bounded sample: ``TRAIN_DOCS`` labelled documents of each class with all
+their passages; classes are weighted back to their shares among all labels. Scoring
 reads all passages of all documents, in the tasks that read them.
 
 Defined cases: a null or empty text, or one of white space only, is an empty bag and gets the score of an empty bag,
@@ -29,7 +29,6 @@ from meterhawk.llm.near_dedup import word_hashes
 
 PASSAGE_WORDS = 64
 TRAIN_DOCS = 2_000
-TRAIN_PASSAGES = 48
 TRIGRAM_BUCKETS = 96
 EMBEDDING = 24
 ATTENTION = 12
@@ -198,12 +197,7 @@ def fit_bags(bags: list[np.ndarray], labels: np.ndarray, weights: np.ndarray, se
 
 def _encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        bags = []
-        for text in batch.column("text").to_pylist():
-            bag = encode_passages(text)
-            if len(bag) > TRAIN_PASSAGES:
-                bag = bag[np.linspace(0, len(bag) - 1, TRAIN_PASSAGES).astype(int)]
-            bags.append(bag.tobytes())
+        bags = [encode_passages(text).tobytes() for text in batch.column("text").to_pylist()]
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), batch.column("label"), pa.array(bags, pa.binary())], names=["doc_id", "label", "bag"]
         )

@@ -21,8 +21,9 @@ the opening of a word. It is taught the toxic windows written into clean text, a
 The machine is a weighted sum over landmarks and a landmark is a vector over triples, so the sum is folded into one
 table of triple weights. Scoring looks up each triple of the whole text once, whatever the number of landmarks.
 
-The fit sees a bounded sample: ``TRAIN_DOCS`` labelled documents of each class, and of each at most
-``TRAIN_WINDOWS`` windows, evenly spaced. Defined cases: a null text is the empty text; a text without letters has no window
+The fit sees a bounded sample: ``TRAIN_DOCS`` labelled documents of each class with all their
+windows; a machine's clean windows are ``BACKGROUND`` drawn ones and, round by round, the worst of each clean document.
+Defined cases: a null text is the empty text; a text without letters has no window
 and gets the score of one whose worst sentences are clean; repeated rows get equal scores; with labels of one
 class or none every score is the smoothed share of label 1 (0.5 without labels); an empty table gives an
 empty result; other columns are ignored.
@@ -54,7 +55,8 @@ TRIPLES = SYMBOLS**3
 BOUNDARY = 27
 LANDMARKS = 256
 TRAIN_DOCS = 2_000
-TRAIN_WINDOWS = 2_000
+# Clean windows that a machine learns from besides the worst of each clean document.
+BACKGROUND = 12_000
 ROUNDS = 4
 # Weight of the gapped windows against all clean or all other toxic ones.
 GAPPED_SHARE = 0.3
@@ -350,15 +352,15 @@ def _values(windows: np.ndarray, folded: np.ndarray) -> np.ndarray:
 
 def _fit_machine(
     windows: np.ndarray, of_doc: np.ndarray, toxic: np.ndarray, first: np.ndarray, taught: np.ndarray, share: float,
-    marks: Landmarks, rng: np.random.Generator,
+    marks: Landmarks, rng: np.random.Generator, background: int = BACKGROUND,
 ) -> tuple[np.ndarray, float]:
     """(weight of every triple, bias), from the windows at ``first`` and ``taught`` ones as toxic at first."""
     root = _inverse_root(marks.kernel_to(marks.windows))
-    background = rng.permutation(np.flatnonzero(~toxic[of_doc]))[:12_000]
+    clean = rng.permutation(np.flatnonzero(~toxic[of_doc]))[:background]
     picked, hard = first, np.empty(0, np.int64)
     folded, bias = np.zeros(TRIPLES, np.float32), 0.0
     for _ in range(ROUNDS):
-        chosen = np.unique(np.concatenate([picked, background, hard]))
+        chosen = np.unique(np.concatenate([picked, clean, hard]))
         y = np.where(np.isin(chosen, picked), 1.0, -1.0)
         y = np.concatenate([y, np.ones(len(taught))])
         weight = np.where(y > 0, 1 / max((y > 0).sum(), 1), 1 / max((y < 0).sum(), 1))
@@ -446,9 +448,6 @@ def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows, sentences = [], []
         for text in batch.column("text").to_pylist():
             symbols, starts, sentence = _layout(text)
-            if len(starts) > TRAIN_WINDOWS:
-                some = np.linspace(0, len(starts) - 1, TRAIN_WINDOWS).astype(int)
-                starts, sentence = starts[some], sentence[some]
             padded = np.concatenate([symbols, np.zeros(SPAN, symbols.dtype)]).astype(np.uint8)
             windows.append(padded[starts[:, None] + np.arange(SPAN)].tobytes())
             sentences.append(sentence.astype(np.int32).tobytes())
