@@ -166,7 +166,11 @@ def find_secrets(
     added = scratch.put(new_scans(docs, rules, ledger, text_col), "ledger")
     every = added if ledger is None else ledger.select("blob", "scans").unionByName(added)
     paths = docs.select(F.col(id_col).alias("doc_id"), F.sha2(text_of(text_col), 256).alias("blob"))
-    return scratch.put(paths.join(findings(every, rules), "blob", "left"), "paths"), added
+    # Written first, so that the join stands alone and a blob of very many paths can be split.
+    found = scratch.put(findings(every, rules), "findings")
+    joined = scratch.put(paths.join(found, "blob", "left"), "paths")
+    scratch.drop(found)
+    return joined, added
 
 
 def digest(paths: DataFrame, base: tuple[Rule, ...] = BASE_RULES) -> DataFrame:
