@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from meterhawk.llm.common import Scratch
 
 TOP = 20
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 3 << 20
 SHARD_DOCS = 4096
 BLOCK_DOCS = 64
 QUERY_BYTES = 8 << 20
@@ -51,9 +51,10 @@ _PAIRS_AT_ONCE = 64
 # Fixed value: bytes that are part of a term; A to Z become lower case.
 _TABLE = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 
-_INDEX = {"ids": np.int64, "known": np.int8, "lengths": np.int64, "starts": np.int64, "docs": np.int32, "times": np.int64}
+# A shard has at most SHARD_DOCS documents and, as every text is shorter than 2 GB, fewer than 2 ** 31 postings.
+_INDEX = {"ids": np.int64, "known": np.int8, "lengths": np.int32, "starts": np.int32, "docs": np.uint16, "times": np.int32}
 _INDEX_SQL = "holding bigint, length bigint, words binary, " + ", ".join(f"{c} binary" for c in _INDEX)
-_READY = {"ids": np.int64, "known": np.int8, "codes": np.int32, "starts": np.int64, "docs": np.int32, "impacts": np.int32, "peaks": np.int32, "pairs": np.int32, "joint": np.int64}
+_READY = {"ids": np.int64, "known": np.int8, "codes": np.int32, "starts": np.int32, "docs": np.uint16, "impacts": np.int32, "peaks": np.int32, "pairs": np.int32, "joint": np.int64}
 _READY_SQL = ", ".join(f"{c} binary" for c in _READY)
 
 
@@ -113,6 +114,8 @@ def _index_task(shard_bytes: int, shard_docs: int):
 
 def build_index(docs: DataFrame, shard_bytes: int = SHARD_BYTES, shard_docs: int = SHARD_DOCS) -> DataFrame:
     """The index rows of docs (doc_id, text): one per shard, of every term."""
+    if not 0 < shard_docs <= SHARD_DOCS:
+        raise ValueError(f"a shard has 1 to {SHARD_DOCS} documents")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text"))
     return rows.mapInArrow(_index_task(shard_bytes, shard_docs), _INDEX_SQL)
 
@@ -165,7 +168,7 @@ def ready_shard(row: dict, corpus: Corpus, vocabulary: dict[bytes, int], weights
     at, codes = np.array([i for i, _ in met], np.int64), np.array([c for _, c in met], np.int32)
     postings, of = _spread(index["starts"][at], index["starts"][at + 1])
     docs = index["docs"][postings]
-    impacts = corpus.impacts(index["times"][postings], index["lengths"][docs])
+    impacts = corpus.impacts(index["times"][postings].astype(np.int64), index["lengths"][docs].astype(np.int64))
     blocks = -(-len(index["ids"]) // BLOCK_DOCS)
     peaks = np.zeros((len(codes), blocks), np.int64)
     np.maximum.at(peaks, (of, docs // BLOCK_DOCS), impacts)
@@ -338,7 +341,7 @@ def _frequency_task(sent):
         held = np.zeros(len(vocabulary), np.int64)
         for batch in batches:
             for row in batch.to_pylist():
-                sizes = np.diff(np.frombuffer(row["starts"], np.int64))
+                sizes = np.diff(np.frombuffer(row["starts"], _INDEX["starts"]))
                 for at, word in enumerate(row["words"].split()):
                     if word in vocabulary:
                         held[vocabulary[word]] += sizes[at]
