@@ -1,34 +1,47 @@
-"""Robust covariance by the minimum covariance determinant (Rousseeuw & Van Driessen 1999).
-
-Each concentration step is two distributed passes: an exact quantile of the distances picks the
-closest rows, and their counts, sums and cross-products give the next centre and covariance. Only
-those moments reach the driver. As in the paper, good starts come from a sample of fixed size and a few of
-them meet the full data. Several starts advance in the same jobs. Features may be collinear,
-so inverses and determinants use the eigenvalues above a relative tolerance.
+"""Robust covariance by the minimum covariance determinant (Rousseeuw & Van Driessen 1999), with deterministic
+starts (Hubert, Rousseeuw & Verdonck 2012).
+
+A concentration step keeps the share of rows with the least distances and takes their centre and covariance. A job
+adds up count, sums and cross-products of the rows in each class of distances, sixteen classes to a power of two; the class
+on the edge of the share and its neighbours are parted 4,096-fold. Classes and parts are taken in order until the share is
+reached; rows whose distances agree to one part in 90,000 are taken together. So no quantile and no pass over single rows is
+needed, and only the moments of the rows taken reach the driver. Where the edge was not foreseen, as in the first step, the
+job runs once more.
+
+Six starts come from all rows: the coordinate-wise centre, the half of the rows closest to it, and the correlations of
+tanh, rank and normal scores and of spatial signs, each rescaled along its own axes by robust spreads. All advance in the same
+jobs; the two tightest are run until they settle. A fit that does not settle is an error. Features may be collinear, so inverses
+and determinants use the eigenvalues above a relative tolerance.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from statistics import NormalDist
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterhawk import schema as S
-from meterhawk.operators.quantiles import exact_quantiles
+from meterhawk.operators.quantiles import coarse_distribution, coarse_quantiles, threshold
 
 RANK_TOLERANCE = 1e-10
-STARTS = 3
-SAMPLE_ROWS = 1_500
-SAMPLE_STARTS = 100
-SAMPLE_KEPT = 10
-SAMPLE_SEED = 42
-MAX_STEPS = 30
+CLASSES_PER_POWER = 16
+PARTS_OF_CLASS = 4_096
+# Class of a distance of 0, below those of all others.
+NEAREST = -(2.0**20)
+RANK_CLASSES = 16
+FIRST_SHARE = 0.5
+EARLY_STEPS = 2
+STARTS_KEPT = 2
+SETTLED = 1e-9
+# Each step tightens the volume, so a fit ends by itself; a fit that takes this long is an error, not a result.
+MOST_STEPS = 1_000
 REWEIGHT_QUANTILE = 0.975
 
 
@@ -95,159 +108,237 @@ def mahalanobis(columns: list[str], location, precision) -> Column:
     return F.expr(f"greatest({' + '.join(terms) or '0D'}, 0D)")
 
 
-def _distances(points: np.ndarray, mean: np.ndarray, precision: np.ndarray) -> np.ndarray:
-    centred = points - mean
-    return np.maximum(np.einsum("ij,jk,ik->i", centred, precision, centred, optimize=True), 0.0)
+def _products(points: np.ndarray) -> np.ndarray:
+    """Per row: one, its values, and their products in pairs; sums of these are mergeable moments."""
+    i, j = np.triu_indices(points.shape[1])
+    return np.hstack([np.ones((len(points), 1)), points, points[:, i] * points[:, j]])
 
 
-def _measure(df: DataFrame, columns: list[str], states: dict[int, tuple]) -> DataFrame:
-    """One distance column ``_d<start>`` per start."""
-    inverses = {s: (mean, pseudo_inverse(cov)) for s, (mean, cov) in states.items()}
+def _unpack(total: np.ndarray, width: int) -> tuple[int, np.ndarray, np.ndarray]:
+    """(rows, mean, covariance) of added-up products."""
+    n = total[0]
+    mean = total[1 : 1 + width] / n
+    cov = np.empty((width, width))
+    i, j = np.triu_indices(width)
+    cov[i, j] = cov[j, i] = total[1 + width :] / n - mean[i] * mean[j]
+    return int(n), mean, cov
 
-    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            points = pdf[columns].to_numpy(dtype=np.float64)
-            yield pd.DataFrame({f"_d{s}": _distances(points, m, p) for s, (m, p) in inverses.items()})
 
-    return df.mapInPandas(measure, ", ".join(f"_d{s} double" for s in states))
+def _places_of(width: int) -> int:
+    return 1 + width + width * (width + 1) // 2
 
 
-def _moments(df: DataFrame, columns: list[str], members) -> dict[int, tuple[int, np.ndarray, np.ndarray]]:
-    """(rows, mean, covariance) of each row subset.
+def _add_up(df: DataFrame, names: list[str], measure: Callable[[np.ndarray], Iterator[tuple[int, np.ndarray, np.ndarray]]]) -> DataFrame:
+    """Moments as (kind, class, place, total): a task adds up its rows, Spark adds up the tasks.
 
-    ``members`` maps a batch to {start: boolean mask}. A task adds up its rows, Spark adds up the tasks.
+    ``measure`` gives, for a batch of points, (kind, class of each row, products of each row); place counts the products.
     """
-    width = len(columns)
-
-    def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        totals: dict[int, np.ndarray] = {}
-        for pdf in batches:
-            points = pdf[columns].to_numpy(dtype=np.float64)
-            for start, mask in members(pdf, points).items():
-                chosen = points[mask]
-                part = np.concatenate(([len(chosen)], chosen.sum(axis=0), (chosen.T @ chosen).ravel()))
-                totals[start] = totals.get(start, 0.0) + part
-        for start, total in totals.items():
-            yield pd.DataFrame({"start": start, "place": np.arange(len(total)), "part": total})
-
-    parts = df.mapInPandas(add_up, "start int, place int, part double")
-    totals: dict[int, np.ndarray] = {}
-    for r in parts.groupBy("start", "place").agg(F.sum("part").alias("total")).collect():
-        totals.setdefault(r["start"], np.zeros(1 + width + width * width))[r["place"]] = r["total"]
-    result = {}
-    for start, total in totals.items():
-        n = total[0]
-        if n > 0:
-            mean = total[1 : 1 + width] / n
-            result[start] = (int(n), mean, total[1 + width :].reshape(width, width) / n - np.outer(mean, mean))
-    return result
-
-
-def _within(states: dict[int, tuple], cuts: dict[int, float]):
-    """Membership of the rows no farther than each start's cut."""
-    inverses = {s: (mean, pseudo_inverse(cov)) for s, (mean, cov) in states.items()}
-    return lambda pdf, points: {s: _distances(points, m, p) <= cuts[s] for s, (m, p) in inverses.items()}
+    width = _places_of(len(names))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: dict[tuple[int, int], np.ndarray] = {}
+        for batch in batches:
+            points = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+            if not len(points):
+                continue
+            for kind, classes, products in measure(points):
+                order = np.argsort(classes, kind="stable")
+                found, first = np.unique(classes[order], return_index=True)
+                if len(found):
+                    for c, part in zip(found.tolist(), np.add.reduceat(products[order], first)):
+                        held = totals.get((kind, c))
+                        totals[kind, c] = part if held is None else held + part
+        keys = np.array(list(totals), np.int64).reshape(-1, 2)
+        columns = [np.repeat(keys[:, 0].astype(np.int32), width), np.repeat(keys[:, 1], width), np.tile(np.arange(width, dtype=np.int32), len(keys))]
+        parts = np.concatenate([np.empty(0), *totals.values()])
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in (*columns, parts)], names=["kind", "class", "place", "part"])
+
+    parts = df.select(*names).mapInArrow(run, "kind int, class long, place int, part double")
+    return parts.groupBy("kind", "class", "place").agg(F.sum("part").alias("total"))
+
+
+def _collected(moments: DataFrame, width: int, *keys: str) -> dict:
+    """Totals as one vector per key."""
+    found: dict = {}
+    for *key, place, total in moments.select(*keys, "place", "total").collect():
+        found.setdefault(tuple(key), np.zeros(_places_of(width)))[place] = total
+    return found
+
+
+def _codes(distance: np.ndarray, near: set[int]) -> np.ndarray:
+    """Ordered codes of distances: one per class, and one per part of the classes in ``near``."""
+    with np.errstate(divide="ignore"):
+        at = np.maximum(np.log2(distance) * CLASSES_PER_POWER, NEAREST)
+    classes = np.floor(at)
+    parts = np.minimum((at - classes) * PARTS_OF_CLASS, PARTS_OF_CLASS - 1).astype(np.int64)
+    classes = classes.astype(np.int64)
+    return classes * PARTS_OF_CLASS + np.where(np.isin(classes, list(near)), parts, 0)
+
+
+def _distances(points: np.ndarray, mean: np.ndarray, precision: np.ndarray) -> np.ndarray:
+    centred = points - mean
+    return np.maximum(((centred @ precision) * centred).sum(axis=1), 0.0)
+
 
+def _closest(df: DataFrame, names: list[str], inverses: dict[int, tuple], wanted: dict[int, int], near: dict[int, set[int]]) -> DataFrame:
+    """(kind, place, total, last): moments of each start's closest rows, and the last code among them."""
 
-def _cuts(df: DataFrame, columns: list[str], states: dict[int, tuple], q: float, limits: dict) -> dict[int, float]:
-    names = {s: f"_d{s}" for s in states}
-    found = exact_quantiles(_measure(df, columns, states), list(names.values()), [q], **limits)
-    return {s: found[name][0] for s, name in names.items()}
+    def by_code(points: np.ndarray):
+        products = _products(points)
+        for s, (mean, precision) in inverses.items():
+            yield s, _codes(_distances(points, mean, precision), near[s]), products
 
+    limit = F.lit(0)
+    for s, n in wanted.items():
+        limit = F.when(F.col("kind") == s, F.lit(n)).otherwise(limit)
+    before = Window.partitionBy("kind").orderBy("class").rangeBetween(Window.unboundedPreceding, -1)
+    rows = F.coalesce(F.sum(F.when(F.col("place") == 0, F.col("total"))).over(before), F.lit(0.0))
+    inside = _add_up(df, names, by_code).withColumn("before", rows).where(F.col("before") < limit)
+    return inside.groupBy("kind", "place").agg(F.sum("total").alias("total"), F.max("class").alias("last"))
 
-def _advance(df: DataFrame, columns: list[str], states: dict[int, tuple], support: float, limits: dict):
-    """One concentration step of every start."""
-    cuts = _cuts(df, columns, states, support, limits)
-    return {s: (mean, cov) for s, (_, mean, cov) in _moments(df, columns, _within(states, cuts)).items()}
+
+def _advance(
+    df: DataFrame, names: list[str], states: dict[int, tuple], shares: dict[int, float], rows: int, near: dict[int, set[int]] | None
+) -> dict[int, tuple]:
+    """One concentration step of every start: mean and covariance of its closest rows.
+
+    ``near`` has the classes in which each start's edge is expected, and is brought up to date. Without it the class on the edge
+    is taken whole, which serves to get a start on its way.
+    """
+    inverses = {s: (mean, pseudo_inverse(cov)) for s, (mean, cov) in states.items()}
+    open_ = dict(inverses)
+    found: dict[int, tuple] = {}
+    foreseen = {} if near is None else near
+    while open_:
+        wanted = {s: math.floor(shares[s] * (rows - 1)) + 1 for s in open_}
+        found_rows = _closest(df, names, open_, wanted, {s: foreseen.get(s, set()) for s in open_}).collect()
+        for s in list(open_):
+            mine = [r for r in found_rows if r["kind"] == s]
+            moments = np.zeros(_places_of(len(names)))
+            for r in mine:
+                moments[r["place"]] = r["total"]
+            edge = mine[0]["last"] // PARTS_OF_CLASS
+            if near is None or edge in near.get(s, set()) or round(moments[0]) == wanted[s]:
+                found[s] = _unpack(moments, len(names))[1:]
+                del open_[s]
+            foreseen[s] = {edge - 1, edge, edge + 1}
+    return found
+
+
+KINDS = ("tanh", "rank", "normal", "sign")
+
+
+def _transforms(points: np.ndarray, knots: list[np.ndarray], normal: np.ndarray) -> list[np.ndarray]:
+    """The points as seen by each of ``KINDS``."""
+    ranks = np.column_stack([np.searchsorted(k, points[:, j], side="left") for j, k in enumerate(knots)])
+    length = np.linalg.norm(points, axis=1, keepdims=True)
+    sign = np.divide(points, length, out=np.zeros_like(points), where=length > 0)
+    return [np.tanh(points), ranks.astype(np.float64), normal[ranks], sign]
+
+
+def _starts(df: DataFrame, names: list[str], distributions: dict) -> dict[int, tuple]:
+    """Centres and covariances to start from; ``df`` has standardised columns."""
+    width = len(names)
+    plain = (np.zeros(width), np.eye(width))
+    knots = [coarse_quantiles(distributions[c], [k / RANK_CLASSES for k in range(1, RANK_CLASSES)]) for c in names]
+    normal = np.array([NormalDist().inv_cdf((k + 0.5) / RANK_CLASSES) for k in range(RANK_CLASSES)])
+
+    def by_kind(points: np.ndarray):
+        for kind, seen in enumerate(_transforms(points, knots, normal)):
+            yield kind, np.zeros(len(seen), np.int64), _products(seen)
+
+    axes, turned = {}, []
+    for (number,), moments in sorted(_collected(_add_up(df, names, by_kind), width, "kind").items()):
+        kind = KINDS[number]
+        cov = _unpack(moments, width)[2]
+        spread = np.sqrt(np.where(np.diag(cov) > 0, np.diag(cov), 1.0))
+        shape = cov if kind == "sign" else cov / np.outer(spread, spread)
+        axes[kind] = np.linalg.eigh(shape)[1]
+        for j, axis in enumerate(axes[kind].T):
+            along = sum((F.col(c) * float(a) for c, a in zip(names, axis)), F.lit(0.0))
+            turned.append(along.alias(f"{kind}{j}"))
+    found = coarse_distribution(df.select(*turned), [f"{k}{j}" for k in axes for j in range(width)])
+    starts = [plain, plain]
+    for kind, vectors in axes.items():
+        quartiles = np.array([coarse_quantiles(found[f"{kind}{j}"], [0.25, 0.5, 0.75]) for j in range(width)])
+        spread = (quartiles[:, 2] - quartiles[:, 0]) ** 2
+        starts.append((vectors @ quartiles[:, 1], (vectors * spread) @ vectors.T))
+    return dict(enumerate(starts))
 
 
 def fit_covariance(
     df: DataFrame,
     columns: list[str] = S.COVARIANCE_FEATURES,
-    key: list[Column | str] = (),
     support: float = S.COVARIANCE_SUPPORT,
-    seed: int = S.SEED,
     quantile: float = S.DISTANCE_QUANTILE,
-    **limits,
 ) -> Covariance:
-    """Fit on robustly scaled columns; raises ``NoSpread`` when the supported rows have no spread."""
-    draws = [F.xxhash64(*key, F.lit(seed)).alias("_draw")] if key else []
-    df = df.select(*[F.col(c).cast("double").alias(c) for c in columns], *draws)
+    """Fit on the rows without null or NaN; raises ``NoSpread`` when the supported rows have no spread, and
+    ``RuntimeError`` when the fit does not settle."""
+    df = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).dropna()
+    distributions = coarse_distribution(df, columns)
+    rows = int(distributions[columns[0]][2].sum())
+    if rows <= len(columns):
+        raise NoSpread(f"{rows} rows are too few for {len(columns)} features")
+    quartiles = np.array([coarse_quantiles(distributions[c], [0.25, 0.5, 0.75]) for c in columns])
+    centre, spread = quartiles[:, 1], quartiles[:, 2] - quartiles[:, 0]
+    spread = np.where(spread > 0, spread, 1.0)
+    standard = {c: tuple((edge - m) / w for edge in distributions[c][:2]) + (distributions[c][2],) for c, m, w in zip(columns, centre, spread)}
+    df = df.select(*[((F.col(c) - float(m)) / float(w)).alias(c) for c, m, w in zip(columns, centre, spread)])
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _fit(df, columns, bool(key), support, quantile, limits)
+        mean, cov, cut = _fit(df, columns, _starts(df, columns, standard), support, quantile, rows)
     finally:
         df.unpersist()
+    return Covariance(list(columns), (centre + spread * mean).tolist(), (pseudo_inverse(cov) / np.outer(spread, spread)).tolist(), cut)
 
 
-def _settle(points: np.ndarray, mean: np.ndarray, cov: np.ndarray, support: float, steps: int):
-    """Concentration steps on a small sample."""
-    volume = log_volume(cov)
-    for _ in range(steps):
-        distance = _distances(points, mean, pseudo_inverse(cov))
-        chosen = points[distance <= np.quantile(distance, support)]
-        mean, cov = chosen.mean(axis=0), np.cov(chosen.T, bias=True)
-        previous, volume = volume, log_volume(cov)
-        if volume == previous:
-            break
-    return mean, cov
+def _has_spread(cov: np.ndarray) -> bool:
+    return not np.allclose(cov, 0.0)
 
 
-def _starts(df: DataFrame, columns: list[str], keyed: bool, support: float) -> dict[int, tuple]:
-    """Starts for the full data: the coordinate-wise centre, and the best fits to a fixed-size sample.
-
-    Scaled data is centred on 0 with unit spread, which is itself a robust start. The sample is the
-    rows with the smallest hashed keys, so it is the same on every run.
-    """
-    width = len(columns)
-    first = (np.zeros(width), np.eye(width))
-    if not keyed:
-        return {0: first}
-    rows = df.orderBy("_draw", *columns).limit(SAMPLE_ROWS).select(*columns).collect()
-    points = np.array(rows, dtype=np.float64)
-    rng = np.random.default_rng(SAMPLE_SEED)
-    tries = [_settle(points, *first, support, 2)]
-    for _ in range(SAMPLE_STARTS):
-        chosen = points[rng.choice(len(points), width + 1, replace=False)]
-        tries.append(_settle(points, chosen.mean(axis=0), np.cov(chosen.T, bias=True), support, 2))
-    tries.sort(key=lambda t: log_volume(t[1]))
-    settled = [_settle(points, *t, support, MAX_STEPS) for t in tries[:SAMPLE_KEPT]]
-    distinct = {log_volume(cov): (mean, cov) for mean, cov in settled}
-    best = [distinct[v] for v in sorted(distinct)]
-    return dict(enumerate([first, *best[: STARTS - 1]]))
-
-
-def _fit(df: DataFrame, columns: list[str], keyed: bool, support: float, quantile: float, limits: dict) -> Covariance:
-    width = len(columns)
-    rows = df.count()
-    if rows <= width:
-        raise NoSpread(f"{rows} rows are too few for {width} features")
-    limits = {"rows": rows, **limits}
-
-    states = _starts(df, columns, keyed, support)
-    states = _advance(df, columns, states, support, limits)
-    best = min(states, key=lambda s: log_volume(states[s][1]))
-    mean, cov = states[best]
-    volume = log_volume(cov)
-    for _ in range(MAX_STEPS):
-        mean_next, cov_next = _advance(df, columns, {0: (mean, cov)}, support, limits)[0]
-        volume_next = log_volume(cov_next)
-        settled = volume_next[0] == volume[0] and volume[1] - volume_next[1] <= 1e-9
-        mean, cov, volume = mean_next, cov_next, volume_next
-        if settled:
+def _settle(df: DataFrame, names: list[str], states: dict[int, tuple], support: float, rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """Run the tightest starts until none changes any more; the tightest of them."""
+    near: dict[int, set[int]] = {}
+    states = _advance(df, names, states, {s: support if s == 0 else FIRST_SHARE for s in states}, rows, None)
+    volumes: dict[int, tuple[int, float]] = {}
+    done: dict[int, tuple] = {}
+    for step in range(MOST_STEPS):
+        states = {s: m for s, m in states.items() if _has_spread(m[1])}
+        if not states:
             break
-    if np.allclose(cov, 0.0):
+        states = _advance(df, names, states, {s: support for s in states}, rows, near if step >= EARLY_STEPS else None)
+        for s, (mean, cov) in states.items():
+            if not _has_spread(cov):
+                continue
+            volume = log_volume(cov)
+            if step > EARLY_STEPS and s in volumes and volume[0] == volumes[s][0] and volumes[s][1] - volume[1] <= SETTLED:
+                done[s] = (mean, cov)
+            volumes[s] = volume
+        if step + 1 == EARLY_STEPS:
+            # Starts that have met go on as one.
+            apart = {(v[0], round(v[1], 6)): s for s, v in sorted(volumes.items(), reverse=True)}
+            states = {s: states[s] for _, s in sorted(apart.items())[:STARTS_KEPT]}
+        states = {s: m for s, m in states.items() if s not in done}
+    else:
+        raise RuntimeError(f"the covariance did not settle in {MOST_STEPS} steps")
+    if not done:
         raise NoSpread("the supported rows have no spread")
+    return min(done.values(), key=lambda m: log_volume(m[1]))
+
+
+def _fit(df: DataFrame, names: list[str], starts: dict[int, tuple], support: float, quantile: float, rows: int) -> tuple[np.ndarray, np.ndarray, float]:
+    mean, cov = _settle(df, names, starts, support, rows)
 
     # Consistency at the normal model, then one reweighting over the rows that look regular.
-    raw = {0: (mean, cov)}
-    factor = _cuts(df, columns, raw, 0.5, limits)[0] / chi_square_quantile(0.5, width)
-    bound = chi_square_quantile(REWEIGHT_QUANTILE, width) * factor if factor > 0 else math.inf
-    kept, mean_kept, cov_kept = _moments(df, columns, _within(raw, {0: bound}))[0]
-    if kept > width:
-        mean, cov = mean_kept, cov_kept
-    cut = _cuts(df, columns, {0: (mean, cov)}, quantile, limits)[0]
-    return Covariance(list(columns), mean.tolist(), pseudo_inverse(cov).tolist(), cut)
+    distance = mahalanobis(names, mean, pseudo_inverse(cov))
+    factor = threshold(df.select(distance.alias("d")), "d", 0.5) / chi_square_quantile(0.5, len(names))
+    bound = chi_square_quantile(REWEIGHT_QUANTILE, len(names)) * factor if factor > 0 else math.inf
+    kept = _add_up(df.where(distance <= F.lit(bound)), names, lambda points: [(0, np.zeros(len(points), np.int64), _products(points))])
+    for moments in _collected(kept, len(names), "kind").values():
+        if moments[0] > len(names):
+            _, mean, cov = _unpack(moments, len(names))
+    cut = threshold(df.select(mahalanobis(names, mean, pseudo_inverse(cov)).alias("d")), "d", quantile)
+    return mean, cov, cut
 
 
 def score_covariance(df: DataFrame, model: Covariance, columns: list[str] | None = None) -> DataFrame:

@@ -1,12 +1,15 @@
 """Isolation forest (Liu, Ting & Zhou 2008) trained and scored in parallel.
 
-Training draws, for every tree, a weighted sample without replacement (Efraimidis & Spirakis 2006) by
-hashing the row key, so the result depends neither on partitioning nor on task order. Tasks pack their
-share of each tree's sample into one binary row; those rows meet by tree, where one task keeps the
-``sample`` smallest draws and grows the tree. A tree's group is bounded by the sample size whatever
-the data, and equal copies of a row are sampled apart because their keys differ.
-
-A forest is one row per tree with its nodes in packed arrays, at most ``2 * sample`` nodes of 9 bytes.
+Training draws, for every tree, a weighted sample without replacement (Efraimidis & Spirakis 2006): a row's draw in a tree
+is exponential with its weight as the rate, and the ``sample`` least draws are kept. All draws come from a hash of the row key, so
+the result depends neither on partitioning nor on task order, and every row can enter every tree at any size. Only
+draws under a bound that each tree fills by far are made: a row jumps over the trees that it does not enter. Tasks keep the least
+draws of each tree, tighten the tree's bound as they go, and pack what is left into binary rows; those meet by tree, where one
+task merges them and grows the tree. A tree's group is bounded by the sample size whatever the data.
+
+A forest is one row per tree with its nodes in packed arrays, at most ``2 * sample`` nodes of 9 bytes. It is scored in
+blocks of whole trees of at most ``BLOCK_BYTES`` (a larger tree is a block of its own); between blocks the rows are
+written with their path sums, so neither driver nor workers hold more than a block.
 """
 
 from __future__ import annotations
@@ -14,6 +17,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field, replace
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -21,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterhawk import schema as S
-from meterhawk.operators.quantiles import EXACT_ROWS, threshold
+from meterhawk.operators.quantiles import threshold
 from meterhawk.session import stage
 from meterhawk.sources.files import delete
 
@@ -30,10 +34,11 @@ FOREST_SCHEMA = (
 )
 PACKED_SCHEMA = "tree int, block binary"
 NODE_BYTES = 9
-MAX_FOREST_BYTES = 2 * 1024**3
-TREES_PER_BLOCK = 16
+BLOCK_BYTES = 128 << 20
+# Rows of partial samples that a task holds before it sends them on.
+HELD_BYTES = 64 << 20
 SMALL_INPUT_ROWS = 5_000_000
-MAX_WEIGHTS = 1_000
+BOUND_STEPS = 24
 
 _MIX = [np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)]
 
@@ -56,27 +61,88 @@ def uniforms(keys: np.ndarray, salt: int) -> np.ndarray:
     return ((z >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0**53
 
 
-def _draw_bound(counts: dict[float, float], wanted: float) -> float:
-    """Bound on the exponential draws under which ``wanted`` rows are expected, by bisection."""
-    if sum(counts.values()) <= wanted:
+def _draw_bound(base: DataFrame, rows: int, weights: float, wanted: float) -> float:
+    """Bound under which at least ``wanted`` draws of a tree are expected, and at most about twice as many.
+
+    Under a bound ``b`` a row has a draw with probability ``1 - exp(-weight * b)``; their sum is concave in ``b``, so a
+    straight line between two bounds stays below it. Takes one pass, whatever the weights.
+    """
+    if rows <= wanted:
         return math.inf
-    low, high = 0.0, 1.0
-    while sum(n * -math.expm1(-w * high) for w, n in counts.items()) < wanted:
-        high *= 2
-    for _ in range(60):
-        middle = (low + high) / 2
-        if sum(n * -math.expm1(-w * middle) for w, n in counts.items()) < wanted:
-            low = middle
-        else:
-            high = middle
-    return high
+    steps = [wanted / weights * 2.0**k for k in range(BOUND_STEPS)]
+    sums = base.agg(*[F.sum(-F.expm1(-F.col("_weight") * F.lit(b))) for b in steps]).first()
+    low, below = 0.0, 0.0
+    for b, found in zip(steps, sums):
+        if found >= wanted:
+            return low + (b - low) * (wanted - below) / (found - below)
+        low, below = b, found
+    return math.inf
+
 
+def draws(keys: np.ndarray, weights: np.ndarray, bound: float, trees: int, salt: int):
+    """Yield (rows, trees, draws) of all draws up to ``bound``, a jump of every row at a time.
 
-def _weight_counts(base: DataFrame) -> dict[float, float]:
-    classes = base.groupBy("_weight").agg(F.count("*").alias("n")).limit(MAX_WEIGHTS + 1).collect()
-    if len(classes) > MAX_WEIGHTS:
-        raise ValueError(f"weight takes more than {MAX_WEIGHTS} distinct values")
-    return {r["_weight"]: float(r["n"]) for r in classes}
+    The trees a row enters are independent events of one probability, so the gaps between them are geometric; a draw that
+    is known to be in the bound follows the exponential cut off there.
+    """
+    chance = -np.expm1(-weights * bound) if bound != math.inf else np.where(weights > 0, 1.0, 0.0)
+    rows = np.flatnonzero(chance > 0)
+    tree = np.full(len(rows), -1, np.int64)
+    jump = 0
+    while len(rows):
+        with np.errstate(divide="ignore"):
+            stay = np.log1p(-chance[rows])
+        gap = np.floor(np.log(uniforms(keys[rows], salt + 2 * jump)) / stay)
+        tree = tree + 1 + np.minimum(gap, trees).astype(np.int64)
+        inside = tree < trees
+        rows, tree = rows[inside], tree[inside]
+        share = uniforms(keys[rows], salt + 2 * jump + 1) * chance[rows]
+        yield rows, tree, -np.log1p(-share) / weights[rows]
+        jump += 1
+
+
+class _PartialSamples:
+    """The least draws of each tree among the rows a task has seen since it last sent some on."""
+
+    def __init__(self, trees: int, sample: int, row_type: np.dtype):
+        self.sample, self.row_type = sample, row_type
+        self.bounds = np.full(trees, math.inf)
+        self._clear()
+
+    def _clear(self) -> None:
+        self.parts: dict[int, list[np.ndarray]] = {}
+        self.sizes: dict[int, int] = {}
+        self.held = 0
+
+    def add(self, rows: np.ndarray, trees: np.ndarray, found: np.ndarray, points: np.ndarray) -> None:
+        keep = found <= self.bounds[trees]
+        rows, trees, found = rows[keep], trees[keep], found[keep]
+        order = np.argsort(trees, kind="stable")
+        packed = np.empty(len(rows), self.row_type)
+        packed["draw"], packed["x"] = found[order], points[rows[order]]
+        numbers, starts = np.unique(trees[order], return_index=True)
+        for tree, part in zip(numbers.tolist(), np.split(packed, starts[1:])):
+            self.parts.setdefault(tree, []).append(part)
+            self.sizes[tree] = self.sizes.get(tree, 0) + len(part)
+            self.held += part.nbytes
+            if self.sizes[tree] > 2 * self.sample + 1024:
+                self._tighten(tree)
+
+    def _tighten(self, tree: int) -> None:
+        whole = np.concatenate(self.parts[tree])
+        kept = whole[np.argpartition(whole["draw"], self.sample - 1)[: self.sample]] if len(whole) > self.sample else whole
+        if len(kept) == self.sample:
+            self.bounds[tree] = min(self.bounds[tree], float(kept["draw"].max()))
+        self.held += kept.nbytes - whole.nbytes
+        self.parts[tree], self.sizes[tree] = [kept], len(kept)
+
+    def take(self) -> pd.DataFrame:
+        for tree in list(self.parts):
+            self._tighten(tree)
+        numbers = sorted(self.parts)
+        packed = pd.DataFrame({"tree": np.array(numbers, dtype=np.int32), "block": [self.parts[t][0].tobytes() for t in numbers]})
+        self._clear()
+        return packed
 
 
 def _grow(points: np.ndarray, limit: int, rng: np.random.Generator):
@@ -145,51 +211,42 @@ def fit_forest(
 ) -> DataFrame:
     """Train a forest; ``key`` identifies a row uniquely and repeatably. Returns ``FOREST_SCHEMA``.
 
-    ``weight`` is the propensity of a row to be drawn. It must take few distinct values. Without
+    ``weight`` is the propensity of a row to be drawn; a row without a positive weight is never drawn. Without
     weights a known row count (``rows``) saves a pass over the input.
     """
     spark = df.sparkSession
-    known = {1.0: float(rows)} if weight is None and rows is not None else None
-    weight = F.lit(1.0) if weight is None else weight
+    positive = F.lit(1.0) if weight is None else F.greatest(F.coalesce(F.nanvl(weight.cast("double"), F.lit(0.0)), F.lit(0.0)), F.lit(0.0))
     base = df.select(
         *[F.col(c).cast("float").alias(c) for c in columns],
-        weight.cast("double").alias("_weight"),
+        positive.alias("_weight"),
         F.xxhash64(*key, F.lit(seed)).alias("_key"),
     )
-    counts = known or _weight_counts(base)
-    rows = sum(counts.values())
+    if weight is None and rows is not None:
+        total = float(rows)
+    else:
+        found = base.agg(F.count_if(F.col("_weight") > 0).alias("n"), F.sum("_weight").alias("total")).first()
+        rows, total = found["n"], found["total"]
     sample = int(min(sample, rows))
-    if trees * 2 * sample * NODE_BYTES > MAX_FOREST_BYTES:
-        raise ValueError(f"{trees} trees of {sample} rows may exceed {MAX_FOREST_BYTES} bytes")
+    # A tree falls short of its sample with a chance of under 1 in 10 ** 14.
     margin = sample + 8 * math.sqrt(sample) + 16
-
-    # Beyond a few times the rows that all trees can use, thin the input once for all trees.
-    pool = min(1.0, 4 * margin * trees / rows) if rows else 1.0
-    if pool < 1.0:
-        draw = F.pmod(F.xxhash64("_key", F.lit("pool")), F.lit(2**53)) / F.lit(float(2**53))
-        base = base.filter(draw < F.lit(pool))
-        counts = {w: n * pool for w, n in counts.items()}
-    elif rows <= SMALL_INPUT_ROWS:
+    if weight is None:
+        bound = -math.log1p(-margin / rows) if rows > margin else math.inf
+    else:
+        bound = _draw_bound(base, rows, total, margin)
+    if rows <= SMALL_INPUT_ROWS:
         base = base.repartition(spark.sparkContext.defaultParallelism, "_key")
-    bound = _draw_bound(counts, margin)
     row_type = _row_type(len(columns))
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        partial = _PartialSamples(trees, sample, row_type)
         for pdf in batches:
+            points = pdf[columns].to_numpy(dtype=np.float32)
             keys = pdf["_key"].to_numpy().view(np.uint64)
-            weights = pdf["_weight"].to_numpy()
-            packed = np.empty(len(pdf), dtype=row_type)
-            packed["x"] = pdf[columns].to_numpy(dtype=np.float32)
-            for first in range(0, trees, TREES_PER_BLOCK):
-                numbers, blocks = [], []
-                for tree in range(first, min(first + TREES_PER_BLOCK, trees)):
-                    packed["draw"] = -np.log(uniforms(keys, seed * 1_000_003 + tree)) / weights
-                    chosen = packed[packed["draw"] <= bound]
-                    if len(chosen):
-                        numbers.append(tree)
-                        blocks.append(chosen.tobytes())
-                if numbers:
-                    yield pd.DataFrame({"tree": np.array(numbers, dtype=np.int32), "block": blocks})
+            for at, tree, draw in draws(keys, pdf["_weight"].to_numpy(), bound, trees, seed * 1_000_003):
+                partial.add(at, tree, draw, points)
+                if partial.held > HELD_BYTES:
+                    yield partial.take()
+        yield partial.take()
 
     limit = math.ceil(math.log2(max(sample, 2)))
 
@@ -197,6 +254,8 @@ def fit_forest(
         tree = int(pdf["tree"].iloc[0])
         drawn = np.frombuffer(b"".join(pdf["block"]), dtype=row_type)
         drawn = drawn[np.argsort(drawn["draw"], kind="stable")][:sample]
+        if len(drawn) < sample:
+            raise RuntimeError(f"tree {tree} drew {len(drawn)} of {sample} rows; use another seed")
         rng = np.random.default_rng([seed, tree])
         depth, feature, value, child = _grow(np.ascontiguousarray(drawn["x"]), limit, rng)
         return pd.DataFrame(
@@ -216,85 +275,154 @@ def fit_forest(
     return packed.groupBy("tree").applyInPandas(grow, FOREST_SCHEMA)
 
 
+class Block:
+    """Whole trees as tasks walk them. Arrays are made ready once in a worker, which keeps the block it was sent."""
+
+    def __init__(self, trees: list[tuple]):
+        self.trees = trees  # (sample_rows, depth, feature, value, child)
+
+    def __getstate__(self):
+        return {"trees": self.trees}
+
+    @cached_property
+    def walkers(self) -> list[tuple]:
+        ready = []
+        for _, depth, feature, value, child in self.trees:
+            leaf = feature < 0
+            column = np.where(leaf, 0, feature).astype(np.int64)
+            cut = np.where(leaf, np.float32(np.inf), value)
+            left = np.where(leaf, np.arange(len(child)), child).astype(np.int32)
+            ready.append((depth, column, cut, left, value))
+        return ready
+
+    def paths(self, points: np.ndarray) -> np.ndarray:
+        """Sum of each point's path lengths."""
+        rows, width = points.shape
+        flat = np.ascontiguousarray(points).ravel()
+        base = np.arange(rows, dtype=np.int64) * width
+        total = np.zeros(rows)
+        for depth, column, cut, left, value in self.walkers:
+            at = np.zeros(rows, dtype=np.int64)
+            for _ in range(depth):
+                at = left[at] + (flat[base + column[at]] > cut[at])
+            total += value[at]
+        return total
+
+
 @dataclass(frozen=True)
 class Forest:
-    """A trained forest on the driver, ready to be sent to the tasks, and its decision cut."""
+    """A trained forest and its decision cut. ``blocks`` has (first tree, last tree) of each block of the table ``nodes``;
+    a forest of one block is held and needs its table no more."""
 
     columns: list[str]
-    trees: list[tuple]  # (sample_rows, depth, feature, value, child)
+    nodes: DataFrame = field(compare=False, repr=False)
+    blocks: list[tuple[int, int]]
+    expected: float
     cut: float | None = None
+    held: Block | None = field(default=None, compare=False, repr=False)
     _sent: dict = field(default_factory=dict, compare=False, repr=False)
 
-    def broadcast(self, spark: SparkSession):
-        """The trees as a broadcast variable, sent once however many frames are scored."""
-        application = spark.sparkContext.applicationId
-        if application not in self._sent:
-            self._sent[application] = spark.sparkContext.broadcast(self.trees)
-        return self._sent[application]
+    def block(self, number: int) -> Block:
+        if self.held:
+            return self.held
+        first, last = self.blocks[number]
+        found = self.nodes.where(F.col("tree").between(first, last)).collect()
+        trees = []
+        for r in sorted(found, key=lambda r: r["tree"]):
+            arrays = (np.frombuffer(r[c], dtype=t) for c, t in (("feature", "i1"), ("value", "f4"), ("child", "i4")))
+            trees.append((r["sample_rows"], r["depth"], *arrays))
+        return Block(trees)
+
+    @property
+    def trees(self) -> list[tuple]:
+        """All trees on the driver, for forests of one block."""
+        if len(self.blocks) > 1:
+            raise ValueError("a forest of several blocks is scored block by block")
+        return self.block(0).trees if self.blocks else []
+
+    def broadcast(self, spark: SparkSession, number: int):
+        """A block as a broadcast variable. That of a forest of one block is sent once, however many frames are scored."""
+        key = spark.sparkContext.applicationId
+        if len(self.blocks) > 1:
+            return spark.sparkContext.broadcast(self.block(number))
+        if key not in self._sent:
+            self._sent[key] = spark.sparkContext.broadcast(self.block(number))
+        return self._sent[key]
+
+
+def load_forest(nodes: DataFrame, columns: list[str], cut: float | None = None, block_bytes: int = BLOCK_BYTES) -> Forest:
+    """A forest over its table, which should be a stored one, as it is read more than once."""
+    sizes = nodes.select("tree", "sample_rows", "nodes").collect()
+    blocks: list[list[int]] = []
+    held = 0
+    for r in sorted(sizes, key=lambda r: r["tree"]):
+        size = r["nodes"] * NODE_BYTES
+        if not blocks or held + size > block_bytes:
+            blocks.append([r["tree"], r["tree"]])
+            held = 0
+        blocks[-1][1] = r["tree"]
+        held += size
+    expected = float(sum(average_path(r["sample_rows"]) for r in sizes))
+    forest = Forest(list(columns), nodes, [tuple(b) for b in blocks], expected, cut)
+    return replace(forest, held=forest.block(0)) if len(blocks) == 1 else forest
+
+
+def _paths(sent, features: list[Column]) -> Column:
+    @F.pandas_udf("double")
+    def paths(*series: pd.Series) -> pd.Series:
+        points = np.column_stack([f.to_numpy(dtype=np.float32) for f in series])
+        return pd.Series(sent.value.paths(points))
+
+    return paths(*features)
 
 
-def load_forest(nodes: DataFrame, columns: list[str], cut: float | None = None, staged: bool = False) -> Forest:
-    """Bring a forest to the driver, within ``MAX_FOREST_BYTES``.
+def add_scores(df: DataFrame, forest: Forest, output: str, columns: list[str | Column] | None = None) -> tuple[DataFrame, list[str]]:
+    """``df`` with its isolation scores, ``2 ** -(mean path / expected path)``; higher is more anomalous.
 
-    ``staged`` forests are read partition by partition, which keeps large ones clear of the driver's
-    result limit; frames still to be computed are better collected, as that grows all trees at once.
+    A forest of one block adds a column. Otherwise rows are written with their sums so far after every block but the last.
+    Returns the frame and the folders it is read from, which may be deleted once it has been used.
     """
-    trees, size = [], 0
-    for r in nodes.toLocalIterator() if staged else nodes.collect():
-        size += r["nodes"] * NODE_BYTES
-        if size > MAX_FOREST_BYTES:
-            raise ValueError(f"forest exceeds {MAX_FOREST_BYTES} bytes; lower trees or sample")
-        arrays = (np.frombuffer(r[c], dtype=t) for c, t in (("feature", "i1"), ("value", "f4"), ("child", "i4")))
-        trees.append((r["tree"], r["sample_rows"], r["depth"], *arrays))
-    trees.sort(key=lambda t: t[0])
-    return Forest(list(columns), [t[1:] for t in trees], cut)
-
-
-def _walk(points: np.ndarray, trees: list[tuple]) -> np.ndarray:
-    """Isolation score of each point: ``2 ** -(mean path / expected path)``."""
-    rows, width = points.shape
-    flat = points.ravel()
-    base = np.arange(rows, dtype=np.int64) * width
-    total = np.zeros(rows)
-    expected = 0.0
-    for sample_rows, depth, feature, value, child in trees:
-        expected += float(average_path(sample_rows))
-        leaf = feature < 0
-        column = np.where(leaf, 0, feature).astype(np.int64)
-        cut = np.where(leaf, np.float32(np.inf), value)
-        left = np.where(leaf, np.arange(len(child)), child).astype(np.int64)
-        at = np.zeros(rows, dtype=np.int64)
-        for _ in range(depth):
-            at = left[at] + (flat[base + column[at]] > cut[at])
-        total += value[at]
-    return np.exp2(-total / expected) if expected else np.full(rows, 0.5)
+    spark = df.sparkSession
+    given = df.columns
+    features = [F.col(c).cast("float") if isinstance(c, str) else c for c in columns or forest.columns]
+    if not forest.blocks or not forest.expected:
+        return df.withColumn(output, F.lit(0.5)), []
+    names = [f"_feature_{i}" for i in range(len(features))]
+    total, paths = F.lit(0.0), []
+    if len(forest.blocks) > 1:
+        df = df.select("*", *[f.alias(n) for f, n in zip(features, names)])
+        features = [F.col(n) for n in names]
+    for number in range(len(forest.blocks)):
+        total = total + _paths(forest.broadcast(spark, number), features)
+        if number + 1 < len(forest.blocks):
+            df, path = stage(df.withColumn("_paths", total), "paths")
+            total = F.col("_paths")
+            if paths:
+                delete(spark, paths.pop())
+            paths.append(path)
+    return df.select(*given, F.pow(F.lit(2.0), -total / F.lit(forest.expected)).alias(output)), paths
 
 
 def forest_score(spark: SparkSession, forest: Forest, columns: list[str | Column] | None = None) -> Column:
-    """Isolation score as a column; higher is more anomalous."""
-    sent = forest.broadcast(spark)
-
-    @F.pandas_udf("double")
-    def score(*features: pd.Series) -> pd.Series:
-        points = np.column_stack([f.to_numpy(dtype=np.float32) for f in features])
-        return pd.Series(_walk(points, sent.value))
-
-    return score(*[F.col(c).cast("float") if isinstance(c, str) else c for c in columns or forest.columns])
+    """Isolation score as a column, for a forest of one block; ``add_scores`` takes any."""
+    if not forest.blocks or not forest.expected:
+        return F.lit(0.5)
+    if len(forest.blocks) > 1:
+        raise ValueError("a forest of several blocks is scored by add_scores")
+    features = [F.col(c).cast("float") if isinstance(c, str) else c for c in columns or forest.columns]
+    return F.pow(F.lit(2.0), -_paths(forest.broadcast(spark, 0), features) / F.lit(forest.expected))
 
 
-def decision_cut(
-    df: DataFrame, score: str, contamination: float, rows: int | None = None, staged: bool = False, **limits
-) -> float:
+def decision_cut(df: DataFrame, score: str, contamination: float, staged: bool = False) -> float:
     """The score that ``contamination`` of the training rows exceed.
 
-    A quantile over many rows takes several passes, so scores still to be computed are written once
-    first; ``staged`` says that the frame already reads them from storage.
+    A quantile takes several passes, so scores still to be computed are written once first; ``staged`` says that the
+    frame already reads them from storage.
     """
-    rows = df.count() if rows is None else rows
     path = None
-    if not staged and rows > limits.get("exact_rows", EXACT_ROWS):
+    if not staged:
         df, path = stage(df.select(score), "scores")
-    cut = threshold(df, score, 1.0 - contamination, rows=rows, **limits)
+    cut = threshold(df, score, 1.0 - contamination)
     if path:
         delete(df.sparkSession, path)
     return cut
@@ -306,5 +434,6 @@ def with_cut(forest: Forest, cut: float) -> Forest:
 
 def score_forest(df: DataFrame, forest: Forest, columns: list[str] | None = None) -> DataFrame:
     """Add ``if_score`` (score minus cut) and ``if_flag`` (above the cut)."""
-    scored = df.withColumn("if_score", forest_score(df.sparkSession, forest, columns) - F.lit(forest.cut))
+    scored, _ = add_scores(df, forest, "_score", columns)
+    scored = scored.withColumn("if_score", F.col("_score") - F.lit(forest.cut)).drop("_score")
     return scored.withColumn("if_flag", (F.col("if_score") > 0).cast("int"))

@@ -1,177 +1,171 @@
-"""Exact quantiles that never gather a whole column in one task.
-
-Spark's ``percentile`` keeps every distinct value of a column in one task. That is fine for a known
-small row count and is used there. Beyond it, each wanted order statistic is closed in on: a quantile
-sketch proposes a pair of edges around it, one counting pass tells on which side of (or exactly on)
-those edges it lies, and the pass repeats inside. Sketches only steer; the counts decide, so the
-answer is exact whatever their error. Each pass is one scan with partial aggregation, and the driver
-sees a few rows per column.
+"""Exact quantiles by radix selection, the same way at every size.
+
+A double is read as an order-preserving 64-bit number. A pass counts, for every wanted order statistic, one
+16-bit digit of the numbers that share the digits found so far; the counts tell the next digit. Four passes settle any
+number of columns and ranks. A task sends at most one count per digit, Spark adds them up
+and picks the digits, and the driver sees one row per order statistic and pass.
+
+Null and NaN are left out, infinities take part, and -0.0 counts as 0.0.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterhawk.functions.trips import nan_to_null
+DIGIT_BITS = 16
+DIGITS = 1 << DIGIT_BITS
+PASSES = 64 // DIGIT_BITS
+# Bounds the counts a task holds: 512 KB for each pair of a column and the digits found so far.
+SLOTS_PER_PASS = 128
+
+_SIGN = np.uint64(1 << 63)
+
 
-EXACT_ROWS = 262_144
-INNER_ROWS = 65_536
-SKETCH_K = 4_096
-SKETCH_GRID = 1_024
-SKETCH_SALTS = 256
-COLUMNS_PER_PASS = 5
+def ordered_bits(values: np.ndarray) -> np.ndarray:
+    """Unsigned numbers in the order of the doubles (no NaN)."""
+    bits = (values + 0.0).view(np.uint64)
+    return np.where(bits & _SIGN, ~bits, bits | _SIGN)
+
+
+def ordered_values(bits: np.ndarray) -> np.ndarray:
+    """The doubles of ordered bits."""
+    bits = np.asarray(bits, np.uint64)
+    return np.where(bits & _SIGN, bits ^ _SIGN, ~bits).view(np.float64)
 
 
 @dataclass
 class _Target:
-    """Order statistic ``rank`` (0-based) of a column, known to lie strictly between two values."""
-
-    column: str
-    rank: int
-    low: float = -math.inf
-    high: float = math.inf
-    below: int = 0  # rows at or under ``low``
-    inside: int = 0
-    value: float | None = None
-    edges: tuple[float, ...] = ()
-
-
-def _between(x: Column, low: float, high: float) -> Column:
-    test = F.lit(True)
-    if low != -math.inf:
-        test = test & (x > F.lit(low))
-    if high != math.inf:
-        test = test & (x < F.lit(high))
-    return test
-
-
-def _propose(df: DataFrame, targets: list[_Target]) -> None:
-    """Set ``edges`` of each target from a sketch of the rows inside its interval."""
-    intervals = sorted({(t.column, t.low, t.high) for t in targets})
-    salted = df.withColumn("_salt", F.spark_partition_id() % SKETCH_SALTS)
-    sketches = [
-        F.kll_sketch_agg_double(F.when(_between(F.col(c), lo, hi), F.col(c)), F.lit(SKETCH_K)).alias(f"s{i}")
-        for i, (c, lo, hi) in enumerate(intervals)
-    ]
-    grid = F.array(*[F.lit(i / SKETCH_GRID) for i in range(SKETCH_GRID + 1)])
-    merged = salted.groupBy("_salt").agg(*sketches).agg(
-        *[F.kll_merge_agg_double(f"s{i}", F.lit(SKETCH_K)).alias(f"s{i}") for i in range(len(intervals))]
-    )
-    row = merged.select(
-        *[F.kll_sketch_get_quantile_double(f"s{i}", grid).alias(f"s{i}") for i in range(len(intervals))]
-    ).first()
-    for t in targets:
-        points = row[intervals.index((t.column, t.low, t.high))]
-        at = (t.rank - t.below) / max(t.inside - 1, 1) * SKETCH_GRID
-        t.edges = tuple(
-            sorted({points[max(math.floor(at) - 2, 0)], points[min(math.ceil(at) + 2, SKETCH_GRID)]})
+    """An order statistic: ``rank`` counts within the numbers that start with ``prefix``."""
+
+    column: int
+    prob: float
+    upper: bool
+    prefix: int = 0
+    rank: int | None = None
+    position: float = 0.0
+
+
+def _count_digits(slots: list[tuple[int, int]], done: int):
+    """Counts of the next digit of every slot: a column and the ``done`` digits its numbers start with."""
+    wanted = sorted({column for column, _ in slots})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros((len(slots), DIGITS), np.int64)
+        shift = np.uint64(64 - DIGIT_BITS * (done + 1))
+        for batch in batches:
+            for column in wanted:
+                values = batch.column(column).to_numpy(zero_copy_only=False)
+                bits = ordered_bits(values[~np.isnan(values)]) >> shift
+                heads = bits >> np.uint64(DIGIT_BITS)
+                digits = (bits & np.uint64(DIGITS - 1)).astype(np.int64)
+                for n, (owner, prefix) in enumerate(slots):
+                    if owner == column:
+                        # The first digit has nothing before it.
+                        mine = digits[heads == np.uint64(prefix)] if done else digits
+                        counts[n] += np.bincount(mine, minlength=DIGITS)
+        slot, digit = np.nonzero(counts)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(slot, pa.int32()), pa.array(digit, pa.int32()), pa.array(counts[slot, digit])], names=["slot", "digit", "held"]
         )
 
+    return run
+
+
+def digit_counts(df: DataFrame, columns: list[str], slots: list[tuple[int, int]], done: int) -> DataFrame:
+    """(slot, digit, held) of ``columns``; slots are (place of the column, the ``done`` digits before)."""
+    rows = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+    counted = rows.mapInArrow(_count_digits(slots, done), "slot int, digit int, held long")
+    return counted.groupBy("slot", "digit").agg(F.sum("held").alias("held"))
 
-def _count(df: DataFrame, targets: list[_Target]) -> None:
-    """Narrow each target's interval by counting the rows between its edges."""
-    spans = sorted({(t.column, t.low, t.high, t.edges) for t in targets})
-    layout = {}
-    tests = []
-    for span in spans:
-        column, low, high, edges = span
-        cuts = [low, *edges, high]
-        parts = []
-        for lo, hi in zip(cuts, cuts[1:]):
-            parts.append((lo, hi, None))
-            tests.append(_between(F.col(column), lo, hi))
-            if hi != high:
-                parts.append((None, None, hi))
-                tests.append(F.col(column) == F.lit(hi))
-        layout[span] = parts
-    row = iter(df.agg(*[F.count_if(test).alias(f"n{i}") for i, test in enumerate(tests)]).first())
-    sizes = {span: [next(row) for _ in parts] for span, parts in layout.items()}
-    for t in targets:
-        span = (t.column, t.low, t.high, t.edges)
-        below = t.below
-        for (lo, hi, exact), n in zip(layout[span], sizes[span]):
-            if t.rank < below + n:
-                if exact is not None:
-                    t.value = exact
-                else:
-                    t.low, t.high, t.below, t.inside = lo, hi, below, n
-                break
-            below += n
-
-
-def _finish(df: DataFrame, targets: list[_Target]) -> None:
-    """Read targets whose interval is small from the sorted values inside it."""
-    picks = [
-        F.element_at(
-            F.array_sort(F.collect_list(F.when(_between(F.col(t.column), t.low, t.high), F.col(t.column)))),
-            t.rank - t.below + 1,
-        ).alias(f"v{i}")
-        for i, t in enumerate(targets)
-    ]
-    for t, value in zip(targets, df.agg(*picks).first()):
-        t.value = value
-
-
-def order_statistics(
-    df: DataFrame, ranks: dict[str, list[int]], counts: dict[str, int], inner_rows: int = INNER_ROWS
-) -> dict[tuple[str, int], float]:
-    """Values at 0-based ranks of each column by repeated narrowing (columns hold no NaN)."""
-    targets = [_Target(c, r, inside=counts[c]) for c, rs in ranks.items() for r in sorted(set(rs))]
-    while True:
-        open_ = [t for t in targets if t.value is None]
-        small = [t for t in open_ if t.inside <= inner_rows]
-        if small:
-            _finish(df, small)
-        large = [t for t in open_ if t.inside > inner_rows]
-        if not large:
-            return {(t.column, t.rank): t.value for t in targets}
-        _propose(df, large)
-        _count(df, large)
-
-
-def exact_quantiles(
-    df: DataFrame,
-    columns: list[str],
-    probs: list[float],
-    exact_rows: int = EXACT_ROWS,
-    inner_rows: int = INNER_ROWS,
-    rows: int | None = None,
-) -> dict[str, list[float | None]]:
-    """Linearly interpolated quantiles of each column, nulls and NaN left out.
-
-    ``rows`` is the row count when the caller knows it.
-    """
-    df = df.select(*[nan_to_null(F.col(c).cast("double")).alias(c) for c in columns])
-    if (df.count() if rows is None else rows) <= exact_rows:
-        row = df.agg(*[F.percentile(c, F.array(*map(F.lit, probs))).alias(c) for c in columns]).first()
-        return {c: list(row[c]) if row[c] is not None else [None] * len(probs) for c in columns}
-
-    counts = df.agg(*[F.count(c).alias(c) for c in columns]).first().asDict()
-    places = {
-        c: [(math.floor(p * (n - 1)), math.ceil(p * (n - 1)), p * (n - 1)) for p in probs]
-        for c, n in counts.items()
-        if n
-    }
-    ranks = {c: [r for lo, hi, _ in spots for r in (lo, hi)] for c, spots in places.items()}
-    at = {}
-    for first in range(0, len(columns), COLUMNS_PER_PASS):
-        group = [c for c in columns[first : first + COLUMNS_PER_PASS] if c in ranks]
-        at.update(order_statistics(df.select(*group), {c: ranks[c] for c in group}, counts, inner_rows) if group else {})
-    result: dict[str, list[float | None]] = {c: [None] * len(probs) for c in columns}
-    for c, spots in places.items():
-        result[c] = [
-            at[c, lo] + (at[c, hi] - at[c, lo]) * (position - lo) for lo, hi, position in spots
-        ]
-    return result
 
+def _narrow(df: DataFrame, columns: list[str], targets: list[_Target], done: int) -> list[_Target]:
+    """The targets with one more digit; targets of empty columns fall away."""
+    slots = sorted({(t.column, t.prefix) for t in targets})
+    number = {slot: n for n, slot in enumerate(slots)}
+    by_digit = Window.partitionBy("slot").orderBy("digit").rowsBetween(Window.unboundedPreceding, -1)
+    counts = digit_counts(df, columns, slots, done).select(
+        "slot", "digit", "held", F.coalesce(F.sum("held").over(by_digit), F.lit(0)).alias("below"),
+        F.sum("held").over(Window.partitionBy("slot")).alias("n"),
+    )
+
+    def holds(t: _Target) -> str:
+        position = f"{t.prob!r}D * (n - 1)"
+        rank = t.rank if t.rank is not None else f"ceil({position})" if t.upper else f"floor({position})"
+        return f"(slot = {number[t.column, t.prefix]} AND below <= {rank} AND {rank} < below + held)"
 
-def medians(df: DataFrame, columns: list[str], **limits) -> dict[str, float | None]:
-    return {c: q[0] for c, q in exact_quantiles(df, columns, [0.5], **limits).items()}
+    found: dict[int, list] = {}
+    # At most one digit per target.
+    for r in counts.where(" OR ".join(sorted(set(map(holds, targets))))).collect():
+        found.setdefault(r["slot"], []).append(r)
+    out = []
+    for t in targets:
+        for r in found.get(number[t.column, t.prefix], []):
+            position = t.position if done else t.prob * (r["n"] - 1)
+            rank = t.rank if t.rank is not None else math.ceil(position) if t.upper else math.floor(position)
+            if r["below"] <= rank < r["below"] + r["held"]:
+                out.append(_Target(t.column, t.prob, t.upper, t.prefix << DIGIT_BITS | r["digit"], rank - r["below"], position))
+    return out
+
+
+def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> dict[str, list[float | None]]:
+    """Linearly interpolated quantiles of each column, nulls and NaN left out. ``df`` is read four times."""
+    found: dict[tuple[int, float, bool], _Target] = {}
+    group = max(1, SLOTS_PER_PASS // (2 * len(probs)))
+    for first in range(0, len(columns), group):
+        targets = [_Target(c, p, upper) for c in range(len(columns))[first : first + group] for p in sorted(set(probs)) for upper in (False, True)]
+        for done in range(PASSES):
+            targets = _narrow(df, columns, targets, done) if targets else []
+        found.update({(t.column, t.prob, t.upper): t for t in targets})
+
+    def value(column: int, prob: float) -> float | None:
+        if (column, prob, False) not in found:
+            return None
+        low, high = (found[column, prob, upper] for upper in (False, True))
+        a, b = (float(ordered_values(np.array([t.prefix], np.uint64))[0]) for t in (low, high))
+        return a if a == b else a + (b - a) * (low.position - math.floor(low.position))
+
+    return {c: [value(i, p) for p in probs] for i, c in enumerate(columns)}
+
+
+def medians(df: DataFrame, columns: list[str]) -> dict[str, float | None]:
+    return {c: q[0] for c, q in exact_quantiles(df, columns, [0.5]).items()}
+
+
+def threshold(df: DataFrame, column: str, q: float) -> float | None:
+    return exact_quantiles(df, [column], [q])[column][0]
+
+
+def coarse_distribution(df: DataFrame, columns: list[str]) -> dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(lower edges, upper edges, counts) of each column by the first digit, which parts doubles at every sixteenth of
+    a power of two: one pass, exact counts, at most ``DIGITS`` classes a column."""
+    slots = [(i, 0) for i in range(len(columns))]
+    out: dict[str, tuple[list, list]] = {c: ([], []) for c in columns}
+    for first in range(0, len(slots), SLOTS_PER_PASS):
+        some = slots[first : first + SLOTS_PER_PASS]
+        for r in digit_counts(df, columns, some, 0).orderBy("slot", "digit").collect():
+            digits, counts = out[columns[some[r["slot"]][0]]]
+            digits.append(r["digit"])
+            counts.append(r["held"])
+    result = {}
+    for c, (digits, counts) in out.items():
+        low = np.array(digits, np.uint64) << np.uint64(64 - DIGIT_BITS)
+        high = low + np.uint64((1 << (64 - DIGIT_BITS)) - 1)
+        result[c] = (ordered_values(low), ordered_values(high), np.array(counts, np.int64))
+    return result
 
 
-def threshold(df: DataFrame, column: str, q: float, **limits) -> float | None:
-    return exact_quantiles(df, [column], [q], **limits)[column][0]
+def coarse_quantiles(distribution: tuple[np.ndarray, np.ndarray, np.ndarray], probs: list[float]) -> np.ndarray:
+    """Quantiles interpolated inside the classes of a coarse distribution."""
+    low, high, counts = distribution
+    ends = np.cumsum(counts)
+    at = np.asarray(probs) * ends[-1]
+    place = np.minimum(np.searchsorted(ends, at, side="left"), len(ends) - 1)
+    share = np.clip((at - (ends[place] - counts[place])) / counts[place], 0.0, 1.0)
+    return low[place] + (high[place] - low[place]) * share

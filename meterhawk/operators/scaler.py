@@ -25,8 +25,8 @@ class Scaler:
         return spark.createDataFrame(list(zip(self.features, self.center, self.scale)), SCALER_SCHEMA)
 
 
-def fit_scaler(df: DataFrame, columns: list[str], **limits) -> Scaler:
-    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75], **limits)
+def fit_scaler(df: DataFrame, columns: list[str]) -> Scaler:
+    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75])
     spans = [(quartiles[c][2] - quartiles[c][0]) if quartiles[c][1] is not None else 0.0 for c in columns]
     return Scaler(
         list(columns),
@@ -45,9 +45,9 @@ def scale(df: DataFrame, scaler: Scaler, prefix: str = "") -> DataFrame:
     )
 
 
-def impute_median(df: DataFrame, columns: list[str], prefix: str = "", **limits) -> DataFrame:
+def impute_median(df: DataFrame, columns: list[str], prefix: str = "") -> DataFrame:
     """Null and NaN become the column's median; in place, or beside the originals under ``prefix``."""
-    fill = medians(df, columns, **limits)
+    fill = medians(df, columns)
     return df.withColumns(
         {
             f"{prefix}{c}": F.coalesce(nan_to_null(F.col(c).cast("double")), F.lit(fill[c]))

@@ -10,15 +10,16 @@ from meterhawk.functions.rules import training_weight
 from meterhawk.operators.covariance import NoSpread, fit_covariance, score_covariance
 from meterhawk.operators.ensemble import adaptive_contamination, vote
 from meterhawk.operators.forest import (
+    add_scores,
     decision_cut,
     fit_forest,
-    forest_score,
     load_forest,
     score_forest,
     with_cut,
 )
 from meterhawk.operators.scaler import fit_scaler, scale
 from meterhawk.session import stage
+from meterhawk.sources.files import delete
 from meterhawk.sources.models import Model
 
 SCALED = "z_"
@@ -35,23 +36,24 @@ def train_ensemble(
     trees: int = S.STREAM_TREES,
     sample: int = S.STREAM_SAMPLE,
     seed: int = S.SEED,
-    rows: int | None = None,
 ) -> tuple[DataFrame, Model]:
     """Fit scaler, forest (rule breakers drawn more often) and covariance on feature rows.
 
-    Returns the forest table to store and the model to score with. A known row count saves passes.
+    Returns the forest table to store and the model to score with.
     """
     spark = df.sparkSession
-    rows = df.count() if rows is None else rows
-    scaler = fit_scaler(df, S.MODEL_FEATURES, rows=rows)
+    scaler = fit_scaler(df, S.MODEL_FEATURES)
     weighted = df.select("*", training_weight().alias("_w"))
     scaled = scale(weighted, scaler).select(*S.MODEL_FEATURES, "_w", *key)
     nodes = fit_forest(scaled, S.MODEL_FEATURES, key, trees, sample, F.col("_w"), seed)
     nodes, _ = stage(nodes, "forest")
     forest = load_forest(nodes, S.MODEL_FEATURES)
-    cut = decision_cut(scaled.select(forest_score(spark, forest).alias("s")), "s", contamination, rows=rows)
+    scores, paths = add_scores(scaled, forest, "s")
+    cut = decision_cut(scores, "s", contamination)
+    for path in paths:
+        delete(spark, path)
     try:
-        covariance = fit_covariance(scaled, S.COVARIANCE_FEATURES, key, seed=seed)
+        covariance = fit_covariance(scaled, S.COVARIANCE_FEATURES)
     except NoSpread:
         covariance = None
     return nodes, Model(scaler, with_cut(forest, cut), covariance, contamination)

@@ -833,7 +833,7 @@ def forest_training(spark, d):
 def forest_scoring(spark, d):
     """Decision value and flag of every valid trip under a forest trained on them."""
     df = _scaled(spark, d)
-    nodes = FO.fit_forest(df, S.MODEL_FEATURES, ["trip_id"], weight=F.col("_w"))
+    nodes, _ = stage(FO.fit_forest(df, S.MODEL_FEATURES, ["trip_id"], weight=F.col("_w")), "forest")
     forest = FO.load_forest(nodes, S.MODEL_FEATURES)
     cut = FO.decision_cut(df.select(FO.forest_score(spark, forest).alias("s")), "s", S.CONTAMINATION_PRIOR)
     return FO.score_forest(df, FO.with_cut(forest, cut)).select("trip_id", "if_score", "if_flag")
@@ -842,7 +842,7 @@ def forest_scoring(spark, d):
 @query()
 def covariance_fit(spark, d):
     """Centre of the robust covariance and its distance threshold."""
-    model = CO.fit_covariance(_scaled(spark, d), key=["trip_id"])
+    model = CO.fit_covariance(_scaled(spark, d))
     rows = [(c, m, model.threshold) for c, m in zip(model.columns, model.location)]
     return spark.createDataFrame(rows, "feature string, center double, threshold double")
 
@@ -976,7 +976,8 @@ def permutation_sensitivity(spark, d):
     normals, anomalies = P.results(spark, d)
     df = _scaled(spark, d)
     scaler = SC.fit_scaler(P.features(spark, d), S.MODEL_FEATURES)
-    forest = FO.load_forest(FO.fit_forest(df, S.MODEL_FEATURES, ["trip_id"], weight=F.col("_w")), S.MODEL_FEATURES)
+    nodes, _ = stage(FO.fit_forest(df, S.MODEL_FEATURES, ["trip_id"], weight=F.col("_w")), "forest")
+    forest = FO.load_forest(nodes, S.MODEL_FEATURES)
     cut = FO.decision_cut(df.select(FO.forest_score(spark, forest).alias("s")), "s", S.CONTAMINATION_PRIOR)
     model = TR.Model(scaler, FO.with_cut(forest, cut), None, S.CONTAMINATION_PRIOR)
     return DI.permutation_sensitivity(normals, anomalies, model, ["trip_id"])

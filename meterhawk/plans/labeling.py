@@ -11,9 +11,9 @@ from meterhawk.functions.rules import label_vote
 from meterhawk.operators.features import batch_features
 from meterhawk.operators.forest import (
     SMALL_INPUT_ROWS,
+    add_scores,
     decision_cut,
     fit_forest,
-    forest_score,
     load_forest,
     with_cut,
 )
@@ -48,10 +48,10 @@ def model_inputs(df: DataFrame) -> tuple[DataFrame, list[str], int]:
     holed = [c for c in S.MODEL_FEATURES if gaps[c]]
     whole = [c for c in S.MODEL_FEATURES if not gaps[c]]
     if holed:
-        df = impute_median(df, holed, MODEL_PREFIX, rows=rows)
+        df = impute_median(df, holed, MODEL_PREFIX)
     df = df.withColumns({f"{MODEL_PREFIX}{c}": F.col(c).cast("double") for c in whole})
     names = [f"{MODEL_PREFIX}{c}" for c in S.MODEL_FEATURES]
-    return scale(df, fit_scaler(df, names, rows=rows)), names, rows
+    return scale(df, fit_scaler(df, names)), names, rows
 
 
 def label_frame(
@@ -65,22 +65,25 @@ def label_frame(
 ) -> tuple[DataFrame, list[str]]:
     """Source rows with features, ``is_anomaly``, ``ai_anomaly_score`` and ``ai_reason``.
 
-    Scored rows are staged once in the shared folder, because the cut and the score range need a pass
-    over all scores before any row can be labelled. Returns the frame and the staged paths, which may
+    Features are staged once in the shared folder, because medians, quartiles, sampling and scoring all read them, and so are
+    scored rows, because the cut and the score range need a pass over all scores before any row can be labelled. Returns the frame and the staged paths, which may
     be deleted once the frame has been written.
     """
     spark = df.sparkSession
     columns = df.columns
     features = _features(df, fleet)
     added = [c for c in features.columns if c not in columns and c not in ("pickup_datetime", "dropoff_datetime")]
+    features, features_path = stage(features, "features")
     inputs, names, rows = model_inputs(features)
     nodes, nodes_path = stage(fit_forest(inputs, names, key, trees, sample, seed=seed, rows=rows), "forest")
-    forest = load_forest(nodes, names, staged=True)
+    forest = load_forest(nodes, names)
     if rows <= SMALL_INPUT_ROWS:
         inputs = inputs.repartition(spark.sparkContext.defaultParallelism, *key)
-    scored = inputs.select(*columns, *added, forest_score(spark, forest).alias("_score"))
-    scored, scored_path = stage(scored, "scored")
-    forest = with_cut(forest, decision_cut(scored, "_score", contamination, rows=rows, staged=True))
+    scored, paths = add_scores(inputs, forest, "_score")
+    scored, scored_path = stage(scored.select(*columns, *added, "_score"), "scored")
+    for path in (features_path, nodes_path, *paths):
+        delete(spark, path)
+    forest = with_cut(forest, decision_cut(scored, "_score", contamination, staged=True))
     span = scored.agg(F.min("_score").alias("low"), F.max("_score").alias("high")).first()
     flag, reason = label_vote(F.col("_score") > F.lit(forest.cut))
     labelled = scored.select(
@@ -90,7 +93,7 @@ def label_frame(
         unit_range(F.col("_score"), F.lit(span["low"]), F.lit(span["high"])).alias("ai_anomaly_score"),
         reason.alias("ai_reason"),
     )
-    return labelled, [nodes_path, scored_path]
+    return labelled, [scored_path]
 
 
 def label_totals(df: DataFrame) -> DataFrame:

@@ -78,7 +78,7 @@ def load_model(
         )
         nodes = spark.read.schema(FOREST_SCHEMA).parquet(f"{base}/forest")
         forest = load_forest(nodes, meta["features"], meta["cut"])
-        if not forest.trees:
+        if not forest.blocks:
             raise KeyError("forest")
         covariance = _load_covariance(spark, base, meta["has_covariance"])
     except (PySparkException, Py4JJavaError, KeyError, TypeError):
