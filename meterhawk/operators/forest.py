@@ -295,18 +295,49 @@ class Block:
             ready.append((depth, column, cut, left, value))
         return ready
 
+    def _lengths(self, points: np.ndarray, tree: int) -> np.ndarray:
+        depth, column, cut, left, value = self.walkers[tree]
+        flat = np.ascontiguousarray(points).ravel()
+        base = np.arange(len(points), dtype=np.int64) * points.shape[1]
+        at = np.zeros(len(points), dtype=np.int64)
+        for _ in range(depth):
+            at = left[at] + (flat[base + column[at]] > cut[at])
+        return value[at]
+
     def paths(self, points: np.ndarray) -> np.ndarray:
         """Sum of each point's path lengths."""
+        total = np.zeros(len(points))
+        for tree in range(len(self.trees)):
+            total += self._lengths(points, tree)
+        return total
+
+    def swapped_paths(self, points: np.ndarray, donors: np.ndarray) -> np.ndarray:
+        """(features + 1, rows): the sums as they are, then with each feature replaced by its donor value, one at a time.
+
+        A path notes the features it compares; with a feature replaced, only rows whose path compares it are walked again.
+        """
         rows, width = points.shape
+        if width > 63:
+            raise ValueError("a path mask has room for 63 features")
+        totals = np.zeros((width + 1, rows))
         flat = np.ascontiguousarray(points).ravel()
         base = np.arange(rows, dtype=np.int64) * width
-        total = np.zeros(rows)
-        for depth, column, cut, left, value in self.walkers:
-            at = np.zeros(rows, dtype=np.int64)
+        for tree, (depth, column, cut, left, value) in enumerate(self.walkers):
+            # A leaf compares nothing.
+            bit = np.where(np.isinf(cut) & (left == np.arange(len(left))), 0, np.left_shift(1, column))
+            at, mask = np.zeros(rows, dtype=np.int64), np.zeros(rows, dtype=np.int64)
             for _ in range(depth):
+                mask |= bit[at]
                 at = left[at] + (flat[base + column[at]] > cut[at])
-            total += value[at]
-        return total
+            plain = value[at].astype(np.float64)
+            totals += plain
+            for feature in range(width):
+                again = np.flatnonzero(mask >> feature & 1)
+                if len(again):
+                    swapped = points[again]
+                    swapped[:, feature] = donors[again, feature]
+                    totals[feature + 1, again] += self._lengths(swapped, tree) - plain[again]
+        return totals
 
 
 @dataclass(frozen=True)

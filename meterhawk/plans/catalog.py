@@ -974,8 +974,9 @@ def reason_coverage(spark, d):
 def permutation_sensitivity(spark, d):
     """Change of the flag rate per shuffled feature over all anomalies and normals."""
     normals, anomalies = P.results(spark, d)
-    df = _scaled(spark, d)
-    scaler = SC.fit_scaler(P.features(spark, d), S.MODEL_FEATURES)
+    given = P.features(spark, d).withColumn("_w", rules.training_weight())
+    scaler = SC.fit_scaler(given, S.MODEL_FEATURES)
+    df = SC.scale(given, scaler)
     nodes, _ = stage(FO.fit_forest(df, S.MODEL_FEATURES, ["trip_id"], weight=F.col("_w")), "forest")
     forest = FO.load_forest(nodes, S.MODEL_FEATURES)
     cut = FO.decision_cut(df.select(FO.forest_score(spark, forest).alias("s")), "s", S.CONTAMINATION_PRIOR)

@@ -5,7 +5,9 @@ Every report reads its whole tables; ``cap`` limits it to a sample where that is
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterhawk import schema as S
@@ -13,7 +15,7 @@ from meterhawk.functions import grades
 from meterhawk.functions.rules import STREAM_FALLBACK, violates
 from meterhawk.functions.trips import night, pickup_hour
 from meterhawk.operators.features import derived_features, drop_any_null
-from meterhawk.operators.forest import score_forest
+from meterhawk.operators.forest import Forest
 from meterhawk.operators.histogram import histogram
 from meterhawk.operators.scaler import scale
 from meterhawk.sources.models import Model
@@ -22,7 +24,7 @@ CLASSES = ["normal", "anomaly"]
 # Fewer rows than this say nothing about a rate.
 SENSITIVITY_MIN_ROWS = 50
 # Rows of one bucket in which values are exchanged.
-PAIRING_ROWS = 20_000
+PAIRING_ROWS = 5_000
 
 
 def sample_cap(df: DataFrame, n: int | None, order: list[str | Column]) -> DataFrame:
@@ -164,9 +166,9 @@ def permutation_sensitivity(
 ) -> DataFrame:
     """Absolute change of the flag rate when one feature at a time is shuffled, over all rows of both classes.
 
-    Rows are dealt by a hash of their key ``order`` into buckets of about ``bucket_rows``. For each feature the
-    rows of a bucket form a ring in a seeded order, and each takes the value of the next one. So one shuffle serves all
-    features, and no window sees more than a bucket. Returns no row for fewer than ``min_rows`` rows.
+    Rows are dealt once, by a hash of their key ``order``, into buckets of about ``bucket_rows``. In a bucket each feature's
+    values change rows by a permutation of its own, seeded by bucket and feature over rows in the order of their keys, and
+    the forest walks a row again only in trees whose path compares the feature. Returns no row for fewer than ``min_rows`` rows.
     """
     base = ["trip_distance", "fare_amount", "trip_duration_sec", "avg_speed_kmh", "fare_per_mile", "passenger_count"]
 
@@ -180,26 +182,35 @@ def permutation_sensitivity(
     features = model.forest.columns
     buckets = -(-total // bucket_rows)
     dealt = scale(derived_features(rows), model.scaler).select(
-        "_id", F.pmod(F.xxhash64("_id", F.lit(seed)), F.lit(buckets)).alias("_bucket"), *[F.col(c).cast("double") for c in features]
+        "_id", F.pmod(F.xxhash64("_id", F.lit(seed)), F.lit(buckets)).alias("_bucket"), *[F.col(c).cast("float") for c in features]
     )
-
-    def donor(i: int, c: str) -> Column:
-        ring = Window.partitionBy("_bucket").orderBy(F.xxhash64("_id", F.lit(i + 1), F.lit(seed)), "_id")
-        first = F.first(c).over(ring.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        return F.coalesce(F.lead(c).over(ring), first).alias(f"_donor_{i}")
-
-    paired = dealt.select(*features, *[donor(i, c) for i, c in enumerate(features)])
-    trials = paired.withColumn("trial", F.explode(F.sequence(F.lit(0), F.lit(len(features)))))
-    swapped = trials.select(
-        "trial",
-        *[F.when(F.col("trial") == i + 1, F.col(f"_donor_{i}")).otherwise(F.col(c)).alias(c) for i, c in enumerate(features)],
-    )
-    rates = score_forest(swapped, model.forest).groupBy("trial").agg(F.avg(F.col("if_flag").cast("double")).alias("rate"))
+    counted = dealt.groupBy("_bucket").applyInPandas(_flag_counts(normals.sparkSession, model.forest, seed), "trial int, flagged long")
     # One row per feature.
-    found = {r["trial"]: r["rate"] for r in rates.collect()}
+    found = {r["trial"]: r["flagged"] / total for r in counted.groupBy("trial").agg(F.sum("flagged").alias("flagged")).collect()}
     result = [(c, abs(found[i + 1] - found[0])) for i, c in enumerate(features)]
     return rank_features(normals.sparkSession.createDataFrame(result, "feature string, importance double"))
 
 
+def bucket_permutation(rows: int, bucket: int, feature: int, seed: int) -> np.ndarray:
+    """The row each of a bucket's rows takes its value of a feature from."""
+    return np.random.default_rng([seed, bucket, feature]).permutation(rows)
+
+
+def _flag_counts(spark: SparkSession, forest: Forest, seed: int):
+    """Flagged rows of a bucket: as they are, then with each feature shuffled."""
+    sent = [forest.broadcast(spark, n) for n in range(len(forest.blocks))]
+    columns, expected, cut = forest.columns, forest.expected, forest.cut
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        bucket = int(pdf["_bucket"].iat[0])
+        points = pdf.sort_values(["_id", *columns])[columns].to_numpy(dtype=np.float32)
+        donors = np.column_stack([points[bucket_permutation(len(points), bucket, i, seed), i] for i in range(len(columns))])
+        totals = sum(block.value.swapped_paths(points, donors) for block in sent)
+        flagged = (np.exp2(-totals / expected) > cut).sum(axis=1)
+        return pd.DataFrame({"trial": np.arange(len(flagged), dtype=np.int32), "flagged": flagged})
+
+    return run
+
+
 def _no_importances(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame([], "feature string, importance double, relative double")

@@ -354,3 +354,40 @@ def test_permutation_sensitivity_is_repeatable(spark, sf_dir, trained):
     assert one == two and len(one) == len(S.MODEL_FEATURES)
     assert max(r.relative for r in one) == pytest.approx(1.0, abs=1e-6)
     assert DI.permutation_sensitivity(normals.limit(5), anomalies.limit(5), model, ["trip_id"]).isEmpty()
+
+
+def test_swapped_paths_equal_full_walks(planted):
+    forest = FO.load_forest(FO.fit_forest(planted, COLUMNS, ["id"], 9, 64), COLUMNS)
+    rng = np.random.default_rng(2)
+    points, donors = (rng.normal(size=(300, 3)).astype(np.float32) for _ in range(2))
+    block = forest.block(0)
+    totals = block.swapped_paths(points, donors)
+    assert totals[0] == pytest.approx(block.paths(points), abs=1e-6)
+    for i in range(3):
+        swapped = points.copy()
+        swapped[:, i] = donors[:, i]
+        assert totals[i + 1] == pytest.approx(block.paths(swapped), abs=1e-4)
+
+
+def test_permutation_sensitivity_equals_full_rescoring(spark, sf_dir, trained):
+    """All rows scored once as they are and once with each feature exchanged."""
+    _, _, model = trained
+    normals, anomalies = samples.results(spark, sf_dir)
+    got = {r.feature: r.importance for r in DI.permutation_sensitivity(normals, anomalies, model, ["trip_id"], bucket_rows=150).collect()}
+    features = model.forest.columns
+    both = normals.select("*").unionByName(anomalies.select(*normals.columns))
+    scaled = TR.scale(both, model.scaler).select(F.xxhash64("trip_id").alias("_id"), *[F.col(c).cast("float") for c in features])
+    total = scaled.count()
+    buckets = -(-total // 150)
+    rows = scaled.withColumn("b", F.pmod(F.xxhash64("_id", F.lit(S.SEED)), F.lit(buckets))).toPandas()
+    flagged = np.zeros(len(features) + 1)
+    for b, part in rows.groupby("b"):
+        points = part.sort_values(["_id", *features])[features].to_numpy(np.float32)
+        for i in range(-1, len(features)):
+            swapped = points.copy()
+            if i >= 0:
+                swapped[:, i] = points[DI.bucket_permutation(len(points), int(b), i, S.SEED), i]
+            flagged[i + 1] += (2.0 ** (-model.forest.block(0).paths(swapped) / model.forest.expected) > model.forest.cut).sum()
+    assert buckets > 3
+    for i, c in enumerate(features):
+        assert got[c] == pytest.approx(abs(flagged[i + 1] - flagged[0]) / total, abs=1.5 / total)
