@@ -336,7 +336,12 @@ def _changed(column: str, to: str, change):
 
 
 def encode_documents(docs: DataFrame, ranks: bytes, pattern: str, text_col: str = "text") -> DataFrame:
-    """``docs`` with the text's ids, as little-endian unsigned 32-bit integers, in the place of its text."""
+    """``docs`` with the text's ids, as little-endian unsigned 32-bit integers, in the place of its text.
+
+    A column of ``docs`` that is called ``ids`` already is refused, as the result would have two.
+    """
+    if "ids" in docs.columns and text_col != "ids":
+        raise ValueError("docs has a column ids; rename it first")
     fields = [T.StructField("ids", T.BinaryType()) if f.name == text_col else f for f in docs.schema.fields]
     filled = docs.withColumn(text_col, F.coalesce(F.col(text_col).cast("string"), F.lit("")))
     return filled.mapInArrow(_changed(text_col, "ids", lambda texts: text_encoder(ranks, pattern).encode_many(texts)), T.StructType(fields))

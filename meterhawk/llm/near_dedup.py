@@ -6,7 +6,7 @@ from the maxima, deal documents into buckets. ``band_rows`` derives their size f
 at it share no band with a chance of ``MISSED`` at most: 6 rows at 0.85 (3 in 10 million), 4 rows at 0.80 (1 in 100 billion).
 
 Documents with the same shingle set are one node from the start. No step writes out all pairs of a bucket. First
-the least id of each bucket is compared with its other members, links are confirmed on the full shingle sets, and
+the least node of each bucket is compared with its other members, links are confirmed on the full shingle sets, and
 members are contracted by connected component. A bucket whose members have met in one component is done. Members
 of the others, as around a passage that many documents share, are dealt again by the rarest shingles of
 their full sets, in which any two linked ones must meet, so nothing is lost. There a bucket is
@@ -248,12 +248,13 @@ def _linked_in_blocks(rest: DataFrame, sets: DataFrame, similar: tuple[int, int]
 
 def _links(rows: DataFrame, signed: DataFrame, classes: DataFrame, scratch: Scratch, similar: tuple[int, int]) -> DataFrame:
     """Component labels (node, label) of the nodes that have a link."""
-    nodes = signed.join(classes, (signed["id"] == classes["node"]) & (signed["digest"] == classes["digest"])).select("node", "bands")
+    # One row stands for each set; rows that are equal to it in id and text may stand beside it.
+    nodes = signed.join(classes, ["digest", "id", "text_hash"]).select("node", "bands")
     banded = nodes.select(F.explode("bands").alias("key"), "node")
     shared = banded.groupBy("key").agg(F.min("node").alias("lead"), F.max("node").alias("last")).where("lead < last")
     members = scratch.put(banded.join(shared.select("key", "lead"), "key"), "members")
-    wanted = members.select("node").distinct()
-    texts = rows.join(wanted, rows["id"] == wanted["node"]).select("node", "text")
+    wanted = members.select("node").distinct().join(classes.select("node", "id", "text_hash"), "node")
+    texts = rows.join(wanted, ["id", "text_hash"]).select("node", "text")
     sets = scratch.put(texts.mapInArrow(_full_sets, "node long, hashes array<long>"), "sets")
 
     pairs = members.where("node != lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
@@ -273,9 +274,8 @@ def _content(text_col: str) -> Column:
     return F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).cast("binary")
 
 
-def _grouped(docs: DataFrame, id_col: str, text_col: str, similar: tuple[int, int]) -> DataFrame:
-    """One row per input row: id, text_hash, n_shingles, component_id, kept."""
-    scratch = Scratch(docs.sparkSession, "near")
+def _grouped(docs: DataFrame, id_col: str, text_col: str, similar: tuple[int, int], scratch: Scratch) -> DataFrame:
+    """One row per input row: id, text_hash, n_shingles, group (null for rows that are linked with nothing), component_id, kept."""
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), _content(text_col).alias("text"))
     hashed = rows.withColumn("text_hash", F.xxhash64("text"))
     signed = scratch.put(
@@ -286,20 +286,26 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, similar: tuple[int, in
     )
     can_link = F.col("digest").isNotNull() & F.col("id").isNotNull()
     full = signed.where(can_link)
-    classes = scratch.put(full.groupBy("digest").agg(F.min("id").alias("node")), "classes")
-    labels = _links(rows, full, classes, scratch, similar)
+    # A set is a node of its own, whichever ids its rows have.
+    least = full.groupBy("digest").agg(F.min(F.struct("id", "text_hash")).alias("least"))
+    classes = scratch.put(least.select("digest", "least.id", "least.text_hash", F.monotonically_increasing_id().alias("node")), "classes")
+    labels = _links(hashed, full, classes, scratch, similar)
+    groups = scratch.put(
+        classes.join(labels, "node", "left").select("digest", "id", F.coalesce("label", "node").alias("group")), "groups"
+    )
+    firsts = groups.groupBy("group").agg(F.min("id").alias("component_id"))
     found = (
         full.select("id", "text_hash", "n_shingles", "digest")
-        .join(classes, "digest")
-        .join(labels, "node", "left")
-        .select("id", "text_hash", "n_shingles", F.coalesce("label", "node").alias("component_id"))
+        .join(groups.select("digest", "group").join(firsts, "group"), "digest")
+        .select("id", "text_hash", "n_shingles", "group", "component_id")
     )
-    alone = signed.where(~can_link).select("id", "text_hash", "n_shingles", F.col("id").alias("component_id"))
+    alone = signed.where(~can_link).select("id", "text_hash", "n_shingles", F.lit(None).cast("long").alias("group"), F.col("id").alias("component_id"))
     return scratch.result(
         found.unionByName(alone).select(
             "id",
             "text_hash",
             "n_shingles",
+            "group",
             "component_id",
             F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"),
         )
@@ -310,27 +316,26 @@ def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: tuple[int, int] = SIMILAR
 ) -> DataFrame:
     """One row per input row: id, n_shingles, component_id (least id reachable over links), kept."""
-    groups = _grouped(docs, id_col, text_col, similar)
+    groups = _grouped(docs, id_col, text_col, similar, Scratch(docs.sparkSession, "near"))
     return groups.select(F.col("id").alias(id_col), "n_shingles", "component_id", "kept")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: tuple[int, int] = SIMILAR) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns as they were.
+    """The rows of ``docs`` that stay, with all their columns as they were, whatever their names.
 
-    Rows are told apart by id and text. A group keeps exactly one row; where several rows have its least id, one with
-    the least text hash.
+    A group keeps exactly one row: one with its least id and, of those, the least text hash. So rows that repeat an id with other
+    texts stay, each for its own group. Rows that are linked with nothing, for want of words or of an id, all stay.
     """
-    groups = _grouped(docs, id_col, text_col, similar).where("component_id IS NOT NULL AND n_shingles > 0")
-    leads = groups.where("kept").groupBy("id").agg(F.count("*").alias("rows"), F.min("text_hash").alias("text_hash"))
-    repeated = leads.where("rows > 1").select("id", F.col("text_hash").alias("kept_hash"))
-    gone = groups.where(~F.col("kept")).select(F.col("id").alias("gone_id"), F.col("text_hash").alias("gone_hash"))
-    is_gone = (F.col(f"`{id_col}`").cast("long") == F.col("gone_id")) & (F.xxhash64(_content(text_col)) == F.col("gone_hash"))
-    if repeated.isEmpty():
-        return docs.join(gone.distinct(), is_gone, "left_anti")
-    # Of rows with one id some may lead a group of their own and others may have no words: only the former are thinned.
-    more = groups.where("kept").join(repeated, "id").where("text_hash != kept_hash").select(F.col("id").alias("gone_id"), F.col("text_hash").alias("gone_hash"))
-    stay = docs.join(gone.unionByName(more).distinct(), is_gone, "left_anti")
-    again = (F.col(f"`{id_col}`").cast("long") == F.col("id")) & (F.xxhash64(_content(text_col)) == F.col("kept_hash"))
-    pick = [F.col(f"`{id_col}`").cast("long").alias("_id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")]
-    one = stay.join(repeated, again, "left_semi").select(*pick).groupBy("_id").agg(F.first("_row").alias("_row"))
-    return stay.join(repeated, again, "left_anti").unionByName(one.select(*[F.col(f"_row.`{c}`").alias(c) for c in docs.columns]))
+    groups = _grouped(docs, id_col, text_col, similar, Scratch(docs.sparkSession, "near")).where(F.col("group").isNotNull())
+    first = groups.groupBy("group").agg(F.min(F.struct("id", "text_hash")).alias("first"))
+    # What leads a group, and how many of its rows are equal to that in id and text.
+    leads = groups.join(first, "group").where(F.struct("id", "text_hash") == F.col("first"))
+    repeated = leads.groupBy("id", "text_hash").agg(F.count("*").alias("rows")).where("rows > 1").select("id", "text_hash")
+    gone = groups.join(first, "group").where(F.struct("id", "text_hash") != F.col("first")).select("id", "text_hash").distinct()
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    packed = docs.select(row, F.col(f"`{id_col}`").cast("long").alias("id"), F.xxhash64(_content(text_col)).alias("text_hash"))
+    stay = packed.join(gone, ["id", "text_hash"], "left_anti")
+    if not repeated.isEmpty():
+        once = stay.join(repeated, ["id", "text_hash"], "left_semi").groupBy("id", "text_hash").agg(F.first("row").alias("row"))
+        stay = stay.join(repeated, ["id", "text_hash"], "left_anti").select("row").unionByName(once.select("row"))
+    return stay.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])

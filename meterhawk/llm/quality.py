@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from meterhawk.llm.common import held_out, labelled_sample, text_of
 from meterhawk.llm.near_dedup import word_hashes
@@ -243,5 +244,6 @@ def keep_good(docs: DataFrame, model: BagModel, good: float = GOOD) -> DataFrame
     """The rows of ``docs`` that are not rejected, with all their columns as they were."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     rows = docs.select(row, text_of("text").alias("text"))
-    scored = rows.mapInArrow(_score_task(model), f"row {rows.schema['row'].dataType.simpleString()}, score double")
+    returned = T.StructType([rows.schema["row"], T.StructField("score", T.DoubleType())])
+    scored = rows.mapInArrow(_score_task(model), returned)
     return scored.where(F.col("score") >= good).select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])

@@ -43,3 +43,54 @@ def test_rows_that_repeat_an_id_are_told_apart_by_their_text(spark):
     found = sorted((r.doc_id or 0, r.text.lower()) for r in kept.collect())
     assert kept.columns == docs.columns
     assert found == sorted([(1, copy), (2, alone), (3, other.lower()), (3, ""), (0, copy)])
+
+
+def test_unrelated_texts_under_repeated_ids_all_stay(spark):
+    texts = [_pair(n, 60)[0] for n in ("p", "q", "r")]
+    docs = spark.createDataFrame([(2, texts[0], "en", "s"), (2, texts[1], "en", "s"), (1, texts[2], "en", "s")], SCHEMA)
+    assert sorted(r.text for r in near_dedup.keep_one(docs).collect()) == sorted(texts)
+    rows = near_dedup.near_duplicates(docs).collect()
+    assert sorted((r.doc_id, r.component_id, r.kept) for r in rows) == [(1, 1, True), (2, 2, True), (2, 2, True)]
+
+
+@pytest.mark.parametrize("bucket", [4, 256])
+def test_crowds_against_all_pairs(spark, monkeypatch, bucket):
+    """At the contract's 0.85 and with buckets of several blocks: a crowd around a passage, chains, copies and repeated ids."""
+    monkeypatch.setattr(near_dedup, "BLOCK", bucket)
+    import numpy as np
+
+    rng = np.random.default_rng(bucket)
+    passage = [f"p{i}" for i in range(40)]
+    rows = [(i, " ".join([*passage, *(f"v{int(w)}" for w in rng.integers(0, 6, 6 + i % 3))]), "en", "s") for i in range(70)]
+    chain = [f"c{i}" for i in range(80)]
+    rows += [(100 + i, " ".join(chain[i : i + 60]), "en", "s") for i in range(15)]
+    rows += [(100, " ".join(chain[7:67]), "en", "s"), (3, "an unrelated text under an id that is used", "en", "s"), (3, rows[3][1], "en", "s")]
+    sets = [frozenset(near_dedup.shingles(t.encode()).tolist()) for _, t, *_ in rows]
+    group = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j]):
+                old, new = group[i], group[j]
+                group = [new if g == old else g for g in group]
+    least = {g: min(rows[k][0] for k in range(len(rows)) if group[k] == g) for g in group}
+    want = sorted((rows[k][0], len(sets[k]), least[group[k]]) for k in range(len(rows)))
+    found = near_dedup.near_duplicates(spark.createDataFrame(rows, SCHEMA).repartition(4)).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in found) == want
+
+
+def test_columns_of_any_name_are_carried(spark):
+    from meterhawk.llm import exact_dedup, quality
+
+    names = ["id", "row", "gone_id", "kept_hash", "my col-x", "text_hash", "node", "group", "first", "score"]
+    copy, other = _pair("a", 5)[0], _pair("b", 60)[0]
+    rows = [(1, copy, *"abcdefghij"), (2, copy.upper(), *"klmnopqrst"), (2, other, *"ABCDEFGHIJ"), (2, other, *"ABCDEFGHIJ"), (5, None, *[None] * 10)]
+    schema = "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names)
+    docs = spark.createDataFrame(rows, schema)
+    kept = near_dedup.keep_one(docs)
+    assert kept.columns == docs.columns and kept.dtypes == docs.dtypes
+    assert sorted(map(str, kept.collect())) == sorted(map(str, [docs.collect()[i] for i in (0, 2, 4)]))
+    whole = exact_dedup.keep_one(docs)
+    assert whole.columns == docs.columns and whole.count() == 4
+    model = quality.fit(docs, spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int"))
+    good = quality.keep_good(docs, model, good=0.0)
+    assert good.dtypes == docs.dtypes and good.count() == 5
