@@ -1,15 +1,20 @@
-"""Exact top-k search by BM25 over an inverted index with block-max pruning, per shard and merged exactly.
-
-Documents are dealt into shards of about ``SHARD_DOCS``. A shard's index holds, per term, its postings in document
-order, cut where blocks of ``BLOCK_DOCS`` documents begin, with the greatest term weight in each block. A query
-adds up the block maxima of its terms: no document of a block can score more. Blocks are then opened from the highest bound
-down, and once k documents score at least the next bound, no further block can change the result and
-all others are skipped. Term weights use the global document count, mean length and document frequencies, so scores of
-different shards compare and the k best of all shards' k best are the exact answer. Ties go to the least id.
-
-Queries run in batches of bounded bytes against all shards. Defined cases: a text without words matches nothing and, as a query,
-finds nothing; a null id is no query and is found like any other; repeated rows are separate documents; an
-empty table gives an empty result; other columns are ignored.
+"""Exact top-k search by BM25: an inverted index with block-max WAND, per shard and merged exactly.
+
+Documents are cut, where they lie, into shards closed by bytes of text or by documents; a shard is one row of the index, and no
+text is shuffled. A shard puts documents that share its commonest terms side by side and cuts them into ranges
+of ``RANGE_DOCS``. Every posting list is cut at the same ranges, and each piece has the greatest term weight in it.
+
+A query keeps a cursor in each of its terms' lists and a threshold, the k-th best score so far. The pivot is the next range, in document
+order, in which the maxima of the pieces add up to the threshold; all cursors jump to their pieces
+of it, and the pieces passed over are never read. As all lists are cut alike, the pivots ahead are found for many ranges in one step, and
+again whenever the threshold has risen. A shard whose own term maxima fall short is passed over whole. Weights use the global
+document count, mean length and document frequencies, so scores of different shards compare and the k best of
+all lists are the exact answer. A task carries its k best, and so its threshold, from shard to shard. Ties go to the least id, a null id first.
+
+Queries run in batches of bounded bytes, each against all shards. Defined cases: rows of one query id are one query holding all their
+terms; a null query id is no query; a null document id is found like any other; a text without words matches nothing and, as a
+query, finds nothing; repeated rows are separate documents; an empty table gives an empty result; other columns are
+ignored. A document longer than a shard is a shard of its own. Terms are compared by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -18,119 +23,202 @@ import functools
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterhawk.llm.common import Scratch
-from meterhawk.llm.mixing import count_words
 from meterhawk.llm.near_dedup import word_hashes
 
 K1 = 1.2
 B = 0.75
 TOP = 10
-SHARD_DOCS = 8192
-BLOCK_DOCS = 32
+SHARD_BYTES = 16 << 20
+SHARD_DOCS = 16_384
+RANGE_DOCS = 64
 BATCH_BYTES = 24 << 20
-_ARRAYS = ("ids", "terms", "cuts", "blocks", "starts", "peaks", "docs", "weights")
-_KINDS = {"ids": np.int64, "terms": np.uint64, "cuts": np.int64, "blocks": np.int32, "starts": np.int64, "peaks": np.float64, "docs": np.int32, "weights": np.float64}
+MERGE_PARTS = 64
+# Documents of a shard are ordered by which of its commonest terms they hold.
+_ORDER_TERMS = 32
+# A bound may fall below the sum of the same terms by rounding.
+_SLACK = 1 - 1e-9
 
+# A shard has at most SHARD_DOCS documents and, as every text is shorter than 2 GB, fewer than 2 ** 31 postings.
+_INDEX = {"ids": np.int64, "known": np.int8, "lengths": np.int32, "terms": np.uint64, "starts": np.int32, "docs": np.uint16, "times": np.int32}
+_INDEX_SQL = "holding bigint, length bigint, " + ", ".join(f"{c} binary" for c in _INDEX)
 
-def terms_of(text: str) -> tuple[np.ndarray, np.ndarray]:
+
+def terms_of(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct term hashes and their counts."""
-    return np.unique(word_hashes(text.encode("utf-8").lower().split()), return_counts=True)
-
-
-def build_index(ids: list[int | None], texts: list[str], mean_length: float) -> dict[str, np.ndarray]:
-    """The index of one shard; terms by hash, postings by document."""
-    order = sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] or 0, texts[i]))
-    terms, docs, weights = [], [], []
-    for place, at in enumerate(order):
-        words, counts = terms_of(texts[at])
-        length = counts.sum()
-        terms.append(words)
-        docs.append(np.full(len(words), place, np.int32))
-        weights.append(counts * (K1 + 1) / (counts + K1 * (1 - B + B * length / mean_length)))
-    terms, docs, weights = (np.concatenate([np.empty(0, k), *x]) for k, x in ((np.uint64, terms), (np.int32, docs), (float, weights)))
-    by_term = np.argsort(terms, kind="stable")
-    terms, docs, weights = terms[by_term], docs[by_term], weights[by_term]
-    block = docs // BLOCK_DOCS
-    fresh = np.ones(len(terms), bool)
-    fresh[1:] = (terms[1:] != terms[:-1]) | (block[1:] != block[:-1])
-    starts = np.flatnonzero(fresh)
-    names, first = np.unique(terms[starts], return_index=True)
+    return np.unique(word_hashes(text.lower().split()), return_counts=True)
+
+
+def _alike(terms: np.ndarray, docs: np.ndarray, size: int) -> np.ndarray:
+    """The documents, ordered by which of the commonest terms they hold."""
+    names, held = np.unique(terms, return_counts=True)
+    common = names[np.argsort(-held, kind="stable")[:_ORDER_TERMS]]
+    marks = np.zeros(size, np.uint64)
+    for n, term in enumerate(common):
+        marks[docs[terms == term]] |= np.uint64(1 << (_ORDER_TERMS - 1 - n))
+    return np.argsort(marks, kind="stable")
+
+
+def build_shard(ids: list[int | None], bags: list[tuple[np.ndarray, np.ndarray]]) -> dict[str, np.ndarray]:
+    """The index of documents given by their terms and counts; postings by term, then document."""
+    sizes = [len(t) for t, _ in bags]
+    docs = np.repeat(np.arange(len(bags)), sizes)
+    terms = np.concatenate([np.empty(0, np.uint64), *(t for t, _ in bags)])
+    times = np.concatenate([np.empty(0, np.int64), *(c for _, c in bags)])
+    order = _alike(terms, docs, len(bags))
+    place = np.empty(len(bags), np.int64)
+    place[order] = np.arange(len(bags))
+    docs = place[docs]
+    by_term = np.lexsort((docs, terms))
+    terms, docs, times = terms[by_term], docs[by_term], times[by_term]
+    names, first = np.unique(terms, return_index=True)
+    lengths = np.bincount(docs, times, len(bags))
     found = {
-        "ids": np.array([-(2**63) if ids[i] is None else ids[i] for i in order], np.int64),
-        "terms": names, "cuts": np.append(first, len(starts)), "blocks": block[starts],
-        "starts": np.append(starts, len(terms)),
-        "peaks": np.maximum.reduceat(weights, starts) if len(starts) else weights, "docs": docs, "weights": weights,
+        "ids": [0 if ids[i] is None else ids[i] for i in order], "known": [ids[i] is not None for i in order], "lengths": lengths,
+        "terms": names, "starts": np.append(first, len(terms)), "docs": docs, "times": times,
     }
-    return {name: value.astype(_KINDS[name]) for name, value in found.items()}
+    return {name: np.asarray(found[name], kind) for name, kind in _INDEX.items()}
 
 
-def _spread(starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All numbers of the ranges, one range after the other, and the range each belongs to."""
-    sizes = stops - starts
-    of = np.repeat(np.arange(len(starts)), sizes)
-    return np.arange(sizes.sum()) + np.repeat(starts - np.concatenate(([0], np.cumsum(sizes)[:-1])), sizes), of
-
-
-def search_shard(index: dict[str, np.ndarray], terms: np.ndarray, gains: np.ndarray, k: int = TOP) -> tuple[np.ndarray, np.ndarray, int]:
-    """(ids, scores, opened blocks) of the shard's k best documents for terms with their gains."""
-    at = np.searchsorted(index["terms"], terms)
-    known = np.zeros(len(terms), bool)
-    inside = at < len(index["terms"])
-    known[inside] = index["terms"][at[inside]] == terms[inside]
-    at, gains = at[known], gains[known]
-    if not len(at):
-        return np.empty(0, np.int64), np.empty(0), 0
-    entries, of = _spread(index["cuts"][at], index["cuts"][at + 1])
-    blocks = index["blocks"][entries]
-    bounds = np.bincount(blocks, index["peaks"][entries] * gains[of], -(-len(index["ids"]) // BLOCK_DOCS))
-    ranked = np.argsort(-bounds, kind="stable")
-    ranked = ranked[bounds[ranked] > 0]
-    scores = np.zeros(len(index["ids"]))
-    opened, step, least = 0, 4, -np.inf
-    while opened < len(ranked):
-        some = ranked[opened : opened + step]
-        # A bound may fall below the sum of the same terms by rounding.
-        some = some[bounds[some] * (1 + 1e-9) >= least]
-        if not len(some):
-            break
-        wanted = np.zeros(len(bounds), bool)
-        wanted[some] = True
-        chosen = np.flatnonzero(wanted[blocks])
-        postings, part = _spread(index["starts"][entries[chosen]], index["starts"][entries[chosen] + 1])
-        scores += np.bincount(index["docs"][postings], index["weights"][postings] * gains[of[chosen]][part], len(scores))
-        opened += len(some)
-        step *= 2
-        if np.count_nonzero(scores) >= k:
-            least = np.partition(scores, -k)[-k]
-    found = np.flatnonzero((scores > 0) & (scores >= least))
-    best = found[np.lexsort((index["ids"][found], -scores[found]))][:k]
-    return index["ids"][best], scores[best], opened
-
-
-def _pack(mean_length: float):
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        ids = [None if pd.isna(i) else int(i) for i in rows["doc_id"]]
-        index = build_index(ids, list(rows["text"]), mean_length)
-        return pd.DataFrame([{"shard": rows["shard"].iat[0], **{name: index[name].tobytes() for name in _ARRAYS}}])
+def _index_task(shard_bytes: int, shard_docs: int):
+    def row(ids: list, bags: list) -> pa.RecordBatch:
+        index = build_shard(ids, bags)
+        figures = [pa.array([len(ids)], pa.int64()), pa.array([int(index["lengths"].sum(dtype=np.int64))], pa.int64())]
+        return pa.RecordBatch.from_arrays(
+            [*figures, *(pa.array([index[name].tobytes()], pa.binary()) for name in _INDEX)], names=["holding", "length", *_INDEX]
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, bags, held = [], [], 0
+        for batch in batches:
+            for doc_id, text in zip(batch.column("doc_id"), batch.column("text"), strict=True):
+                text = text.as_py()
+                ids.append(doc_id.as_py())
+                bags.append(terms_of(text))
+                held += len(text)
+                if held >= shard_bytes or len(ids) >= shard_docs:
+                    yield row(ids, bags)
+                    ids, bags, held = [], [], 0
+        if ids:
+            yield row(ids, bags)
 
     return run
 
 
-def _unpack(row: dict[str, bytes]) -> dict[str, np.ndarray]:
-    return {name: np.frombuffer(row[name], _KINDS[name]) for name in _ARRAYS}
+def build_index(docs: DataFrame, shard_bytes: int = SHARD_BYTES, shard_docs: int = SHARD_DOCS) -> DataFrame:
+    """The index rows of docs (doc_id, text), one per shard. No task holds more than a shard's postings."""
+    if not 0 < shard_docs <= 1 << 16:
+        raise ValueError("a shard has 1 to 65,536 documents")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text"))
+    return rows.mapInArrow(_index_task(shard_bytes, shard_docs), _INDEX_SQL)
 
 
-def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for row in batch.to_pylist():
-            index = _unpack(row)
-            held = np.diff(index["starts"][index["cuts"]])
-            yield pa.RecordBatch.from_arrays([pa.array(index["terms"].view(np.int64)), pa.array(held.astype(np.int64))], names=["term", "holders"])
+def _spread(starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of the ranges, one range after the other, and the sizes of the ranges."""
+    sizes = stops - starts
+    numbers = np.repeat(starts - np.cumsum(sizes) + sizes, sizes)
+    numbers += np.arange(len(numbers))
+    return numbers, sizes
+
+
+class Best:
+    """The k best of a query so far: highest score, then null id, then least id."""
+
+    def __init__(self, k: int):
+        self.k, self.scores, self.known, self.ids = k, np.empty(0), np.empty(0, np.int8), np.empty(0, np.int64)
+
+    @property
+    def threshold(self) -> float:
+        """What a document must score to be among the k best, ties included."""
+        return self.scores[-1] if len(self.scores) == self.k else 0.0
+
+    def add(self, scores: np.ndarray, known: np.ndarray, ids: np.ndarray) -> None:
+        scores, known, ids = np.concatenate((self.scores, scores)), np.concatenate((self.known, known)), np.concatenate((self.ids, ids))
+        order = np.lexsort((ids, known, -scores))[: self.k]
+        self.scores, self.known, self.ids = scores[order], known[order], ids[order]
+
+
+class Shard:
+    """A shard as queries over ``vocabulary`` (sorted term hashes) read it."""
+
+    def __init__(self, index: dict[str, np.ndarray], vocabulary: np.ndarray, mean_length: float, range_docs: int = RANGE_DOCS):
+        self.ids, self.known, self.range_docs = index["ids"], index["known"], range_docs
+        self.ranges = -(-len(self.ids) // range_docs)
+        # Only the lists that the batch asks for.
+        at = np.searchsorted(vocabulary, index["terms"])
+        at[at == len(vocabulary)] = 0
+        met = np.flatnonzero(vocabulary[at] == index["terms"]) if len(vocabulary) else np.empty(0, np.int64)
+        self.place = np.full(len(vocabulary), -1, np.int64)
+        self.place[at[met]] = np.arange(len(met))
+        postings, sizes = _spread(index["starts"][met].astype(np.int64), index["starts"][met + 1].astype(np.int64))
+        of = np.repeat(np.arange(len(met)), sizes)
+        self.docs = index["docs"][postings].astype(np.int64)
+        times = index["times"][postings].astype(float)
+        self.weights = times * (K1 + 1) / (times + K1 * (1 - B + B * index["lengths"][self.docs] / mean_length))
+        range_of = self.docs // range_docs
+        fresh = np.ones(len(of), bool)
+        fresh[1:] = (of[1:] != of[:-1]) | (range_of[1:] != range_of[:-1])
+        first = np.flatnonzero(fresh)
+        # Pieces of the lists: where each list's begin, the range of each, its first posting and greatest weight.
+        self.cuts = np.searchsorted(of[first], np.arange(len(met) + 1))
+        self.piece_range = range_of[first]
+        self.starts = np.append(first, len(of))
+        self.peaks = np.maximum.reduceat(self.weights, first) if len(first) else self.weights
+        self.tops = np.maximum.reduceat(self.peaks, self.cuts[:-1]) if len(met) else self.peaks
+
+    def search(self, codes: np.ndarray, gains: np.ndarray, best: Best) -> int:
+        """Add to ``best`` what the shard has for terms, by place in the vocabulary, and their gains; the postings read."""
+        at = self.place[codes]
+        known = at >= 0
+        at, gains = at[known], gains[known]
+        least = best.threshold * _SLACK
+        if not len(at) or gains @ self.tops[at] < least:
+            return 0
+        pieces, sizes = _spread(self.cuts[at], self.cuts[at + 1])
+        ranges, gains = self.piece_range[pieces], np.repeat(gains, sizes)
+        bounds = np.bincount(ranges, self.peaks[pieces] * gains, self.ranges)
+        pivots = np.flatnonzero((bounds > 0) & (bounds >= least))
+        step, read = 16, 0
+        while len(pivots):
+            some, pivots = pivots[:step], pivots[step:]
+            open_ = np.zeros(self.ranges, bool)
+            open_[some] = True
+            chosen = np.flatnonzero(open_[ranges])
+            postings, sizes = _spread(self.starts[pieces[chosen]], self.starts[pieces[chosen] + 1])
+            low, high = some[0] * self.range_docs, min((some[-1] + 1) * self.range_docs, len(self.ids))
+            scores = np.bincount(self.docs[postings] - low, self.weights[postings] * np.repeat(gains[chosen], sizes), high - low)
+            read += len(postings)
+            hit = np.flatnonzero((scores > 0) & (scores >= best.threshold))
+            if len(hit):
+                best.add(scores[hit], self.known[low + hit], self.ids[low + hit])
+            pivots = pivots[bounds[pivots] >= best.threshold * _SLACK]
+            step *= 2
+        return read
+
+
+def _unpack(row: dict, columns=tuple(_INDEX)) -> dict[str, np.ndarray]:
+    return {name: np.frombuffer(row[name], _INDEX[name]) for name in columns}
+
+
+def _frequency_task(sent):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = sent.value
+        held = np.zeros(len(vocabulary), np.int64)
+        for batch in batches:
+            for row in batch.to_pylist():
+                index = _unpack(row, ("terms", "starts"))
+                at = np.searchsorted(index["terms"], vocabulary)
+                at[at == len(index["terms"])] = 0
+                if len(index["terms"]):
+                    held += np.where(index["terms"][at] == vocabulary, index["starts"][at + 1] - index["starts"][at], 0)
+        met = np.flatnonzero(held)
+        yield pa.RecordBatch.from_arrays([pa.array(met, pa.int64()), pa.array(held[met], pa.int64())], names=["code", "held"])
+
+    return run
 
 
 def _query_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,61 +231,68 @@ def _query_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _search_task(queries, k: int):
-    """``queries`` is a broadcast list of (query, terms, gains)."""
+def _search_task(sent, k: int):
+    """``sent`` holds the vocabulary, the mean length and a list of (query, codes, gains)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary, mean_length, queries = sent.value
+        best = [Best(k) for _ in queries]
         for batch in batches:
-            for row in batch.to_pylist():
-                index = _unpack(row)
-                for query, terms, gains in queries.value:
-                    ids, scores, _ = search_shard(index, np.frombuffer(terms, np.uint64), np.frombuffer(gains, np.float64), k)
-                    if len(ids):
-                        found = [None if i == -(2**63) else i for i in ids.tolist()]
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([query] * len(ids), pa.int64()), pa.array(found, pa.int64()), pa.array(scores)],
-                            names=["query_id", "doc_id", "score"],
-                        )
+            for column in batch.to_pylist():
+                shard = Shard(_unpack(column), vocabulary, mean_length)
+                for (_, codes, gains), mine in zip(queries, best, strict=True):
+                    shard.search(codes, gains, mine)
+        for (query, _, _), mine in zip(queries, best, strict=True):
+            if len(mine.ids):
+                found = [i if y else None for i, y in zip(mine.ids.tolist(), mine.known.tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([query] * len(found), pa.int64()), pa.array(found, pa.int64()), pa.array(mine.scores)],
+                    names=["query_id", "doc_id", "score"],
+                )
 
     return run
 
 
-def _gathered(rows: pd.DataFrame) -> pd.DataFrame:
-    rows = rows.sort_values("term", key=lambda t: t.to_numpy().view(np.uint64))
-    terms, gains = rows["term"].to_numpy().view(np.uint64), rows["gain"].to_numpy()
-    return pd.DataFrame([{"query_id": rows["query_id"].iat[0], "terms": terms.tobytes(), "gains": gains.tobytes()}])
-
-
-def top_documents(docs: DataFrame, queries: DataFrame, k: int = TOP, shard_docs: int = SHARD_DOCS) -> DataFrame:
+def top_documents(
+    docs: DataFrame, queries: DataFrame, k: int = TOP, shard_bytes: int = SHARD_BYTES, shard_docs: int = SHARD_DOCS, batch_bytes: int = BATCH_BYTES
+) -> DataFrame:
     """(query_id, rank, doc_id, score): the k best of ``docs`` (doc_id, text) for each of ``queries`` (query_id, text)."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "search")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    totals = texts.agg(F.count("*").alias("n"), F.sum(count_words(F.col("text"))).alias("words")).first()
-    n, mean_length = totals["n"], max((totals["words"] or 0) / max(totals["n"], 1), 1e-9)
-    shards = -(-n // shard_docs) or 1
-    sharded = texts.withColumn("shard", F.pmod(F.xxhash64("doc_id", F.crc32(F.col("text").cast("binary"))), F.lit(shards)))
-    schema = "shard long, " + ", ".join(f"{name} binary" for name in _ARRAYS)
-    index = scratch.put(sharded.groupBy("shard").applyInPandas(_pack(mean_length), schema), "index")
-    holders = index.select("terms", "cuts", "starts", *[c for c in _ARRAYS if c not in ("terms", "cuts", "starts")]).mapInArrow(
-        _frequencies, "term long, holders long"
-    ).groupBy("term").agg(F.sum("holders").alias("holders"))
-    wanted = queries.where(F.col("query_id").isNotNull()).select("query_id", F.coalesce("text", F.lit("")).alias("text"))
-    weighed = wanted.mapInArrow(_query_terms, "query_id long, term long, times long").join(holders, "term")
-    idf = F.log1p((F.lit(n) - F.col("holders") + 0.5) / (F.col("holders") + 0.5))
-    gathered = weighed.select("query_id", "term", (F.col("times") * idf).alias("gain")).groupBy("query_id").applyInPandas(
-        _gathered, "query_id long, terms binary, gains binary"
+    index = scratch.put(build_index(docs, shard_bytes, shard_docs), "index")
+    totals = index.agg(F.sum("holding"), F.sum("length")).first()
+    n = totals[0] or 0
+    mean_length = max((totals[1] or 0) / max(n, 1), 1e-9)
+    wanted = queries.where(F.col("query_id").isNotNull()).select(
+        F.col("query_id").cast("long").alias("query_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text")
     )
-    ready = scratch.put(gathered, "queries")
-    held = ready.agg(F.sum(F.octet_length("terms") * 2)).first()[0] or 0
-    batches = int(held // BATCH_BYTES) + 1
+    terms = wanted.mapInArrow(_query_terms, "query_id long, term long, times long").groupBy("query_id", "term").agg(F.sum("times").alias("times"))
+    asked = scratch.put(terms, "asked")
+    batches = (asked.count() * 24) // batch_bytes + 1
     answers = []
     for number in range(batches):
-        batch = ready.where(F.pmod(F.xxhash64("query_id"), F.lit(batches)) == number).collect()
-        # About BATCH_BYTES, whatever the number of queries.
-        sent = spark.sparkContext.broadcast([(r["query_id"], bytes(r["terms"]), bytes(r["gains"])) for r in batch])
-        found = index.repartition(shards, "shard").mapInArrow(_search_task(sent, k), "query_id long, doc_id long, score double")
+        # About batch_bytes, whatever the number of queries.
+        held = asked.where(F.pmod(F.xxhash64("query_id"), F.lit(batches)) == number).toArrow()
+        names, terms, times = (held.column(c).to_numpy() for c in ("query_id", "term", "times"))
+        vocabulary, codes = np.unique(terms.view(np.uint64), return_inverse=True)
+        counted = index.select("terms", "starts").mapInArrow(_frequency_task(spark.sparkContext.broadcast(vocabulary)), "code long, held long")
+        holders = np.zeros(len(vocabulary))
+        for r in counted.groupBy("code").agg(F.sum("held").alias("held")).collect():
+            holders[r["code"]] = r["held"]
+        gains = times * np.log1p((n - holders + 0.5) / (holders + 0.5))[codes]
+        order = np.lexsort((codes, names))
+        each, first = np.unique(names[order], return_index=True)
+        parts = [(q.item(), codes[some].astype(np.int32), gains[some]) for q, some in zip(each, np.split(order, first)[1:], strict=True)]
+        sent = spark.sparkContext.broadcast((vocabulary, mean_length, parts))
+        found = index.select(*_INDEX).mapInArrow(_search_task(sent, k), "query_id long, doc_id long, score double")
         answers.append(scratch.put(found, f"answers-{number}"))
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), F.col("doc_id").asc_nulls_first())
-    merged = functools.reduce(DataFrame.unionByName, answers).withColumn("rank", F.row_number().over(best))
-    return scratch.result(merged.where(F.col("rank") <= k).select("query_id", "rank", "doc_id", "score"))
+    return scratch.result(_merge(functools.reduce(DataFrame.unionByName, answers), k))
+
+
+def _merge(found: DataFrame, k: int) -> DataFrame:
+    """The k best of all tasks' lists, first within parts of each query's list, then of the parts' best."""
+    order = [F.desc("score"), F.col("doc_id").asc_nulls_first()]
+    parted = found.withColumn("part", F.pmod(F.xxhash64("doc_id", "score"), F.lit(MERGE_PARTS)))
+    some = parted.withColumn("rank", F.row_number().over(Window.partitionBy("query_id", "part").orderBy(*order))).where(F.col("rank") <= k)
+    best = some.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(*order))).where(F.col("rank") <= k)
+    return best.select("query_id", "rank", "doc_id", "score")

@@ -121,22 +121,55 @@ def test_mixing(docs, spark):
     assert mixing.mix(docs.limit(0)).count() == 0
 
 
-def test_search_is_exact(spark):
+def _ranked(rows, asked, k):
+    """Every document scored by a plain loop: [(query, rank, doc, score)]; a null id goes before all others."""
+    bags = [(i, Counter((t or "").split())) for i, t in rows]
+    n, mean = len(bags), sum(b.total() for _, b in bags) / max(len(bags), 1)
+    held = Counter(w for _, b in bags for w in b)
+    wanted = {}
+    for query, text in asked:
+        if query is not None:
+            wanted.setdefault(query, Counter()).update((text or "").split())
+    for query, bag in wanted.items():
+        scored = []
+        for i, b in bags:
+            parts = [q * np.log1p((n - held[w] + 0.5) / (held[w] + 0.5)) * b[w] * 2.2 / (b[w] + 1.2 * (0.25 + 0.75 * b.total() / mean)) for w, q in bag.items() if b[w]]
+            if parts:
+                scored.append((-round(sum(parts), 9), i is not None, i or 0, i))
+        yield from ((query, rank, i, -s) for rank, (s, _, _, i) in enumerate(sorted(scored)[:k], 1))
+
+
+@pytest.mark.parametrize(("shard_bytes", "shard_docs", "batch_bytes"), [(search.SHARD_BYTES, search.SHARD_DOCS, search.BATCH_BYTES), (2_000, 300, 1_000), (1 << 20, 7, 4_000)])
+def test_search_is_exact(spark, shard_bytes, shard_docs, batch_bytes):
     rng = np.random.default_rng(0)
     texts = [" ".join(f"t{int(w)}" for w in rng.zipf(1.3, 40) if w < 500) for _ in range(300)]
-    docs = spark.createDataFrame([*enumerate(texts), (300, None), (301, "")], "doc_id long, text string")
-    queries = docs.where("doc_id % 50 = 0").withColumnRenamed("doc_id", "query_id")
-    got = search.top_documents(docs, queries, k=5, shard_docs=64).collect()
-    bags = [Counter(t.split()) for t in texts] + [Counter(), Counter()]
-    mean, held = sum(b.total() for b in bags) / 302, Counter(w for b in bags for w in b)
-    for query in range(0, 300, 50):
-        scores = []
-        for doc, bag in enumerate(bags):
-            parts = [q * np.log1p((302 - held[w] + 0.5) / (held[w] + 0.5)) * bag[w] * 2.2 / (bag[w] + 1.2 * (0.25 + 0.75 * bag.total() / mean)) for w, q in bags[query].items() if bag[w]]
-            scores.append((-sum(parts), doc))
-        best = sorted(scores)[:5]
-        mine = sorted((r.rank, r.score) for r in got if r.query_id == query)
-        assert np.allclose([s for _, s in mine], [-s for s, _ in best])
+    rows = [*enumerate(texts), *((600 + i, texts[i % 4]) for i in range(40)), (None, texts[0]), (None, texts[1]), (5, texts[5]), (300, None), (301, ""), (302, "t1 t2 " * 30_000)]
+    asked = [*((i, texts[i]) for i in range(0, 300, 30)), (900, "t3"), (900, "t3 t4"), (901, None), (902, "nowhere"), (None, "t3"), (903, "t1 " * 5_000)]
+    docs = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(rows)], "doc_id long, text string, score long")
+    queries = spark.createDataFrame([(i, t, 1) for i, t in asked], "query_id long, text string, rank int")
+    got = search.top_documents(docs, queries, 12, shard_bytes, shard_docs, batch_bytes)
+    mine = sorted((r.query_id, r.rank, r.doc_id, r.score) for r in got.withColumn("doc_id", F.coalesce("doc_id", F.lit(-1))).collect())
+    want = sorted((q, rank, -1 if i is None else i, s) for q, rank, i, s in _ranked(rows, asked, 12))
+    assert [r[:3] for r in mine] == [r[:3] for r in want]
+    assert np.allclose([r[3] for r in mine], [r[3] for r in want])
+    assert search.top_documents(docs.limit(0), queries).count() == 0
+    assert search.top_documents(docs, queries.limit(0)).count() == 0
+
+
+def test_search_passes_over_ranges():
+    rng = np.random.default_rng(1)
+    texts = [" ".join(f"{'abcd'[i % 4]}{int(w)}" for w in rng.zipf(1.5, 60) if w < 300) for i in range(2_000)]
+    bags = [search.terms_of(t.encode()) for t in texts]
+    vocabulary = np.unique(np.concatenate([t for t, _ in bags]))
+    shard = search.Shard(search.build_shard(list(range(2_000)), bags), vocabulary, 55.0, range_docs=4)
+    codes, gains = np.searchsorted(vocabulary, bags[0][0]), bags[0][1] * 2.0
+    every, few = search.Best(2_000), search.Best(5)
+    whole, read = shard.search(codes, gains, every), shard.search(codes, gains, few)
+    assert 0 < read < whole
+    assert few.ids.tolist() == every.ids[:5].tolist() and few.scores.tolist() == every.scores[:5].tolist()
+    # A threshold out of reach passes over the whole shard.
+    few.scores = few.scores + every.scores[0] * 100
+    assert shard.search(codes, gains, few) == 0
 
 
 def test_classifiers(spark):
