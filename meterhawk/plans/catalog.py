@@ -97,13 +97,22 @@ def source_legacy_trips(spark, d):
     return as_text(SO.project_source(fleet_file(P.trips(spark, d), "yellow"), None), *TIMES)
 
 
+FULL_WIDTH_SQL = ", ".join(
+    f"CASE WHEN taxi_type = '{f}' THEN strftime({logical}, {SQL_TIME}) END AS {source}"
+    for f in S.FLEETS
+    for source, logical in SO.time_columns(f).items()
+)
+
+
 @query(
     O.TRIPS
-    + f"""SELECT trip_id, VendorID, strftime(pickup_datetime, {SQL_TIME}) AS lpep_pickup_datetime,
-    strftime(dropoff_datetime, {SQL_TIME}) AS lpep_dropoff_datetime, {MEASURES} FROM trips WHERE taxi_type = 'green'"""
+    + f"""SELECT trip_id, VendorID, {FULL_WIDTH_SQL}, {MEASURES} FROM trips"""
 )
 def source_full_width_trips(spark, d):
-    return as_text(fleet_file(P.trips(spark, d), "green"), "lpep_pickup_datetime", "lpep_dropoff_datetime")
+    """Every column of both fleets' files, under the names of the files."""
+    files = [fleet_file(P.trips(spark, d), f) for f in S.FLEETS]
+    both = files[0].unionByName(files[1], allowMissingColumns=True)
+    return as_text(both, *[source for f in S.FLEETS for source in SO.time_columns(f)])
 
 
 @query(
@@ -147,12 +156,11 @@ def source_legacy_messages(spark, d):
     + f"""SELECT '{{"VendorID":' || VendorID || ',"pickup_datetime":"' || strftime(pickup_datetime, {SQL_TIME})
     || '","dropoff_datetime":"' || strftime(dropoff_datetime, {SQL_TIME}) || '","passenger_count":'
     || CAST(coalesce(passenger_count, 0e0) AS VARCHAR) || ',"trip_distance":' || CAST(trip_distance AS VARCHAR)
-    || ',"fare_amount":' || CAST(fare_amount AS VARCHAR) || ',"taxi_type":"green"}}' AS value
-    FROM trips WHERE taxi_type = 'green'"""
+    || ',"fare_amount":' || CAST(fare_amount AS VARCHAR) || ',"taxi_type":"' || taxi_type || '"}}' AS value FROM trips"""
 )
 def message_encoding(spark, d):
-    green = SO.project_source(fleet_file(P.trips(spark, d), "green"), "green")
-    return ME.encode(SO.zero_fill(SO.stringify_times(green)))
+    fleets = [SO.project_source(fleet_file(P.trips(spark, d), f), f) for f in S.FLEETS]
+    return ME.encode(SO.zero_fill(SO.stringify_times(SO.merge_fleets(*fleets))))
 
 
 @query(
@@ -381,9 +389,16 @@ def validity_filter(spark, d):
     return FE.valid_trips(FE.time_features(P.trips(spark, d))).select("trip_id")
 
 
-@query(O.TRIPS + "SELECT trip_id, passenger_count FROM trips WHERE passenger_count IS NOT NULL")
+@query(
+    O.LABELS
+    + "SELECT trip_id, trip_distance, fare_amount, CAST(trip_duration_sec AS DOUBLE) AS trip_duration_sec, pickup_hour, passenger_count, "
+    + O.rounded("avg_speed_kmh", "fare_per_mile", digits=9)
+    + " FROM bfeats WHERE "
+    + " AND ".join(f"{c} IS NOT NULL" for c in S.BASE_FEATURES)
+)
 def complete_rows(spark, d):
-    return FE.drop_missing(P.trips(spark, d), ["passenger_count", "fare_amount"]).select("trip_id", "passenger_count")
+    rows = FE.drop_missing(_batch_features(spark, d), S.BASE_FEATURES).select("trip_id", *S.BASE_FEATURES)
+    return rounded(rows, "avg_speed_kmh", "fare_per_mile", digits=9)
 
 
 @query(O.TRIPS + "SELECT trip_id, taxi_type FROM trips WHERE passenger_count IS NOT NULL")
@@ -429,18 +444,19 @@ def label_matches(spark, d):
     + f"SELECT taxi_type, strftime(k_minute, {SQL_TIME}) AS k_minute, k_distance, k_fare, is_anomaly, ai_anomaly_score, ai_reason FROM truth"
 )
 def deduplicated_labels(spark, d):
-    return as_text(MA.dedupe_labels(P.labels(spark, d), ["trip_id"]), "k_minute")
+    return as_text(MA.dedupe_labels(P.partial_labels(spark, d), ["trip_id"]), "k_minute")
 
 
 @query(
     O.SCORED
-    + """SELECT f.taxi_type, coalesce(n.trips, 0) AS trips FROM (VALUES ('yellow'), ('green')) f(taxi_type)
-    LEFT JOIN (SELECT taxi_type, count(*) AS trips FROM scored WHERE taxi_type = 'yellow' GROUP BY 1) n USING (taxi_type)"""
+    + """SELECT f.taxi_type, coalesce(n.trips, 0) AS trips FROM (VALUES ('yellow'), ('green'), ('unseen')) f(taxi_type)
+    LEFT JOIN (SELECT taxi_type, count(*) AS trips FROM scored GROUP BY 1) n USING (taxi_type)"""
 )
 def fleet_value_with_default(spark, d):
-    """A fleet without rows gets the default."""
-    counted = FE.for_fleet(P.scored(spark, d), "yellow").groupBy("taxi_type").agg(F.count("*").alias("trips"))
-    return MA.fleet_lookup(counted, DA.fleets(counted), {"trips": 0})
+    """Every fleet's count; a name without rows gets the default."""
+    counted = P.scored(spark, d).groupBy("taxi_type").agg(F.count("*").alias("trips"))
+    names = DA.fleets(counted).union(spark.createDataFrame([("unseen",)], "taxi_type string"))
+    return MA.fleet_lookup(counted, names, {"trips": 0})
 
 
 @query(O.SCORED + "SELECT trip_id, is_anomaly AS y_pred, round(anomaly_score, 6) AS anomaly_score FROM scored")
@@ -521,12 +537,12 @@ def system_kpis(spark, d):
 def _matched(spark, d):
     pred = P.scored(spark, d).withColumn("y_pred", F.col("is_anomaly"))
     pred = pred.select("trip_id", "taxi_type", "pickup_datetime", "trip_distance", "fare_amount", "anomaly_score", "y_pred")
-    return MA.match_labels(pred, MA.dedupe_labels(P.labels(spark, d), ["trip_id"]), ["trip_id"])
+    return MA.match_labels(pred, MA.dedupe_labels(P.partial_labels(spark, d), ["trip_id"]), ["trip_id"])
 
 
 def _counts(spark, d):
     pred = P.scored(spark, d).withColumn("y_pred", F.col("is_anomaly"))
-    return MA.match_counts(pred, MA.dedupe_labels(P.labels(spark, d), ["trip_id"]))
+    return MA.match_counts(pred, MA.dedupe_labels(P.partial_labels(spark, d), ["trip_id"]))
 
 
 def _report(spark, d):
@@ -565,15 +581,11 @@ def class_score_moments(spark, d):
     return rounded(DI.score_moments(DI.both_classes(*P.results(spark, d))), "mean", "std")
 
 
-@query(
-    O.LABELS
-    + """SELECT round(median(passenger_count), 6) AS passenger_count, round(median(trip_distance), 6) AS trip_distance,
-    round(median(avg_speed_kmh), 9) AS avg_speed_kmh FROM bfeats"""
-)
+@query(O.LABELS + f"SELECT {', '.join(f'round(median({c}), 6) AS {c}' for c in S.MODEL_FEATURES)} FROM bfeats")
 def column_medians(spark, d):
-    found = QU.medians(_batch_features(spark, d), ["passenger_count", "trip_distance", "avg_speed_kmh"])
+    found = QU.medians(_batch_features(spark, d), S.MODEL_FEATURES)
     df = spark.createDataFrame([tuple(found.values())], ", ".join(f"{c} double" for c in found))
-    return rounded(rounded(df, "passenger_count", "trip_distance"), "avg_speed_kmh", digits=9)
+    return rounded(df, *S.MODEL_FEATURES)
 
 
 MINMAX_SQL = "({0} - min({0}) OVER ()) / (max({0}) OVER () - min({0}) OVER () + 0.000000001e0)"
@@ -779,42 +791,42 @@ def label_votes(spark, d):
 
 # --- Detection -------------------------------------------------------------------------------------
 
-SCALER_COLUMNS = ["trip_distance", "fare_amount", "avg_speed_kmh", "is_night"]
-
-
 def _scaler_sql(column: str) -> str:
-    spread = f"quantile_cont({column}, 0.75e0) - quantile_cont({column}, 0.25e0)"
+    spread = f"quantile_cont(CAST({column} AS DOUBLE), 0.75e0) - quantile_cont(CAST({column} AS DOUBLE), 0.25e0)"
     return f"""SELECT '{column}' AS feature, round(quantile_cont(CAST({column} AS DOUBLE), 0.5e0), 6) AS center,
     round(CASE WHEN {spread} = 0 THEN 1e0 ELSE {spread} END, 6) AS scale FROM feats"""
 
 
-@query(O.FEATS + " UNION ALL ".join(_scaler_sql(c) for c in SCALER_COLUMNS))
+@query(O.FEATS + " UNION ALL ".join(_scaler_sql(c) for c in S.MODEL_FEATURES))
 def scaler_parameters(spark, d):
-    return rounded(SC.fit_scaler(P.features(spark, d), SCALER_COLUMNS).frame(spark), "center", "scale")
+    return rounded(SC.fit_scaler(P.features(spark, d), S.MODEL_FEATURES).frame(spark), "center", "scale")
 
 
 @query(
     O.FEATS
-    + f", params AS ({' UNION ALL '.join(_scaler_sql(c).replace('round(', '(').replace(', 6)', ')') for c in SCALER_COLUMNS)})"
+    + f", params AS ({' UNION ALL '.join(_scaler_sql(c).replace('round(', '(').replace(', 6)', ')') for c in S.MODEL_FEATURES)})"
     + "SELECT trip_id, "
     + ", ".join(
         f"round(({c} - (SELECT center FROM params WHERE feature = '{c}')) / (SELECT scale FROM params WHERE feature = '{c}'), 6) + 0e0 AS {c}"
-        for c in SCALER_COLUMNS
+        for c in S.MODEL_FEATURES
     )
     + " FROM feats"
 )
 def scaled_features(spark, d):
     df = P.features(spark, d)
-    scaled = SC.scale(df, SC.fit_scaler(df, SCALER_COLUMNS)).select("trip_id", *SCALER_COLUMNS)
-    return rounded(scaled, *SCALER_COLUMNS)
+    scaled = SC.scale(df, SC.fit_scaler(df, S.MODEL_FEATURES)).select("trip_id", *S.MODEL_FEATURES)
+    return rounded(scaled, *S.MODEL_FEATURES)
 
 
 @query(
     O.LABELS
-    + "SELECT trip_id, coalesce(passenger_count, (SELECT median(passenger_count) FROM bfeats)) AS passenger_count FROM bfeats"
+    + "SELECT trip_id, "
+    + ", ".join(f"round(coalesce(CAST({c} AS DOUBLE), (SELECT median({c}) FROM bfeats)), 6) + 0e0 AS {c}" for c in S.MODEL_FEATURES)
+    + " FROM bfeats"
 )
 def imputed_medians(spark, d):
-    return SC.impute_median(_batch_features(spark, d), ["passenger_count"]).select("trip_id", "passenger_count")
+    filled = SC.impute_median(_batch_features(spark, d), S.MODEL_FEATURES).select("trip_id", *S.MODEL_FEATURES)
+    return rounded(filled, *S.MODEL_FEATURES)
 
 
 def _scaled(spark, d):
@@ -847,21 +859,27 @@ def covariance_fit(spark, d):
     return spark.createDataFrame(rows, "feature string, center double, threshold double")
 
 
-GIVEN_MEAN = [2.5, 9.0]
-GIVEN_PRECISION = [[0.5, -0.125], [-0.125, 0.25]]
+# A given centre, and a precision whose terms are of like size: distance, fare, seconds, speed, rate, kilometres, ratio.
+GIVEN_MEAN = [2.5, 9.0, 900.0, 16.0, 3.5, 4.0, 3.5]
+_UNITS = [1.0, 0.25, 0.001953125, 0.0625, 0.5, 0.5, 0.5]
+GIVEN_PRECISION = [[(1.0 if i == j else -0.125) * a * b for j, b in enumerate(_UNITS)] for i, a in enumerate(_UNITS)]
+MAHALANOBIS_SQL = " + ".join(
+    f"{GIVEN_PRECISION[i][j]!r}::DOUBLE * ({a} - {GIVEN_MEAN[i]}e0) * ({b} - {GIVEN_MEAN[j]}e0)"
+    for i, a in enumerate(S.COVARIANCE_FEATURES)
+    for j, b in enumerate(S.COVARIANCE_FEATURES)
+)
 
 
 @query(
     O.FEATS
-    + """, dist AS (SELECT trip_id, 0.5e0 * (trip_distance - 2.5e0) * (trip_distance - 2.5e0)
-      - 0.25e0 * (trip_distance - 2.5e0) * (fare_amount - 9e0) + 0.25e0 * (fare_amount - 9e0) * (fare_amount - 9e0) AS mah_distance FROM feats)
-    SELECT trip_id, round(mah_distance, 9) AS mah_distance, CAST(mah_distance > 50 AS INT) AS mcd_flag FROM dist"""
+    + f""", dist AS (SELECT trip_id, {MAHALANOBIS_SQL} AS mah_distance FROM feats)
+    SELECT trip_id, round(mah_distance, 6) AS mah_distance, CAST(mah_distance > 50 AS INT) AS mcd_flag FROM dist"""
 )
 def mahalanobis_distance(spark, d):
     """Squared distance and flag for a given centre and precision."""
-    model = CO.Covariance(["trip_distance", "fare_amount"], GIVEN_MEAN, GIVEN_PRECISION, 50.0)
+    model = CO.Covariance(list(S.COVARIANCE_FEATURES), GIVEN_MEAN, GIVEN_PRECISION, 50.0)
     scored = CO.score_covariance(P.features(spark, d), model).select("trip_id", "mah_distance", "mcd_flag")
-    return rounded(scored, "mah_distance", digits=9)
+    return rounded(scored, "mah_distance")
 
 
 @query(
@@ -916,11 +934,16 @@ def ensemble_scoring(spark, d):
 # --- Streaming -------------------------------------------------------------------------------------
 
 
-@query(O.SCORED + "SELECT trip_id FROM scored ORDER BY batch_id DESC, trip_id DESC LIMIT 10000")
+@query(
+    O.SCORED
+    + """, twice AS (SELECT trip_id, batch_id, taxi_type FROM scored UNION ALL SELECT trip_id, batch_id, 'again' FROM scored)
+    SELECT trip_id, taxi_type FROM twice ORDER BY batch_id DESC, trip_id DESC, taxi_type DESC LIMIT 10000"""
+)
 def training_buffer(spark, d):
-    """The rows the rolling buffer keeps: the newest 10,000 in arrival order."""
-    df = P.scored(spark, d).withColumn("arrival_pos", F.col("trip_id"))
-    return ST.newest(df.select("trip_id", "batch_id", "arrival_pos"), S.BUFFER_ROWS).select("trip_id")
+    """The rows the rolling buffer keeps of two feeds of the same trips: the newest 10,000 in arrival order."""
+    feed = P.scored(spark, d).select("trip_id", "batch_id", "taxi_type", F.col("trip_id").alias("arrival_pos"))
+    both = feed.union(feed.withColumn("taxi_type", F.lit("again")))
+    return ST.newest(both.withColumn("arrival_source", F.col("taxi_type")), S.BUFFER_ROWS).select("trip_id", "taxi_type")
 
 
 # --- Diagnostics and evaluation --------------------------------------------------------------------

@@ -84,14 +84,14 @@ scored AS (
          CAST(floor(avg_speed_kmh * 8e0) AS DOUBLE) / 8e0 AS mah_distance,
          CAST(trip_id % 7 = 0 AS INT) AS if_flag, CAST(trip_id % 5 = 0 AS INT) AS mcd_flag,
          CAST(reason_code <> 'statistical' OR trip_id % 29 = 0 AS INT) AS is_anomaly,
-         trip_id // 250 AS batch_id
+         trip_id // 100 AS batch_id
   FROM coded),
 normals AS (SELECT * FROM scored WHERE is_anomaly = 0),
 anomalies AS (SELECT *, {STREAM_REASON} AS reason FROM scored WHERE is_anomaly = 1)"""
 
 _METRICS = """
 counted AS (
-  SELECT t.trip_id // 250 AS batch_id, count(*) AS records_processed, count(s.trip_id) AS clean,
+  SELECT t.trip_id // 100 AS batch_id, count(*) AS records_processed, count(s.trip_id) AS clean,
          count(*) FILTER (WHERE s.is_anomaly = 1) AS anomalies_detected
   FROM trips t LEFT JOIN scored s USING (trip_id) GROUP BY 1),
 timed AS (
@@ -114,7 +114,8 @@ brated AS (
          CAST(pickup_hour IN (7, 8, 9, 17, 18, 19) AS INT) AS is_rush_hour
   FROM trips),
 bfeats AS (
-  SELECT *, avg_speed_kmh * trip_duration_sec / 3600e0 AS speed_x_duration,
+  SELECT *, sin(2e0 * pi() * pickup_hour / 24e0) AS hour_sin, cos(2e0 * pi() * pickup_hour / 24e0) AS hour_cos,
+         avg_speed_kmh * trip_duration_sec / 3600e0 AS speed_x_duration,
          ln(1e0 + greatest(0e0, trip_distance)) AS log_distance, ln(1e0 + greatest(0e0, fare_amount)) AS log_fare,
          fare_amount / (trip_distance + 0.001e0) AS fare_distance_ratio
   FROM brated),
@@ -155,7 +156,7 @@ _MATCHED = f"""
 pred AS (
   SELECT trip_id, taxi_type, pickup_datetime, trip_distance, fare_amount, anomaly_score, is_anomaly AS y_pred, {_KEYS}
   FROM scored),
-keyed AS (SELECT trip_id, taxi_type, is_anomaly, ai_anomaly_score, ai_reason, {_KEYS} FROM labels),
+keyed AS (SELECT trip_id, taxi_type, is_anomaly, ai_anomaly_score, ai_reason, {_KEYS} FROM labels WHERE trip_id % 13 <> 5),
 truth AS (
   SELECT * FROM keyed
   QUALIFY row_number() OVER (PARTITION BY taxi_type, k_minute, k_distance, k_fare ORDER BY trip_id) = 1),
