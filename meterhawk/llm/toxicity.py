@@ -13,7 +13,9 @@ Windows are mapped through ``K(landmarks, landmarks) ** -1/2`` of the kernel to
 support vector machine is fitted there. Documents are labelled, sentences are not: sentences of clean documents
 are labelled clean, and in toxic documents the windows that look toxic are labelled toxic, at first by how much more often
 their first letters open a word in toxic documents, then by the machine itself, for ``ROUNDS`` rounds. A sentence
-scores as its worst window; a document's two worst sentences and its length give its probability.
+scores as its worst window; a document's worst sentences and what its windows have above 0, in sum and in proportion to its
+length, give its probability. That step is learnt from windows judged by machines that never saw their document: the sample
+is dealt into ``PARTS``, a machine is fitted without each, and the model's machine is their mean.
 
 Windows that start inside a word or after a gap have a machine of their own, as the same letters say less there than at
 the opening of a word. It is taught the toxic windows written into clean text, at each offset from a window's start.
@@ -22,7 +24,8 @@ The machine is a weighted sum over landmarks and a landmark is a vector over tri
 table of triple weights. Scoring looks up each triple of the whole text once, whatever the number of landmarks.
 
 The fit sees a bounded sample: ``TRAIN_DOCS`` labelled documents of each class with all their
-windows; a machine's clean windows are ``BACKGROUND`` drawn ones and, round by round, the worst of each clean document.
+windows; a machine's clean windows are ``BACKGROUND`` drawn ones (parameter ``background`` of ``fit``) and, round by round,
+the worst of each clean document.
 Defined cases: a null text is the empty text; a text without letters has no window
 and gets the score of one whose worst sentences are clean; repeated rows get equal scores; with labels of one
 class or none every score is the smoothed share of label 1 (0.5 without labels); an empty table gives an
@@ -65,8 +68,20 @@ WRITTEN = 4
 RIDGE = 1e-3
 # Toxic documents that must hold an opening of a word before it is taken as telling.
 SUPPORT = 4
+# Letters that open a word, words a document and standard errors in the first search for telling words.
+OPENINGS = (4, 5, 6)
+LEVELS = 3
+SURE = 2.0
+# Log odds from which a word is telling.
+TELLING = 1.4
 TOXIC = 0.3
 OPENING = 5
+# Sentences that a document is judged by, besides the sum over all of them.
+WORST = 3
+# Value of a plainly clean sentence, so that documents of few sentences are judged like others.
+FLOOR = -0.5
+# Parts of the sample; the windows of each are judged by machines that were fitted on the others.
+PARTS = 3
 
 _STEPS = [(a, b) for a in range(1, GAP + 2) for b in range(1, GAP + 2)]
 _COSTS = np.array([LAMBDA ** (a + b - 2) for a, b in _STEPS], np.float32)
@@ -220,22 +235,25 @@ def _fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarra
     return w
 
 
-def _two_worst(values: np.ndarray, sentence: np.ndarray) -> tuple[float, float]:
-    """The two highest of the sentences' highest values; a missing one counts as -1."""
-    if not len(values):
-        return -1.0, -1.0
-    cuts = np.flatnonzero(np.concatenate(([True], sentence[1:] != sentence[:-1])))
-    worst = np.maximum.reduceat(values, cuts)
-    if len(worst) == 1:
-        return float(worst[0]), -1.0
-    second, first = np.partition(worst, -2)[-2:]
-    return float(first), float(second)
+def _document_features(values: np.ndarray, sentence: np.ndarray) -> np.ndarray:
+    """What a document is judged by, from its windows' values and sentences: its ``WORST`` highest sentences, falling, each
+    the value of its highest window (at least ``FLOOR``, as a missing one counts), and what windows have above 0, in sum and
+    per hundred windows, both as log(1 + x). Length alone tells nothing."""
+    out = np.full(WORST + 2, FLOOR)
+    out[WORST:] = 0.0
+    if len(values):
+        cuts = np.flatnonzero(np.concatenate(([True], sentence[1:] != sentence[:-1])))
+        worst = np.sort(np.maximum.reduceat(values, cuts))[::-1]
+        out[: min(WORST, len(worst))] = np.maximum(worst[:WORST], FLOOR)
+        above = np.maximum(values, 0).sum()
+        out[WORST:] = np.log1p(above), np.log1p(100 * above / len(values))
+    return out
 
 
 @dataclass
 class KernelModel:
     """Triple weights and bias of windows at the opening of a word and of those inside one, and the calibration of a
-    document's two worst sentences and length."""
+    document's features."""
 
     weights: np.ndarray
     bias: np.ndarray
@@ -244,7 +262,7 @@ class KernelModel:
 
     @classmethod
     def constant(cls, share: float) -> KernelModel:
-        return cls(np.zeros((0, 2), np.float32), np.zeros(2), np.zeros(4), share)
+        return cls(np.zeros((0, 2), np.float32), np.zeros(2), np.zeros(WORST + 3), share)
 
     def _gains(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Running sums, over the triples that start at each symbol, of weights and of squared costs."""
@@ -285,8 +303,8 @@ class KernelModel:
     def scores(self, texts: list[bytes]) -> list[float]:
         if self.share is not None:
             return [self.share] * len(texts)
-        found = [(*_two_worst(v, s), np.log1p(len(v)), 1.0) for v, s in self.window_values(texts)]
-        logits = np.array(found).reshape(-1, 4) @ self.calibration
+        found = [np.append(_document_features(v, s), 1.0) for v, s in self.window_values(texts)]
+        logits = np.array(found).reshape(-1, WORST + 3) @ self.calibration
         return (1 / (1 + np.exp(-np.clip(logits, -30, 30)))).tolist()
 
 
@@ -296,23 +314,33 @@ def _inverse_root(kernel: np.ndarray) -> np.ndarray:
     return (vectors[:, kept] / np.sqrt(values[kept])) @ vectors[:, kept].T
 
 
-def _openings(windows: np.ndarray) -> np.ndarray:
+def _openings(windows: np.ndarray, length: int = OPENING) -> np.ndarray:
     """The first letters of each window as one number."""
     code = np.zeros(len(windows), np.int64)
-    for at in range(1, OPENING + 1):
+    for at in range(1, length + 1):
         code = code * SYMBOLS + windows[:, at]
     return code
 
 
 def _first_picks(windows: np.ndarray, of_doc: np.ndarray, toxic: np.ndarray) -> np.ndarray:
-    """How much more toxic than clean documents hold a word with the window's first letters, as log odds."""
-    pairs = np.unique(np.stack([_openings(windows), of_doc], axis=1), axis=0)
-    names, number = np.unique(pairs[:, 0], return_inverse=True)
-    bad = toxic[pairs[:, 1]]
-    hits, others = np.bincount(number, bad, len(names)), np.bincount(number, ~bad, len(names))
-    odds = np.log((hits + 0.5) / (toxic.sum() + 1)) - np.log((others + 0.5) / ((~toxic).sum() + 1))
-    odds[hits < SUPPORT] = 0.0
-    return odds[np.searchsorted(names, _openings(windows))]
+    """How much more toxic than clean documents hold words with the window's first letters, as log odds less ``SURE``
+    standard errors: the highest over ``OPENINGS`` letters and over one to ``LEVELS`` such words a document. Clean documents
+    may name a word once that toxic ones repeat."""
+    looks = np.zeros(len(windows))
+    bad_docs, clean_docs = toxic.sum(), (~toxic).sum()
+    for length in OPENINGS:
+        names, number = np.unique(_openings(windows, length), return_inverse=True)
+        pairs, times = np.unique(number * len(toxic) + of_doc, return_counts=True)
+        bad = toxic[pairs % len(toxic)]
+        for level in range(1, LEVELS + 1):
+            held = times >= level
+            name = pairs[held] // len(toxic)
+            hits, others = (np.bincount(name[bad[held] == kind], minlength=len(names)) for kind in (True, False))
+            odds = np.log((hits + 0.5) / (bad_docs + 1)) - np.log((others + 0.5) / (clean_docs + 1))
+            odds -= SURE * np.sqrt(1 / (hits + 0.5) + 1 / (others + 0.5))
+            odds[hits < SUPPORT] = 0.0
+            looks = np.maximum(looks, odds[number])
+    return looks
 
 
 def _distinct(windows: np.ndarray) -> np.ndarray:
@@ -386,7 +414,7 @@ def _written_into(carriers: np.ndarray, words: np.ndarray, offset: int) -> np.nd
     return out
 
 
-def _fit_inner(windows: np.ndarray, of_doc: np.ndarray, toxic: np.ndarray, words: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, float]:
+def _fit_inner(windows: np.ndarray, of_doc: np.ndarray, toxic: np.ndarray, words: np.ndarray, rng: np.random.Generator, background: int = BACKGROUND) -> tuple[np.ndarray, float]:
     """The machine of the windows inside words. ``words`` are toxic windows, the commonest first."""
     clean = np.flatnonzero(~toxic[of_doc])
     if not len(clean) or not len(words):
@@ -396,51 +424,70 @@ def _fit_inner(windows: np.ndarray, of_doc: np.ndarray, toxic: np.ndarray, words
         _written_into(windows[rng.choice(clean, len(words))], words, offset) for offset in range(STRIDE) for _ in range(WRITTEN)
     ]
     marks = np.concatenate([*[x[: LANDMARKS // 8] for x in taught[::WRITTEN]], windows[rng.permutation(clean)[: LANDMARKS // 4]]])
-    return _fit_machine(windows, of_doc, toxic, np.empty(0, np.int64), np.concatenate(taught), 1.0, Landmarks.of(marks), rng)
+    return _fit_machine(windows, of_doc, toxic, np.empty(0, np.int64), np.concatenate(taught), 1.0, Landmarks.of(marks), rng, background)
 
 
-def fit_windows(windows: np.ndarray, sentence: np.ndarray, of_doc: np.ndarray, labels: np.ndarray, weights: np.ndarray, seed: int = 5) -> KernelModel:
-    """Learn from windows (n, SPAN) in document order; labels and weights are per document."""
-    rng = np.random.default_rng(seed)
-    toxic = labels == 1
+def _fit_machines(
+    windows: np.ndarray, of_doc: np.ndarray, toxic: np.ndarray, rng: np.random.Generator, background: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """(weights of every triple, biases) of the machines for openings of words and for windows inside them."""
     front = windows[:, 0] == BOUNDARY
-    everything, all_docs = windows, of_doc
     inner, inner_docs = windows[~front], of_doc[~front]
     windows, of_doc = windows[front], of_doc[front]
     looks = _first_picks(windows, of_doc, toxic)
-    bad_docs = np.flatnonzero(toxic)
     clean_at = np.flatnonzero(~toxic[of_doc])
     # All windows of toxic documents nearly as telling as the document's best are taken as toxic at first.
-    best = np.full(len(labels), -np.inf)
+    best = np.full(len(toxic), -np.inf)
     np.maximum.at(best, of_doc, looks)
-    picked = np.flatnonzero(toxic[of_doc] & (looks > 2.0) & (looks >= best[of_doc] - 1.0))
+    picked = np.flatnonzero(toxic[of_doc] & (looks > TELLING) & (looks >= best[of_doc] - 1.0))
     if not len(picked):
-        picked = _best_of_docs(looks, of_doc, bad_docs)
-    first = picked
+        picked = _best_of_docs(looks, of_doc, np.flatnonzero(toxic))
+    if not len(picked) or not len(clean_at):
+        return np.zeros((TRIPLES, 2), np.float32), np.full(2, -1.0)
     common = np.argsort(-np.bincount(np.unique(_openings(windows[picked]), return_inverse=True)[1]))
     by_opening = np.unique(_openings(windows[picked]), return_index=True)[1][common]
     spread = rng.permutation(picked[_distinct(windows[picked])])
     toxic_marks = np.unique(np.concatenate([picked[by_opening][: LANDMARKS // 2], spread[: LANDMARKS // 4]]))
     clean_marks = rng.permutation(clean_at)[: LANDMARKS // 4]
     # What a gapped insult looks like is taught by the toxic windows themselves, written with gaps.
-    gapped = np.unique(_spaced(windows[first]), axis=0)
+    gapped = np.unique(_spaced(windows[picked]), axis=0)
     common_gapped = np.unique(_spaced(windows[picked[by_opening][: LANDMARKS // 4]]), axis=0)
-    landmarks = np.concatenate([windows[np.concatenate([toxic_marks, clean_marks])], common_gapped])
-    marks = Landmarks.of(landmarks)
-    table, bias = _fit_machine(windows, of_doc, toxic, first, gapped, GAPPED_SHARE, marks, rng)
-    inner_table, inner_bias = _fit_inner(inner, inner_docs, toxic, windows[picked[by_opening]], rng)
-    values = np.empty(len(everything), np.float32)
-    values[front] = _values(windows, table) + bias
-    values[~front] = _values(inner, inner_table) + inner_bias
-    cuts = np.searchsorted(all_docs, np.arange(len(labels) + 1))
-    features = np.array(
-        [
-            (*_two_worst(values[a:b], sentence[a:b]), np.log1p(b - a))
-            for a, b in zip(cuts[:-1], cuts[1:], strict=True)
-        ]
-    )
-    calibration = _fit_logistic(features, labels.astype(float), weights)
-    return KernelModel(np.stack([table, inner_table], axis=1), np.array([bias, inner_bias]), calibration)
+    marks = Landmarks.of(np.concatenate([windows[np.concatenate([toxic_marks, clean_marks])], common_gapped]))
+    table, bias = _fit_machine(windows, of_doc, toxic, picked, gapped, GAPPED_SHARE, marks, rng, background)
+    inner_table, inner_bias = _fit_inner(inner, inner_docs, toxic, windows[picked[by_opening]], rng, background)
+    return np.stack([table, inner_table], axis=1), np.array([bias, inner_bias])
+
+
+def fit_windows(
+    windows: np.ndarray, sentence: np.ndarray, of_doc: np.ndarray, labels: np.ndarray, weights: np.ndarray,
+    seed: int = 5, background: int = BACKGROUND, parts: int = PARTS,
+) -> KernelModel:
+    """Learn from windows (n, SPAN) in document order; labels and weights are per document.
+
+    The calibration sees each document through machines that never saw it. The model's machine is the mean of the
+    parts', which is one table again."""
+    rng = np.random.default_rng(seed)
+    toxic = labels == 1
+    part = np.empty(len(labels), np.int64)
+    for kind in (True, False):
+        docs = rng.permutation(np.flatnonzero(toxic == kind))
+        part[docs] = np.arange(len(docs)) % parts
+    front = windows[:, 0] == BOUNDARY
+    values = np.empty(len(windows), np.float32)
+    tables, biases = np.zeros((TRIPLES, 2), np.float32), np.zeros(2)
+    for judged in range(parts):
+        away = part[of_doc] == judged
+        kept = np.flatnonzero(part != judged)
+        number = np.zeros(len(labels), np.int64)
+        number[kept] = np.arange(len(kept))
+        table, bias = _fit_machines(windows[~away], number[of_doc[~away]], toxic[kept], rng, background)
+        for kind, side in ((0, away & front), (1, away & ~front)):
+            values[side] = _values(windows[side], table[:, kind]) + bias[kind]
+        tables += table / parts
+        biases += bias / parts
+    cuts = np.searchsorted(of_doc, np.arange(len(labels) + 1))
+    features = np.array([_document_features(values[a:b], sentence[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)])
+    return KernelModel(tables, biases, _fit_logistic(features, labels.astype(float), weights))
 
 
 def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -457,7 +504,9 @@ def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_class: int = TRAIN_DOCS) -> KernelModel:
+def fit(
+    docs: DataFrame, labels: DataFrame, per_class: int = TRAIN_DOCS, background: int = BACKGROUND, seed: int = 5
+) -> KernelModel:
     """Learn ``labels.toxic`` outside the held-out fold. The driver gets windows of at most 2 * per_class documents."""
     sample, totals = labelled_sample(docs, labels, "toxic", per_class)
     share = (totals.get(1, 0) + 1) / (sum(totals.values()) + 2)
@@ -476,7 +525,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = TRAIN_DOCS) -> Kern
     sentence = np.concatenate([np.frombuffer(r["sentences"], np.int32) for r in taken])
     of_doc = np.repeat(np.arange(len(taken)), sizes)
     weights = np.array([totals[0] / held[0], totals[1] / held[1]])[given]
-    return fit_windows(np.concatenate(windows), sentence, of_doc, given, weights)
+    return fit_windows(np.concatenate(windows), sentence, of_doc, given, weights, seed, background)
 
 
 def _score_task(model: KernelModel):
