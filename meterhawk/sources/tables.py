@@ -5,6 +5,8 @@ A batch owns its partition and overwrites it, so a retried batch leaves the tabl
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -91,14 +93,9 @@ def stored_trip_columns() -> dict[str, Column]:
     }
 
 
-def to_stored(df: DataFrame) -> DataFrame:
-    return df.withColumns({**stored_trip_columns(), "inserted_at": F.current_timestamp()})
-
-
-def read_batch(spark: SparkSession, root: str, table: str, batch_id: int) -> DataFrame:
-    """One batch of a table, without listing the others."""
-    path = f"{table_path(root, table)}/batch_id={batch_id}"
-    return spark.read.schema(S.RESULT_TABLES[table]).parquet(path)
+def to_stored(df: DataFrame, now: datetime | None = None) -> DataFrame:
+    """Trips as they are stored; ``now`` lets several writes carry the same time."""
+    return df.withColumns({**stored_trip_columns(), "inserted_at": F.lit(now) if now else F.current_timestamp()})
 
 
 def write_anomalies(df: DataFrame, root: str, batch_id: int, rows: int | None = None) -> None:

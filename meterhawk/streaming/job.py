@@ -1,7 +1,7 @@
 """Micro-batch scoring: buffer, retrain, score, vote, explain, store, measure.
 
 Every clean row of every batch is stored. A small batch is scored like any other; it only does not set off or count
-towards a retraining. While no model exists, rows are stored without a score, with the reason of the rule they
+towards a retraining. A batch without a clean row leaves its metrics only. While no model exists, rows are stored without a score, with the reason of the rule they
 break, and kept whole aside; the first model scores them and puts them in their batch's place. These are fewer
 rows than a first training needs.
 
@@ -14,6 +14,7 @@ from __future__ import annotations
 import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -106,6 +107,9 @@ class ScoringJob:
         spark = batch.sparkSession
         records, clean_rows = batch_counts(batch)
         if not clean_rows:
+            if records:
+                metrics = batch_metrics(records, 0, 0, time.time() - started, False)
+                tables.write_metrics(spark, self.root, batch_id, metrics)
             return
         counts = batch_guard(records, clean_rows)
         clean = batch.filter("is_clean")
@@ -159,21 +163,19 @@ class ScoringJob:
                 ],
             ).first()
             found = bounds["anomalies"]
-            explained = tables.to_stored(explain_scores(scored, bounds.asDict()))
+            # One instant for the three tables, which are written side by side from the scored rows.
+            explained = tables.to_stored(explain_scores(scored, bounds.asDict()), datetime.now(timezone.utc))
+            anomalies, normals = split(explained)
+            order = ["arrival_pos", "arrival_source"]
             at_once(
                 spark,
                 lambda: tables.write_batch(explained, self.root, "scored_trips", batch_id, rows),
+                lambda: tables.write_anomalies(anomalies, self.root, batch_id, found),
+                lambda: tables.write_normal_sample(normals, self.root, batch_id, order),
                 *beside,
             )
         finally:
             scored.unpersist()
-        anomalies, normals = split(tables.read_batch(spark, self.root, "scored_trips", batch_id))
-        order = ["arrival_pos", "arrival_source"]
-        at_once(
-            spark,
-            lambda: tables.write_anomalies(anomalies, self.root, batch_id, found),
-            lambda: tables.write_normal_sample(normals, self.root, batch_id, order),
-        )
         return found
 
     def _score_waiting(self, spark: SparkSession, model: Model, batch_id: int) -> None:

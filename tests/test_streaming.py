@@ -79,6 +79,19 @@ def test_tables_agree_with_each_other(spark, run):
     assert anomalies.count() == scored.filter("is_anomaly = 1").count()
     assert anomalies.filter("reason IS NULL OR reason_code IS NULL").isEmpty()
     assert scored.filter("anomaly_score < 0 OR anomaly_score > 1").isEmpty()
+    cols = [c for c in S.SCORED_TRIPS.fieldNames() if c in anomalies.columns]
+    assert anomalies.select(cols).exceptAll(scored.select(cols)).isEmpty()
+
+
+def test_batch_without_a_clean_row_leaves_its_metrics_only(spark, tmp_path):
+    job = ScoringJob(f"{tmp_path}/out")
+    raw = spark.createDataFrame([("no trip", "f", i) for i in range(7)], "value string, arrival_source string, arrival_pos long")
+    features = flagged_stream_features(ME.decode_trips(raw))
+    job(features, 4)
+    job(features.limit(0), 5)
+    (row,) = TA.read_results(spark, job.root, "pipeline_metrics").collect()
+    assert (row.batch_id, row.records_processed, row.anomalies_detected, row.anomaly_rate) == (4, 7, 0, 0.0)
+    assert TA.read_results(spark, job.root, "scored_trips").isEmpty() and ST.read_state(spark, job.root, 9) == ST.State()
 
 
 def test_normal_sample_is_the_first_arrivals(spark, run):
