@@ -434,9 +434,9 @@ def fleet_filter(spark, d):
 # --- Joins and set operations ----------------------------------------------------------------------
 
 
-@query(O.MATCHED + "SELECT trip_id, y_pred, is_anomaly, ai_anomaly_score, ai_reason FROM matched")
+@query(O.WHOLE_MATCHED + "SELECT trip_id, y_pred, is_anomaly, ai_anomaly_score, ai_reason FROM matched")
 def label_matches(spark, d):
-    return _matched(spark, d).select("trip_id", "y_pred", *MA.LABEL_COLUMNS)
+    return _matched(spark, d, P.labels).select("trip_id", "y_pred", *MA.LABEL_COLUMNS)
 
 
 @query(
@@ -534,19 +534,19 @@ def system_kpis(spark, d):
     return DA.system_kpis(P.metrics(spark, d))
 
 
-def _matched(spark, d):
+def _matched(spark, d, labels):
     pred = P.scored(spark, d).withColumn("y_pred", F.col("is_anomaly"))
     pred = pred.select("trip_id", "taxi_type", "pickup_datetime", "trip_distance", "fare_amount", "anomaly_score", "y_pred")
-    return MA.match_labels(pred, MA.dedupe_labels(P.partial_labels(spark, d), ["trip_id"]), ["trip_id"])
+    return MA.match_labels(pred, MA.dedupe_labels(labels(spark, d), ["trip_id"]), ["trip_id"])
 
 
-def _counts(spark, d):
+def _counts(spark, d, labels):
     pred = P.scored(spark, d).withColumn("y_pred", F.col("is_anomaly"))
-    return MA.match_counts(pred, MA.dedupe_labels(P.partial_labels(spark, d), ["trip_id"]))
+    return MA.match_counts(pred, MA.dedupe_labels(labels(spark, d), ["trip_id"]))
 
 
-def _report(spark, d):
-    return EV.ratios(EV.confusion(_counts(spark, d)))
+def _report(spark, d, labels):
+    return EV.ratios(EV.confusion(_counts(spark, d, labels)))
 
 
 RATIO_SQL = O.rounded(*EV.RATIOS)
@@ -554,12 +554,12 @@ RATIO_SQL = O.rounded(*EV.RATIOS)
 
 @query(O.REPORT + "SELECT taxi_type, matched, total, tp, tn, fp, fn FROM confusion JOIN totals USING (taxi_type)")
 def confusion_counts(spark, d):
-    return EV.confusion(_counts(spark, d))
+    return EV.confusion(_counts(spark, d, P.partial_labels))
 
 
 @query(O.REPORT + f"SELECT taxi_type, {RATIO_SQL} FROM report")
 def accuracy_ratios(spark, d):
-    return rounded(_report(spark, d).select("taxi_type", *EV.RATIOS), *EV.RATIOS)
+    return rounded(_report(spark, d, P.partial_labels).select("taxi_type", *EV.RATIOS), *EV.RATIOS)
 
 
 MACRO_SQL = """round(avg(f1), 6) AS f1, round(avg(precision), 6) AS precision, round(avg(recall), 6) AS recall,
@@ -569,7 +569,7 @@ MACRO_SQL = """round(avg(f1), 6) AS f1, round(avg(precision), 6) AS precision, r
 
 @query(O.REPORT + f"SELECT {MACRO_SQL} FROM report")
 def macro_averages(spark, d):
-    return rounded(EV.macro_average(_report(spark, d)), "f1", "precision", "recall", "accuracy")
+    return rounded(EV.macro_average(_report(spark, d, P.partial_labels)), "f1", "precision", "recall", "accuracy")
 
 
 @query(
@@ -614,7 +614,7 @@ def score_histogram(spark, d):
 
 @query(O.MATCHED + ", rows_in AS (SELECT * FROM matched) " + _histogram_sql("anomaly_score", 40, "is_anomaly"))
 def score_histogram_by_class(spark, d):
-    matched, _ = stage(_matched(spark, d).select("anomaly_score", "is_anomaly"), "matched")
+    matched, _ = stage(_matched(spark, d, P.partial_labels).select("anomaly_score", "is_anomaly"), "matched")
     return rounded(HI.histogram_by(matched, "anomaly_score", "is_anomaly"), "low", "high", digits=9)
 
 
@@ -695,13 +695,13 @@ DETAIL_SQL = f"""SELECT {text_sql("pickup_datetime")}, trip_distance, fare_amoun
 
 @query(O.MATCHED + f"{DETAIL_SQL} (SELECT * FROM matched ORDER BY trip_id LIMIT 100)")
 def matched_detail(spark, d):
-    return as_text(EV.detail_rows(_matched(spark, d), ["trip_id"]), "pickup_datetime")
+    return as_text(EV.detail_rows(_matched(spark, d, P.partial_labels), ["trip_id"]), "pickup_datetime")
 
 
 @query(O.MATCHED + f"{DETAIL_SQL} matched")
 def matched_detail_flags(spark, d):
     """Readable classes and agreement for every matched trip."""
-    return as_text(EV.detail_flags(_matched(spark, d)).select(*EV.DETAIL_COLUMNS), "pickup_datetime")
+    return as_text(EV.detail_flags(_matched(spark, d, P.partial_labels)).select(*EV.DETAIL_COLUMNS), "pickup_datetime")
 
 
 @query(
@@ -1041,7 +1041,7 @@ def class_histograms(spark, d):
 
 @query(O.REPORT + f"SELECT taxi_type, matched, total, tp, tn, fp, fn, {RATIO_SQL} FROM report WHERE matched >= 5")
 def evaluation_report(spark, d):
-    return rounded(EV.min_matches(_report(spark, d)), *EV.RATIOS)
+    return rounded(EV.min_matches(_report(spark, d, P.partial_labels)), *EV.RATIOS)
 
 
 @query(
@@ -1050,7 +1050,7 @@ def evaluation_report(spark, d):
     SELECT *, CASE WHEN f1 >= 0.8e0 THEN 'Strong' WHEN f1 >= 0.6e0 THEN 'Moderate' ELSE 'Weak' END AS grade FROM m"""
 )
 def overall_accuracy(spark, d):
-    return rounded(EV.overall(_report(spark, d)), "f1", "precision", "recall", "accuracy")
+    return rounded(EV.overall(_report(spark, d, P.partial_labels)), "f1", "precision", "recall", "accuracy")
 
 
 @query(
@@ -1060,4 +1060,4 @@ def overall_accuracy(spark, d):
     )
 )
 def accuracy_profile(spark, d):
-    return rounded(EV.profile(_report(spark, d)), "percent")
+    return rounded(EV.profile(_report(spark, d, P.partial_labels)), "percent")

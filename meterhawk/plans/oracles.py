@@ -152,11 +152,13 @@ labels AS (
 _KEYS = """date_trunc('minute', pickup_datetime) AS k_minute, round_even(trip_distance * 100e0, 0) / 100e0 AS k_distance,
          round_even(fare_amount * 100e0, 0) / 100e0 AS k_fare"""
 
-_MATCHED = f"""
+
+def _match_sql(labels: str) -> str:
+    return f"""
 pred AS (
   SELECT trip_id, taxi_type, pickup_datetime, trip_distance, fare_amount, anomaly_score, is_anomaly AS y_pred, {_KEYS}
   FROM scored),
-keyed AS (SELECT trip_id, taxi_type, is_anomaly, ai_anomaly_score, ai_reason, {_KEYS} FROM labels WHERE trip_id % 13 <> 5),
+keyed AS (SELECT trip_id, taxi_type, is_anomaly, ai_anomaly_score, ai_reason, {_KEYS} FROM {labels}),
 truth AS (
   SELECT * FROM keyed
   QUALIFY row_number() OVER (PARTITION BY taxi_type, k_minute, k_distance, k_fare ORDER BY trip_id) = 1),
@@ -165,6 +167,10 @@ matched AS (
   FROM pred p JOIN truth t ON p.taxi_type = t.taxi_type AND p.k_minute IS NOT DISTINCT FROM t.k_minute
     AND p.k_distance IS NOT DISTINCT FROM t.k_distance AND p.k_fare IS NOT DISTINCT FROM t.k_fare)"""
 
+
+_MATCHED = _match_sql("labels WHERE trip_id % 13 <> 5")
+_WHOLE_MATCHED = _match_sql("labels")
+
 _REPORT = """
 totals AS (SELECT taxi_type, count(*) AS total FROM pred GROUP BY 1),
 confusion AS (
@@ -196,6 +202,8 @@ METRICS = _with(_TRIPS, _CLEAN, _SCORED, _METRICS)
 LABELS = _with(_TRIPS, _BATCH)
 MATCHED = _with(_TRIPS, _CLEAN, _SCORED, _BATCH, _MATCHED)
 REPORT = _with(_TRIPS, _CLEAN, _SCORED, _BATCH, _MATCHED, _REPORT)
+WHOLE_MATCHED = _with(_TRIPS, _CLEAN, _SCORED, _BATCH, _WHOLE_MATCHED)
+WHOLE_REPORT = _with(_TRIPS, _CLEAN, _SCORED, _BATCH, _WHOLE_MATCHED, _REPORT)
 
 
 def rounded(*columns: str, digits: int = 6) -> str:

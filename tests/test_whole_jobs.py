@@ -34,3 +34,12 @@ def test_scaler_takes_every_model_feature(spark, sf_dir):
     low, middle, high = np.percentile(values, [25, 50, 75], axis=0)
     assert np.allclose(fitted.center, middle)
     assert np.allclose(fitted.scale, np.where(high == low, 1.0, high - low))
+
+
+def _scored_ids(spark, sf_dir):
+    """Every trip has a label, so that every scored trip finds one."""
+    return sorted(r.trip_id for r in P.scored(spark, sf_dir).select("trip_id").collect())
+
+
+def test_matches_take_every_label(spark, sf_dir):
+    assert sorted(r.trip_id for r in catalog.label_matches(spark, sf_dir).collect()) == _scored_ids(spark, sf_dir)
