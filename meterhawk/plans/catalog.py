@@ -440,11 +440,11 @@ def label_matches(spark, d):
 
 
 @query(
-    O.MATCHED
+    O.WHOLE_MATCHED
     + f"SELECT taxi_type, strftime(k_minute, {SQL_TIME}) AS k_minute, k_distance, k_fare, is_anomaly, ai_anomaly_score, ai_reason FROM truth"
 )
 def deduplicated_labels(spark, d):
-    return as_text(MA.dedupe_labels(P.partial_labels(spark, d), ["trip_id"]), "k_minute")
+    return as_text(MA.dedupe_labels(P.labels(spark, d), ["trip_id"]), "k_minute")
 
 
 @query(

@@ -43,3 +43,9 @@ def _scored_ids(spark, sf_dir):
 
 def test_matches_take_every_label(spark, sf_dir):
     assert sorted(r.trip_id for r in catalog.label_matches(spark, sf_dir).collect()) == _scored_ids(spark, sf_dir)
+
+
+def test_deduplication_takes_every_label(spark, sf_dir):
+    rows = P.labels(spark, sf_dir).select("taxi_type", "pickup_datetime", "trip_distance", "fare_amount").collect()
+    keys = {(r[0], r[1] and r[1].replace(second=0), *(None if v is None else round(v, 2) for v in r[2:])) for r in rows}
+    assert catalog.deduplicated_labels(spark, sf_dir).count() == len(keys)
