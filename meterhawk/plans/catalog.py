@@ -552,9 +552,9 @@ def _report(spark, d, labels):
 RATIO_SQL = O.rounded(*EV.RATIOS)
 
 
-@query(O.REPORT + "SELECT taxi_type, matched, total, tp, tn, fp, fn FROM confusion JOIN totals USING (taxi_type)")
+@query(O.WHOLE_REPORT + "SELECT taxi_type, matched, total, tp, tn, fp, fn FROM confusion JOIN totals USING (taxi_type)")
 def confusion_counts(spark, d):
-    return EV.confusion(_counts(spark, d, P.partial_labels))
+    return EV.confusion(_counts(spark, d, P.labels))
 
 
 @query(O.REPORT + f"SELECT taxi_type, {RATIO_SQL} FROM report")

@@ -49,3 +49,22 @@ def test_deduplication_takes_every_label(spark, sf_dir):
     rows = P.labels(spark, sf_dir).select("taxi_type", "pickup_datetime", "trip_distance", "fare_amount").collect()
     keys = {(r[0], r[1] and r[1].replace(second=0), *(None if v is None else round(v, 2) for v in r[2:])) for r in rows}
     assert catalog.deduplicated_labels(spark, sf_dir).count() == len(keys)
+
+
+def _confusion(spark, sf_dir):
+    """(tp, tn, fp, fn) of each fleet from the trips themselves: the first trip of a key has its label."""
+    first, found = {}, {}
+    key = lambda r: (r.taxi_type, r.pickup_datetime.replace(second=0), round(r.trip_distance, 2), round(r.fare_amount, 2))
+    for r in P.labels(spark, sf_dir).orderBy("trip_id").collect():
+        if r.pickup_datetime is not None and r.trip_distance is not None and r.fare_amount is not None:
+            first.setdefault(key(r), r.is_anomaly)
+    for r in P.scored(spark, sf_dir).collect():
+        kind = {(1, 1): 0, (0, 0): 1, (1, 0): 2, (0, 1): 3}[r.is_anomaly, first[key(r)]]
+        found.setdefault(r.taxi_type, [0] * 4)[kind] += 1
+    return found
+
+
+def test_confusion_takes_every_label(spark, sf_dir):
+    rows = catalog.confusion_counts(spark, sf_dir).collect()
+    assert {r.taxi_type: [r.tp, r.tn, r.fp, r.fn] for r in rows} == _confusion(spark, sf_dir)
+    assert all(r.matched == r.total for r in rows)
