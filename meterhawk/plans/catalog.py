@@ -557,9 +557,9 @@ def confusion_counts(spark, d):
     return EV.confusion(_counts(spark, d, P.labels))
 
 
-@query(O.REPORT + f"SELECT taxi_type, {RATIO_SQL} FROM report")
+@query(O.WHOLE_REPORT + f"SELECT taxi_type, {RATIO_SQL} FROM report")
 def accuracy_ratios(spark, d):
-    return rounded(_report(spark, d, P.partial_labels).select("taxi_type", *EV.RATIOS), *EV.RATIOS)
+    return rounded(_report(spark, d, P.labels).select("taxi_type", *EV.RATIOS), *EV.RATIOS)
 
 
 MACRO_SQL = """round(avg(f1), 6) AS f1, round(avg(precision), 6) AS precision, round(avg(recall), 6) AS recall,

@@ -68,3 +68,9 @@ def test_confusion_takes_every_label(spark, sf_dir):
     rows = catalog.confusion_counts(spark, sf_dir).collect()
     assert {r.taxi_type: [r.tp, r.tn, r.fp, r.fn] for r in rows} == _confusion(spark, sf_dir)
     assert all(r.matched == r.total for r in rows)
+
+
+def test_ratios_take_every_label(spark, sf_dir):
+    for r in catalog.accuracy_ratios(spark, sf_dir).collect():
+        tp, tn, fp, fn = _confusion(spark, sf_dir)[r.taxi_type]
+        assert np.allclose([r.precision, r.recall, r.accuracy], [tp / (tp + fp), tp / (tp + fn), (tp + tn) / (tp + tn + fp + fn)], atol=1e-6)
