@@ -567,9 +567,9 @@ MACRO_SQL = """round(avg(f1), 6) AS f1, round(avg(precision), 6) AS precision, r
     CAST(sum(fp) AS BIGINT) AS fp, CAST(sum(fn) AS BIGINT) AS fn"""
 
 
-@query(O.REPORT + f"SELECT {MACRO_SQL} FROM report")
+@query(O.WHOLE_REPORT + f"SELECT {MACRO_SQL} FROM report")
 def macro_averages(spark, d):
-    return rounded(EV.macro_average(_report(spark, d, P.partial_labels)), "f1", "precision", "recall", "accuracy")
+    return rounded(EV.macro_average(_report(spark, d, P.labels)), "f1", "precision", "recall", "accuracy")
 
 
 @query(

@@ -74,3 +74,9 @@ def test_ratios_take_every_label(spark, sf_dir):
     for r in catalog.accuracy_ratios(spark, sf_dir).collect():
         tp, tn, fp, fn = _confusion(spark, sf_dir)[r.taxi_type]
         assert np.allclose([r.precision, r.recall, r.accuracy], [tp / (tp + fp), tp / (tp + fn), (tp + tn) / (tp + tn + fp + fn)], atol=1e-6)
+
+
+def test_macro_averages_take_every_label(spark, sf_dir):
+    counts = np.array(list(_confusion(spark, sf_dir).values()))
+    row = catalog.macro_averages(spark, sf_dir).first()
+    assert [row.matched, row.tp, row.fp, row.fn] == [counts.sum(), *counts.sum(axis=0)[[0, 2, 3]]]
