@@ -612,9 +612,9 @@ def score_histogram(spark, d):
     return rounded(HI.histogram(P.results(spark, d)[0], "anomaly_score"), "low", "high", digits=9)
 
 
-@query(O.MATCHED + ", rows_in AS (SELECT * FROM matched) " + _histogram_sql("anomaly_score", 40, "is_anomaly"))
+@query(O.WHOLE_MATCHED + ", rows_in AS (SELECT * FROM matched) " + _histogram_sql("anomaly_score", 40, "is_anomaly"))
 def score_histogram_by_class(spark, d):
-    matched, _ = stage(_matched(spark, d, P.partial_labels).select("anomaly_score", "is_anomaly"), "matched")
+    matched, _ = stage(_matched(spark, d, P.labels).select("anomaly_score", "is_anomaly"), "matched")
     return rounded(HI.histogram_by(matched, "anomaly_score", "is_anomaly"), "low", "high", digits=9)
 
 

@@ -80,3 +80,8 @@ def test_macro_averages_take_every_label(spark, sf_dir):
     counts = np.array(list(_confusion(spark, sf_dir).values()))
     row = catalog.macro_averages(spark, sf_dir).first()
     assert [row.matched, row.tp, row.fp, row.fn] == [counts.sum(), *counts.sum(axis=0)[[0, 2, 3]]]
+
+
+def test_score_histogram_takes_every_label(spark, sf_dir):
+    held = [r.rows for r in catalog.score_histogram_by_class(spark, sf_dir).collect()]
+    assert sum(held) == len(_scored_ids(spark, sf_dir))
