@@ -693,9 +693,9 @@ DETAIL_SQL = f"""SELECT {text_sql("pickup_datetime")}, trip_distance, fare_amoun
     CASE WHEN y_pred = is_anomaly THEN 'Yes' ELSE 'No' END AS correct, ai_reason FROM"""
 
 
-@query(O.MATCHED + f"{DETAIL_SQL} (SELECT * FROM matched ORDER BY trip_id LIMIT 100)")
+@query(O.WHOLE_MATCHED + f"{DETAIL_SQL} (SELECT * FROM matched ORDER BY trip_id LIMIT 100)")
 def matched_detail(spark, d):
-    return as_text(EV.detail_rows(_matched(spark, d, P.partial_labels), ["trip_id"]), "pickup_datetime")
+    return as_text(EV.detail_rows(_matched(spark, d, P.labels), ["trip_id"]), "pickup_datetime")
 
 
 @query(O.MATCHED + f"{DETAIL_SQL} matched")

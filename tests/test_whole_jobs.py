@@ -85,3 +85,10 @@ def test_macro_averages_take_every_label(spark, sf_dir):
 def test_score_histogram_takes_every_label(spark, sf_dir):
     held = [r.rows for r in catalog.score_histogram_by_class(spark, sf_dir).collect()]
     assert sum(held) == len(_scored_ids(spark, sf_dir))
+
+
+def test_detail_starts_from_every_label(spark, sf_dir):
+    matched = catalog.label_matches(spark, sf_dir).orderBy("trip_id").limit(100).join(P.scored(spark, sf_dir).select("trip_id", "fare_amount"), "trip_id")
+    shown = catalog.matched_detail(spark, sf_dir).select("fare_amount").collect()
+    assert sorted(r.fare_amount for r in shown) == sorted(r.fare_amount for r in matched.collect())
+    assert sorted(r.trip_id for r in matched.collect()) == _scored_ids(spark, sf_dir)[:100]
