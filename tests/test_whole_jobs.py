@@ -92,3 +92,7 @@ def test_detail_starts_from_every_label(spark, sf_dir):
     shown = catalog.matched_detail(spark, sf_dir).select("fare_amount").collect()
     assert sorted(r.fare_amount for r in shown) == sorted(r.fare_amount for r in matched.collect())
     assert sorted(r.trip_id for r in matched.collect()) == _scored_ids(spark, sf_dir)[:100]
+
+
+def test_detail_flags_take_every_label(spark, sf_dir):
+    assert catalog.matched_detail_flags(spark, sf_dir).count() == len(_scored_ids(spark, sf_dir))
