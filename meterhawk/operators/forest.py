@@ -15,6 +15,7 @@ written with their path sums, so neither driver nor workers hold more than a blo
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass, field, replace
 from functools import cached_property
@@ -39,6 +40,8 @@ BLOCK_BYTES = 128 << 20
 HELD_BYTES = 64 << 20
 SMALL_INPUT_ROWS = 5_000_000
 BOUND_STEPS = 24
+# Rows walked at a time, so that what a step reads and writes stays in the cache.
+WALK_ROWS = 16_384
 
 _MIX = [np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)]
 
@@ -286,60 +289,110 @@ class Block:
 
     @cached_property
     def walkers(self) -> list[tuple]:
+        """Per tree: depth, one word a node, leaf values. A word holds cut, left child and column, so that a step reads it once."""
         ready = []
         for _, depth, feature, value, child in self.trees:
             leaf = feature < 0
-            column = np.where(leaf, 0, feature).astype(np.int64)
-            cut = np.where(leaf, np.float32(np.inf), value)
-            left = np.where(leaf, np.arange(len(child)), child).astype(np.int32)
-            ready.append((depth, column, cut, left, value))
+            bits = max(int(feature.max(initial=0)).bit_length(), 1)
+            if len(child) >> 32 - bits:
+                raise ValueError("a tree has more nodes than a word can name")
+            cut = np.where(leaf, np.float32(np.inf), value).astype(np.float32)
+            # A leaf is its own left child, and nothing lies beyond its cut.
+            left = np.where(leaf, np.arange(len(child)), child).astype(np.int64)
+            word = cut.view(np.uint32).astype(np.int64) << 32 | left << bits | np.where(leaf, 0, feature)
+            ready.append((depth, bits, word, value.astype(np.float64)))
         return ready
 
-    def _lengths(self, points: np.ndarray, tree: int) -> np.ndarray:
-        depth, column, cut, left, value = self.walkers[tree]
-        flat = np.ascontiguousarray(points).ravel()
-        base = np.arange(len(points), dtype=np.int64) * points.shape[1]
-        at = np.zeros(len(points), dtype=np.int64)
-        for _ in range(depth):
-            at = left[at] + (flat[base + column[at]] > cut[at])
-        return value[at]
-
     def paths(self, points: np.ndarray) -> np.ndarray:
         """Sum of each point's path lengths."""
+        width = points.shape[1]
         total = np.zeros(len(points))
-        for tree in range(len(self.trees)):
-            total += self._lengths(points, tree)
+        for first in range(0, len(points), WALK_ROWS):
+            flat = np.ascontiguousarray(points[first : first + WALK_ROWS]).ravel()
+            rows = len(flat) // width
+            base = np.arange(rows, dtype=np.int64) * width
+            step = _Step(rows)
+            at = np.empty(rows, np.int64)
+            for depth, bits, word, value in self.walkers:
+                at[:] = 0
+                for _ in range(depth):
+                    place = step.read(word, bits, at)
+                    place += base
+                    step.turn(flat, place)
+                    step.move(bits, at)
+                total[first : first + rows] += value[at]
         return total
 
     def swapped_paths(self, points: np.ndarray, donors: np.ndarray) -> np.ndarray:
         """(features + 1, rows): the sums as they are, then with each feature replaced by its donor value, one at a time.
 
-        A path notes the features it compares; with a feature replaced, only rows whose path compares it are walked again.
+        A row with a replaced feature takes the path of the row as it is up to the first node at which the donor value turns the
+        other way, so only from there on it is walked by itself.
         """
         rows, width = points.shape
         if width > 63:
             raise ValueError("a path mask has room for 63 features")
         totals = np.zeros((width + 1, rows))
-        flat = np.ascontiguousarray(points).ravel()
+        both = np.concatenate([np.ascontiguousarray(points).ravel(), np.ascontiguousarray(donors).ravel()])
+        size = rows * width
         base = np.arange(rows, dtype=np.int64) * width
-        for tree, (depth, column, cut, left, value) in enumerate(self.walkers):
-            # A leaf compares nothing.
-            bit = np.where(np.isinf(cut) & (left == np.arange(len(left))), 0, np.left_shift(1, column))
-            at, mask = np.zeros(rows, dtype=np.int64), np.zeros(rows, dtype=np.int64)
+        step = _Step(rows)
+        at, apart, place = (np.empty(rows, np.int64) for _ in range(3))
+        donor, other = np.empty(rows, np.float32), np.empty(rows, bool)
+        for depth, bits, word, value in self.walkers:
+            at[:], apart[:] = 0, 0
+            # Rows that go by themselves: row, replaced feature, node.
+            own = np.empty((3, 0), np.int64)
             for _ in range(depth):
-                mask |= bit[at]
-                at = left[at] + (flat[base + column[at]] > cut[at])
-            plain = value[at].astype(np.float64)
+                if own.shape[1]:
+                    alone = _Step(own.shape[1])
+                    column = alone.read(word, bits, own[2])
+                    alone.turn(both, own[0] * width + column + np.where(column == own[1], size, 0))
+                    alone.move(bits, own[2])
+                column = step.read(word, bits, at)
+                np.add(base, column, out=place)
+                step.turn(both, place)
+                place += size
+                np.greater(np.take(both, place, out=donor, mode="clip"), step.cut, out=other)
+                leaving = np.flatnonzero(np.not_equal(other, step.right, out=other))
+                feature = column[leaving]
+                first = (apart[leaving] >> feature & 1) == 0
+                leaving, feature = leaving[first], feature[first]
+                apart[leaving] |= np.left_shift(1, feature)
+                step.move(bits, at)
+                if len(leaving):
+                    # The children of a node are neighbours, the right one after the left.
+                    node = at[leaving] + np.where(step.right[leaving], -1, 1)
+                    own = np.hstack([own, [leaving, feature, node]])
+            plain = value[at]
             totals += plain
-            for feature in range(width):
-                again = np.flatnonzero(mask >> feature & 1)
-                if len(again):
-                    swapped = points[again]
-                    swapped[:, feature] = donors[again, feature]
-                    totals[feature + 1, again] += self._lengths(swapped, tree) - plain[again]
+            totals[own[1] + 1, own[0]] += value[own[2]] - plain[own[0]]
         return totals
 
 
+class _Step:
+    """One step of many rows down a tree, in arrays that are used again."""
+
+    def __init__(self, rows: int):
+        self.node, self.place = np.empty(rows, np.int64), np.empty(rows, np.int64)
+        self.cut = self.node.view(np.float32)[1 if sys.byteorder == "little" else 0 :: 2]
+        self.x, self.right = np.empty(rows, np.float32), np.empty(rows, bool)
+
+    def read(self, word: np.ndarray, bits: int, at: np.ndarray) -> np.ndarray:
+        """The column that each row's node compares."""
+        np.take(word, at, out=self.node, mode="clip")
+        return np.bitwise_and(self.node, (1 << bits) - 1, out=self.place)
+
+    def turn(self, values: np.ndarray, place: np.ndarray) -> None:
+        np.take(values, place, out=self.x, mode="clip")
+        np.greater(self.x, self.cut, out=self.right)
+
+    def move(self, bits: int, at: np.ndarray) -> None:
+        np.right_shift(self.node, bits, out=at)
+        np.bitwise_and(at, (1 << 32 - bits) - 1, out=at)
+        at += self.right
+
+
 @dataclass(frozen=True)
 class Forest:
     """A trained forest and its decision cut. ``blocks`` has (first tree, last tree) of each block of the table ``nodes``;

@@ -391,3 +391,19 @@ def test_permutation_sensitivity_equals_full_rescoring(spark, sf_dir, trained):
     assert buckets > 3
     for i, c in enumerate(features):
         assert got[c] == pytest.approx(abs(flagged[i + 1] - flagged[0]) / total, abs=1.5 / total)
+
+
+def test_swapped_paths_walk_a_row_alone_only_after_it_turns(monkeypatch):
+    """A row's own steps begin where a donor value turns the other way, so they are few beside a walk per compared feature."""
+    rng = np.random.default_rng(3)
+    points = rng.lognormal(size=(4000, 14)).astype(np.float32)
+    donors = np.column_stack([rng.permutation(points[:, j]) for j in range(14)])
+    block = FO.Block([(256, *FO._grow(points[rng.integers(0, 4000, 256)], 8, np.random.default_rng(t))) for t in range(10)])
+    read, steps = FO._Step.read, []
+    monkeypatch.setattr(FO._Step, "read", lambda self, word, bits, at: steps.append(len(at)) or read(self, word, bits, at))
+    totals = block.swapped_paths(points, donors)
+    assert sum(steps) < 2 * len(points) * sum(tree[1] for tree in block.trees)
+    for feature in range(14):
+        swapped = points.copy()
+        swapped[:, feature] = donors[:, feature]
+        assert np.allclose(totals[feature + 1], block.paths(swapped))
