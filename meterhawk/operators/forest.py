@@ -91,11 +91,11 @@ def draws(keys: np.ndarray, weights: np.ndarray, bound: float, trees: int, salt:
     chance = -np.expm1(-weights * bound) if bound != math.inf else np.where(weights > 0, 1.0, 0.0)
     rows = np.flatnonzero(chance > 0)
     tree = np.full(len(rows), -1, np.int64)
+    with np.errstate(divide="ignore"):
+        stay = np.log1p(-chance)
     jump = 0
     while len(rows):
-        with np.errstate(divide="ignore"):
-            stay = np.log1p(-chance[rows])
-        gap = np.floor(np.log(uniforms(keys[rows], salt + 2 * jump)) / stay)
+        gap = np.floor(np.log(uniforms(keys[rows], salt + 2 * jump)) / stay[rows])
         tree = tree + 1 + np.minimum(gap, trees).astype(np.int64)
         inside = tree < trees
         rows, tree = rows[inside], tree[inside]
@@ -120,11 +120,15 @@ class _PartialSamples:
     def add(self, rows: np.ndarray, trees: np.ndarray, found: np.ndarray, points: np.ndarray) -> None:
         keep = found <= self.bounds[trees]
         rows, trees, found = rows[keep], trees[keep], found[keep]
-        order = np.argsort(trees, kind="stable")
+        # Of numbers of 16 bits numpy sorts by radix.
+        order = np.argsort(trees.astype(np.uint16) if len(self.bounds) <= 1 << 16 else trees, kind="stable")
         packed = np.empty(len(rows), self.row_type)
         packed["draw"], packed["x"] = found[order], points[rows[order]]
-        numbers, starts = np.unique(trees[order], return_index=True)
-        for tree, part in zip(numbers.tolist(), np.split(packed, starts[1:])):
+        sizes = np.bincount(trees, minlength=len(self.bounds))
+        numbers = np.flatnonzero(sizes)
+        ends = np.cumsum(sizes)[numbers].tolist()
+        for tree, first, last in zip(numbers.tolist(), [0, *ends], ends):
+            part = packed[first:last]
             self.parts.setdefault(tree, []).append(part)
             self.sizes[tree] = self.sizes.get(tree, 0) + len(part)
             self.held += part.nbytes
@@ -151,6 +155,7 @@ class _PartialSamples:
 def _grow(points: np.ndarray, limit: int, rng: np.random.Generator):
     """Grow one tree level by level; all nodes of a level are split at once."""
     rows, width = points.shape
+    flat = np.ascontiguousarray(points).ravel()
     order = np.arange(rows)
     sizes = np.array([rows])
     feature, value, child = [], [], []
@@ -168,9 +173,10 @@ def _grow(points: np.ndarray, limit: int, rng: np.random.Generator):
                     break
                 lengths = sizes[open_]
                 begin = np.concatenate(([0], np.cumsum(lengths)[:-1]))
-                at = np.repeat(starts[open_] - begin, lengths) + np.arange(lengths.sum())
+                at = np.repeat(starts[open_] - begin, lengths)
+                at += np.arange(len(at))
                 column = tries[open_, attempt]
-                x = points[order[at], np.repeat(column, lengths)]
+                x = flat[order[at] * width + np.repeat(column, lengths)]
                 mn, mx = np.minimum.reduceat(x, begin), np.maximum.reduceat(x, begin)
                 varied = mx > mn
                 done = open_[varied]
@@ -190,10 +196,17 @@ def _grow(points: np.ndarray, limit: int, rng: np.random.Generator):
         order = order[keep]
         if not order.size:
             break
-        right = points[order, np.repeat(picked, sizes)[keep]] > np.repeat(cut, sizes)[keep]
+        right = flat[order * width + np.repeat(picked, sizes)[keep]] > np.repeat(cut, sizes)[keep]
         slot = 2 * node + right
-        order = order[np.argsort(slot, kind="stable")]
         sizes = np.bincount(slot, minlength=2 * int(inner.sum()))
+        # The rows lie by node already, so each child's rows keep their order and only move up.
+        rights = np.cumsum(right)
+        first = np.cumsum(sizes) - sizes
+        before = np.cumsum(sizes[1::2]) - sizes[1::2]
+        nth = np.where(right, rights - 1 - before[node], np.arange(len(order)) - rights - (first[::2] - before)[node])
+        moved = np.empty_like(order)
+        moved[first[slot] + nth] = order
+        order = moved
         depth += 1
     return depth, np.concatenate(feature), np.concatenate(value), np.concatenate(child)
 

@@ -407,3 +407,27 @@ def test_swapped_paths_walk_a_row_alone_only_after_it_turns(monkeypatch):
         swapped = points.copy()
         swapped[:, feature] = donors[:, feature]
         assert np.allclose(totals[feature + 1], block.paths(swapped))
+
+
+def test_growing_and_packing_sort_no_wide_numbers(monkeypatch):
+    """Rows move to their children by counts, and draws go to their trees by a radix sort, which numpy has for 16 bits."""
+    rng = np.random.default_rng(5)
+    points = rng.lognormal(size=(3000, 4)).astype(np.float32)
+    plain, wide = np.argsort, []
+    monkeypatch.setattr(np, "argsort", lambda a, *args, **kw: (a.dtype.kind in "iu" and a.itemsize > 2 and wide.append(len(a))) or plain(a, *args, **kw))
+    depth, feature, value, child = FO._grow(points, 12, np.random.default_rng(1))
+    partial = FO._PartialSamples(20, 50, FO._row_type(4))
+    partial.add(np.arange(3000), rng.integers(0, 20, 3000), rng.random(3000), points)
+    assert not wide
+    # Every node holds the rows that its cut sends there.
+    at, rows = {0: np.arange(3000)}, 0
+    for node in range(len(feature)):
+        mine = at[node]
+        if feature[node] >= 0:
+            over = points[mine, feature[node]] > value[node]
+            at[int(child[node])], at[int(child[node]) + 1] = mine[~over], mine[over]
+            assert over.any() and not over.all()
+        else:
+            rows += len(mine)
+    assert rows == 3000
+    assert sum(partial.sizes.values()) == 3000
