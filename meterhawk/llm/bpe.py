@@ -32,6 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from meterhawk.llm.common import give_back, giving_back
+
 # Bounds what is sent to the executors.
 MOST_RANK_BYTES = 32 << 20
 # Encoded pieces and tested borders a worker remembers; both are forgotten when full.
@@ -357,6 +359,8 @@ def _both_ways(ranks: bytes, pattern: str):
     """One worker does both, so that an executor holds half the processes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # An earlier stage may have worked in this process.
+        give_back()
         encoder = text_encoder(ranks, pattern)
         for batch in batches:
             texts = batch.column("text")
@@ -380,4 +384,4 @@ def _both_ways(ranks: bytes, pattern: str):
 def encode_and_decode(docs: DataFrame, ranks: bytes, pattern: str) -> DataFrame:
     """Per document: doc_id, n_tokens and the digests of its ids and of the bytes they decode to."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    return rows.mapInArrow(_both_ways(ranks, pattern), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return rows.mapInArrow(giving_back(_both_ways(ranks, pattern)), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +24,25 @@ HELD_OUT_REMAINDER = 2
 FOLDS = 4
 
 
+def give_back() -> None:
+    """Return to the system what this process has freed. Python workers outlive their tasks, so what one stage leaves in their
+    allocators would count against the next one."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def giving_back(task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``task`` for ``mapInArrow``, after whose last batch the worker gives back what it has freed."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from task(batches)
+        give_back()
+
+    return run
+
+
 class Scratch:
     """Tables an operator writes to the shared folder between its steps, and removes when they are used up.
 

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterhawk.llm.common import Scratch
+from meterhawk.llm.common import Scratch, giving_back
 
 TABLE_BYTES = 48 << 20
 CHUNK_BYTES = 24 << 20
@@ -215,13 +215,13 @@ def _fold(rows: DataFrame, scratch: Scratch, chunk_bytes: int) -> DataFrame:
             T.StructField("content", T.BinaryType()),
         ]
     )
-    return scratch.put(rows.mapInArrow(_fold_task(names, chunk_bytes), schema), "folded")
+    return scratch.put(rows.mapInArrow(giving_back(_fold_task(names, chunk_bytes)), schema), "folded")
 
 
 def _resolve(folded: DataFrame, table_bytes: int) -> DataFrame:
     leads = folded.where("leads").select("rep", "id", "copies", "digest", "content")
     dealt = leads.repartition(F.xxhash64("digest"))
-    return dealt.mapInArrow(_bucket_task(table_bytes), "rep long, keep_id long, group_size long, wins boolean")
+    return dealt.mapInArrow(giving_back(_bucket_task(table_bytes)), "rep long, keep_id long, group_size long, wins boolean")
 
 
 def group_copies(

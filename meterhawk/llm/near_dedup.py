@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterhawk.llm.common import Scratch
+from meterhawk.llm.common import Scratch, giving_back
 from meterhawk.llm.components import star_labels
 
 SHINGLE_WORDS = 5
@@ -255,7 +255,7 @@ def _links(rows: DataFrame, signed: DataFrame, classes: DataFrame, scratch: Scra
     members = scratch.put(banded.join(shared.select("key", "lead"), "key"), "members")
     wanted = members.select("node").distinct().join(classes.select("node", "id", "text_hash"), "node")
     texts = rows.join(wanted, ["id", "text_hash"]).select("node", "text")
-    sets = scratch.put(texts.mapInArrow(_full_sets, "node long, hashes array<long>"), "sets")
+    sets = scratch.put(texts.mapInArrow(giving_back(_full_sets), "node long, hashes array<long>"), "sets")
 
     pairs = members.where("node != lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
     edges = scratch.put(_confirmed(pairs, sets, similar), "links")
@@ -280,7 +280,7 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, similar: tuple[int, in
     hashed = rows.withColumn("text_hash", F.xxhash64("text"))
     signed = scratch.put(
         hashed.mapInArrow(
-            _signatures(band_rows(similar)), "id long, text_hash long, n_shingles long, digest binary, bands array<long>"
+            giving_back(_signatures(band_rows(similar))), "id long, text_hash long, n_shingles long, digest binary, bands array<long>"
         ),
         "signatures",
     )

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterhawk.llm.common import held_out, labelled_sample, text_of
+from meterhawk.llm.common import giving_back, held_out, labelled_sample, text_of
 from meterhawk.llm.near_dedup import word_hashes
 
 PASSAGE_WORDS = 64
@@ -210,7 +210,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = TRAIN_DOCS) -> BagM
     if min(totals.get(0, 0), totals.get(1, 0)) == 0:
         return BagModel.constant((totals.get(1, 0) + 1) / (sum(totals.values()) + 2))
     rows = sample.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "label").mapInArrow(
-        _encoded, "doc_id long, label int, bag binary"
+        giving_back(_encoded), "doc_id long, label int, bag binary"
     )
     taken = sorted(rows.collect(), key=lambda r: (r["doc_id"], r["label"]))
     if len({r["label"] for r in taken}) < 2:
@@ -236,7 +236,7 @@ def _score_task(model: BagModel):
 def score_documents(docs: DataFrame, model: BagModel, good: float = GOOD) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of("text").alias("text"))
-    scored = rows.mapInArrow(_score_task(model), "doc_id long, score double")
+    scored = rows.mapInArrow(giving_back(_score_task(model)), "doc_id long, score double")
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= good).cast("int").alias("predicted"))
 
 
@@ -245,5 +245,5 @@ def keep_good(docs: DataFrame, model: BagModel, good: float = GOOD) -> DataFrame
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     rows = docs.select(row, text_of("text").alias("text"))
     returned = T.StructType([rows.schema["row"], T.StructField("score", T.DoubleType())])
-    scored = rows.mapInArrow(_score_task(model), returned)
+    scored = rows.mapInArrow(giving_back(_score_task(model)), returned)
     return scored.where(F.col("score") >= good).select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
