@@ -110,8 +110,27 @@ def mahalanobis(columns: list[str], location, precision) -> Column:
 
 def _products(points: np.ndarray) -> np.ndarray:
     """Per row: one, its values, and their products in pairs; sums of these are mergeable moments."""
-    i, j = np.triu_indices(points.shape[1])
-    return np.hstack([np.ones((len(points), 1)), points, points[:, i] * points[:, j]])
+    rows, width = points.shape
+    out = np.empty((rows, _places_of(width)))
+    out[:, 0], out[:, 1 : 1 + width] = 1.0, points
+    at = 1 + width
+    for i in range(width):
+        np.multiply(points[:, i : i + 1], points[:, i:], out=out[:, at : at + width - i])
+        at += width - i
+    return out
+
+
+def _in_order(classes: np.ndarray) -> tuple[np.ndarray, list[int], np.ndarray]:
+    """A stable order of the classes, the classes, and where each begins; numbers of 16 bits numpy sorts by radix."""
+    above = classes - classes.min()
+    if above.max() >> 32:
+        order = np.argsort(classes, kind="stable")
+    else:
+        order = np.argsort((above & 0xFFFF).astype(np.uint16), kind="stable")
+        order = order[np.argsort((above >> 16).astype(np.uint16)[order], kind="stable")]
+    ranged = classes[order]
+    first = np.flatnonzero(np.concatenate([[True], ranged[1:] != ranged[:-1]]))
+    return order, ranged[first].tolist(), first
 
 
 def _unpack(total: np.ndarray, width: int) -> tuple[int, np.ndarray, np.ndarray]:
@@ -131,7 +150,7 @@ def _places_of(width: int) -> int:
 def _add_up(df: DataFrame, names: list[str], measure: Callable[[np.ndarray], Iterator[tuple[int, np.ndarray, np.ndarray]]]) -> DataFrame:
     """Moments as (kind, class, place, total): a task adds up its rows, Spark adds up the tasks.
 
-    ``measure`` gives, for a batch of points, (kind, class of each row, products of each row); place counts the products.
+    ``measure`` gives, for a batch of points, (kind, class of each row, the points to add up); place counts their products.
     """
     width = _places_of(len(names))
 
@@ -141,13 +160,11 @@ def _add_up(df: DataFrame, names: list[str], measure: Callable[[np.ndarray], Ite
             points = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
             if not len(points):
                 continue
-            for kind, classes, products in measure(points):
-                order = np.argsort(classes, kind="stable")
-                found, first = np.unique(classes[order], return_index=True)
-                if len(found):
-                    for c, part in zip(found.tolist(), np.add.reduceat(products[order], first)):
-                        held = totals.get((kind, c))
-                        totals[kind, c] = part if held is None else held + part
+            for kind, classes, seen in measure(points):
+                order, found, first = _in_order(classes)
+                for c, part in zip(found, np.add.reduceat(_products(seen[order]), first)):
+                    held = totals.get((kind, c))
+                    totals[kind, c] = part if held is None else held + part
         keys = np.array(list(totals), np.int64).reshape(-1, 2)
         columns = [np.repeat(keys[:, 0].astype(np.int32), width), np.repeat(keys[:, 1], width), np.tile(np.arange(width, dtype=np.int32), len(keys))]
         parts = np.concatenate([np.empty(0), *totals.values()])
@@ -184,9 +201,8 @@ def _closest(df: DataFrame, names: list[str], inverses: dict[int, tuple], wanted
     """(kind, place, total, last): moments of each start's closest rows, and the last code among them."""
 
     def by_code(points: np.ndarray):
-        products = _products(points)
         for s, (mean, precision) in inverses.items():
-            yield s, _codes(_distances(points, mean, precision), near[s]), products
+            yield s, _codes(_distances(points, mean, precision), near[s]), points
 
     limit = F.lit(0)
     for s, n in wanted.items():
@@ -245,7 +261,7 @@ def _starts(df: DataFrame, names: list[str], distributions: dict) -> dict[int, t
 
     def by_kind(points: np.ndarray):
         for kind, seen in enumerate(_transforms(points, knots, normal)):
-            yield kind, np.zeros(len(seen), np.int64), _products(seen)
+            yield kind, np.zeros(len(seen), np.int64), seen
 
     axes, turned = {}, []
     for (number,), moments in sorted(_collected(_add_up(df, names, by_kind), width, "kind").items()):
@@ -333,7 +349,7 @@ def _fit(df: DataFrame, names: list[str], starts: dict[int, tuple], support: flo
     distance = mahalanobis(names, mean, pseudo_inverse(cov))
     factor = threshold(df.select(distance.alias("d")), "d", 0.5) / chi_square_quantile(0.5, len(names))
     bound = chi_square_quantile(REWEIGHT_QUANTILE, len(names)) * factor if factor > 0 else math.inf
-    kept = _add_up(df.where(distance <= F.lit(bound)), names, lambda points: [(0, np.zeros(len(points), np.int64), _products(points))])
+    kept = _add_up(df.where(distance <= F.lit(bound)), names, lambda points: [(0, np.zeros(len(points), np.int64), points)])
     for moments in _collected(kept, len(names), "kind").values():
         if moments[0] > len(names):
             _, mean, cov = _unpack(moments, len(names))

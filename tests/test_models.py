@@ -431,3 +431,19 @@ def test_growing_and_packing_sort_no_wide_numbers(monkeypatch):
             rows += len(mine)
     assert rows == 3000
     assert sum(partial.sizes.values()) == 3000
+
+
+def test_moments_sort_classes_by_radix_in_stable_order(monkeypatch):
+    rng = np.random.default_rng(4)
+    plain, kinds = np.argsort, []
+    monkeypatch.setattr(np, "argsort", lambda a, *args, **kw: kinds.append(a.dtype.itemsize) or plain(a, *args, **kw))
+    for spread, widths in ((3, {2}), (500 * CO.PARTS_OF_CLASS, {2}), (1 << 40, {8})):
+        kinds.clear()
+        classes = rng.integers(-spread, spread, 4000)
+        order, found, first = CO._in_order(classes)
+        assert set(kinds) == widths
+        assert (order == plain(classes, kind="stable")).all()
+        assert found == sorted(set(classes.tolist())) and (classes[order][first] == found).all()
+    points = rng.normal(size=(50, 3))
+    i, j = np.triu_indices(3)
+    assert (CO._products(points) == np.hstack([np.ones((50, 1)), points, points[:, i] * points[:, j]])).all()
